@@ -3,7 +3,9 @@
 Every query reads the driver tables of ``sf_dir`` (through the RAW mapping of
 FIXTURES.md) and derives staging and the star from them with Spark, so its
 work grows with the tables.  ``oracle_sql`` states the same result in DuckDB
-SQL over the same parquet views.
+SQL over the same parquet views.  Sums are compared as decimal(38,2) and
+averages as ``round(total / count, 4)`` doubles on both sides (the engines
+type them differently); everything else is compared as the library returns it.
 """
 from __future__ import annotations
 
@@ -13,23 +15,91 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import oracle as O
-from starmart.plans import bi
+from starmart.functions import (
+    card_brand,
+    card_masked,
+    covering_bounds,
+    customer_age,
+    date_key,
+    full_name,
+    merchant_clean,
+    spine_from_bounds,
+    surrogate_key,
+)
+from starmart.operators import marts, quality
+from starmart.operators.dedupe import dedupe_first
+from starmart.plans import adhoc, bi, questions
+from starmart.plans.build import build_all
 from starmart.plans.star import star_from_tables
+from starmart.sources.csv_ingest import ingest_csv, sample_n
+from starmart.sources.fixtures import raw_transactions
+from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
+from starmart.session import scratch_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = O.AS_OF  # pinned "today" for customer ages
 
+# Report parameters used by the registered filtered reports.
+FILTER = bi.Filters(start="1996-03-01", end="1998-06-30",
+                    categories=("Brand#12", "Brand#23", "Brand#7"))
+EMPTY = bi.Filters(start="2030-01-01", end="2030-12-31")
+SAMPLE_ROWS = 500
+SQL_FILTER = ("f.transaction_ts >= timestamp '1996-03-01 00:00:00' "
+              "and f.transaction_ts < timestamp '1998-07-01 00:00:00' "
+              "and m.merchant_category in ('Brand#12', 'Brand#23', 'Brand#7')")
+SQL_EMPTY = ("f.transaction_ts >= timestamp '2030-01-01 00:00:00' "
+             "and f.transaction_ts < timestamp '2031-01-01 00:00:00'")
+FROM_JOIN = "fact_transactions f join dim_merchant m on f.merchant_key = m.merchant_key"
+ADHOC_SQL = """select d.year, d.month, count(*) as txns,
+       cast(sum(f.amount) as decimal(38,2)) as spend
+from fact_transactions f join dim_date d on f.date_key = d.date_key
+group by d.year, d.month"""
+# Fixed calendar used to show a failing relationships test.
+PARTIAL_CALENDAR = ("1995-01-01", "1998-01-01")
+# Source-file header names of the RAW columns (index unnamed, SQL words).
+SOURCE_HEADER = {"trans_index": "Unnamed: 0", "cust_first": "first",
+                 "cust_last": "last", "home_lon": "long"}
+
 
 def _star(spark: SparkSession, sf_dir: str):
     return star_from_tables(spark, sf_dir, as_of=AS_OF)
 
 
-def _money(c) -> F.Column:
-    """Sums compared at one decimal type on both engines."""
-    return c.cast("decimal(38,2)")
+def _money(name: str) -> F.Column:
+    return F.col(name).cast("decimal(38,2)").alias(name)
+
+
+def _ratio(total: str, count: str, name: str) -> F.Column:
+    r = F.round(F.col(total).cast("double") / F.col(count), 4)
+    return F.when(F.col(count) == 0, F.lit(0.0)).otherwise(r).alias(name)
+
+
+# --- sources -----------------------------------------------------------------
+
+def q_ingest_csv(spark, sf_dir):
+    """RAW written as a source-layout CSV, read back and normalised."""
+    raw = raw_transactions(spark, sf_dir).withColumnsRenamed(SOURCE_HEADER)
+    path = scratch_dir(spark, "csv")
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    return ingest_csv(spark, path)
+
+
+def q_sample_n(spark, sf_dir):
+    return sample_n(raw_transactions(spark, sf_dir), SAMPLE_ROWS)
+
+
+def q_load_raw(spark, sf_dir):
+    return load_raw(Warehouse.fresh(spark), raw_transactions(spark, sf_dir))
+
+
+def q_write_table(spark, sf_dir):
+    """S8 + S9: staging written as a parquet table and scanned back."""
+    path = scratch_dir(spark, "stg")
+    write_table(_star(spark, sf_dir).stg_transactions, path, fmt="parquet")
+    return scan_table(spark, path)
 
 
-# --- queries ---------------------------------------------------------------
+# --- staging and marts -------------------------------------------------------------
 
 def q_stg_transactions(spark, sf_dir):
     return _star(spark, sf_dir).stg_transactions
@@ -55,33 +125,322 @@ def q_fact_transactions(spark, sf_dir):
     return _star(spark, sf_dir).fact_transactions
 
 
+def q_dedupe_first(spark, sf_dir):
+    """M6: each card's earliest staged transaction (whole row)."""
+    return dedupe_first(_star(spark, sf_dir).stg_transactions, ["card_number"])
+
+
+def q_surrogate_key(spark, sf_dir):
+    """M7: keys with a NULL-able part, in both part orders."""
+    stg = _star(spark, sf_dir).stg_transactions
+    return stg.select("transaction_id",
+                      surrogate_key("last_name", "card_number").alias("key_last_card"),
+                      surrogate_key("card_number", "last_name").alias("key_card_last"))
+
+
+def q_date_spine(spark, sf_dir):
+    """M8: every day of the whole years the staged timestamps cover."""
+    return spine_from_bounds(covering_bounds(_star(spark, sf_dir).stg_transactions))
+
+
+def q_build_all(spark, sf_dir):
+    """M9: full build into a fresh warehouse; its quality report."""
+    b = build_all(spark, raw_transactions(spark, sf_dir), as_of=AS_OF)
+    return b.report
+
+
+# --- scalar functions ------------------------------------------------------------
+
+def _stg_cols(spark, sf_dir, *cols):
+    return _star(spark, sf_dir).stg_transactions.select("transaction_id", *cols)
+
+
+def q_customer_age(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, "date_of_birth",
+                     customer_age("date_of_birth", AS_OF).alias("age"))
+
+
+def q_card_masked(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, card_masked("card_number").alias("card_masked"))
+
+
+def q_card_brand(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, card_brand("card_number").alias("card_brand"))
+
+
+def q_merchant_clean(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, merchant_clean("merchant_name").alias("merchant_name_clean"))
+
+
+def q_date_key(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, date_key("transaction_ts").alias("date_key"))
+
+
+def q_full_name(spark, sf_dir):
+    return _stg_cols(spark, sf_dir, full_name("first_name", "last_name").alias("full_name"))
+
+
+# --- quality -------------------------------------------------------------------------
+
+def q_not_null(spark, sf_dir):
+    return quality.not_null(_star(spark, sf_dir).dim_customer, "last_name")
+
+
+def q_unique(spark, sf_dir):
+    return quality.unique(_star(spark, sf_dir).stg_transactions, "card_number")
+
+
+def q_relationships(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.relationships(s.fact_transactions, "date_key",
+                                 marts.dim_date(spark, *PARTIAL_CALENDAR), "date_key")
+
+
+def q_quality_report(spark, sf_dir):
+    return quality.quality_report(_star(spark, sf_dir).tables())
+
+
+# --- BI reports ------------------------------------------------------------------------
+
+def q_filter_where(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return bi.filter_where(s.fact_transactions, s.dim_merchant, FILTER)
+
+
+def q_fact_merchant_join(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return bi.fact_merchant_join(s.fact_transactions, s.dim_merchant)
+
+
+def q_bounds(spark, sf_dir):
+    return bi.bounds(_star(spark, sf_dir).fact_transactions)
+
+
+def q_category_list(spark, sf_dir):
+    return bi.category_list(_star(spark, sf_dir).dim_merchant)
+
+
+def _kpis(spark, sf_dir, f):
+    s = _star(spark, sf_dir)
+    k = bi.kpis(s.fact_transactions, s.dim_merchant, f)
+    return k.select(_money("total_spend"), "txns",
+                    _ratio("total_spend", "txns", "avg_txn"), "customers")
+
+
+def q_kpis(spark, sf_dir):
+    return _kpis(spark, sf_dir, bi.Filters())
+
+
+def q_kpis_filtered(spark, sf_dir):
+    return _kpis(spark, sf_dir, FILTER)
+
+
+def q_kpis_empty(spark, sf_dir):
+    return _kpis(spark, sf_dir, EMPTY)
+
+
 def q_spend_by_category(spark, sf_dir):
     s = _star(spark, sf_dir)
-    r = bi.spend_by_category(s.fact_transactions, s.dim_merchant)
-    return r.select("category", _money(F.col("spend")).alias("spend"))
+    return bi.spend_by_category(s.fact_transactions, s.dim_merchant).select(
+        "category", _money("spend"))
+
+
+def q_spend_by_category_filtered(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER).select(
+        "category", _money("spend"))
+
+
+def q_spend_by_month(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER).select(
+        "month", _money("spend"))
+
+
+def q_top_merchants(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return bi.top_merchants(s.fact_transactions, s.dim_merchant).select(
+        "merchant", _money("spend"), "txns")
+
+
+def q_spend_top10_stg(spark, sf_dir):
+    return bi.spend_top10_stg(_star(spark, sf_dir).stg_transactions).select(
+        "merchant_category", _money("spend"))
+
+
+# --- questions ----------------------------------------------------------------------
+
+def q_top5_categories_spend(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return questions.top5_categories_spend(s.fact_transactions, s.dim_merchant).select(
+        "merchant_category", _money("total_spend"))
+
+
+def q_spend_by_brand(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return questions.spend_by_brand(s.fact_transactions, s.dim_account).select(
+        "card_brand", _money("total_spend"))
+
+
+def q_top5_states_avg(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer, with_parts=True)
+    return r.select("state", _ratio("total_spend", "txn_count", "avg_amount"))
+
+
+def q_weekend_vs_weekday(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date)
+
+
+def q_top5_states_spend(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return questions.top5_states_spend(s.fact_transactions, s.dim_customer).select(
+        "state", _money("total_spend"))
+
+
+def q_guarded_select(spark, sf_dir):
+    adhoc.register_views(_star(spark, sf_dir).tables())
+    return adhoc.run_select(spark, ADHOC_SQL)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "ingest_csv": q_ingest_csv,
+    "sample_n": q_sample_n,
+    "load_raw": q_load_raw,
+    "write_table": q_write_table,
     "stg_transactions": q_stg_transactions,
     "dim_customer": q_dim_customer,
     "dim_account": q_dim_account,
     "dim_merchant": q_dim_merchant,
     "dim_date": q_dim_date,
     "fact_transactions": q_fact_transactions,
+    "dedupe_first": q_dedupe_first,
+    "surrogate_key": q_surrogate_key,
+    "date_spine": q_date_spine,
+    "build_all": q_build_all,
+    "customer_age": q_customer_age,
+    "card_masked": q_card_masked,
+    "card_brand": q_card_brand,
+    "merchant_clean": q_merchant_clean,
+    "date_key": q_date_key,
+    "full_name": q_full_name,
+    "not_null": q_not_null,
+    "unique": q_unique,
+    "relationships": q_relationships,
+    "quality_report": q_quality_report,
+    "filter_where": q_filter_where,
+    "fact_merchant_join": q_fact_merchant_join,
+    "bounds": q_bounds,
+    "category_list": q_category_list,
+    "kpis": q_kpis,
+    "kpis_filtered": q_kpis_filtered,
+    "kpis_empty": q_kpis_empty,
     "spend_by_category": q_spend_by_category,
+    "spend_by_category_filtered": q_spend_by_category_filtered,
+    "spend_by_month": q_spend_by_month,
+    "top_merchants": q_top_merchants,
+    "spend_top10_stg": q_spend_top10_stg,
+    "top5_categories_spend": q_top5_categories_spend,
+    "spend_by_brand": q_spend_by_brand,
+    "top5_states_avg": q_top5_states_avg,
+    "weekend_vs_weekday": q_weekend_vs_weekday,
+    "top5_states_spend": q_top5_states_spend,
+    "guarded_select": q_guarded_select,
 }
 
+W = O.with_star
+_KPI_SQL = """select cast(coalesce(sum(f.amount), 0) as decimal(38,2)) as total_spend,
+       count(*) as txns,
+       case when count(*) = 0 then 0.0
+            else round(cast(sum(f.amount) as double) / count(*), 4) end as avg_txn,
+       count(distinct f.customer_key) as customers
+from {j} where {w}"""
+_PARTIAL_KEYS = (f"select cast(strftime(d, '%Y%m%d') as integer) as date_key from "
+                 f"generate_series(date '{PARTIAL_CALENDAR[0]}', date '{PARTIAL_CALENDAR[1]}'"
+                 f" - interval 1 day, interval 1 day) t(d)")
+_FACT_MERCHANT = ("select f.*, m.merchant_category, m.merchant_name_clean from " + FROM_JOIN)
+
 _ORACLE: dict[str, str] = {
-    "stg_transactions": O.with_star("select * from stg"),
-    "dim_customer": O.with_star("select * from dim_customer"),
-    "dim_account": O.with_star("select * from dim_account"),
-    "dim_merchant": O.with_star("select * from dim_merchant"),
-    "dim_date": O.with_star("select * from dim_date"),
-    "fact_transactions": O.with_star("select * from fact_transactions"),
-    "spend_by_category": O.with_star("""
-select m.merchant_category as category, cast(sum(f.amount) as decimal(38,2)) as spend
-from fact_transactions f join dim_merchant m on f.merchant_key = m.merchant_key
-group by 1 order by spend desc, category"""),
+    "ingest_csv": W("select * from raw"),
+    "sample_n": W(f"select * from raw order by md5(trans_num || '42') limit {SAMPLE_ROWS}"),
+    "load_raw": W("select * from raw"),
+    "write_table": W("select * from stg"),
+    "stg_transactions": W("select * from stg"),
+    "dim_customer": W("select * from dim_customer"),
+    "dim_account": W("select * from dim_account"),
+    "dim_merchant": W("select * from dim_merchant"),
+    "dim_date": W("select * from dim_date"),
+    "fact_transactions": W("select * from fact_transactions"),
+    "dedupe_first": W("select * exclude (rn) from (select *, row_number() over (partition by "
+                      "card_number order by transaction_ts asc nulls last, transaction_id asc "
+                      "nulls first) as rn from stg) d where rn = 1"),
+    "surrogate_key": W(f"select transaction_id, {O.skey('last_name', 'card_number')} as "
+                       f"key_last_card, {O.skey('card_number', 'last_name')} as key_card_last "
+                       f"from stg"),
+    "date_spine": W("select full_date as date_day from dim_date"),
+    "build_all": W(O.quality_report_sql(quality.SUITE)),
+    "customer_age": W(f"select transaction_id, date_of_birth, cast(date_diff('year', "
+                      f"date_of_birth, date '{AS_OF}') as integer) as age from stg"),
+    "card_masked": W("select transaction_id, 'XXXX-XXXX-XXXX-' || right(card_number, 4) "
+                     "as card_masked from stg"),
+    "card_brand": W("select transaction_id, case left(card_number, 1) when '4' then 'Visa' "
+                    "when '5' then 'Mastercard' when '3' then 'American Express' when '6' "
+                    "then 'Discover' else 'Other' end as card_brand from stg"),
+    "merchant_clean": W("select transaction_id, replace(merchant_name, 'fraud_', '') as "
+                        "merchant_name_clean from stg"),
+    "date_key": W("select transaction_id, cast(strftime(transaction_ts, '%Y%m%d') as integer) "
+                  "as date_key from stg"),
+    "full_name": W("select transaction_id, first_name || ' ' || last_name as full_name "
+                   "from stg"),
+    "not_null": W("select * from dim_customer where last_name is null"),
+    "unique": W("select card_number, count(*) as n_records from stg where card_number is "
+                "not null group by card_number having count(*) > 1"),
+    "relationships": W(f"select * from fact_transactions where date_key is not null and "
+                       f"date_key not in ({_PARTIAL_KEYS})"),
+    "quality_report": W(O.quality_report_sql(quality.SUITE)),
+    "filter_where": W(f"select f.* from {FROM_JOIN} where {SQL_FILTER}"),
+    "fact_merchant_join": W(_FACT_MERCHANT),
+    "bounds": W("select cast(min(transaction_ts) as date) as min_d, "
+                "cast(max(transaction_ts) as date) as max_d from fact_transactions"),
+    "category_list": W("select distinct merchant_category from dim_merchant order by 1"),
+    "kpis": W(_KPI_SQL.format(j=FROM_JOIN, w="true")),
+    "kpis_filtered": W(_KPI_SQL.format(j=FROM_JOIN, w=SQL_FILTER)),
+    "kpis_empty": W(_KPI_SQL.format(j=FROM_JOIN, w=SQL_EMPTY)),
+    "spend_by_category": W(f"select m.merchant_category as category, cast(sum(f.amount) as "
+                           f"decimal(38,2)) as spend from {FROM_JOIN} group by 1 "
+                           f"order by spend desc, category"),
+    "spend_by_category_filtered": W(f"select m.merchant_category as category, "
+                                    f"cast(sum(f.amount) as decimal(38,2)) as spend from "
+                                    f"{FROM_JOIN} where {SQL_FILTER} group by 1 "
+                                    f"order by spend desc, category"),
+    "spend_by_month": W(f"select date_trunc('month', f.transaction_ts) as month, "
+                        f"cast(sum(f.amount) as decimal(38,2)) as spend from {FROM_JOIN} "
+                        f"where {SQL_FILTER} group by 1 order by 1"),
+    "top_merchants": W(f"select m.merchant_name_clean as merchant, cast(sum(f.amount) as "
+                       f"decimal(38,2)) as spend, count(*) as txns from {FROM_JOIN} "
+                       f"group by 1 order by spend desc, merchant limit 10"),
+    "spend_top10_stg": W("select merchant_category, cast(round(sum(amount), 2) as "
+                         "decimal(38,2)) as spend from stg group by 1 "
+                         "order by spend desc, merchant_category limit 10"),
+    "top5_categories_spend": W(f"select m.merchant_category, cast(sum(f.amount) as "
+                               f"decimal(38,2)) as total_spend from {FROM_JOIN} group by 1 "
+                               f"order by total_spend desc, merchant_category limit 5"),
+    "spend_by_brand": W("select a.card_brand, cast(sum(f.amount) as decimal(38,2)) as "
+                        "total_spend from fact_transactions f join dim_account a on "
+                        "f.account_key = a.account_key group by 1 order by total_spend desc"),
+    "top5_states_avg": W("select c.state, round(cast(sum(f.amount) as double) / count(*), 4) "
+                         "as avg_amount from fact_transactions f join dim_customer c on "
+                         "f.customer_key = c.customer_key group by 1 "
+                         "order by sum(f.amount) / count(*) desc, state limit 5"),
+    "weekend_vs_weekday": W("select d.is_weekend, count(*) as txn_count from "
+                            "fact_transactions f join dim_date d on f.date_key = d.date_key "
+                            "group by 1 order by 1"),
+    "top5_states_spend": W("select c.state, cast(sum(f.amount) as decimal(38,2)) as "
+                           "total_spend from fact_transactions f join dim_customer c on "
+                           "f.customer_key = c.customer_key group by 1 "
+                           "order by total_spend desc, state limit 5"),
+    "guarded_select": W(ADHOC_SQL),
 }
 
 

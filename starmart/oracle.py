@@ -134,9 +134,28 @@ def with_star(body: str, as_of: str = AS_OF) -> str:
     """``body`` preceded by CTEs for raw, staging and the five marts."""
     return f"""with raw as ({RAW}),
 stg as ({STG}),
+stg_transactions as (select * from stg),
 dim_customer as ({dim_customer(as_of)}),
 dim_account as ({DIM_ACCOUNT}),
 dim_merchant as ({DIM_MERCHANT}),
 dim_date as ({DIM_DATE}),
 fact_transactions as ({FACT})
 {body}"""
+
+
+def quality_report_sql(suite) -> str:
+    """One SELECT per check of ``suite``, unioned (failures, passed)."""
+    parts = []
+    for i, c in enumerate(suite, start=1):
+        if c.test == "not_null":
+            f = f"(select count(*) from {c.model} where {c.column} is null)"
+        elif c.test == "unique":
+            f = (f"(select count(*) from (select {c.column} from {c.model} where {c.column} "
+                 f"is not null group by {c.column} having count(*) > 1) u)")
+        else:
+            f = (f"(select count(*) from {c.model} ch where ch.{c.column} is not null and not "
+                 f"exists (select 1 from {c.to_model} p where p.{c.to_column} = ch.{c.column}))")
+        parts.append(f"select {i} as test_id, '{c.model}' as model, '{c.column}' as column_name, "
+                     f"'{c.test}' as test, cast({f} as bigint) as failures")
+    return ("select *, failures = 0 as passed from (\n" + "\nunion all\n".join(parts)
+            + "\n) q order by test_id")
