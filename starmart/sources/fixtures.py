@@ -19,11 +19,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer
+    partitions than the default parallelism (a single large row group is read
+    by one task).  Inputs of many files/row groups already split and are left
+    alone: no extra shuffle at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW transactions (23 text columns, normalised names) for ``sf_dir``."""
     t = {n: read_table(spark, sf_dir, n) for n in TABLES}
-    li = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                              "l_extendedprice", "l_shipdate")
+    li = spread(t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                     "l_extendedprice", "l_shipdate"))
     orders = t["orders"].select("o_orderkey", "o_custkey")
     cust = t["customer"].select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     part = t["part"].select("p_partkey", "p_brand")
