@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from starmart.constants import INDEX_ALIASES, INDEX_COLUMN, RESERVED_RENAMES, SAMPLE_SEED
 
-#: Largest sample taken as one top-k (each task keeps at most this many rows).
-TOPK_MAX = 100_000
+#: Rows a boundary hash bucket may hold before the cut recurses into it.
+BUCKET_ROWS_MAX = 100_000
 _HASH = "__sample_hash"
 
 
@@ -67,45 +67,41 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
              tie: str = "trans_index") -> DataFrame:
     """Exactly ``min(n, rows)`` rows, no replacement, repeatable.
 
-    The rows with the ``n`` smallest ``md5(key || seed)``.  Small ``n``: one
-    top-k (each task keeps ``n`` rows).  Large ``n``: an exact distributed
-    cut -- count rows per hash prefix (a bounded histogram on the driver),
-    keep every prefix below the boundary one whole, and take the remaining
-    rows from the boundary prefix, recursing on longer prefixes until the
-    remainder fits a top-k.  No single task ever holds the sample.
+    The rows with the ``n`` smallest ``md5(key || seed)`` (ties: ``tie``).
+    An exact distributed cut, for any ``n``: count rows per 4-hex-digit hash
+    prefix (at most 65,536 histogram rows reach the driver), keep every
+    bucket below the boundary bucket whole, and take the rest from the
+    boundary bucket -- by a top-k once that bucket holds at most
+    ``BUCKET_ROWS_MAX`` rows, else by recursing on the next four digits.
+    No task ever holds more than one bounded bucket, however large ``n``.
     """
     if n <= 0:
         return df.limit(0)
     h = df.withColumn(_HASH, sample_hash(seed, key))
     order = [F.col(_HASH), *([F.col(tie)] if tie in df.columns else [])]
-    if n <= TOPK_MAX:
-        return h.orderBy(*order).limit(n).drop(_HASH)
-    return _sample_large(h, n, order, 0).drop(_HASH)
+    return _cut(h, n, order, 0).drop(_HASH)
 
 
-def _sample_large(h: DataFrame, n: int, order: list[Column], depth: int) -> DataFrame:
-    width = 4  # hex digits per level: at most 65,536 histogram rows
+def _cut(h: DataFrame, n: int, order: list[Column], depth: int) -> DataFrame:
+    width = 4
     start = depth * width + 1
     prefix = F.substring(F.col(_HASH), start, width)
     hist = (h.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
             .orderBy("p").collect())
-    total, boundary, before = 0, None, 0
+    total = 0
     for row in hist:
         if total + row["c"] >= n:
-            boundary, before = row["p"], total
             break
         total += row["c"]
-    if boundary is None:  # n >= rows: everything
+    else:  # n >= rows: everything
         return h
+    boundary, size, k = row["p"], row["c"], n - total
     below = h.filter(prefix < boundary)
     rest = h.filter(prefix == boundary)
-    k = n - before
-    if k == 0:
-        return below
-    if k <= TOPK_MAX or start + width > 32:
+    if size <= BUCKET_ROWS_MAX or start + width > 32:
         tail = rest.orderBy(*order).limit(k)
     else:
-        tail = _sample_large(rest, k, order, depth + 1)
+        tail = _cut(rest, k, order, depth + 1)
     return below.unionByName(tail)
 
 

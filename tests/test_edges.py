@@ -164,3 +164,14 @@ def test_sample_all_rows_when_n_large(spark):
     assert sample_n(df, 10).count() == 5
     assert sample_n(df, 3).count() == 3
     assert sample_n(df, 0).count() == 0
+
+
+def test_sample_recursive_cut_equals_plain_order(spark, monkeypatch):
+    import starmart.sources.csv_ingest as ci
+    df = raw_df(spark, [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(3000)])
+    want = [r.trans_num for r in df.withColumn("h", ci.sample_hash()).orderBy("h")
+            .limit(1234).collect()]
+    for cap in (100_000, 50, 1):
+        monkeypatch.setattr(ci, "BUCKET_ROWS_MAX", cap)
+        got = sorted(r.trans_num for r in sample_n(df, 1234).collect())
+        assert got == sorted(want), cap
