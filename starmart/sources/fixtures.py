@@ -1,7 +1,9 @@
 """RAW transactions derived from the driver's TPC-H-like tables.
 
 One RAW row per lineitem (see FIXTURES.md §3): every column is text, as it
-would arrive from the transactions CSV.  The derivation is a plain chain of
+would arrive from the transactions CSV.  Timestamps are formatted without
+the session time zone (same text as the mapping under UTC, whatever zone
+the caller's session uses).  The derivation is a plain chain of
 inner equi-joins; Spark picks the strategies (nation is tiny and broadcast;
 the large sides shuffle on their keys, AQE re-plans from measured sizes).
 """
@@ -75,13 +77,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         e("cast(l_orderkey * 10 + l_linenumber as string)").alias("trans_index"),
         e("md5(concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string),"
           " cast(l_partkey as string), cast(l_suppkey as string), amt))").alias("trans_num"),
-        e("date_format(ts, 'yyyy-MM-dd HH:mm:ss')").alias("trans_date_trans_time"),
+        # zone-free: an NTZ value cast to text is its wall-clock 'yyyy-MM-dd HH:mm:ss'
+        e("cast(ts as string)").alias("trans_date_trans_time"),
         "cc_num", "merchant", "category", "amt", "cust_first", "cust_last", "gender",
         "street", "city", "state", "zip", "lat", "home_lon", "city_pop", "job",
         e("cast(date_add(date'1950-01-01', cast(c_custkey * 37 % 18000 as int)) as string)"
           ).alias("dob"),
-        e("cast(timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as string)"
-          ).alias("unix_time"),
+        # zone-free seconds since 1970-01-01 00:00:00 of the NTZ wall clock
+        e("cast(cast(unix_date(to_date(ts)) as bigint) * 86400 + hour(ts) * 3600"
+          " + minute(ts) * 60 + second(ts) as string)").alias("unix_time"),
         "merch_lat", "merch_long", "is_fraud",
     )
     return out.select(*RAW_COLUMNS)

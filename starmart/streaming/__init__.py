@@ -1,0 +1,6 @@
+"""Stream processing: intentionally empty.
+
+The reference has no streaming source, watermark, window or state; every
+table is rebuilt whole per run.  Nothing is built here so no operator the
+reference lacks is invented.
+"""
