@@ -22,4 +22,11 @@ def test_build_twice_same_content(spark, sf_dir):
     assert first == second
     assert spark.table("raw.raw_transactions").count() == 6000
     assert spark.table("marts.fact_transactions").count() == 6000
+    assert spark.table("stg_transactions").count() == 6000  # staging is a view
+
+
+def test_build_with_staging_table(spark, sf_dir):
+    b = build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30",
+                  staging_table=True, threads=1)
     assert spark.table("staging.stg_transactions").count() == 6000
+    assert all(r.passed for r in b.report.collect())
