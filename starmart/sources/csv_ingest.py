@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.constants import INDEX_ALIASES, INDEX_COLUMN, RESERVED_RENAMES, SAMPLE_SEED
@@ -69,7 +69,8 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
 
     The rows with the ``n`` smallest ``md5(key || seed)`` (ties: ``tie``).
     An exact distributed cut, for any ``n``: count rows per 4-hex-digit hash
-    prefix (at most 65,536 histogram rows reach the driver), keep every
+    prefix (a running total over at most 65,536 histogram rows finds the
+    boundary; one row reaches the driver), keep every
     bucket below the boundary bucket whole, and take the rest from the
     boundary bucket -- by a top-k once that bucket holds at most
     ``BUCKET_ROWS_MAX`` rows, else by recursing on the next four digits.
@@ -86,16 +87,14 @@ def _cut(h: DataFrame, n: int, order: list[Column], depth: int) -> DataFrame:
     width = 4
     start = depth * width + 1
     prefix = F.substring(F.col(_HASH), start, width)
-    hist = (h.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
-            .orderBy("p").collect())
-    total = 0
-    for row in hist:
-        if total + row["c"] >= n:
-            break
-        total += row["c"]
-    else:  # n >= rows: everything
+    hist = h.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    # running total over <= 16**4 histogram rows; one boundary row reaches the driver
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = (hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= n)
+           .orderBy("p").limit(1).collect())
+    if not hit:  # n >= rows: everything
         return h
-    boundary, size, k = row["p"], row["c"], n - total
+    boundary, size, k = hit[0]["p"], hit[0]["c"], n - (hit[0]["cum"] - hit[0]["c"])
     below = h.filter(prefix < boundary)
     rest = h.filter(prefix == boundary)
     if size <= BUCKET_ROWS_MAX or start + width > 32:

@@ -175,3 +175,38 @@ def test_sample_recursive_cut_equals_plain_order(spark, monkeypatch):
         monkeypatch.setattr(ci, "BUCKET_ROWS_MAX", cap)
         got = sorted(r.trans_num for r in sample_n(df, 1234).collect())
         assert got == sorted(want), cap
+
+
+def test_missing_csv_raises(spark, tmp_path):
+    import pytest
+    with pytest.raises(Exception):
+        ingest_csv(spark, str(tmp_path / "nope.csv"))
+
+
+def test_load_raw_is_idempotent_and_tables_scan(spark):
+    from starmart.sources.tables import Warehouse, load_counts, load_raw, scan_table, write_table
+    df = raw_df(spark, [raw_row(trans_num=str(i), trans_index=str(i)) for i in range(7)])
+    wh = Warehouse.fresh(spark)
+    load_raw(wh, df)
+    again = load_raw(wh, df)
+    assert load_counts(again).first().rows_held == 7
+    assert scan_table(spark, "raw.raw_transactions").count() == 7
+    write_table(df.limit(3), "default.some_table")
+    assert scan_table(spark, "default.some_table").count() == 3
+
+
+def test_kpis_approx_opt_in(spark):
+    stg = stage_transactions(raw_df(spark, [raw_row(trans_num=str(i), cust_first=f"p{i % 4}")
+                                            for i in range(40)]))
+    s = star_from_staging(spark, stg, as_of="2021-01-01")
+    exact = bi.kpis(s.fact_transactions, s.dim_merchant).first()
+    approx = bi.kpis(s.fact_transactions, s.dim_merchant, approx_customers=True).first()
+    assert exact.customers == 4 and approx.customers == 4 and exact.txns == 40
+
+
+def test_month_is_zone_free_ntz(spark):
+    stg = stage_transactions(raw_df(spark, [raw_row(trans_date_trans_time="2020-03-01 00:30:00")]))
+    s = star_from_staging(spark, stg, as_of="2021-01-01")
+    r = bi.spend_by_month(s.fact_transactions, s.dim_merchant)
+    assert str(r.schema["month"].dataType) == "TimestampNTZType()"
+    assert r.first().month == dt.datetime(2020, 3, 1)
