@@ -61,3 +61,17 @@ def build_all(
         written = {m: job.result() for m, job in jobs.items()}
     star = Star(stg_transactions=stg, **written)
     return Build(wh, star, quality_report(star.tables()))
+
+
+def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
+    """The star of a warehouse written by ``build_all`` (tables read back).
+
+    Staging is read from its table when one was written, else derived from
+    the RAW table as the view it is.
+    """
+    wh = Warehouse(spark, root.rstrip("/"), fmt)
+    try:
+        stg = wh.read("staging", "stg_transactions")
+    except Exception:  # no staging table: staging is a view over RAW
+        stg = stage_transactions(wh.read("raw", "raw_transactions"))
+    return Star(stg_transactions=stg, **{m: wh.read("marts", m) for m in MARTS})
