@@ -48,7 +48,9 @@ FORBIDDEN_WORDS = (
     "merge", "grant", "revoke", "call", "copy", "put", "remove", "use",
     "comment", "begin", "commit", "rollback",
 )
-# Spark-only words that would run a process, call the JVM or read files.
-SPARK_FORBIDDEN_WORDS = ("transform", "reflect", "java_method", "try_reflect")
+# Spark-only: functions that call JVM methods, refused anywhere ...
+SPARK_CALL_WORDS = ("reflect", "java_method", "try_reflect")
+# ... and a script transform (runs a process): both words present.
+SCRIPT_TRANSFORM_WORDS = ("transform", "using")
 # Default row cap of the ad-hoc SELECT.
 ADHOC_MAX_ROWS = 1000

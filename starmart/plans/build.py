@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -38,6 +38,7 @@ def build_all(
     strict: bool = True,
     threads: int = 4,
     staging_table: bool = False,
+    cluster_fact: bool = True,
 ) -> Build:
     """Build the warehouse from a RAW frame; the quality report stays lazy.
 
@@ -56,6 +57,9 @@ def build_all(
     else:
         stg.createOrReplaceTempView("stg_transactions")
     lazy = star_from_staging(spark, stg, calendar=calendar, as_of=as_of)
+    if cluster_fact:
+        lazy = replace(lazy, fact_transactions=lazy.fact_transactions.sortWithinPartitions(
+            "transaction_ts"))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         jobs = {m: pool.submit(wh.write, getattr(lazy, m), "marts", m) for m in MARTS}
         written = {m: job.result() for m, job in jobs.items()}

@@ -70,9 +70,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local tooling can open the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["DEFAULT_CONF", "get_session", "scratch_root", "scratch_dir", "local_path"]
+__all__ = ["DEFAULT_CONF", "get_session", "scratch_root", "scratch_dir"]

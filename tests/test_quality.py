@@ -18,7 +18,10 @@ def failing(report):
 
 
 def test_clean_star_passes_all_23(tables):
-    rep = quality_report(tables).collect()
+    from starmart.schemas import QUALITY_REPORT, same_columns
+    df = quality_report(tables)
+    assert same_columns(df.schema, QUALITY_REPORT)
+    rep = df.collect()
     assert len(rep) == 23 == len(SUITE)
     assert all(r.passed for r in rep)
     assert [r.test_id for r in rep] == list(range(1, 24))
