@@ -57,11 +57,16 @@ def scratch_root(spark: SparkSession) -> str:
     storage every executor can reach).  Only when the session has none, as in
     local tests, a folder of our own is created and set as checkpoint dir.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get(
+        "spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="starmart-ckpt-")
-        sc.setCheckpointDir(root)
+        if sc:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

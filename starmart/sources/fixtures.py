@@ -26,8 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than the default parallelism (a single large row group is read
     by one task).  Inputs of many files/row groups already split and are left
     alone: no extra shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: partition counts are not visible
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
