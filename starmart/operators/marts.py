@@ -49,8 +49,13 @@ def dim_customer(stg: DataFrame, as_of: str | dt.date | Column | None = None) ->
 
 
 def dim_account(stg: DataFrame) -> DataFrame:
-    """One row per card: key, number, masked number, brand."""
-    first = dedupe_first(stg.select(*ACCOUNT_NK, *_ORDER), ACCOUNT_NK)
+    """One row per card: key, number, masked number, brand.
+
+    Every column is a function of the card number, so "the earliest row per
+    card" is just the distinct card numbers: a partial+final hash aggregate
+    (no sort, no timestamp parsing), hot cards collapsing map-side.
+    """
+    first = stg.select(*ACCOUNT_NK).distinct()
     return first.select(
         surrogate_key(*ACCOUNT_NK).alias("account_key"),
         "card_number",
@@ -60,8 +65,12 @@ def dim_account(stg: DataFrame) -> DataFrame:
 
 
 def dim_merchant(stg: DataFrame) -> DataFrame:
-    """One row per (merchant, category) pair, plus the display name."""
-    first = dedupe_first(stg.select(*MERCHANT_NK, *_ORDER), MERCHANT_NK)
+    """One row per (merchant, category) pair, plus the display name.
+
+    All columns derive from the pair, so distinct pairs equal the earliest
+    row per pair (hash aggregate, no sort).
+    """
+    first = stg.select(*MERCHANT_NK).distinct()
     return first.select(
         surrogate_key(*MERCHANT_NK).alias("merchant_key"),
         "merchant_name",
