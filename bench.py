@@ -49,22 +49,30 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     fa, dm = s.fact_transactions, s.dim_merchant
+    # checked dimension sizes of the written warehouse pick each report's plan
+    rm, ra, rc, rd = (s.dim_rows(d) for d in
+                      ("dim_merchant", "dim_account", "dim_customer", "dim_date"))
     plans = {
-        "filter_where": lambda: noop(bi.filter_where(fa, dm, f)),
-        "fact_merchant_join": lambda: noop(bi.fact_merchant_join(fa, dm)),
+        "filter_where": lambda: noop(bi.filter_where(fa, dm, f, rm)),
+        "fact_merchant_join": lambda: noop(bi.fact_merchant_join(fa, dm, dim_rows=rm)),
         "bounds": lambda: bi.bounds(fa).collect(),
         "category_list": lambda: bi.category_list(dm).collect(),
-        "kpis": lambda: bi.kpis(fa, dm).collect(),
-        "kpis_filtered": lambda: bi.kpis(fa, dm, f).collect(),
-        "spend_by_category": lambda: bi.spend_by_category(fa, dm).collect(),
-        "spend_by_month": lambda: bi.spend_by_month(fa, dm, f).collect(),
-        "top_merchants": lambda: bi.top_merchants(fa, dm).collect(),
+        "kpis": lambda: bi.kpis(fa, dm, dim_rows=rm).collect(),
+        "kpis_filtered": lambda: bi.kpis(fa, dm, f, dim_rows=rm).collect(),
+        "spend_by_category": lambda: bi.spend_by_category(fa, dm, dim_rows=rm).collect(),
+        "spend_by_month": lambda: bi.spend_by_month(fa, dm, f, dim_rows=rm).collect(),
+        "top_merchants": lambda: bi.top_merchants(fa, dm, dim_rows=rm).collect(),
         "spend_top10_stg": lambda: bi.spend_top10_stg(s.stg_transactions).collect(),
-        "top5_categories_spend": lambda: questions.top5_categories_spend(fa, dm).collect(),
-        "spend_by_brand": lambda: questions.spend_by_brand(fa, s.dim_account).collect(),
-        "top5_states_avg": lambda: questions.top5_states_avg(fa, s.dim_customer).collect(),
-        "weekend_vs_weekday": lambda: questions.weekend_vs_weekday(fa, s.dim_date).collect(),
-        "top5_states_spend": lambda: questions.top5_states_spend(fa, s.dim_customer).collect(),
+        "top5_categories_spend": lambda: questions.top5_categories_spend(
+            fa, dm, dim_rows=rm).collect(),
+        "spend_by_brand": lambda: questions.spend_by_brand(
+            fa, s.dim_account, dim_rows=ra).collect(),
+        "top5_states_avg": lambda: questions.top5_states_avg(
+            fa, s.dim_customer, dim_rows=rc).collect(),
+        "weekend_vs_weekday": lambda: questions.weekend_vs_weekday(
+            fa, s.dim_date, dim_rows=rd).collect(),
+        "top5_states_spend": lambda: questions.top5_states_spend(
+            fa, s.dim_customer, dim_rows=rc).collect(),
         "guarded_select": lambda: adhoc.run_select(
             spark, "select d.year, d.month, count(*) as txns, sum(f.amount) as spend "
                    "from fact_transactions f join dim_date d on f.date_key = d.date_key "

@@ -19,22 +19,31 @@ from starmart.session import get_session
 from starmart.sources.csv_ingest import ingest_csv
 from starmart.sources.tables import Warehouse, load_counts, load_raw
 
+def _m(s):
+    return s.dim_rows("dim_merchant")
+
+
 REPORTS = {
     "bounds": lambda s, f: bi.bounds(s.fact_transactions),
     "categories": lambda s, f: bi.category_list(s.dim_merchant),
-    "kpis": lambda s, f: bi.kpis(s.fact_transactions, s.dim_merchant, f),
-    "spend_by_category": lambda s, f: bi.spend_by_category(s.fact_transactions, s.dim_merchant, f),
-    "spend_by_month": lambda s, f: bi.spend_by_month(s.fact_transactions, s.dim_merchant, f),
-    "top_merchants": lambda s, f: bi.top_merchants(s.fact_transactions, s.dim_merchant, f),
+    "kpis": lambda s, f: bi.kpis(s.fact_transactions, s.dim_merchant, f, dim_rows=_m(s)),
+    "spend_by_category": lambda s, f: bi.spend_by_category(
+        s.fact_transactions, s.dim_merchant, f, dim_rows=_m(s)),
+    "spend_by_month": lambda s, f: bi.spend_by_month(
+        s.fact_transactions, s.dim_merchant, f, dim_rows=_m(s)),
+    "top_merchants": lambda s, f: bi.top_merchants(
+        s.fact_transactions, s.dim_merchant, f, dim_rows=_m(s)),
     "spend_top10_stg": lambda s, f: bi.spend_top10_stg(s.stg_transactions),
     "top5_categories_spend": lambda s, f: questions.top5_categories_spend(
-        s.fact_transactions, s.dim_merchant),
-    "spend_by_brand": lambda s, f: questions.spend_by_brand(s.fact_transactions, s.dim_account),
-    "top5_states_avg": lambda s, f: questions.top5_states_avg(s.fact_transactions, s.dim_customer),
-    "weekend_vs_weekday": lambda s, f: questions.weekend_vs_weekday(s.fact_transactions,
-                                                                    s.dim_date),
-    "top5_states_spend": lambda s, f: questions.top5_states_spend(s.fact_transactions,
-                                                                  s.dim_customer),
+        s.fact_transactions, s.dim_merchant, dim_rows=_m(s)),
+    "spend_by_brand": lambda s, f: questions.spend_by_brand(
+        s.fact_transactions, s.dim_account, dim_rows=s.dim_rows("dim_account")),
+    "top5_states_avg": lambda s, f: questions.top5_states_avg(
+        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer")),
+    "weekend_vs_weekday": lambda s, f: questions.weekend_vs_weekday(
+        s.fact_transactions, s.dim_date, dim_rows=s.dim_rows("dim_date")),
+    "top5_states_spend": lambda s, f: questions.top5_states_spend(
+        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer")),
 }
 
 

@@ -1,11 +1,11 @@
 """BI reports over the star (B1-B9), parameterised by date range and categories.
 
-Scale notes.  The fact is the only table that grows without bound; reports
-that group by a dimension attribute first pre-aggregate the fact on the
-foreign key (partial + final hash aggregation, so a hot key collapses to one
-row per map task), then join the small per-key result to the dimension, then
-aggregate again.  The join thus sees one row per key, never the raw fact.
-Inner-join semantics are kept: keys missing from the dimension drop out.
+Scale notes.  The fact is the only table that grows without bound.  Reports
+that group by a dimension attribute go through ``rollup``: broadcast-and-join
+first when the dimension's checked row count is small, else pre-aggregate
+the fact per key before joining.  ``dim_rows`` is that checked count (from a
+written table, see ``Star.rows``); ``None`` (unknown) takes the pre-aggregate
+plan, which is safe at any size.
 """
 from __future__ import annotations
 
@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.plans.rollup import SPEND, TXNS, fits_broadcast, rollup
+
 
 @dataclass(frozen=True)
 class Filters:
@@ -66,22 +68,24 @@ def _merchants(dim_merchant: DataFrame, f: Filters, *cols: str) -> DataFrame:
 
 # --- B1, B2 ----------------------------------------------------------------
 
-def filter_where(fact: DataFrame, dim_merchant: DataFrame, f: Filters) -> DataFrame:
+def filter_where(fact: DataFrame, dim_merchant: DataFrame, f: Filters,
+                 dim_rows: int | None = None) -> DataFrame:
     """B1: fact rows inside the filters (joined to the merchant for the
     category test)."""
-    return fact_merchant_join(fact, dim_merchant, f).drop(
+    return fact_merchant_join(fact, dim_merchant, f, dim_rows).drop(
         "merchant_category", "merchant_name_clean")
 
 
 def fact_merchant_join(fact: DataFrame, dim_merchant: DataFrame,
-                       f: Filters | None = None) -> DataFrame:
+                       f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
     """B2: fact ⋈ dim_merchant on merchant_key (inner), with the merchant's
-    category and display name.  Spark sizes the dimension: it is broadcast
-    when its measured size is under the broadcast threshold, otherwise a
-    shuffle join with AQE skew splitting."""
+    category and display name.  Broadcast when the checked row count fits;
+    otherwise Spark sizes it (AQE may still broadcast it from measured
+    shuffle output, or splits a skewed partition of the shuffle join)."""
     f = f or Filters()
     dm = _merchants(dim_merchant, f, "merchant_category", "merchant_name_clean")
-    return _fact(fact, f).join(dm, "merchant_key")
+    return _fact(fact, f).join(F.broadcast(dm) if fits_broadcast(dim_rows) else dm,
+                               "merchant_key")
 
 
 # --- B3, B4 ----------------------------------------------------------------
@@ -101,7 +105,8 @@ def category_list(dim_merchant: DataFrame) -> DataFrame:
 # --- B5 --------------------------------------------------------------------
 
 def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
-         approx_customers: bool = False, rsd: float = 0.01) -> DataFrame:
+         approx_customers: bool = False, rsd: float = 0.01,
+         dim_rows: int | None = None) -> DataFrame:
     """Total spend, transactions, average amount, distinct customers.
 
     Always exactly one row (zeros on an empty selection).  The distinct
@@ -109,7 +114,7 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
     so a hot customer costs one row per task.  ``approx_customers`` opts in
     to a HyperLogLog++ estimate (relative error ``rsd``, no shuffle of keys).
     """
-    j = fact_merchant_join(fact, dim_merchant, f)
+    j = fact_merchant_join(fact, dim_merchant, f, dim_rows)
     customers = (F.approx_count_distinct("customer_key", rsd) if approx_customers
                  else F.count_distinct("customer_key"))
     return j.agg(
@@ -122,19 +127,17 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
 
 # --- B6, B7, B8 --------------------------------------------------------------
 
-def _by_merchant(fact: DataFrame, f: Filters, *extra: Column) -> DataFrame:
-    return _fact(fact, f).groupBy("merchant_key", *extra).agg(
-        F.sum("amount").alias("_spend"), F.count(F.lit(1)).alias("_txns"))
+def _by_merchant(fact: DataFrame, dim_merchant: DataFrame, f: Filters, by: list[str],
+                 dim_rows: int | None, extra: dict[str, Column] | None = None) -> DataFrame:
+    return rollup(_fact(fact, f), _merchants(dim_merchant, f, *by), "merchant_key", by,
+                  dim_rows, extra)
 
 
 def spend_by_category(fact: DataFrame, dim_merchant: DataFrame,
-                      f: Filters | None = None) -> DataFrame:
+                      f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
     """Spend per category, highest first (ties: category ascending)."""
-    f = f or Filters()
-    per_key = _by_merchant(fact, f)
-    j = per_key.join(_merchants(dim_merchant, f, "merchant_category"), "merchant_key")
-    return (j.groupBy(F.col("merchant_category").alias("category"))
-            .agg(F.sum("_spend").alias("spend"))
+    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_category"], dim_rows)
+    return (r.select(F.col("merchant_category").alias("category"), F.col(SPEND).alias("spend"))
             .orderBy(F.col("spend").desc_nulls_first(), F.col("category").asc_nulls_last()))
 
 
@@ -145,27 +148,25 @@ def month_start(ts: str | Column = "transaction_ts") -> Column:
 
 
 def spend_by_month(fact: DataFrame, dim_merchant: DataFrame,
-                   f: Filters | None = None) -> DataFrame:
+                   f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
     """Spend per calendar month, ascending; months without rows absent."""
-    f = f or Filters()
-    per_key = _by_merchant(fact, f, month_start().alias("month"))
-    j = per_key.join(_merchants(dim_merchant, f), "merchant_key")
-    return (j.groupBy("month").agg(F.sum("_spend").alias("spend"))
+    r = _by_merchant(fact, dim_merchant, f or Filters(), [], dim_rows,
+                     {"month": month_start()})
+    return (r.select("month", F.col(SPEND).alias("spend"))
             .orderBy(F.col("month").asc_nulls_last()))
 
 
 def top_merchants(fact: DataFrame, dim_merchant: DataFrame,
-                  f: Filters | None = None, n: int = 10) -> DataFrame:
+                  f: Filters | None = None, n: int = 10,
+                  dim_rows: int | None = None) -> DataFrame:
     """Top ``n`` display names by spend, with transaction counts.
 
     Groups by the cleaned name, so one merchant under two categories is one
     row.  The top-n is a TakeOrderedAndProject over the per-name totals.
     """
-    f = f or Filters()
-    per_key = _by_merchant(fact, f)
-    j = per_key.join(_merchants(dim_merchant, f, "merchant_name_clean"), "merchant_key")
-    return (j.groupBy(F.col("merchant_name_clean").alias("merchant"))
-            .agg(F.sum("_spend").alias("spend"), F.sum("_txns").alias("txns"))
+    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_name_clean"], dim_rows)
+    return (r.select(F.col("merchant_name_clean").alias("merchant"),
+                     F.col(SPEND).alias("spend"), F.col(TXNS).alias("txns"))
             .orderBy(F.col("spend").desc_nulls_first(), F.col("merchant").asc_nulls_last())
             .limit(n))
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from starmart.operators.quality import quality_report
 from starmart.operators.staging import stage_transactions
-from starmart.plans.star import MARTS, Star, star_from_staging
+from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
 from starmart.sources.tables import Warehouse, load_raw
 
 
@@ -63,10 +63,15 @@ def build_all(
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         jobs = {m: pool.submit(wh.write, getattr(lazy, m), "marts", m) for m in MARTS}
         written = {m: job.result() for m, job in jobs.items()}
-    star = Star(stg_transactions=stg, **written)
+    star = Star(stg_transactions=stg, **written, rows=dim_row_counts(written))
     return Build(wh, star, quality_report(star.tables()))
 
 
+def dim_row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of the written dimensions (parquet footers: no data scan)."""
+    return {d: tables[d].count() for d in DIMS}
+
+
 def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
     """The star of a warehouse written by ``build_all`` (tables read back).
 
@@ -78,4 +83,5 @@ def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
         stg = wh.read("staging", "stg_transactions")
     except Exception:  # no staging table: staging is a view over RAW
         stg = stage_transactions(wh.read("raw", "raw_transactions"))
-    return Star(stg_transactions=stg, **{m: wh.read("marts", m) for m in MARTS})
+    marts = {m: wh.read("marts", m) for m in MARTS}
+    return Star(stg_transactions=stg, **marts, rows=dim_row_counts(marts))

@@ -1,18 +1,15 @@
 """Named star-join questions (A1-A5).
 
-Each pre-aggregates the fact on the foreign key it needs, joins the per-key
-totals to the dimension, and aggregates again by the dimension attribute,
-so no join ever sees raw fact rows and hot keys collapse before a shuffle.
+Each is a ``rollup`` of the fact over one dimension (broadcast-and-join
+first when the dimension's checked row count is small, else pre-aggregate
+per key before the join), then a small sort or top-k over the totals.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _per_key(fact: DataFrame, key: str) -> DataFrame:
-    return fact.groupBy(key).agg(F.sum("amount").alias("_spend"),
-                                 F.count(F.lit(1)).alias("_txns"))
+from starmart.plans.rollup import SPEND, TXNS, rollup
 
 
 def _avg(total: str, count: str):
@@ -20,54 +17,53 @@ def _avg(total: str, count: str):
     return (F.col(total) / F.col(count)).cast("decimal(16,6)")
 
 
-def top5_categories_spend(fact: DataFrame, dim_merchant: DataFrame, n: int = 5) -> DataFrame:
+def top5_categories_spend(fact: DataFrame, dim_merchant: DataFrame, n: int = 5,
+                          dim_rows: int | None = None) -> DataFrame:
     """A1: top ``n`` merchant categories by total spend (ties: name)."""
-    j = _per_key(fact, "merchant_key").join(
-        dim_merchant.select("merchant_key", "merchant_category"), "merchant_key")
-    return (j.groupBy("merchant_category").agg(F.sum("_spend").alias("total_spend"))
+    r = rollup(fact, dim_merchant, "merchant_key", ["merchant_category"], dim_rows)
+    return (r.select("merchant_category", F.col(SPEND).alias("total_spend"))
             .orderBy(F.col("total_spend").desc_nulls_first(),
                      F.col("merchant_category").asc_nulls_last())
             .limit(n))
 
 
-def spend_by_brand(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
+def spend_by_brand(fact: DataFrame, dim_account: DataFrame,
+                   dim_rows: int | None = None) -> DataFrame:
     """A2: total spend per card brand (Other included), highest first."""
-    j = _per_key(fact, "account_key").join(
-        dim_account.select("account_key", "card_brand"), "account_key")
-    return (j.groupBy("card_brand").agg(F.sum("_spend").alias("total_spend"))
+    r = rollup(fact, dim_account, "account_key", ["card_brand"], dim_rows)
+    return (r.select("card_brand", F.col(SPEND).alias("total_spend"))
             .orderBy(F.col("total_spend").desc_nulls_first(),
                      F.col("card_brand").asc_nulls_last()))
 
 
-def _by_state(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    j = _per_key(fact, "customer_key").join(
-        dim_customer.select("customer_key", "state"), "customer_key")
-    return j.groupBy("state").agg(F.sum("_spend").alias("total_spend"),
-                                  F.sum("_txns").alias("txn_count"))
+def _by_state(fact: DataFrame, dim_customer: DataFrame, dim_rows: int | None) -> DataFrame:
+    r = rollup(fact, dim_customer, "customer_key", ["state"], dim_rows)
+    return r.select("state", F.col(SPEND).alias("total_spend"), F.col(TXNS).alias("txn_count"))
 
 
 def top5_states_avg(fact: DataFrame, dim_customer: DataFrame, n: int = 5,
-                    with_parts: bool = False) -> DataFrame:
+                    with_parts: bool = False, dim_rows: int | None = None) -> DataFrame:
     """A3: ``n`` states with the highest average transaction amount.
 
     The average is over transactions (total / count), not over customers.
     ``with_parts`` keeps ``total_spend`` and ``txn_count`` as well.
     """
-    s = _by_state(fact, dim_customer).withColumn("avg_amount", _avg("total_spend", "txn_count"))
+    s = _by_state(fact, dim_customer, dim_rows).withColumn(
+        "avg_amount", _avg("total_spend", "txn_count"))
     s = s.orderBy(F.col("avg_amount").desc_nulls_first(), F.col("state").asc_nulls_last()).limit(n)
     return s if with_parts else s.select("state", "avg_amount")
 
 
-def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame,
+                       dim_rows: int | None = None) -> DataFrame:
     """A4: transaction counts on weekend vs weekday days (two rows)."""
-    per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
-    j = per_day.join(dim_date.select("date_key", "is_weekend"), "date_key")
-    return (j.groupBy("is_weekend").agg(F.sum("_n").alias("txn_count"))
-            .orderBy("is_weekend"))
+    r = rollup(fact, dim_date, "date_key", ["is_weekend"], dim_rows)
+    return r.select("is_weekend", F.col(TXNS).alias("txn_count")).orderBy("is_weekend")
 
 
-def top5_states_spend(fact: DataFrame, dim_customer: DataFrame, n: int = 5) -> DataFrame:
+def top5_states_spend(fact: DataFrame, dim_customer: DataFrame, n: int = 5,
+                      dim_rows: int | None = None) -> DataFrame:
     """A5: ``n`` states with the highest total spend (ties: state)."""
-    return (_by_state(fact, dim_customer).select("state", "total_spend")
+    return (_by_state(fact, dim_customer, dim_rows).select("state", "total_spend")
             .orderBy(F.col("total_spend").desc_nulls_first(), F.col("state").asc_nulls_last())
             .limit(n))

@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -11,6 +12,7 @@ from starmart.operators.staging import stage_transactions
 from starmart.sources.fixtures import raw_transactions
 
 MARTS = ("dim_customer", "dim_account", "dim_merchant", "dim_date", "fact_transactions")
+DIMS = MARTS[:-1]
 
 
 @dataclass(frozen=True)
@@ -23,6 +25,12 @@ class Star:
     dim_merchant: DataFrame
     dim_date: DataFrame
     fact_transactions: DataFrame
+    #: Row counts of dimensions whose size was checked (written tables);
+    #: reports use them to decide whether a dimension may be broadcast.
+    rows: Mapping[str, int] = field(default_factory=dict)
+
+    def dim_rows(self, name: str) -> int | None:
+        return self.rows.get(name)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"stg_transactions": self.stg_transactions,

@@ -33,7 +33,7 @@ def test_date_filter_pushed_to_scan(built):
     assert "PushedFilters: [IsNotNull(transaction_ts), GreaterThanOrEqual(transaction_ts" in p
 
 
-def test_reports_pre_aggregate_fact(built):
+def test_reports_pre_aggregate_fact_when_size_unknown(built):
     s = built.star
     for df in (bi.spend_by_category(s.fact_transactions, s.dim_merchant),
                questions.spend_by_brand(s.fact_transactions, s.dim_account)):
@@ -46,3 +46,41 @@ def test_reports_pre_aggregate_fact(built):
 def test_column_pruning(built):
     p = plan(questions.weekend_vs_weekday(built.star.fact_transactions, built.star.dim_date))
     assert "ReadSchema: struct<date_key:int>" in p
+
+
+def _both_paths(built):
+    s = built.star
+    fa = s.fact_transactions
+    f = bi.Filters(start="1996-01-01", end="1998-12-31", categories=("Brand#12", "Brand#7"))
+    return {
+        "spend_by_category": lambda r: bi.spend_by_category(fa, s.dim_merchant, f, dim_rows=r),
+        "spend_by_month": lambda r: bi.spend_by_month(fa, s.dim_merchant, f, dim_rows=r),
+        "top_merchants": lambda r: bi.top_merchants(fa, s.dim_merchant, dim_rows=r),
+        "kpis": lambda r: bi.kpis(fa, s.dim_merchant, f, dim_rows=r),
+        "filter_where": lambda r: bi.filter_where(fa, s.dim_merchant, f, dim_rows=r),
+        "top5_categories_spend": lambda r: questions.top5_categories_spend(
+            fa, s.dim_merchant, dim_rows=r),
+        "spend_by_brand": lambda r: questions.spend_by_brand(fa, s.dim_account, dim_rows=r),
+        "top5_states_avg": lambda r: questions.top5_states_avg(fa, s.dim_customer, dim_rows=r),
+        "weekend_vs_weekday": lambda r: questions.weekend_vs_weekday(fa, s.dim_date, dim_rows=r),
+        "top5_states_spend": lambda r: questions.top5_states_spend(
+            fa, s.dim_customer, dim_rows=r),
+    }
+
+
+def test_join_first_and_pre_aggregate_agree(built):
+    for name, run in _both_paths(built).items():
+        small, unknown = run(1), run(None)
+        assert [(f.name, f.dataType) for f in small.schema] == [
+            (f.name, f.dataType) for f in unknown.schema], name
+        assert sorted(small.collect()) == sorted(unknown.collect()), name
+
+
+def test_small_dimension_is_broadcast_before_any_shuffle(built):
+    s = built.star
+    assert s.dim_rows("dim_merchant") == 250
+    p = plan(bi.spend_by_category(s.fact_transactions, s.dim_merchant,
+                                  dim_rows=s.dim_rows("dim_merchant")))
+    # the fact scan feeds the broadcast join directly; partial agg after it
+    j = p.find("BroadcastHashJoin")
+    assert j >= 0 and "Exchange" not in p[j:].split("Scan parquet")[0].split("BroadcastExchange")[0]
