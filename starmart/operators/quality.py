@@ -4,10 +4,12 @@ A test returns its failing rows and passes on zero.  ``quality_report``
 runs a whole suite and returns one row per test.
 
 Scale notes: all not-null tests of one model share a single aggregation
-pass (``count_if`` per column).  A uniqueness test is a partial+final
-count per value.  A relationship test first counts child rows per foreign
-key (so a key holding a third of the fact collapses map-side), then
-anti-joins those distinct keys against the parent key column.
+pass (``count_if`` per column).  A uniqueness test counts 64-bit hashes
+first (see ``unique``).  A relationship test whose parent has a checked
+row count within the broadcast bound anti-joins the child column against
+the broadcast parent keys map-side (no shuffle at all); otherwise it first
+counts child rows per foreign key (a key holding a third of the fact
+collapses map-side) and anti-joins those distinct keys.
 """
 from __future__ import annotations
 
@@ -17,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.sizing import fits_broadcast
+
 
 @dataclass(frozen=True)
 class Check:
@@ -106,33 +110,41 @@ def _rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return df.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _failures(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
+def _failures(tables: Mapping[str, DataFrame], c: Check,
+              rows: Mapping[str, int]) -> DataFrame:
     """One-row frame with the failure count of a unique/relationship test."""
     df = tables[c.model]
     if c.test == "unique":
         return unique(df.select(c.column), c.column).agg(F.count(F.lit(1)).alias("f"))
     if c.test == "relationships":
-        per_key = (df.select(c.column).filter(F.col(c.column).isNotNull())
-                   .groupBy(c.column).agg(F.count(F.lit(1)).alias("n")))
-        orphans = relationships(per_key, c.column, tables[c.to_model], c.to_column)
+        child = df.select(c.column).filter(F.col(c.column).isNotNull())
+        parent = tables[c.to_model].select(F.col(c.to_column).alias(c.column))
+        if fits_broadcast(rows.get(c.to_model)):
+            orphans = child.join(F.broadcast(parent), c.column, "left_anti")
+            return orphans.agg(F.count(F.lit(1)).alias("f"))
+        per_key = child.groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_key.join(parent, c.column, "left_anti")
         return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
     raise ValueError(f"unknown test {c.test!r}")
 
 
 def quality_report(tables: Mapping[str, DataFrame],
-                   suite: Sequence[Check] = SUITE) -> DataFrame:
+                   suite: Sequence[Check] = SUITE,
+                   rows: Mapping[str, int] | None = None) -> DataFrame:
     """Run ``suite`` over ``tables`` (name -> DataFrame).
 
     Columns: test_id (1-based, suite order), model, column_name, test,
     failures, passed.  One row per test, lazily: the caller's action runs it.
+    ``rows`` holds checked row counts of parent tables (see ``Star.rows``).
     """
+    rows = rows or {}
     parts: list[DataFrame] = []
     by_model: dict[str, list[tuple[int, Check]]] = {}
     for i, c in enumerate(suite, start=1):
         if c.test == "not_null":
             by_model.setdefault(c.model, []).append((i, c))
         else:
-            parts.append(_rows(_failures(tables, c), [_row(i, c, F.col("f"))]))
+            parts.append(_rows(_failures(tables, c, rows), [_row(i, c, F.col("f"))]))
     for model, checks in by_model.items():
         counts = tables[model].agg(*[
             F.count_if(F.col(c.column).isNull()).alias(f"f{i}") for i, c in checks])

@@ -64,7 +64,7 @@ def build_all(
         jobs = {m: pool.submit(wh.write, getattr(lazy, m), "marts", m) for m in MARTS}
         written = {m: job.result() for m, job in jobs.items()}
     star = Star(stg_transactions=stg, **written, rows=dim_row_counts(written))
-    return Build(wh, star, quality_report(star.tables()))
+    return Build(wh, star, quality_report(star.tables(), rows=star.rows))
 
 
 def dim_row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:

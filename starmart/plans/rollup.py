@@ -21,16 +21,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Largest dimension (rows) broadcast to every executor.  Dimension rows are
-#: a key hash plus a few short strings (<= ~200 bytes), so the broadcast
-#: stays under ~100 MB.
-BROADCAST_MAX_ROWS = 500_000
+from starmart.sizing import BROADCAST_MAX_ROWS, fits_broadcast
+
 SPEND = "_spend"  # decimal(22,2): the type of sum over decimal(12,2)
 TXNS = "_txns"
-
-
-def fits_broadcast(rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return rows is not None and rows <= max_rows
+__all__ = ["BROADCAST_MAX_ROWS", "SPEND", "TXNS", "fits_broadcast", "rollup"]
 
 
 def rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],

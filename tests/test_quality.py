@@ -57,3 +57,18 @@ def test_reference_calendar_fails_date_relationship(spark, tables):
     f = failing(quality_report(t))
     assert f == {("fact_transactions", "date_key", "relationships"):
                  tables["fact_transactions"].count()}
+
+
+def test_checked_sizes_give_the_same_report(tables):
+    rows = {d: tables[d].count() for d in ("dim_customer", "dim_account", "dim_merchant",
+                                           "dim_date")}
+    t = dict(tables)
+    fact = t["fact_transactions"]
+    orphan = fact.limit(2).withColumn("merchant_key", F.lit("orphan")).withColumn(
+        "transaction_id", F.concat(F.lit("y"), F.col("transaction_id")))
+    t["fact_transactions"] = fact.unionByName(orphan)
+    a = quality_report(t, rows=rows).collect()
+    b = quality_report(t).collect()
+    assert a == b
+    assert failing(quality_report(t, rows=rows)) == {
+        ("fact_transactions", "merchant_key", "relationships"): 2}
