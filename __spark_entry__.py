@@ -10,6 +10,7 @@ type them differently); everything else is compared as the library returns it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from starmart.operators import marts, quality
 from starmart.operators.dedupe import dedupe_first
 from starmart.plans import adhoc, bi, questions
 from starmart.plans.build import build_all
-from starmart.plans.star import star_from_tables
+from starmart.plans.star import DIMS, star_from_tables
 from starmart.sources.csv_ingest import ingest_csv, sample_n
 from starmart.sources.fixtures import raw_transactions
 from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
@@ -65,6 +66,13 @@ def _star(spark: SparkSession, sf_dir: str):
     return star_from_tables(spark, sf_dir, as_of=AS_OF)
 
 
+def _checked_star(spark: SparkSession, sf_dir: str):
+    """The lazy star with its dimensions' row counts checked (one count job
+    each), so reports take the broadcast join-first plan where it fits."""
+    s = _star(spark, sf_dir)
+    return replace(s, rows={d: getattr(s, d).count() for d in DIMS})
+
+
 def _money(name: str) -> F.Column:
     return F.col(name).cast("decimal(38,2)").alias(name)
 
@@ -304,6 +312,62 @@ def q_guarded_select(spark, sf_dir):
     return adhoc.run_select(spark, ADHOC_SQL)
 
 
+# --- the same reports on the broadcast join-first plan -------------------------
+
+def q_spend_by_category_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER,
+                                dim_rows=s.dim_rows("dim_merchant")).select(
+        "category", _money("spend"))
+
+
+def q_spend_by_month_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER,
+                             dim_rows=s.dim_rows("dim_merchant")).select(
+        "month", _money("spend"))
+
+
+def q_top_merchants_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return bi.top_merchants(s.fact_transactions, s.dim_merchant,
+                            dim_rows=s.dim_rows("dim_merchant")).select(
+        "merchant", _money("spend"), "txns")
+
+
+def q_kpis_filtered_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    k = bi.kpis(s.fact_transactions, s.dim_merchant, FILTER,
+                dim_rows=s.dim_rows("dim_merchant"))
+    return k.select(_money("total_spend"), "txns",
+                    _ratio("total_spend", "txns", "avg_txn"), "customers")
+
+
+def q_spend_by_brand_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return questions.spend_by_brand(s.fact_transactions, s.dim_account,
+                                    dim_rows=s.dim_rows("dim_account")).select(
+        "card_brand", _money("total_spend"))
+
+
+def q_top5_states_avg_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer, with_parts=True,
+                                  dim_rows=s.dim_rows("dim_customer"))
+    return r.select("state", _ratio("total_spend", "txn_count", "avg_amount"))
+
+
+def q_weekend_vs_weekday_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date,
+                                        dim_rows=s.dim_rows("dim_date"))
+
+
+def q_quality_report_checked(spark, sf_dir):
+    s = _checked_star(spark, sf_dir)
+    return quality.quality_report(s.tables(), rows=s.rows)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_csv": q_ingest_csv,
     "sample_n": q_sample_n,
@@ -347,6 +411,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weekend_vs_weekday": q_weekend_vs_weekday,
     "top5_states_spend": q_top5_states_spend,
     "guarded_select": q_guarded_select,
+    "spend_by_category_checked": q_spend_by_category_checked,
+    "spend_by_month_checked": q_spend_by_month_checked,
+    "top_merchants_checked": q_top_merchants_checked,
+    "kpis_filtered_checked": q_kpis_filtered_checked,
+    "spend_by_brand_checked": q_spend_by_brand_checked,
+    "top5_states_avg_checked": q_top5_states_avg_checked,
+    "weekend_vs_weekday_checked": q_weekend_vs_weekday_checked,
+    "quality_report_checked": q_quality_report_checked,
 }
 
 W = O.with_star
@@ -442,6 +514,19 @@ _ORACLE: dict[str, str] = {
                            "order by total_spend desc, state limit 5"),
     "guarded_select": W(ADHOC_SQL),
 }
+# The join-first variants state the same results as their unchecked twins.
+_CHECKED_TWINS = {
+    "spend_by_category_checked": "spend_by_category_filtered",
+    "spend_by_month_checked": "spend_by_month",
+    "top_merchants_checked": "top_merchants",
+    "kpis_filtered_checked": "kpis_filtered",
+    "spend_by_brand_checked": "spend_by_brand",
+    "top5_states_avg_checked": "top5_states_avg",
+    "weekend_vs_weekday_checked": "weekend_vs_weekday",
+    "quality_report_checked": "quality_report",
+}
+for _name, _twin in _CHECKED_TWINS.items():
+    _ORACLE[_name] = _ORACLE[_twin]
 
 
 def entry(spark: SparkSession) -> DataFrame:
