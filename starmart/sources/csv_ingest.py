@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from starmart.constants import INDEX_ALIASES, INDEX_COLUMN, RESERVED_RENAMES, SA
 #: Rows a boundary hash bucket may hold before the cut recurses into it.
 BUCKET_ROWS_MAX = 100_000
 _HASH = "__sample_hash"
+_TIE = "__sample_tie"
+_ROW = "__sample_row"
 
 
 def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = None) -> DataFrame:
@@ -59,49 +62,100 @@ def normalise_raw(df: DataFrame) -> DataFrame:
 
 
 def sample_hash(seed: int = SAMPLE_SEED, key: str = "trans_num") -> Column:
-    """Repeatable pseudo-random order: md5 of the key and the seed."""
+    """Repeatable pseudo-random order: md5 of the key and the seed (NULL for
+    a NULL key; such rows sort last)."""
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
+@dataclass(frozen=True)
+class _Level:
+    """One sort level of the sample order: a text column cut by prefixes of
+    ``width`` characters (NULL sorts last)."""
+
+    name: str
+    width: int
+
+
 def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_num",
-             tie: str = "trans_index") -> DataFrame:
+             tie: str = "trans_index", bucket_rows: int | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, no replacement, repeatable.
 
-    The rows with the ``n`` smallest ``md5(key || seed)`` (ties: ``tie``).
-    An exact distributed cut, for any ``n``: count rows per 4-hex-digit hash
-    prefix (a running total over at most 65,536 histogram rows finds the
-    boundary; one row reaches the driver), keep every
-    bucket below the boundary bucket whole, and take the rest from the
-    boundary bucket -- by a top-k once that bucket holds at most
-    ``BUCKET_ROWS_MAX`` rows, else by recursing on the next four digits.
-    No task ever holds more than one bounded bucket, however large ``n``.
+    The rows with the ``n`` smallest ``md5(key || seed)`` (NULL last; ties:
+    ``tie`` ascending, NULL last; then a digest of the whole row, which only
+    makes the choice among equal (hash, tie) rows repeatable).
+
+    An exact distributed cut, for any ``n``: count rows per hash prefix (at
+    most 65,536 histogram rows; a running total finds the boundary bucket
+    and one row reaches the driver), keep every bucket below the boundary
+    whole and take the rest from the boundary bucket -- by a top-k once it
+    holds at most ``bucket_rows`` rows (default ``BUCKET_ROWS_MAX``), else
+    by recursing on the next prefix.  When a level is used up (a group of
+    copies shares the whole hash), the cut goes on with the tie column one
+    character at a time, then with the row digest.  Rows equal on every
+    level are identical, so the last step takes any ``k`` of them by their
+    position in their partition.  No task ever orders more than one bounded
+    bucket, however large ``n`` or a group of copies.
     """
     if n <= 0:
         return df.limit(0)
-    h = df.withColumn(_HASH, sample_hash(seed, key))
-    order = [F.col(_HASH), *([F.col(tie)] if tie in df.columns else [])]
-    return _cut(h, n, order, 0).drop(_HASH)
-
-
-def _cut(h: DataFrame, n: int, order: list[Column], depth: int) -> DataFrame:
-    width = 4
-    start = depth * width + 1
-    prefix = F.substring(F.col(_HASH), start, width)
-    hist = h.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    # running total over <= 16**4 histogram rows; one boundary row reaches the driver
-    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cap = BUCKET_ROWS_MAX if bucket_rows is None else bucket_rows
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    h = (df.withColumn(_HASH, sample_hash(seed, key))
+           .withColumn(_ROW, F.md5(F.to_json(F.struct(*cols)))))
+    levels = [_Level(_HASH, 4)]
+    if tie in df.columns:
+        h = h.withColumn(_TIE, F.col(f"`{tie}`").cast("string"))
+        levels.append(_Level(_TIE, 1))
+    levels.append(_Level(_ROW, 4))
+    order = [F.col(lv.name).asc_nulls_last() for lv in levels]
+    return _cut(h, n, levels, order, cap, 0, 1).drop(_HASH, _ROW, _TIE)
+
+
+def _cut(h: DataFrame, n: int, levels: list[_Level], order: list[Column], cap: int,
+         level: int, start: int) -> DataFrame:
+    """The first ``n`` rows of ``h`` in ``order``; every row of ``h`` agrees
+    on the levels before ``level`` and on the first ``start - 1`` characters
+    of level ``level``."""
+    if level == len(levels):
+        return _first_k(h, n)
+    lv = levels[level]
+    prefix = F.substring(F.col(lv.name), start, lv.width)
+    # NULL prefixes (NULL values) sort last: order buckets by (is null, prefix)
+    hist = h.groupBy(prefix.isNull().alias("z"), prefix.alias("p")).agg(
+        F.count(F.lit(1)).alias("c"))
+    upto = Window.orderBy("z", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hit = (hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= n)
-           .orderBy("p").limit(1).collect())
+           .orderBy("z", "p").limit(1).collect())
     if not hit:  # n >= rows: everything
         return h
-    boundary, size, k = hit[0]["p"], hit[0]["c"], n - (hit[0]["cum"] - hit[0]["c"])
-    below = h.filter(prefix < boundary)
-    rest = h.filter(prefix == boundary)
-    if size <= BUCKET_ROWS_MAX or start + width > 32:
+    z, boundary, size = hit[0]["z"], hit[0]["p"], hit[0]["c"]
+    k = n - (hit[0]["cum"] - size)
+    below = prefix.isNotNull() & (prefix < boundary) if not z else prefix.isNotNull()
+    rest = h.filter(prefix.isNull() if z else prefix == boundary)
+    if size <= cap:
         tail = rest.orderBy(*order).limit(k)
+    elif z or boundary == "":  # the level is used up: all of rest agree on it
+        tail = _cut(rest, k, levels, order, cap, level + 1, 1)
     else:
-        tail = _cut(rest, k, order, depth + 1)
-    return below.unionByName(tail)
+        tail = _cut(rest, k, levels, order, cap, level, start + lv.width)
+    return h.filter(below).unionByName(tail)
+
+
+def _first_k(h: DataFrame, k: int) -> DataFrame:
+    """Any ``k`` rows of ``h`` (its rows are identical), without moving them
+    to one task: row positions within partitions plus per-partition offsets
+    from a running total over one count per partition (so the offsets frame
+    is bounded by the partition count and may be broadcast)."""
+    pos = h.withColumn("__pos", F.monotonically_increasing_id())
+    part = F.shiftright(F.col("__pos"), 33)
+    counts = pos.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0))
+                            .alias("__off"))
+    ordinal = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
+    keep = pos.join(F.broadcast(offsets), part == F.col("__part")).filter(
+        F.col("__off") + ordinal < k)
+    return keep.drop("__pos", "__part", "__off")
 
 
 def ingest_csv(spark: SparkSession, path: str, sample: int | None = None,

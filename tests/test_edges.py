@@ -177,6 +177,50 @@ def test_sample_recursive_cut_equals_plain_order(spark, monkeypatch):
         assert got == sorted(want), cap
 
 
+def _brute_sample(df, n):
+    """The sample order stated plainly: hash, tie, row digest, NULL last."""
+    import starmart.sources.csv_ingest as ci
+    digest = F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    return df.orderBy(ci.sample_hash().asc_nulls_last(), F.col("trans_index").asc_nulls_last(),
+                      digest.asc_nulls_last()).limit(n)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.fillna("<null>").collect())
+
+
+def test_sample_null_keys_and_hot_copies_match_brute_force(spark):
+    """A third of the rows copy one trans_num (distinct index); some keys and
+    indexes are NULL.  Every cut equals the plain order, under tight caps."""
+    rows = [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(400)]
+    rows += [raw_row(trans_num="hot", trans_index=str(1000 + i), amt=f"{i}.00")
+             for i in range(300)]
+    rows += [raw_row(trans_num=None, trans_index=str(5000 + i)) for i in range(150)]
+    rows += [raw_row(trans_num="hot", trans_index=None, amt=f"{i}.50") for i in range(40)]
+    df = raw_df(spark, rows).repartition(4)
+    hot_rank = _brute_sample(df, len(rows)).collect()
+    first_hot = next(i for i, r in enumerate(hot_rank) if r.trans_num == "hot")
+    first_null = next(i for i, r in enumerate(hot_rank) if r.trans_num is None)
+    for n, caps in ((1, (1,)), (first_hot + 123, (100_000, 1)), (first_hot + 310, (3,)),
+                    (first_null + 7, (1,)), (len(rows) - 3, (20,))):
+        want = _rows(_brute_sample(df, n))
+        for cap in caps:
+            got = sample_n(df, n, bucket_rows=cap)
+            assert got.columns == df.columns
+            assert _rows(got) == want, (n, cap)
+
+
+def test_sample_identical_copies_exact_size(spark):
+    """Rows equal in every column: the cut takes exactly k of them without
+    ordering the group (positions within partitions)."""
+    rows = [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(60)]
+    rows += [raw_row(trans_num="same", trans_index="7")] * 500
+    df = raw_df(spark, rows).repartition(5)
+    for n in (61, 333):
+        want = _rows(_brute_sample(df, n))
+        assert _rows(sample_n(df, n, bucket_rows=2)) == want, n
+
+
 def test_missing_csv_raises(spark, tmp_path):
     import pytest
     with pytest.raises(Exception):
