@@ -109,19 +109,40 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
          dim_rows: int | None = None) -> DataFrame:
     """Total spend, transactions, average amount, distinct customers.
 
-    Always exactly one row (zeros on an empty selection).  The distinct
-    count is exact; Spark plans it as partial aggregation on customer_key,
-    so a hot customer costs one row per task.  ``approx_customers`` opts in
-    to a HyperLogLog++ estimate (relative error ``rsd``, no shuffle of keys).
+    Always exactly one row (zeros on an empty selection); types as Spark's
+    ``sum``/``avg`` over decimal(12,2) give them: decimal(22,2) and
+    decimal(16,6).  The distinct count is exact; ``approx_customers`` opts
+    in to a HyperLogLog++ estimate (relative error ``rsd``).
+
+    Plans, by the merchant dimension's checked size: a small one is
+    broadcast and the fact rows are joined map-side.  Otherwise the fact is
+    first reduced to one row per (merchant, customer) -- partial + final, so
+    a hot merchant or customer collapses map-side -- and only those rows are
+    joined; the distinct count needs nothing finer than the customer.
     """
-    j = fact_merchant_join(fact, dim_merchant, f, dim_rows)
+    f = f or Filters()
     customers = (F.approx_count_distinct("customer_key", rsd) if approx_customers
                  else F.count_distinct("customer_key"))
-    return j.agg(
-        F.coalesce(F.sum("amount"), F.lit(0)).alias("total_spend"),
-        F.count(F.lit(1)).alias("txns"),
-        F.coalesce(F.avg("amount"), F.lit(0)).alias("avg_txn"),
-        customers.alias("customers"),
+    if fits_broadcast(dim_rows):
+        j = fact_merchant_join(fact, dim_merchant, f, dim_rows)
+        return j.agg(
+            F.coalesce(F.sum("amount"), F.lit(0)).alias("total_spend"),
+            F.count(F.lit(1)).alias("txns"),
+            F.coalesce(F.avg("amount"), F.lit(0)).alias("avg_txn"),
+            customers.alias("customers"),
+        )
+    pairs = _fact(fact, f).groupBy("merchant_key", "customer_key").agg(
+        F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS))
+    j = pairs.join(_merchants(dim_merchant, f), "merchant_key")
+    out = j.agg(F.sum(SPEND).cast("decimal(22,2)").alias("s"),
+                F.sum(TXNS).alias("n"), customers.alias("customers"))
+    # avg as Spark computes it: decimal sum / count as decimal(20,0), to (16,6)
+    avg = (F.col("s") / F.col("n").cast("decimal(20,0)")).cast("decimal(16,6)")
+    return out.select(
+        F.coalesce(F.col("s"), F.lit(0)).alias("total_spend"),
+        F.coalesce(F.col("n"), F.lit(0)).alias("txns"),
+        F.coalesce(avg, F.lit(0)).alias("avg_txn"),
+        "customers",
     )
 
 

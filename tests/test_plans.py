@@ -36,7 +36,8 @@ def test_date_filter_pushed_to_scan(built):
 def test_reports_pre_aggregate_fact_when_size_unknown(built):
     s = built.star
     for df in (bi.spend_by_category(s.fact_transactions, s.dim_merchant),
-               questions.spend_by_brand(s.fact_transactions, s.dim_account)):
+               questions.spend_by_brand(s.fact_transactions, s.dim_account),
+               bi.kpis(s.fact_transactions, s.dim_merchant)):
         p = plan(df)
         # the partial aggregate on the fact sits below the join
         j = p.find("Join")
@@ -57,6 +58,8 @@ def _both_paths(built):
         "spend_by_month": lambda r: bi.spend_by_month(fa, s.dim_merchant, f, dim_rows=r),
         "top_merchants": lambda r: bi.top_merchants(fa, s.dim_merchant, dim_rows=r),
         "kpis": lambda r: bi.kpis(fa, s.dim_merchant, f, dim_rows=r),
+        "kpis_empty": lambda r: bi.kpis(fa, s.dim_merchant, bi.Filters(start="2030-01-01"),
+                                        dim_rows=r),
         "filter_where": lambda r: bi.filter_where(fa, s.dim_merchant, f, dim_rows=r),
         "top5_categories_spend": lambda r: questions.top5_categories_spend(
             fa, s.dim_merchant, dim_rows=r),
