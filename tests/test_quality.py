@@ -72,3 +72,14 @@ def test_checked_sizes_give_the_same_report(tables):
     assert a == b
     assert failing(quality_report(t, rows=rows)) == {
         ("fact_transactions", "merchant_key", "relationships"): 2}
+
+
+def test_duplicate_parent_key_does_not_fan_out_checked_pass(tables):
+    """With checked sizes the fact's relationship tests share its not-null
+    scan; a duplicated parent key must still fail only its unique test."""
+    rows = {d: tables[d].count() for d in ("dim_customer", "dim_account", "dim_merchant",
+                                           "dim_date")}
+    t = dict(tables)
+    t["dim_merchant"] = t["dim_merchant"].unionByName(t["dim_merchant"].limit(2))
+    assert failing(quality_report(t, rows=rows)) == {
+        ("dim_merchant", "merchant_key", "unique"): 2}
