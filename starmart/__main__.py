@@ -56,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--csv", required=True)
         c.add_argument("--warehouse", required=True)
         c.add_argument("--sample", type=int, default=None)
+        c.add_argument("--multi-line", action="store_true",
+                       help="line breaks inside quoted fields (one task per file)")
         if name == "build":
             c.add_argument("--calendar", nargs=2, metavar=("START", "END"), default=None)
     r = sub.add_parser("report")
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session()
     if args.cmd in ("load", "build"):
-        raw = ingest_csv(spark, args.csv, sample=args.sample)
+        raw = ingest_csv(spark, args.csv, sample=args.sample, multi_line=args.multi_line)
         wh = Warehouse(spark, args.warehouse.rstrip("/"))
         if args.cmd == "load":
             held = load_counts(load_raw(wh, raw)).first()["rows_held"]

@@ -16,16 +16,21 @@ _TIE = "__sample_tie"
 _ROW = "__sample_row"
 
 
-def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = None,
+             multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column kept as text.
 
     No explicit schema (columns are matched by header name, and the index
     column may be absent); ``escape='"'`` so a doubled quote inside a quoted
     field stays one value.  Only the empty field is NULL unless ``na_values``
     lists more markers (pandas-style ``NA``, ``NULL``, ...).
+
+    Records are lines by default, so every file splits into many tasks.
+    ``multi_line=True`` accepts line breaks inside quoted fields (as pandas
+    does) at the price of one task per file.
     """
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("escape", '"').option("multiLine", False).csv(path))
+          .option("escape", '"').option("multiLine", multi_line).csv(path))
     if na_values:
         markers = list(na_values)
         df = df.select(*[F.when(F.col(f"`{c}`").isin(markers), F.lit(None))
@@ -159,7 +164,7 @@ def _first_k(h: DataFrame, k: int) -> DataFrame:
 
 
 def ingest_csv(spark: SparkSession, path: str, sample: int | None = None,
-               na_values: Sequence[str] | None = None) -> DataFrame:
+               na_values: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Read the CSV, normalise names, optionally sample ``sample`` rows."""
-    df = normalise_raw(read_csv(spark, path, na_values))
+    df = normalise_raw(read_csv(spark, path, na_values, multi_line))
     return sample_n(df, sample) if sample is not None else df

@@ -56,6 +56,15 @@ def test_csv_na_values(spark, tmp_path):
     assert ingest_csv(spark, str(p), na_values=["NA"]).filter("amt is null").count() == 2
 
 
+def test_csv_multi_line_quoted_field(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text(',trans_num,note\n0,a,"line one\nline two"\n1,b,plain\n')
+    df = normalise_raw(read_csv(spark, str(p), multi_line=True))
+    got = {r.trans_num: r.note for r in df.collect()}
+    assert got == {"a": "line one\nline two", "b": "plain"}
+    assert normalise_raw(read_csv(spark, str(p))).count() == 3  # line records: split
+
+
 def test_staging_types_and_rounding(spark):
     stg = stage_transactions(raw_df(spark, [raw_row(amt="1.005", trans_num="a"),
                                             raw_row(amt="-1.005", trans_num="b")]))
