@@ -87,13 +87,23 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame,
-                  to_column: str) -> DataFrame:
+                  to_column: str, parent_rows: int | None = None) -> DataFrame:
     """Q3: child rows whose non-NULL ``column`` has no ``to_column`` in parent.
 
-    A left anti join; AQE splits a skewed child partition across tasks.
+    ``parent_rows`` is the parent's checked row count (``None``: unknown).
+    A parent within the broadcast bound is broadcast and anti-joined
+    map-side (no shuffle).  Otherwise the orphan *keys* are found first --
+    the child's distinct keys (reduced map-side, so a hot key costs one row
+    per task) anti-joined to the parent's -- and only the rows holding them
+    are selected by a semi join, which Spark broadcasts when few keys are
+    orphans; no raw child row is shuffled to meet the parent.
     """
     keys = parent.select(F.col(to_column).alias(column))
-    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    rows = child.filter(F.col(column).isNotNull())
+    if fits_broadcast(parent_rows):
+        return rows.join(F.broadcast(keys), column, "left_anti")
+    orphans = rows.select(column).distinct().join(keys, column, "left_anti")
+    return rows.join(orphans, column, "left_semi")
 
 
 # --- Q4: the suite ------------------------------------------------------------

@@ -83,3 +83,15 @@ def test_duplicate_parent_key_does_not_fan_out_checked_pass(tables):
     t["dim_merchant"] = t["dim_merchant"].unionByName(t["dim_merchant"].limit(2))
     assert failing(quality_report(t, rows=rows)) == {
         ("dim_merchant", "merchant_key", "unique"): 2}
+
+
+def test_relationships_rows_same_on_both_plans(spark, tables):
+    from starmart.operators.marts import dim_date
+    from starmart.operators.quality import relationships
+    cal = dim_date(spark, "1995-01-01", "1998-01-01")
+    fact = tables["fact_transactions"]
+    small = relationships(fact, "date_key", cal, "date_key", parent_rows=cal.count())
+    unknown = relationships(fact, "date_key", cal, "date_key")
+    got = sorted(unknown.collect())
+    assert got == sorted(small.collect()) and len(got) > 0
+    assert all(r.date_key >= 19980101 for r in got)
