@@ -73,6 +73,8 @@ def main():
         "Q2 unique(fact.transaction_id)": quality.unique(fa, "transaction_id"),
         "Q3 relationships(fact.customer_key)": quality.relationships(
             fa, "customer_key", s.dim_customer, "customer_key"),
+        "Q3 relationships(fact.customer_key, checked size)": quality.relationships(
+            fa, "customer_key", s.dim_customer, "customer_key", parent_rows=rc),
     }
     print("| plan | shuffles | broadcast joins | sort-merge joins | top-k | "
           "partial agg | ts filter pushed |")
