@@ -363,6 +363,14 @@ def q_weekend_vs_weekday_checked(spark, sf_dir):
                                         dim_rows=s.dim_rows("dim_date"))
 
 
+def q_relationships_checked(spark, sf_dir):
+    """Q3 rows against the calendar with its row count checked (broadcast
+    anti join) -- the same rows as the orphan-keys-first plan."""
+    cal = marts.dim_date(spark, *PARTIAL_CALENDAR)
+    return quality.relationships(_star(spark, sf_dir).fact_transactions, "date_key",
+                                 cal, "date_key", parent_rows=cal.count())
+
+
 def q_quality_report_checked(spark, sf_dir):
     s = _checked_star(spark, sf_dir)
     return quality.quality_report(s.tables(), rows=s.rows)
@@ -419,6 +427,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top5_states_avg_checked": q_top5_states_avg_checked,
     "weekend_vs_weekday_checked": q_weekend_vs_weekday_checked,
     "quality_report_checked": q_quality_report_checked,
+    "relationships_checked": q_relationships_checked,
 }
 
 W = O.with_star
@@ -524,6 +533,7 @@ _CHECKED_TWINS = {
     "top5_states_avg_checked": "top5_states_avg",
     "weekend_vs_weekday_checked": "weekend_vs_weekday",
     "quality_report_checked": "quality_report",
+    "relationships_checked": "relationships",
 }
 for _name, _twin in _CHECKED_TWINS.items():
     _ORACLE[_name] = _ORACLE[_twin]
