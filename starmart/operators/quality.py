@@ -159,8 +159,9 @@ def quality_report(tables: Mapping[str, DataFrame],
         counts = tables[model].agg(*[
             F.count_if(F.col(c.column).isNull()).alias(f"f{i}") for i, c in checks])
         parts.append(_rows(counts, [_row(i, c, F.col(f"f{i}")) for i, c in checks]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.withColumn("passed", F.col("failures") == 0)
+    # pairwise, so each union analyses small plans (Spark flattens the tree)
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return (parts[0].withColumn("passed", F.col("failures") == 0)
             .orderBy("test_id"))
