@@ -132,12 +132,15 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
             customers.alias("customers"),
         )
     pairs = _fact(fact, f).groupBy("merchant_key", "customer_key").agg(
-        F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS))
+        F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS),
+        F.count("amount").alias("_amounts"))
     j = pairs.join(_merchants(dim_merchant, f), "merchant_key")
     out = j.agg(F.sum(SPEND).cast("decimal(22,2)").alias("s"),
-                F.sum(TXNS).alias("n"), customers.alias("customers"))
-    # avg as Spark computes it: decimal sum / count as decimal(20,0), to (16,6)
-    avg = (F.col("s") / F.col("n").cast("decimal(20,0)")).cast("decimal(16,6)")
+                F.sum(TXNS).alias("n"), F.sum("_amounts").alias("m"),
+                customers.alias("customers"))
+    # avg as Spark computes it: decimal sum / count of non-NULL amounts as
+    # decimal(20,0), to (16,6)
+    avg = (F.col("s") / F.col("m").cast("decimal(20,0)")).cast("decimal(16,6)")
     return out.select(
         F.coalesce(F.col("s"), F.lit(0)).alias("total_spend"),
         F.coalesce(F.col("n"), F.lit(0)).alias("txns"),

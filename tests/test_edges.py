@@ -257,6 +257,18 @@ def test_kpis_approx_opt_in(spark):
     assert exact.customers == 4 and approx.customers == 4 and exact.txns == 40
 
 
+def test_kpis_null_amount_same_on_both_plans(spark):
+    """Lenient staging turns a bad amount into NULL: the average is over the
+    non-NULL amounts (AVG), the count over all rows, on both plans."""
+    rows = [raw_row(trans_num="a", amt="10.00"), raw_row(trans_num="b", amt="bad"),
+            raw_row(trans_num="c", amt="20.00", cust_first="Bo")]
+    stg = stage_transactions(raw_df(spark, rows), strict=False)
+    s = star_from_staging(spark, stg, as_of="2021-01-01")
+    got = [tuple(bi.kpis(s.fact_transactions, s.dim_merchant, dim_rows=r).first())
+           for r in (1, None)]
+    assert got[0] == got[1] == (Decimal("30.00"), 3, Decimal("15.000000"), 2)
+
+
 def test_month_is_zone_free_ntz(spark):
     stg = stage_transactions(raw_df(spark, [raw_row(trans_date_trans_time="2020-03-01 00:30:00")]))
     s = star_from_staging(spark, stg, as_of="2021-01-01")
