@@ -97,3 +97,14 @@ def test_sample_orders_only_the_boundary_bucket(built):
     t = p.find("TakeOrderedAndProject")
     assert t >= 0 and "substring(" in p[t:]
     assert "Union" in p and "Sort [" not in p
+
+
+def test_relationships_unknown_size_anti_joins_distinct_keys(built):
+    """Large/unknown parent: distinct foreign keys meet the parent (anti),
+    and only the orphan keys meet the rows (semi)."""
+    from starmart.operators.quality import relationships
+    s = built.star
+    p = plan(relationships(s.fact_transactions, "customer_key", s.dim_customer,
+                           "customer_key"))
+    assert "LeftAnti" in p and "LeftSemi" in p
+    assert "HashAggregate(keys=[customer_key" in p
