@@ -37,6 +37,16 @@ from starmart.sources.fixtures import raw_transactions
 from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
 from starmart.session import scratch_dir
 
+# The training-data operators come as a removable part: their subpackage and
+# the pipeline at the top.  Without them everything else works as before.
+_llm = _pipeline = None
+try:
+    import starmart.llm.queries as _llm
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("starmart.llm", "corpus_pipeline")):
+        raise
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = O.AS_OF  # pinned "today" for customer ages
 
@@ -545,8 +555,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return (dict(_QUERIES) | (_llm.QUERIES if _llm else {})
+            | ({"pipeline": _pipeline.run} if _pipeline else {}))
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    piped = _pipeline.ORACLE_SQL if _pipeline else None
+    return (dict(_ORACLE) | (_llm.ORACLE_SQL if _llm else {})
+            | ({"pipeline": piped} if piped else {}))
