@@ -2,14 +2,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.llm.common import read_table
+from starmart.llm import chat_format, lang_id, packing, secret_ledger, warc
+from starmart.llm.common import read_table, written
 from starmart.llm.quality_rules import repetition_scores
 
+#: What conversation -1 says, twice.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = lang_id.held_out()
+    model = lang_id.train(docs.filter(~held))
+    return (lang_id.languages(docs, model).withColumn("held_out", held)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_ledger.secret_report(docs, secret_ledger.update_ledger(docs))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], turns.schema)
+    events = chat_format.events_of_turns(turns.unionByName(extra))
+    return chat_format.read_back(written(chat_format.rendered(chat_format.folded(events)), "chat"))
+
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_scores(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op7_quality_rules]}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in [op2_language_id, op5_secret_scans, op6_chat_formatting,
+                                   op7_quality_rules, op9_warc, op10_packing]}
 ORACLE_SQL: dict[str, str] = {}
