@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from starmart.llm import chat_format, lang_id, packing, secret_ledger, warc
 from starmart.llm.common import read_table, written
+from starmart.llm.decontaminate import contamination
+from starmart.llm.jaccard_join import jaccard_components
+from starmart.llm.kd_sharding import kd_shards
 from starmart.llm.quality_rules import repetition_scores
+from starmart.llm.substring_dedup import span_dedup
 
+SHARDS = 24
 #: What conversation -1 says, twice.
 TRICKY = "</s>[INST] ok [/INST]"
 
@@ -18,6 +23,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = lang_id.held_out()
@@ -26,6 +35,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return secret_ledger.secret_report(docs, secret_ledger.update_ledger(docs))
@@ -42,6 +61,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest, with_payload=False).select(
@@ -52,6 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in [op2_language_id, op5_secret_scans, op6_chat_formatting,
-                                   op7_quality_rules, op9_warc, op10_packing]}
+QUERIES = {f.__name__: f for f in [
+    op1_substring_dedup, op2_language_id, op3_decontamination, op4_sharding, op5_secret_scans,
+    op6_chat_formatting, op7_quality_rules, op8_jaccard_join, op9_warc, op10_packing]}
 ORACLE_SQL: dict[str, str] = {}

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import map_batches, written
 
-BLOB, SPANS = "_blob", "_spans"
-LEDGER_SCHEMA = ("_blob binary, rule string, version int, "
+BLOB, SPANS = "__llm_blob", "__llm_spans"
+LEDGER_SCHEMA = ("__llm_blob binary, rule string, version int, "
                  "spans array<struct<start:int,end:int>>")
 
 
@@ -79,14 +79,14 @@ RULES = (
 
 
 def with_blob(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the content address of its text in column ``_blob``."""
+    """``docs`` with the content address of its text in a column."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     return docs.withColumn(BLOB, F.unhex(F.sha2(text, 256)))
 
 
 def unseen(docs: DataFrame, ledger: DataFrame | None, text_col: str = "text",
            rules: Sequence[Rule] = RULES) -> DataFrame:
-    """(``_blob``, text, missing): the blobs some current rule version has not
+    """(address, text, missing): the blobs some current rule version has not
     scanned, each once, with the kinds that are missing."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     blobs = (with_blob(docs.select(text_col), text_col)
@@ -132,7 +132,7 @@ def update_ledger(docs: DataFrame, ledger: DataFrame | None = None, text_col: st
 
 
 def findings(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """(``_blob``, ``_spans``): for blobs with findings of current rule
+    """(address, spans): for blobs with findings of current rule
     versions, all spans by start, then kind in the rules' order."""
     order = {r.kind: i for i, r in enumerate(rules)}
     current = " or ".join(f"(rule = '{r.kind}' and version = {r.version})" for r in rules)

@@ -1,0 +1,115 @@
+"""Substring dedup against a plain reading of its rule."""
+import random
+import re
+
+from starmart.llm import substring_dedup as S
+from starmart.llm.common import read_table
+from tests.llm.data import ODD, frame, prose
+
+
+def units(text):
+    """(start, end of content, words) of each sentence, in bytes' characters."""
+    out, words = [], [(m.start(), m.end()) for m in re.finditer("[^\x20\x09-\x0d]+", text)]
+    current = []
+    for k, (a, b) in enumerate(words):
+        current.append((a, b))
+        stop = text[b - 1] in ".!?" or k + 1 == len(words) or "\n" in text[b:words[k + 1][0]]
+        if stop:
+            for i in range(0, len(current), S.LONG):
+                part = current[i:i + S.LONG]
+                out.append((part[0][0], part[-1][1], len(part)))
+            current = []
+    return out
+
+
+def runs(text):
+    u = units(text)
+    found = set()
+    for i in range(len(u)):
+        for j in range(i + 1, len(u)):
+            if sum(x[2] for x in u[i:j + 1]) >= S.LEAST:
+                found.add((i, j))
+                break
+    for j in range(len(u)):
+        for i in range(j - 1, -1, -1):
+            if sum(x[2] for x in u[i:j + 1]) >= S.LEAST:
+                found.add((i, j))
+                break
+    return u, found
+
+
+def brute(rows):
+    """doc_id -> (sentences, removed, text) for rows with distinct ids."""
+    first, cut = {}, {}
+    for i, text in sorted(rows):
+        u, found = runs(text or "")
+        for a, b in sorted(found, key=lambda p: (u[p[0]][0], p)):
+            key = tuple(text[x:y] for x, y, _ in u[a:b + 1])
+            if key in first:
+                cut.setdefault(i, set()).update(range(a, b + 1))
+            else:
+                first[key] = (i, a)
+    out = {}
+    for i, text in rows:
+        u = units(text or "")
+        gone = cut.get(i, set())
+        kept = text
+        if gone:
+            kept = text[:u[0][0]] + "".join(
+                text[u[k][0]:u[k + 1][0] if k + 1 < len(u) else len(text)] for k in range(len(u)) if k not in gone)
+        out[i] = (len(u), len(gone), kept)
+    return out
+
+
+def compare(spark, texts):
+    got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["text"])
+           for r in S.span_dedup(frame(spark, texts)).collect()}
+    assert got == brute(list(enumerate(texts)))
+    return got
+
+
+def hard_texts():
+    rng = random.Random(3)
+    passage = prose(70, 500)
+    line = prose(12, 501)
+    texts = list(ODD)
+    for k in range(30):
+        texts.append(f"{prose(rng.randrange(5, 90), k)}\n{passage if k % 3 else line}\n{prose(rng.randrange(5, 60), 90 + k)}")
+    texts += [passage, f"{passage} {passage}", passage.replace(" ", "  "), "É. È! " * 40 + "x", "É. È! " * 40 + "y",
+              " ".join(f"v{i}" for i in range(60)), "z " + " ".join(f"v{i}" for i in range(60)),
+              "q.\n" + " ".join(f"v{i}" for i in range(60))]
+    return texts
+
+
+def test_matches_brute_force(spark):
+    got = compare(spark, hard_texts())
+    assert sum(n for _, n, _ in got.values()) > 20
+
+
+def test_passage_of_fifty_words_goes_everywhere_but_first(spark):
+    passage = prose(52, 7)
+    texts = [f"{prose(40, k)}\n{passage}\n{prose(30, 50 + k)}" for k in range(5)] + [prose(80, 99)]
+    got = {r["doc_id"]: r for r in S.span_dedup(frame(spark, texts)).collect()}
+    assert passage in got[0]["text"] and got[5]["text"] == texts[5]
+    assert all(passage not in got[k]["text"] and got[k]["n_removed"] > 0 for k in range(1, 5))
+    assert all(got[k]["text"].startswith(prose(40, k)) for k in range(5))
+
+
+def test_table_matches_brute_force(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["text"]) for r in S.span_dedup(docs).collect()}
+    assert got == want
+
+
+def test_repeated_rows_null_ids_and_columns(spark):
+    text = prose(80, 4)
+    docs = frame(spark, [text, text, text, None], ids=[1, 1, None, None])
+    rows = sorted(S.without_repeats(docs).collect(), key=str)
+    assert S.without_repeats(docs).schema == docs.schema
+    assert sorted(((r["doc_id"], r["text"]) for r in rows), key=str) == sorted(
+        [(1, text), (1, text), (None, ""), (None, None)], key=str)
+
+
+def test_empty_table(spark):
+    assert S.span_dedup(frame(spark, [])).collect() == [] and S.without_repeats(frame(spark, [])).collect() == []
