@@ -20,7 +20,6 @@ example of any length is cut; other columns are ignored.
 """
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from starmart.llm.textnp import blocks, utf8
+from starmart.llm.textnp import LOWER, blocks, byte_spans, sums, utf8
 
 
 @dataclass(frozen=True)
@@ -47,66 +46,129 @@ DEFAULT = Limits()
 END_ID = 2
 
 
+SPACE, LETTER, SIGN, DIGIT = range(4)
+#: Class of a byte: ASCII white space; letters (with U+00C0 to U+00FF, which
+#: are two bytes that start with C3); digits, each a word; other signs.
+KIND = np.full(256, SIGN, dtype=np.uint8)
+KIND[[9, 10, 11, 12, 13, 32]] = SPACE
+KIND[48:58] = DIGIT
+KIND[65:91] = KIND[97:123] = KIND[128:192] = KIND[0xC3] = LETTER
+#: Bytes that don't occur in plain text: controls and other lead bytes.
+OTHER = np.zeros(256, dtype=bool)
+OTHER[0:9] = OTHER[14:32] = OTHER[127] = OTHER[192:256] = True
+OTHER[0xC3] = False
+#: Second letters of the tokenizer's contractions.
+AFTER_QUOTE = np.zeros(256, dtype=bool)
+AFTER_QUOTE[list(b"strvmldSTRVMLD")] = True
+
+
 class WordEncoder:
     """Ids of a word-level BPE tokenizer file.
 
     The tokenizer works word by word, so each distinct word is encoded once
-    (by the library) and kept.  Its own splitting rule is applied here to
-    texts of plain Latin characters; a text with any other character is
-    encoded whole by the library.
+    (by the library) and kept under its hash.  Words are cut here by the
+    tokenizer's own rule for plain texts: ASCII and Latin-1 letters, without
+    contractions or special tokens.  Any other text is encoded whole by the
+    library.
     """
 
-    KEEP = 1 << 18  # words
-    ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]|<\\|")
-    WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+    KEEP = 1 << 19  # words
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
+        self.hash = np.zeros(0, dtype=np.uint64)  # sorted, with place and size
+        self.at = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
-        self.at = np.zeros(0, dtype=np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        got = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        n = len(self.known)
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
-        size = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], dtype=np.uint32)])
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """For each text its ids and then ``END_ID``, as uint32."""
-        if len(self.known) > self.KEEP:
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        # One text of all new words: a word's last token carries the word end.
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != len(words):
+            got = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            ids = np.array([i for x in got for i in x], dtype=np.uint32)
+            end = np.cumsum([len(x) for x in got])
+        size = np.diff(end, prepend=0)
+        spot = np.searchsorted(self.hash, hashes)
+        self.at = np.insert(self.at, spot, len(self.ids) + end - size)
+        self.size = np.insert(self.size, spot, size)
+        self.hash = np.insert(self.hash, spot, hashes)
+        self.ids = np.concatenate([self.ids, ids])
+
+    @staticmethod
+    def odd_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Mask of the texts that the library has to encode whole."""
+        odd = OTHER[data]
+        if len(data):
+            one, two = data[:-1], data[1:]
+            odd[:-1] |= (one == 0xC3) & ((two == 0x97) | (two == 0xB7))
+            odd[:-1] |= (one == ord("<")) & (two == ord("|"))
+            odd[:-1] |= (one == ord("'")) & AFTER_QUOTE[two]
+        return sums(odd, offsets) > 0
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """For each text (null: empty) its ids and then ``END_ID``, as uint32."""
+        if len(self.hash) > self.KEEP:
             self._forget()
-        texts = [t or "" for t in texts]
-        odd = [i for i, t in enumerate(texts) if self.ODD.search(t)]
-        out: list = [None] * len(texts)
-        for i, got in zip(odd, self.tokenizer.encode_batch([texts[i] for i in odd],
-                                                           add_special_tokens=False), strict=True):
-            out[i] = np.array([*got.ids, END_ID], dtype=np.uint32)
-        plain = [i for i, x in enumerate(out) if x is None]
-        words = [self.WORD.findall(texts[i].lower()) for i in plain]
-        fresh = list({w for ws in words for w in ws} - self.known.keys())
-        if fresh:
-            self._learn(sorted(fresh))
-        for i, ws in zip(plain, words, strict=True):
-            k = np.fromiter(map(self.known.__getitem__, ws), dtype=np.int64, count=len(ws))
-            size = self.size[k]
-            end = np.cumsum(size)
-            total = int(end[-1]) if len(ws) else 0
-            ids = np.empty(total + 1, dtype=np.uint32)
-            ids[:total] = self.ids[np.repeat(self.at[k] - (end - size), size) + np.arange(total)]
-            ids[total] = END_ID
-            out[i] = ids
-        return out
+        data, offsets = utf8(column)
+        odd = self.odd_texts(data, offsets)
+        kind = KIND[data]
+        kind[np.repeat(odd, np.diff(offsets))] = SPACE
+        low = LOWER[data]
+        upper = np.flatnonzero(data[:-1] == 0xC3) + 1 if len(data) else np.zeros(0, int)
+        upper = upper[data[upper] < 0x9F]
+        low[upper] += 0x20
+
+        before, after = np.zeros_like(kind), np.zeros_like(kind)
+        before[1:], after[:-1] = kind[:-1], kind[1:]
+        first, last = offsets[:-1], offsets[1:] - 1
+        before[first[first < len(data)]] = SPACE
+        after[last[last >= 0]] = SPACE
+        starts = np.flatnonzero((kind != SPACE) & ((kind != before) | (kind == DIGIT)))
+        ends = np.flatnonzero((kind != SPACE) & ((kind != after) | (kind == DIGIT))) + 1
+
+        word, example, place = np.unique(byte_spans(low, starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, word)
+        new = np.ones(len(word), dtype=bool)
+        if len(self.hash):
+            new = self.hash[np.minimum(at, len(self.hash) - 1)] != word
+        if new.any():
+            raw, some = low.tobytes(), example[new]
+            self._learn(word[new], [raw[a:b].decode() for a, b in zip(
+                starts[some].tolist(), ends[some].tolist(), strict=True)])
+            at = np.searchsorted(self.hash, word)
+        size = self.size[at][place]
+        text = np.searchsorted(offsets, starts, "right") - 1
+        total = int(size.sum())
+        source = np.repeat(self.at[at][place] - (np.cumsum(size) - size), size) + np.arange(total)
+        out = np.full(total + len(column), END_ID, dtype=np.uint32)
+        out[np.arange(total) + np.repeat(text, size)] = self.ids[source]
+        bound = np.cumsum(np.bincount(text, weights=size, minlength=len(column)).astype(np.int64) + 1)
+        got = np.split(out, bound[:-1]) if len(column) else []
+        strange = np.flatnonzero(odd).tolist()
+        for i, x in zip(strange, self.tokenizer.encode_batch([column[i].as_py() for i in strange],
+                                                             add_special_tokens=False), strict=True):
+            got[i] = np.array([*x.ids, END_ID], dtype=np.uint32)
+        return got
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """This process's encoder, so that tasks go on with the words it knows."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 @dataclass
@@ -191,7 +253,7 @@ def packed(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         return pa.RecordBatch.from_pydict(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         number = TaskContext.get().partitionId() << 40
         keys: list = []
         ids: list[np.ndarray] = []
@@ -219,8 +281,8 @@ def packed(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             like = batch.schema.field(0).type
             _, offsets = utf8(batch.column(1))
             for i, j in blocks(offsets):
-                for key, got in zip(batch.column(0)[i:j].to_pylist(),
-                                    encoder.encode(batch.column(1)[i:j].to_pylist()), strict=True):
+                for key, got in zip(batch.column(0).slice(i, j - i).to_pylist(),
+                                    encoder.encode(batch.column(1).slice(i, j - i)), strict=True):
                     waiting.append((len(keys), 0, len(got)))
                     keys.append(key)
                     ids.append(got)
