@@ -9,6 +9,7 @@ from starmart.llm.common import read_table, written
 from starmart.llm.decontaminate import contamination
 from starmart.llm.jaccard_join import jaccard_components
 from starmart.llm.kd_sharding import kd_shards
+from starmart.llm.oracle import ORACLE_SQL
 from starmart.llm.quality_rules import repetition_scores
 from starmart.llm.substring_dedup import span_dedup
 
@@ -78,4 +79,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in [
     op1_substring_dedup, op2_language_id, op3_decontamination, op4_sharding, op5_secret_scans,
     op6_chat_formatting, op7_quality_rules, op8_jaccard_join, op9_warc, op10_packing]}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES", "tokenizer_path"]
