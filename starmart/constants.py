@@ -48,9 +48,7 @@ FORBIDDEN_WORDS = (
     "merge", "grant", "revoke", "call", "copy", "put", "remove", "use",
     "comment", "begin", "commit", "rollback",
 )
-# Spark-only: functions that call JVM methods, refused anywhere ...
+# Spark-only: functions that call JVM methods, refused anywhere.
 SPARK_CALL_WORDS = ("reflect", "java_method", "try_reflect")
-# ... and a script transform (runs a process): both words present.
-SCRIPT_TRANSFORM_WORDS = ("transform", "using")
-# Default row cap of the ad-hoc SELECT.
+# Row cap of an ad-hoc SELECT without an outer LIMIT.
 ADHOC_MAX_ROWS = 1000
