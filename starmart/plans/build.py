@@ -11,17 +11,22 @@ full write of the data set.  ``staging_table=True`` writes it instead
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.operators import marts
 from starmart.operators.quality import quality_report
 from starmart.operators.staging import stage_transactions
 from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
+from starmart.sizing import checked_rows
 from starmart.sources.tables import Warehouse, load_raw
 
+#: Table of one row that tells how the last build made staging.
+BUILD_INFO, STAGED = "build_info", "staging_table"
 
 #: Marts in submission order: the fact (the largest write) first, so it never
 #: waits for a free thread behind the small dimensions; the calendar last (a
@@ -35,6 +40,10 @@ class Build:
     star: Star
     report: DataFrame
 
+    def contents(self) -> DataFrame:
+        """Rows and content digest of every mart as written."""
+        return contents({m: getattr(self.star, m) for m in MARTS})
+
 
 def build_all(
     spark: SparkSession,
@@ -59,6 +68,9 @@ def build_all(
     wh = warehouse or Warehouse.fresh(spark)
     raw_t = load_raw(wh, raw)
     stg = stage_transactions(raw_t, strict=strict)
+    # Which staging form this build made; readers follow it, so a table left
+    # by an earlier build of the same root is never taken for this one's.
+    wh.write(spark.range(1).select(F.lit(staging_table).alias(STAGED)), "staging", BUILD_INFO)
     if staging_table:
         stg = wh.write(stg, "staging", "stg_transactions")
     else:
@@ -87,21 +99,49 @@ def _calendar_from_fact(wh: Warehouse, fact_job: Future) -> DataFrame:
     return wh.write(marts.dim_date_covering(fact_job.result()), "marts", "dim_date")
 
 
+def _text(name: str, kind: str) -> Column:
+    """A value as text that any engine can print alike."""
+    c = F.col(f"`{name}`")
+    if kind == "double":  # in millionths
+        c = F.round(c * 1_000_000).cast("long")
+    elif kind.startswith("timestamp"):
+        c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(c.cast("string"), F.lit("~"))
+
+
+def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, n_rows, digest) of each table: its rows and the sum of a
+    32-bit hash of each row's text, columns in order -- the same for the same
+    rows in any order."""
+    parts = []
+    for name, df in tables.items():
+        row = F.md5(F.concat_ws("|", *(_text(c, k) for c, k in df.dtypes)).cast("binary"))
+        parts.append(df.select(F.conv(F.substring(row, 1, 8), 16, 10).cast("long").alias("h")).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.coalesce(F.sum("h"), F.lit(0)).alias("digest")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def dim_row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of the written dimensions (parquet footers: no data scan)."""
-    return {d: tables[d].count() for d in DIMS}
+    """Row counts of the written dimensions that may be broadcast: those
+    whose measured bytes are within the bound."""
+    counts = {d: checked_rows(tables[d]) for d in DIMS}
+    return {d: n for d, n in counts.items() if n is not None}
 
 
 def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
     """The star of a warehouse written by ``build_all`` (tables read back).
 
-    Staging is read from its table when one was written, else derived from
-    the RAW table as the view it is.
+    Staging is read from its table if the last build wrote one, else derived
+    from the RAW table as the view it is.
     """
     wh = Warehouse(spark, root.rstrip("/"), fmt)
-    try:
+    if wh.read("staging", BUILD_INFO).first()[STAGED]:
         stg = wh.read("staging", "stg_transactions")
-    except Exception:  # no staging table: staging is a view over RAW
+    else:
         stg = stage_transactions(wh.read("raw", "raw_transactions"))
     marts = {m: wh.read("marts", m) for m in MARTS}
     return Star(stg_transactions=stg, **marts, rows=dim_row_counts(marts))

@@ -4,7 +4,7 @@ on a key, amounts summed and rows counted per dimension attribute.
 Two plans, chosen by the dimension's *checked* size (its row count, known
 for written tables; ``None`` means unknown):
 
-* small dimension (``rows <= BROADCAST_MAX_ROWS``): broadcast it and join
+* small dimension (``fits_broadcast``): broadcast it and join
   first.  The fact is never shuffled; each task partially aggregates to a
   handful of attribute rows before the only (tiny) shuffle.
 * large or unknown: aggregate the fact per key first (partial + final, so a
@@ -21,11 +21,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.sizing import BROADCAST_MAX_ROWS, fits_broadcast
+from starmart.sizing import fits_broadcast
 
 SPEND = "_spend"  # decimal(22,2): the type of sum over decimal(12,2)
 TXNS = "_txns"
-__all__ = ["BROADCAST_MAX_ROWS", "SPEND", "TXNS", "fits_broadcast", "rollup"]
 
 
 def rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],

@@ -5,6 +5,7 @@ DataFrames it needs.  ``get_session`` is for scripts, tests and the bench.
 """
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -53,21 +54,31 @@ def get_session(
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach).  Only when the session has none, as in
-    local tests, a folder of our own is created and set as checkpoint dir.
+    The folder named by ``spark.checkpoint.dir`` (shared storage every
+    executor can reach), or the context's checkpoint folder.  A session that
+    names neither gets a temporary folder only on a local master, where the
+    driver is the executor; elsewhere that is an error, as each executor
+    would write to a disk of its own.  The session is not changed.
     """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="starmart-ckpt-")
-        if sc:
-            sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    except Exception as error:  # Spark Connect: no SparkContext on the client
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from error
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir is not set (master {sc.master}): "
+                           "it has to name a folder that all executors share")
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    """One temporary folder a process, for local sessions."""
+    return tempfile.mkdtemp(prefix="starmart-scratch-")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

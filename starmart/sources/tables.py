@@ -5,14 +5,18 @@ under the session's ``spark.checkpoint.dir``) with one sub-folder per layer:
 ``raw``, ``staging``, ``marts``.  Tables are written whole with
 ``mode("overwrite")`` (idempotent: a re-run replaces, never appends) through
 Spark's file commit protocol, so a lost executor only re-runs its tasks.
-Each table is also registered in the session catalog as ``layer.table``.
+Each table is also registered in the session catalog, as ``layer.table``; a
+second warehouse of the session, with another root, gets databases of its own
+(``layer_`` and a hash of the root), so neither sees the other's tables.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.session import scratch_dir
 
@@ -60,34 +64,87 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def database(self, layer: str) -> str:
+        """The layer's database: the plain name unless it lies elsewhere."""
+        catalog = self.spark.catalog
+        if catalog.databaseExists(layer):
+            place = catalog.getDatabase(layer).locationUri
+            if _plain(place) != _plain(f"{self.root}/{layer}"):
+                return f"{layer}_{hashlib.sha256(_plain(self.root).encode()).hexdigest()[:10]}"
+        return layer
+
     def ensure_layers(self) -> None:
         """Create the layer databases if absent (idempotent)."""
         for layer in LAYERS:
-            self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
+                           f"LOCATION '{self.root}/{layer}'")
 
     def write(self, df: DataFrame, layer: str, table: str,
               partition_by: Sequence[str] | None = None) -> DataFrame:
-        """Replace ``layer.table`` with ``df``; return the table read back."""
+        """Replace ``layer.table`` with ``df``; return the table read back.
+
+        A table whose columns stay the same keeps its catalog entry, so its
+        readers never find it missing; a changed schema replaces the entry.
+        """
         path = self.path(layer, table)
-        write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by)
-        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-        self.spark.catalog.createTable(f"{layer}.{table}", path=path, source=self.fmt)
-        return self.read(layer, table)
+        options = {"overwriteSchema": "true"} if self.fmt == "delta" else None
+        write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by, options=options)
+        name, catalog = f"{self.database(layer)}.{table}", self.spark.catalog
+        written = self.read(layer, table)
+        if catalog.tableExists(name) and _columns(self.spark.table(name)) == _columns(written):
+            catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            catalog.createTable(name, path=path, source=self.fmt)
+        if partition_by and self.fmt != "delta":
+            catalog.recoverPartitions(name)
+        return written
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path(layer, table))
 
 
+def _plain(path: str) -> str:
+    """A local path in its one spelling."""
+    return ("/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path).rstrip("/")
+
+
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return sorted(df.dtypes)
+
+
+@dataclass(frozen=True)
+class Load:
+    """A loaded RAW table with the rows sent and the rows it holds."""
+
+    table: DataFrame
+    rows_loaded: int
+    rows_held: int
+
+
+def load_raw_counted(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> Load:
+    """Replace the RAW table with ``raw`` and count both sides: the rows
+    the write was given (observed while it ran, no second pass) and those the
+    table holds.  A difference is an error."""
+    wh.ensure_layers()
+    sent = Observation()
+    loaded = wh.write(raw.observe(sent, F.count(F.lit(1)).alias("n")), "raw", table)
+    done = Load(loaded, sent.get["n"], loaded.count())
+    if done.rows_loaded != done.rows_held:
+        raise RuntimeError(f"{done.rows_loaded} rows were loaded into {table}, but it holds {done.rows_held}")
+    return done
+
+
 def load_raw(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> DataFrame:
     """Replace the RAW table with ``raw``; return the table read back.
 
     Re-running with the same input leaves the same rows (overwrite).
     """
-    wh.ensure_layers()
-    return wh.write(raw, "raw", table)
+    return load_raw_counted(wh, raw, table).table
 
 
-def load_counts(loaded: DataFrame) -> DataFrame:
-    """Rows now held by a loaded table, as the loader reports them."""
-    return loaded.groupBy().count().withColumnRenamed("count", "rows_held")
+def load_counts(load: Load) -> DataFrame:
+    """One row: rows loaded and rows held, as the loader reports them."""
+    return load.table.sparkSession.range(1).select(
+        F.lit(load.rows_loaded).cast("long").alias("rows_loaded"),
+        F.lit(load.rows_held).cast("long").alias("rows_held"))

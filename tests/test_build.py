@@ -20,15 +20,15 @@ def test_build_twice_same_content(spark, sf_dir):
     b2 = build_all(spark, raw, warehouse=wh, as_of="2025-06-30")
     second = {k: _digest(v) for k, v in b2.star.tables().items()}
     assert first == second
-    assert spark.table("raw.raw_transactions").count() == 6000
-    assert spark.table("marts.fact_transactions").count() == 6000
+    assert spark.table(f"{wh.database('raw')}.raw_transactions").count() == 6000
+    assert spark.table(f"{wh.database('marts')}.fact_transactions").count() == 6000
     assert spark.table("stg_transactions").count() == 6000  # staging is a view
 
 
 def test_build_with_staging_table(spark, sf_dir):
     b = build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30",
                   staging_table=True, threads=1)
-    assert spark.table("staging.stg_transactions").count() == 6000
+    assert spark.table(f"{b.warehouse.database('staging')}.stg_transactions").count() == 6000
     assert all(r.passed for r in b.report.collect())
 
 
@@ -43,3 +43,70 @@ def test_built_marts_equal_lazy_star(spark, sf_dir):
     fixed = build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30",
                       calendar=("2019-01-01", "2022-01-01"), threads=1)
     assert fixed.star.dim_date.count() == 1096
+
+
+def test_rebuild_with_the_other_staging_form_reads_its_own_rows(spark, sf_dir):
+    from starmart.plans.build import open_star
+    raw = raw_transactions(spark, sf_dir)
+    wh = Warehouse.fresh(spark)
+    build_all(spark, raw, warehouse=wh, as_of="2025-06-30", staging_table=True)
+    small = spark.createDataFrame(raw.limit(29).collect(), raw.schema)
+    build_all(spark, small, warehouse=wh, as_of="2025-06-30")
+    star = open_star(spark, wh.root)
+    assert star.stg_transactions.count() == 29 == star.fact_transactions.count()
+    build_all(spark, raw, warehouse=wh, as_of="2025-06-30", staging_table=True)
+    assert open_star(spark, wh.root).stg_transactions.count() == 6000
+
+
+def test_two_roots_in_one_session_keep_their_tables_apart(spark, sf_dir):
+    from starmart.plans.build import open_star
+    raw = raw_transactions(spark, sf_dir)
+    small = spark.createDataFrame(raw.limit(11).collect(), raw.schema)
+    one, two = Warehouse.fresh(spark), Warehouse.fresh(spark)
+    build_all(spark, raw, warehouse=one, as_of="2025-06-30")
+    build_all(spark, small, warehouse=two, as_of="2025-06-30")
+    for wh, n in ((one, 6000), (two, 11)):
+        assert spark.table(f"{wh.database('marts')}.fact_transactions").count() == n
+        assert spark.table(f"{wh.database('raw')}.raw_transactions").count() == n
+        assert open_star(spark, wh.root).fact_transactions.count() == n
+    assert one.database("marts") != two.database("marts")
+
+
+def test_open_star_without_a_build_raises(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    import pytest
+    from starmart.plans.build import open_star
+    with pytest.raises(AnalysisException):
+        open_star(spark, str(tmp_path / "nothing"))
+
+
+def test_contents_see_every_row(spark, sf_dir):
+    from starmart.plans.build import contents
+    fact = build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30").star.fact_transactions
+    from pyspark.sql import functions as F
+    changed = fact.withColumn("amount", F.when(F.col("transaction_id") == fact.first().transaction_id,
+                                               F.lit(1).cast("decimal(12,2)")).otherwise(F.col("amount")))
+    a, b, c = (contents({"f": x}).first() for x in (fact, fact.repartition(3), changed))
+    assert a == b and a.digest != c.digest and a.n_rows == 6000
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters():
+    import pytest
+    from starmart.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())

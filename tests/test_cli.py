@@ -9,7 +9,7 @@ def test_cli_build_report_sql(spark, sf_dir, capsys):
     raw_transactions(spark, sf_dir).write.option("header", True).option("escape", '"').csv(csv)
     root = scratch_dir(spark, "cli-wh")
     assert main(["load", "--csv", csv, "--warehouse", root, "--sample", "100"]) == 0
-    assert "holds 100 rows" in capsys.readouterr().out
+    assert "100 rows loaded, 100 in" in capsys.readouterr().out
     assert main(["build", "--csv", csv, "--warehouse", root]) == 0
     out = capsys.readouterr().out
     assert out.count("PASS") == 23
