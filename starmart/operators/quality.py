@@ -4,12 +4,12 @@ A test returns its failing rows and passes on zero.  ``quality_report``
 runs a whole suite and returns one row per test.
 
 Scale notes: all not-null tests of one model share a single aggregation
-pass (``count_if`` per column).  A uniqueness test counts 64-bit hashes
-first (see ``unique``).  A relationship test whose parent has a checked
-row count within the broadcast bound anti-joins the child column against
-the broadcast parent keys map-side (no shuffle at all); otherwise it first
-counts child rows per foreign key (a key holding a third of the fact
-collapses map-side) and anti-joins those distinct keys.
+pass, and so do its relationship tests whose parents have a checked size
+within the broadcast bound (each parent's distinct keys are joined map-side
+with a marker).  The other relationship tests of a model share one more pass
+that counts rows per (test, key): a key holding a third of the rows collapses
+map-side, and only distinct keys meet the parents.  A uniqueness test is one
+scan and one aggregation by value.
 """
 from __future__ import annotations
 
@@ -19,7 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.sizing import fits_broadcast
+from starmart.session import scratch_dir
+from starmart.sizing import checked_rows, fits_broadcast
+from starmart.sources.tables import scan_table, write_table
 
 
 @dataclass(frozen=True)
@@ -68,22 +70,10 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
-    """Q2: one row per non-NULL value held by more than one row.
-
-    Two exact phases.  First the 64-bit hashes of the values are counted
-    (the one full shuffle carries 8-byte keys, not the values); hashes seen
-    more than once are the candidates -- every duplicate plus the rare
-    collisions of distinct values.  Then only the candidate rows are grouped
-    by the value itself, which drops the collisions.  With few duplicates the
-    candidate set is tiny and Spark broadcasts it by measured size.
-    """
-    values = df.select(column).filter(F.col(column).isNotNull())
-    hashed = values.withColumn("_h", F.xxhash64(column))
-    candidates = (hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") > 1).select("_h"))
-    return (hashed.join(candidates, "_h", "left_semi").groupBy(column)
-            .agg(F.count(F.lit(1)).alias("n_records"))
-            .filter(F.col("n_records") > 1))
+    """Q2: one row per non-NULL value held by more than one row (one scan,
+    one shuffle; copies of a value collapse map-side)."""
+    return (df.select(column).filter(F.col(column).isNotNull()).groupBy(column)
+            .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame,
@@ -94,16 +84,22 @@ def relationships(child: DataFrame, column: str, parent: DataFrame,
     A parent within the broadcast bound is broadcast and anti-joined
     map-side (no shuffle).  Otherwise the orphan *keys* are found first --
     the child's distinct keys (reduced map-side, so a hot key costs one row
-    per task) anti-joined to the parent's -- and only the rows holding them
-    are selected by a semi join, which Spark broadcasts when few keys are
-    orphans; no raw child row is shuffled to meet the parent.
+    per task) anti-joined to the parent's -- and written to the shared folder
+    (this runs a job).  None: the result is empty; few: they are broadcast to
+    select the child's rows, which are never shuffled; many: a semi join by
+    hash, which Spark splits where a key is skewed.
     """
     keys = parent.select(F.col(to_column).alias(column))
     rows = child.filter(F.col(column).isNotNull())
     if fits_broadcast(parent_rows):
         return rows.join(F.broadcast(keys), column, "left_anti")
-    orphans = rows.select(column).distinct().join(keys, column, "left_anti")
-    return rows.join(orphans, column, "left_semi")
+    path = scratch_dir(child.sparkSession, "orphans")
+    write_table(rows.select(column).distinct().join(keys, column, "left_anti"), path)
+    orphans = scan_table(child.sparkSession, path)
+    n = checked_rows(orphans)
+    if n == 0:
+        return rows.filter(F.lit(False))
+    return rows.join(F.broadcast(orphans) if fits_broadcast(n) else orphans, column, "left_semi")
 
 
 # --- Q4: the suite ------------------------------------------------------------
@@ -120,22 +116,39 @@ def _rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return df.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _failures(tables: Mapping[str, DataFrame], c: Check,
-              rows: Mapping[str, int]) -> DataFrame:
-    """One-row frame with the failure count of a unique/relationship test."""
-    df = tables[c.model]
-    if c.test == "unique":
-        return unique(df.select(c.column), c.column).agg(F.count(F.lit(1)).alias("f"))
-    if c.test == "relationships":
-        child = df.select(c.column).filter(F.col(c.column).isNotNull())
-        parent = tables[c.to_model].select(F.col(c.to_column).alias(c.column))
-        if fits_broadcast(rows.get(c.to_model)):
-            orphans = child.join(F.broadcast(parent), c.column, "left_anti")
-            return orphans.agg(F.count(F.lit(1)).alias("f"))
-        per_key = child.groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
-        orphans = per_key.join(parent, c.column, "left_anti")
-        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
-    raise ValueError(f"unknown test {c.test!r}")
+def _orphans(tables: Mapping[str, DataFrame], model: str,
+             checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """One row per relationship test of a model with parents of unknown size:
+    one pass over the model for all of them."""
+    def pair(i: int, key: Column) -> Column:
+        return F.struct(F.lit(i).alias("t"), key.cast("string").alias("k"))
+
+    per_key = (tables[model].select(F.explode(F.array(*(pair(i, F.col(c.column)) for i, c in checks))).alias("p"))
+               .select("p.t", "p.k").filter("k is not null").groupBy("t", "k")
+               .agg(F.count(F.lit(1)).alias("n")))
+    parents = [tables[c.to_model].select(pair(i, F.col(c.to_column)).alias("p")).select("p.t", "p.k")
+               for i, c in checks]
+    known = parents[0]
+    for p in parents[1:]:
+        known = known.unionByName(p)
+    got = per_key.join(known, ["t", "k"], "left_anti").agg(
+        *[F.coalesce(F.sum(F.when(F.col("t") == i, F.col("n"))), F.lit(0)).alias(f"f{i}") for i, _ in checks])
+    return _rows(got, [_row(i, c, F.col(f"f{i}")) for i, c in checks])
+
+
+def _one_pass(tables: Mapping[str, DataFrame], model: str, nulls: Sequence[tuple[int, Check]],
+              small: Sequence[tuple[int, Check]]) -> DataFrame:
+    """One row per not-null test and per relationship test with a small
+    parent, all from one pass over the model."""
+    df = tables[model].select(*dict.fromkeys(c.column for _, c in [*nulls, *small]))
+    for i, c in small:
+        keys = tables[c.to_model].select(F.col(c.to_column).alias(f"_k{i}")).distinct().withColumn(
+            f"_m{i}", F.lit(True))
+        df = df.join(F.broadcast(keys), F.col(c.column) == F.col(f"_k{i}"), "left")
+    counts = df.agg(
+        *[F.count_if(F.col(c.column).isNull()).alias(f"f{i}") for i, c in nulls],
+        *[F.count_if(F.col(c.column).isNotNull() & F.col(f"_m{i}").isNull()).alias(f"f{i}") for i, c in small])
+    return _rows(counts, [_row(i, c, F.col(f"f{i}")) for i, c in [*nulls, *small]])
 
 
 def quality_report(tables: Mapping[str, DataFrame],
@@ -149,16 +162,23 @@ def quality_report(tables: Mapping[str, DataFrame],
     """
     rows = rows or {}
     parts: list[DataFrame] = []
-    by_model: dict[str, list[tuple[int, Check]]] = {}
+    by_model: dict[str, dict[str, list[tuple[int, Check]]]] = {}
     for i, c in enumerate(suite, start=1):
+        kinds = by_model.setdefault(c.model, {"null": [], "small": [], "large": []})
         if c.test == "not_null":
-            by_model.setdefault(c.model, []).append((i, c))
+            kinds["null"].append((i, c))
+        elif c.test == "relationships":
+            kinds["small" if fits_broadcast(rows.get(c.to_model)) else "large"].append((i, c))
+        elif c.test == "unique":
+            dup = unique(tables[c.model], c.column).agg(F.count(F.lit(1)).alias("f"))
+            parts.append(_rows(dup, [_row(i, c, F.col("f"))]))
         else:
-            parts.append(_rows(_failures(tables, c, rows), [_row(i, c, F.col("f"))]))
-    for model, checks in by_model.items():
-        counts = tables[model].agg(*[
-            F.count_if(F.col(c.column).isNull()).alias(f"f{i}") for i, c in checks])
-        parts.append(_rows(counts, [_row(i, c, F.col(f"f{i}")) for i, c in checks]))
+            raise ValueError(f"unknown test {c.test!r}")
+    for model, kinds in by_model.items():
+        if kinds["null"] or kinds["small"]:
+            parts.append(_one_pass(tables, model, kinds["null"], kinds["small"]))
+        if kinds["large"]:
+            parts.append(_orphans(tables, model, kinds["large"]))
     # pairwise, so each union analyses small plans (Spark flattens the tree)
     while len(parts) > 1:
         parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]

@@ -89,22 +89,60 @@ def test_small_dimension_is_broadcast_before_any_shuffle(built):
     assert j >= 0 and "Exchange" not in p[j:].split("Scan parquet")[0].split("BroadcastExchange")[0]
 
 
-def test_sample_orders_only_the_boundary_bucket(built):
-    """The cut keeps whole buckets by a prefix filter and orders only the
-    boundary bucket (a top-k); the input is never sorted as a whole."""
+def test_sample_is_a_filter_on_the_order_key(built):
+    """The result neither sorts nor shuffles the input: a filter on the key of
+    the last row taken, plus copies of one row."""
     from starmart.sources.csv_ingest import sample_n
     p = plan(sample_n(built.warehouse.read("raw", "raw_transactions"), 500))
-    t = p.find("TakeOrderedAndProject")
-    assert t >= 0 and "substring(" in p[t:]
-    assert "Union" in p and "Sort [" not in p
+    assert "Union" in p and "Sort [" not in p and "TakeOrdered" not in p and "hashpartitioning" not in p
 
 
-def test_relationships_unknown_size_anti_joins_distinct_keys(built):
-    """Large/unknown parent: distinct foreign keys meet the parent (anti),
-    and only the orphan keys meet the rows (semi)."""
+def final_plan(df):
+    """The plan after AQE, with plan-time broadcasts off, as at scale."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.autoBroadcastJoinThreshold")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        df.write.format("noop").mode("overwrite").save()
+        return plan(df).split("== Initial Plan ==")[0]
+    finally:
+        conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_relationships_unknown_size_never_shuffles_the_child(built, spark):
+    """Orphan keys are written first; the child's rows meet them by broadcast,
+    with no exchange above the child's scan."""
+    from starmart.operators.marts import dim_date
     from starmart.operators.quality import relationships
     s = built.star
-    p = plan(relationships(s.fact_transactions, "customer_key", s.dim_customer,
-                           "customer_key"))
-    assert "LeftAnti" in p and "LeftSemi" in p
-    assert "HashAggregate(keys=[customer_key" in p
+    none = relationships(s.fact_transactions, "customer_key", s.dim_customer, "customer_key")
+    assert none.count() == 0 and "Scan parquet" not in plan(none)
+    some = relationships(s.fact_transactions, "date_key", dim_date(spark, "1995-01-01", "1998-01-01"), "date_key")
+    p = final_plan(some)
+    assert "LeftSemi" in p and "BroadcastExchange" in p
+    assert " Exchange" not in p and "ShuffleQueryStage" not in p
+    assert some.count() > 0
+
+
+def test_unique_is_one_scan_and_one_shuffle(built):
+    from starmart.operators.quality import unique
+    p = final_plan(unique(built.star.fact_transactions, "transaction_id"))
+    assert p.count("Scan parquet") == 1 and p.count(" Exchange ") == 1
+
+
+def fact_scans(df):
+    """Scans of the fact's files in a lazy report's plan."""
+    return plan(df).count("marts/fact_transactions]")
+
+
+def test_report_scans_the_fact_at_most_three_times(built, spark):
+    from starmart.operators.quality import quality_report
+    s = built.star
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        for rows, most in (({}, 3), (s.rows, 2)):
+            report = quality_report(s.tables(), rows=rows)
+            assert 1 <= fact_scans(report) <= most, rows
+            assert all(r.passed for r in report.collect())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
