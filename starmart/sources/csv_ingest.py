@@ -2,35 +2,49 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.constants import INDEX_ALIASES, INDEX_COLUMN, RESERVED_RENAMES, SAMPLE_SEED
+from starmart.session import scratch_dir
+from starmart.sources.tables import scan_table, write_table
 
-#: Rows a boundary hash bucket may hold before the cut recurses into it.
-BUCKET_ROWS_MAX = 100_000
-_HASH = "__sample_hash"
-_TIE = "__sample_tie"
-_ROW = "__sample_row"
+_BAD = "__malformed"
 
 
 def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = None,
              multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column kept as text.
 
-    No explicit schema (columns are matched by header name, and the index
-    column may be absent); ``escape='"'`` so a doubled quote inside a quoted
-    field stays one value.  Only the empty field is NULL unless ``na_values``
-    lists more markers (pandas-style ``NA``, ``NULL``, ...).
+    All files must have the first file's header, in its order (letter case
+    aside): Spark raises when one differs.  A record with more or fewer
+    fields than the header is an error too, whichever columns are read, and
+    so are the halves of a quoted line break; the message names
+    ``multi_line``.  ``escape='"'`` keeps a doubled quote inside a quoted
+    field as part of one value.  Only the empty field is NULL unless
+    ``na_values`` lists more markers (pandas-style ``NA``, ``NULL``, ...).
 
     Records are lines by default, so every file splits into many tasks.
     ``multi_line=True`` accepts line breaks inside quoted fields (as pandas
     does) at the price of one task per file.
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("escape", '"').option("multiLine", multi_line).csv(path))
+    reader = spark.read.option("inferSchema", False).option("escape", '"').option("multiLine", multi_line)
+    head = reader.csv(path).first()
+    if head is None:
+        raise ValueError(f"{path} holds no header")
+    raw = [x or "" for x in head]
+    df = (reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
+          .option("columnNameOfCorruptRecord", _BAD)
+          .schema(T.StructType([T.StructField(c, T.StringType()) for c in [*raw, _BAD]])).csv(path))
+    names = [c or f"_c{i}" for i, c in enumerate(raw)]
+    df = df.toDF(*names, _BAD)
+    # Reading a data column keeps the check legal in a bare count.
+    whole = F.col(_BAD).isNull() & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
+    refuse = F.raise_error(F.concat(
+        F.lit(f"not {len(names)} fields (a line break inside quotes needs multi_line=True): "), F.col(_BAD)))
+    df = df.filter(F.when(whole, F.lit(True)).otherwise(refuse.cast("boolean"))).drop(_BAD)
     if na_values:
         markers = list(na_values)
         df = df.select(*[F.when(F.col(f"`{c}`").isin(markers), F.lit(None))
@@ -72,95 +86,75 @@ def sample_hash(seed: int = SAMPLE_SEED, key: str = "trans_num") -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
-@dataclass(frozen=True)
-class _Level:
-    """One sort level of the sample order: a text column cut by prefixes of
-    ``width`` characters (NULL sorts last)."""
-
-    name: str
-    width: int
-
-
 def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_num",
-             tie: str = "trans_index", bucket_rows: int | None = None) -> DataFrame:
+             tie: str = "trans_index") -> DataFrame:
     """Exactly ``min(n, rows)`` rows, no replacement, repeatable.
 
     The rows with the ``n`` smallest ``md5(key || seed)`` (NULL last; ties:
     ``tie`` ascending, NULL last; then a digest of the whole row, which only
     makes the choice among equal (hash, tie) rows repeatable).
 
-    An exact distributed cut, for any ``n``: count rows per hash prefix (at
-    most 65,536 histogram rows; a running total finds the boundary bucket
-    and one row reaches the driver), keep every bucket below the boundary
-    whole and take the rest from the boundary bucket -- by a top-k once it
-    holds at most ``bucket_rows`` rows (default ``BUCKET_ROWS_MAX``), else
-    by recursing on the next prefix.  When a level is used up (a group of
-    copies shares the whole hash), the cut goes on with the tie column one
-    character at a time, then with the row digest.  Rows equal on every
-    level are identical, so the last step takes any ``k`` of them by their
-    position in their partition.  No task ever orders more than one bounded
-    bucket, however large ``n`` or a group of copies.
+    An exact distributed cut for any ``n``, by a fixed number of jobs however
+    many copies there are: (1) rows per hash prefix (at most 65,537 histogram
+    rows; a running total finds the prefix with the n-th row); (2) the
+    distinct order keys of that prefix with their counts, range partitioned
+    and written; (3) their totals per partition and, inside the one partition
+    with the cut, the running total that finds the last key and how many of
+    its rows are taken.  The sample is then a filter on the order key, plus
+    that many copies of one row (rows equal in the whole order are identical).
     """
     if n <= 0:
         return df.limit(0)
-    cap = BUCKET_ROWS_MAX if bucket_rows is None else bucket_rows
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    h = (df.withColumn(_HASH, sample_hash(seed, key))
-           .withColumn(_ROW, F.md5(F.to_json(F.struct(*cols)))))
-    levels = [_Level(_HASH, 4)]
+    order = [sample_hash(seed, key)]
     if tie in df.columns:
-        h = h.withColumn(_TIE, F.col(f"`{tie}`").cast("string"))
-        levels.append(_Level(_TIE, 1))
-    levels.append(_Level(_ROW, 4))
-    order = [F.col(lv.name).asc_nulls_last() for lv in levels]
-    return _cut(h, n, levels, order, cap, 0, 1).drop(_HASH, _ROW, _TIE)
-
-
-def _cut(h: DataFrame, n: int, levels: list[_Level], order: list[Column], cap: int,
-         level: int, start: int) -> DataFrame:
-    """The first ``n`` rows of ``h`` in ``order``; every row of ``h`` agrees
-    on the levels before ``level`` and on the first ``start - 1`` characters
-    of level ``level``."""
-    if level == len(levels):
-        return _first_k(h, n)
-    lv = levels[level]
-    prefix = F.substring(F.col(lv.name), start, lv.width)
-    # NULL prefixes (NULL values) sort last: order buckets by (is null, prefix)
-    hist = h.groupBy(prefix.isNull().alias("z"), prefix.alias("p")).agg(
-        F.count(F.lit(1)).alias("c"))
+        order.append(F.col(f"`{tie}`").cast("string"))
+    order.append(F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+    prefix = F.substring(order[0], 1, 4)
+    hist = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).withColumn("z", F.col("p").isNull())
     upto = Window.orderBy("z", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hit = (hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= n)
            .orderBy("z", "p").limit(1).collect())
     if not hit:  # n >= rows: everything
-        return h
-    z, boundary, size = hit[0]["z"], hit[0]["p"], hit[0]["c"]
-    k = n - (hit[0]["cum"] - size)
-    below = prefix.isNotNull() & (prefix < boundary) if not z else prefix.isNotNull()
-    rest = h.filter(prefix.isNull() if z else prefix == boundary)
-    if size <= cap:
-        tail = rest.orderBy(*order).limit(k)
-    elif z or boundary == "":  # the level is used up: all of rest agree on it
-        tail = _cut(rest, k, levels, order, cap, level + 1, 1)
-    else:
-        tail = _cut(rest, k, levels, order, cap, level, start + lv.width)
-    return h.filter(below).unionByName(tail)
-
-
-def _first_k(h: DataFrame, k: int) -> DataFrame:
-    """Any ``k`` rows of ``h`` (its rows are identical), without moving them
-    to one task: row positions within partitions plus per-partition offsets
-    from a running total over one count per partition (so the offsets frame
-    is bounded by the partition count and may be broadcast)."""
-    pos = h.withColumn("__pos", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("__pos"), 33)
-    counts = pos.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0))
-                            .alias("__off"))
-    ordinal = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
-    keep = pos.join(F.broadcast(offsets), part == F.col("__part")).filter(
-        F.col("__off") + ordinal < k)
-    return keep.drop("__pos", "__part", "__off")
+        return df
+    left = n - (hit[0]["cum"] - hit[0]["c"])
+    names = [f"k{i}" for i in range(len(order))]
+    nulls_last = [x for k in names for x in (F.col(k).isNull(), F.col(k))]
+    keys = (df.filter(prefix.eqNullSafe(F.lit(hit[0]["p"])))
+            .groupBy(*(c.alias(k) for c, k in zip(order, names, strict=True))).agg(F.count(F.lit(1)).alias("c"))
+            .repartitionByRange(_key_partitions(df.sparkSession), *nulls_last)
+            .withColumn("part", F.spark_partition_id()))
+    path = scratch_dir(df.sparkSession, "sample-keys")
+    write_table(keys, path)
+    keys = scan_table(df.sparkSession, path)
+    seen = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = (keys.groupBy("part").agg(F.sum("c").alias("c")).withColumn("cum", F.sum("c").over(seen))
+            .filter(F.col("cum") >= left).orderBy("part").limit(1).first())
+    before = part["cum"] - part["c"]
+    running = Window.orderBy(*nulls_last).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = (keys.filter(F.col("part") == part["part"]).withColumn("cum", F.sum("c").over(running) + before)
+            .filter(F.col("cum") >= left).orderBy("cum").limit(1).first())
+    taken = left - (last["cum"] - last["c"])
+    at = [F.lit(last[k]) for k in names]
+    below = _less(order, at, [last[k] for k in names])
+    same = F.lit(True)
+    for c, v in zip(order, at, strict=True):
+        same = same & c.eqNullSafe(v)
+    copies = df.filter(same).limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(taken))))
+    return df.filter(below).unionByName(copies.drop("__copy"))
+
+
+def _key_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _less(order: Sequence[Column], at: Sequence[Column], values: Sequence[str | None]) -> Column:
+    """Whether a row sorts before the key ``at`` (NULL last): later parts of
+    the key are evaluated only for rows equal in the earlier ones."""
+    c, v = order[0], at[0]
+    first = c.isNotNull() if values[0] is None else F.coalesce(c < v, F.lit(False))
+    if len(order) == 1:
+        return first
+    return first | (c.eqNullSafe(v) & _less(order[1:], at[1:], values[1:]))
 
 
 def ingest_csv(spark: SparkSession, path: str, sample: int | None = None,

@@ -2,6 +2,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from starmart.functions import card_brand, customer_age, merchant_clean, surrogate_key
@@ -62,7 +63,8 @@ def test_csv_multi_line_quoted_field(spark, tmp_path):
     df = normalise_raw(read_csv(spark, str(p), multi_line=True))
     got = {r.trans_num: r.note for r in df.collect()}
     assert got == {"a": "line one\nline two", "b": "plain"}
-    assert normalise_raw(read_csv(spark, str(p))).count() == 3  # line records: split
+    with pytest.raises(Exception, match="multi_line=True"):  # line records: halves
+        normalise_raw(read_csv(spark, str(p))).count()
 
 
 def test_staging_types_and_rounding(spark):
@@ -175,15 +177,27 @@ def test_sample_all_rows_when_n_large(spark):
     assert sample_n(df, 0).count() == 0
 
 
-def test_sample_recursive_cut_equals_plain_order(spark, monkeypatch):
+def test_sample_cut_equals_plain_order(spark):
     import starmart.sources.csv_ingest as ci
     df = raw_df(spark, [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(3000)])
-    want = [r.trans_num for r in df.withColumn("h", ci.sample_hash()).orderBy("h")
-            .limit(1234).collect()]
-    for cap in (100_000, 50, 1):
-        monkeypatch.setattr(ci, "BUCKET_ROWS_MAX", cap)
-        got = sorted(r.trans_num for r in sample_n(df, 1234).collect())
-        assert got == sorted(want), cap
+    order = [r.trans_num for r in df.withColumn("h", ci.sample_hash()).orderBy("h").collect()]
+    for n in (1, 1234, 2999):
+        assert sorted(r.trans_num for r in sample_n(df, n).collect()) == sorted(order[:n])
+
+
+def test_sample_jobs_do_not_grow_with_copies(spark):
+    rows = [raw_row(trans_num="same", trans_index="7")] * 2000 + [raw_row(trans_num=f"t{i}") for i in range(50)]
+    sc = spark.sparkContext
+    counts = []
+    for df in (raw_df(spark, rows[-60:]), raw_df(spark, rows)):
+        group = f"sample-{len(counts)}"
+        sc.setJobGroup(group, group)
+        try:
+            assert sample_n(df, 40).count() == 40
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        counts.append(len(sc.statusTracker().getJobIdsForGroup(group)))
+    assert counts[1] <= counts[0] + 2 and max(counts) <= 16, counts
 
 
 def _brute_sample(df, n):
@@ -200,7 +214,7 @@ def _rows(df):
 
 def test_sample_null_keys_and_hot_copies_match_brute_force(spark):
     """A third of the rows copy one trans_num (distinct index); some keys and
-    indexes are NULL.  Every cut equals the plain order, under tight caps."""
+    indexes are NULL.  Every cut equals the plain order."""
     rows = [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(400)]
     rows += [raw_row(trans_num="hot", trans_index=str(1000 + i), amt=f"{i}.00")
              for i in range(300)]
@@ -210,13 +224,10 @@ def test_sample_null_keys_and_hot_copies_match_brute_force(spark):
     hot_rank = _brute_sample(df, len(rows)).collect()
     first_hot = next(i for i, r in enumerate(hot_rank) if r.trans_num == "hot")
     first_null = next(i for i, r in enumerate(hot_rank) if r.trans_num is None)
-    for n, caps in ((1, (1,)), (first_hot + 123, (100_000, 1)), (first_hot + 310, (3,)),
-                    (first_null + 7, (1,)), (len(rows) - 3, (20,))):
-        want = _rows(_brute_sample(df, n))
-        for cap in caps:
-            got = sample_n(df, n, bucket_rows=cap)
-            assert got.columns == df.columns
-            assert _rows(got) == want, (n, cap)
+    for n in (1, first_hot + 123, first_hot + 310, first_null + 7, len(rows) - 3):
+        got = sample_n(df, n)
+        assert got.columns == df.columns
+        assert _rows(got) == _rows(_brute_sample(df, n)), n
 
 
 def test_sample_identical_copies_exact_size(spark):
@@ -227,7 +238,7 @@ def test_sample_identical_copies_exact_size(spark):
     df = raw_df(spark, rows).repartition(5)
     for n in (61, 333):
         want = _rows(_brute_sample(df, n))
-        assert _rows(sample_n(df, n, bucket_rows=2)) == want, n
+        assert _rows(sample_n(df, n)) == want, n
 
 
 def test_missing_csv_raises(spark, tmp_path):
@@ -237,13 +248,14 @@ def test_missing_csv_raises(spark, tmp_path):
 
 
 def test_load_raw_is_idempotent_and_tables_scan(spark):
-    from starmart.sources.tables import Warehouse, load_counts, load_raw, scan_table, write_table
+    from starmart.sources.tables import Warehouse, load_counts, load_raw, load_raw_counted, scan_table, write_table
     df = raw_df(spark, [raw_row(trans_num=str(i), trans_index=str(i)) for i in range(7)])
     wh = Warehouse.fresh(spark)
     load_raw(wh, df)
-    again = load_raw(wh, df)
-    assert load_counts(again).first().rows_held == 7
-    assert scan_table(spark, "raw.raw_transactions").count() == 7
+    assert load_raw(wh, df).count() == 7
+    done = load_raw_counted(wh, df)
+    assert tuple(load_counts(done).first()) == (7, 7)
+    assert scan_table(spark, f"{wh.database('raw')}.raw_transactions").count() == 7
     write_table(df.limit(3), "default.some_table")
     assert scan_table(spark, "default.some_table").count() == 3
 
@@ -275,3 +287,32 @@ def test_month_is_zone_free_ntz(spark):
     r = bi.spend_by_month(s.fact_transactions, s.dim_merchant)
     assert str(r.schema["month"].dataType) == "TimestampNTZType()"
     assert r.first().month == dt.datetime(2020, 3, 1)
+
+
+def _csv(tmp_path, name, *files):
+    d = tmp_path / name
+    d.mkdir()
+    for i, text in enumerate(files):
+        (d / f"f{i}.csv").write_text(text)
+    return str(d)
+
+
+@pytest.mark.parametrize("use", [lambda d: d.collect(), lambda d: d.count(), lambda d: d.select(d.columns[-1]).collect()])
+@pytest.mark.parametrize("name,files,why", [
+    ("long", ["trans_index,amt\n1,2\n3,4,EXTRA\n"], "3,4,EXTRA"),
+    ("short", ["trans_index,amt\n1,2\n3\n"], "not 2 fields"),
+    ("break", ['trans_index,amt\n1,"x\ny"\n'], "multi_line=True"),
+    ("order", ["a,b,c\n1,2,3\n", "a,c,b\n1,2,3\n"], "f1.csv|f0.csv")])
+def test_csv_that_would_lose_or_swap_data_raises(spark, tmp_path, name, files, why, use):
+    with pytest.raises(Exception, match=why):
+        use(read_csv(spark, _csv(tmp_path, name, *files)))
+
+
+def test_csv_line_breaks_headers_and_blank_index(spark, tmp_path):
+    ok = read_csv(spark, _csv(tmp_path, "ml", 'a,b\n1,"x\ny"\n'), multi_line=True)
+    assert [tuple(r) for r in ok.collect()] == [("1", "x\ny")]
+    two = normalise_raw(read_csv(spark, _csv(tmp_path, "two", ",amt\n1,2\n", ",AMT\n3,4\n")))
+    assert sorted(map(tuple, two.collect())) == [("1", "2"), ("3", "4")] and two.columns == ["trans_index", "amt"]
+    assert read_csv(spark, _csv(tmp_path, "none", "a,b\n")).collect() == []
+    with pytest.raises(ValueError, match="header"):
+        read_csv(spark, _csv(tmp_path, "empty", ""))
