@@ -4,8 +4,8 @@ Every query reads the driver tables of ``sf_dir`` (through the RAW mapping of
 FIXTURES.md) and derives staging and the star from them with Spark, so its
 work grows with the tables.  ``oracle_sql`` states the same result in DuckDB
 SQL over the same parquet views.  Sums are compared as decimal(38,2) and
-averages as ``round(total / count, 4)`` doubles on both sides (the engines
-type them differently); everything else is compared as the library returns it.
+averages as the library's own, in whole millionths (the engines type them
+differently); everything else is compared as the library returns it.
 """
 from __future__ import annotations
 
@@ -35,7 +35,9 @@ from starmart.plans.star import DIMS, star_from_tables
 from starmart.sources.csv_ingest import ingest_csv, sample_n
 from starmart.sources.fixtures import raw_transactions
 from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
+from starmart.schemas import MART_SCHEMAS
 from starmart.session import scratch_dir
+from starmart.sizing import checked_rows
 
 # The training-data operators come as a removable part: their subpackage and
 # the pipeline at the top.  Without them everything else works as before.
@@ -65,6 +67,8 @@ ADHOC_SQL = """select d.year, d.month, count(*) as txns,
        cast(sum(f.amount) as decimal(38,2)) as spend
 from fact_transactions f join dim_date d on f.date_key = d.date_key
 group by d.year, d.month"""
+ADHOC_LIMIT_SQL = """select transaction_id, amount from fact_transactions
+order by amount desc, transaction_id limit 1500"""
 # Fixed calendar used to show a failing relationships test.
 PARTIAL_CALENDAR = ("1995-01-01", "1998-01-01")
 # Source-file header names of the RAW columns (index unnamed, SQL words).
@@ -76,20 +80,21 @@ def _star(spark: SparkSession, sf_dir: str):
     return star_from_tables(spark, sf_dir, as_of=AS_OF)
 
 
-def _checked_star(spark: SparkSession, sf_dir: str):
-    """The lazy star with its dimensions' row counts checked (one count job
-    each), so reports take the broadcast join-first plan where it fits."""
+def _checked_star(spark: SparkSession, sf_dir: str, *dims: str):
+    """The lazy star with the sizes of ``dims`` measured (one job each), so
+    reports take the broadcast join-first plan where it fits."""
     s = _star(spark, sf_dir)
-    return replace(s, rows={d: getattr(s, d).count() for d in DIMS})
+    sizes = {d: checked_rows(getattr(s, d)) for d in dims}
+    return replace(s, rows={d: n for d, n in sizes.items() if n is not None})
 
 
 def _money(name: str) -> F.Column:
     return F.col(name).cast("decimal(38,2)").alias(name)
 
 
-def _ratio(total: str, count: str, name: str) -> F.Column:
-    r = F.round(F.col(total).cast("double") / F.col(count), 4)
-    return F.when(F.col(count) == 0, F.lit(0.0)).otherwise(r).alias(name)
+def _micros(name: str) -> F.Column:
+    """An average as the library returns it, in whole millionths."""
+    return (F.col(name) * 1_000_000).cast("long").alias(f"{name}_micros")
 
 
 # --- sources -----------------------------------------------------------------
@@ -162,9 +167,14 @@ def q_date_spine(spark, sf_dir):
 
 
 def q_build_all(spark, sf_dir):
-    """M9: full build into a fresh warehouse; its quality report."""
-    b = build_all(spark, raw_transactions(spark, sf_dir), as_of=AS_OF)
-    return b.report
+    """M9: full build into a fresh warehouse; the written marts' rows and
+    content digests."""
+    return build_all(spark, raw_transactions(spark, sf_dir), as_of=AS_OF).contents()
+
+
+def q_build_report(spark, sf_dir):
+    """M9: the quality report of a full build."""
+    return build_all(spark, raw_transactions(spark, sf_dir), as_of=AS_OF).report
 
 
 # --- scalar functions ------------------------------------------------------------
@@ -242,7 +252,7 @@ def _kpis(spark, sf_dir, f):
     s = _star(spark, sf_dir)
     k = bi.kpis(s.fact_transactions, s.dim_merchant, f)
     return k.select(_money("total_spend"), "txns",
-                    _ratio("total_spend", "txns", "avg_txn"), "customers")
+                    _micros("avg_txn"), "customers")
 
 
 def q_kpis(spark, sf_dir):
@@ -302,8 +312,8 @@ def q_spend_by_brand(spark, sf_dir):
 
 def q_top5_states_avg(spark, sf_dir):
     s = _star(spark, sf_dir)
-    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer, with_parts=True)
-    return r.select("state", _ratio("total_spend", "txn_count", "avg_amount"))
+    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer)
+    return r.select("state", _micros("avg_amount"))
 
 
 def q_weekend_vs_weekday(spark, sf_dir):
@@ -325,50 +335,50 @@ def q_guarded_select(spark, sf_dir):
 # --- the same reports on the broadcast join-first plan -------------------------
 
 def q_spend_by_category_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_merchant")
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER,
                                 dim_rows=s.dim_rows("dim_merchant")).select(
         "category", _money("spend"))
 
 
 def q_spend_by_month_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_merchant")
     return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER,
                              dim_rows=s.dim_rows("dim_merchant")).select(
         "month", _money("spend"))
 
 
 def q_top_merchants_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_merchant")
     return bi.top_merchants(s.fact_transactions, s.dim_merchant,
                             dim_rows=s.dim_rows("dim_merchant")).select(
         "merchant", _money("spend"), "txns")
 
 
 def q_kpis_filtered_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_merchant")
     k = bi.kpis(s.fact_transactions, s.dim_merchant, FILTER,
                 dim_rows=s.dim_rows("dim_merchant"))
     return k.select(_money("total_spend"), "txns",
-                    _ratio("total_spend", "txns", "avg_txn"), "customers")
+                    _micros("avg_txn"), "customers")
 
 
 def q_spend_by_brand_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_account")
     return questions.spend_by_brand(s.fact_transactions, s.dim_account,
                                     dim_rows=s.dim_rows("dim_account")).select(
         "card_brand", _money("total_spend"))
 
 
 def q_top5_states_avg_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
-    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer, with_parts=True,
+    s = _checked_star(spark, sf_dir, "dim_customer")
+    r = questions.top5_states_avg(s.fact_transactions, s.dim_customer,
                                   dim_rows=s.dim_rows("dim_customer"))
-    return r.select("state", _ratio("total_spend", "txn_count", "avg_amount"))
+    return r.select("state", _micros("avg_amount"))
 
 
 def q_weekend_vs_weekday_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, "dim_date")
     return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date,
                                         dim_rows=s.dim_rows("dim_date"))
 
@@ -382,10 +392,45 @@ def q_relationships_checked(spark, sf_dir):
 
 
 def q_quality_report_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir)
+    s = _checked_star(spark, sf_dir, *DIMS)
     return quality.quality_report(s.tables(), rows=s.rows)
 
 
+# --- a star with faults, so that every kind of test has something to count ------
+
+def _faulty(spark, sf_dir, *dims):
+    """Doubled fraud rows and merchants, NULL amounts and customers, a calendar
+    that ends early, and accounts of one brand missing."""
+    s = _checked_star(spark, sf_dir, *dims)
+    t = s.tables()
+    fact, merchant = t["fact_transactions"], t["dim_merchant"]
+    doubled = fact.unionByName(fact.filter("is_fraud"))
+    t["fact_transactions"] = doubled.withColumn(
+        "amount", F.when(F.col("date_key") % 97 != 0, F.col("amount")))
+    t["dim_merchant"] = merchant.unionByName(merchant.filter("merchant_category = 'Brand#12'"))
+    t["dim_customer"] = t["dim_customer"].withColumn(
+        "customer_key", F.when(F.col("state") != "FRANCE", F.col("customer_key")))
+    t["dim_account"] = t["dim_account"].filter("card_brand <> 'Visa'")
+    t["dim_date"] = marts.dim_date(spark, *PARTIAL_CALENDAR)
+    return t, s.rows
+
+
+def q_quality_report_faults(spark, sf_dir):
+    t, _ = _faulty(spark, sf_dir)
+    return quality.quality_report(t)
+
+
+def q_quality_report_faults_checked(spark, sf_dir):
+    t, rows = _faulty(spark, sf_dir, *DIMS)
+    return quality.quality_report(t, rows=rows)
+
+
+def q_guarded_select_limit(spark, sf_dir):
+    """An outer LIMIT above the cap is the query's own."""
+    adhoc.register_views(_star(spark, sf_dir).tables())
+    return adhoc.run_select(spark, ADHOC_LIMIT_SQL)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_csv": q_ingest_csv,
     "sample_n": q_sample_n,
@@ -401,6 +446,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_key": q_surrogate_key,
     "date_spine": q_date_spine,
     "build_all": q_build_all,
+    "build_report": q_build_report,
     "customer_age": q_customer_age,
     "card_masked": q_card_masked,
     "card_brand": q_card_brand,
@@ -437,16 +483,32 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top5_states_avg_checked": q_top5_states_avg_checked,
     "weekend_vs_weekday_checked": q_weekend_vs_weekday_checked,
     "quality_report_checked": q_quality_report_checked,
+    "quality_report_faults": q_quality_report_faults,
+    "quality_report_faults_checked": q_quality_report_faults_checked,
+    "guarded_select_limit": q_guarded_select_limit,
     "relationships_checked": q_relationships_checked,
 }
 
 W = O.with_star
 _KPI_SQL = """select cast(coalesce(sum(f.amount), 0) as decimal(38,2)) as total_spend,
        count(*) as txns,
-       case when count(*) = 0 then 0.0
-            else round(cast(sum(f.amount) as double) / count(*), 4) end as avg_txn,
+       {a} as avg_txn_micros,
        count(distinct f.customer_key) as customers
 from {j} where {w}"""
+# The average in millionths, half up, from cents and count.
+_MICROS = ("cast(case when count(f.amount) = 0 then 0 else (2 * cast(sum(f.amount) * 100 as hugeint) * 10000 "
+           "+ count(f.amount)) // (2 * count(f.amount)) end as bigint)")
+_FAULTS = """, f_fact as (select * exclude (amount), case when date_key % 97 <> 0 then amount end as amount
+  from (select * from fact_transactions union all select * from fact_transactions where is_fraud) x),
+f_merchant as (select * from dim_merchant union all
+  select * from dim_merchant where merchant_category = 'Brand#12'),
+f_customer as (select * exclude (customer_key),
+  case when state <> 'FRANCE' then customer_key end as customer_key from dim_customer),
+f_account as (select * from dim_account where card_brand <> 'Visa'),
+f_date as ({keys})
+"""
+_FAULTY = {"fact_transactions": "f_fact", "dim_merchant": "f_merchant", "dim_customer": "f_customer",
+           "dim_account": "f_account", "dim_date": "f_date"}
 _PARTIAL_KEYS = (f"select cast(strftime(d, '%Y%m%d') as integer) as date_key from "
                  f"generate_series(date '{PARTIAL_CALENDAR[0]}', date '{PARTIAL_CALENDAR[1]}'"
                  f" - interval 1 day, interval 1 day) t(d)")
@@ -470,7 +532,8 @@ _ORACLE: dict[str, str] = {
                        f"key_last_card, {O.skey('card_number', 'last_name')} as key_card_last "
                        f"from stg"),
     "date_spine": W("select full_date as date_day from dim_date"),
-    "build_all": W(O.quality_report_sql(quality.SUITE)),
+    "build_all": W(O.contents_sql(MART_SCHEMAS)),
+    "build_report": W(O.quality_report_sql(quality.SUITE)),
     "customer_age": W(f"select transaction_id, date_of_birth, cast(date_diff('year', "
                       f"date_of_birth, date '{AS_OF}') as integer) as age from stg"),
     "card_masked": W("select transaction_id, 'XXXX-XXXX-XXXX-' || right(card_number, 4) "
@@ -490,14 +553,16 @@ _ORACLE: dict[str, str] = {
     "relationships": W(f"select * from fact_transactions where date_key is not null and "
                        f"date_key not in ({_PARTIAL_KEYS})"),
     "quality_report": W(O.quality_report_sql(quality.SUITE)),
+    "quality_report_faults": W(_FAULTS.format(keys=_PARTIAL_KEYS)
+                               + O.quality_report_sql(quality.SUITE, _FAULTY)),
     "filter_where": W(f"select f.* from {FROM_JOIN} where {SQL_FILTER}"),
     "fact_merchant_join": W(_FACT_MERCHANT),
     "bounds": W("select cast(min(transaction_ts) as date) as min_d, "
                 "cast(max(transaction_ts) as date) as max_d from fact_transactions"),
     "category_list": W("select distinct merchant_category from dim_merchant order by 1"),
-    "kpis": W(_KPI_SQL.format(j=FROM_JOIN, w="true")),
-    "kpis_filtered": W(_KPI_SQL.format(j=FROM_JOIN, w=SQL_FILTER)),
-    "kpis_empty": W(_KPI_SQL.format(j=FROM_JOIN, w=SQL_EMPTY)),
+    "kpis": W(_KPI_SQL.format(a=_MICROS, j=FROM_JOIN, w="true")),
+    "kpis_filtered": W(_KPI_SQL.format(a=_MICROS, j=FROM_JOIN, w=SQL_FILTER)),
+    "kpis_empty": W(_KPI_SQL.format(a=_MICROS, j=FROM_JOIN, w=SQL_EMPTY)),
     "spend_by_category": W(f"select m.merchant_category as category, cast(sum(f.amount) as "
                            f"decimal(38,2)) as spend from {FROM_JOIN} group by 1 "
                            f"order by spend desc, category"),
@@ -520,8 +585,7 @@ _ORACLE: dict[str, str] = {
     "spend_by_brand": W("select a.card_brand, cast(sum(f.amount) as decimal(38,2)) as "
                         "total_spend from fact_transactions f join dim_account a on "
                         "f.account_key = a.account_key group by 1 order by total_spend desc"),
-    "top5_states_avg": W("select c.state, round(cast(sum(f.amount) as double) / count(*), 4) "
-                         "as avg_amount from fact_transactions f join dim_customer c on "
+    "top5_states_avg": W(f"select c.state, {_MICROS} as avg_amount_micros from  fact_transactions f join dim_customer c on "
                          "f.customer_key = c.customer_key group by 1 "
                          "order by sum(f.amount) / count(*) desc, state limit 5"),
     "weekend_vs_weekday": W("select d.is_weekend, count(*) as txn_count from "
@@ -532,6 +596,7 @@ _ORACLE: dict[str, str] = {
                            "f.customer_key = c.customer_key group by 1 "
                            "order by total_spend desc, state limit 5"),
     "guarded_select": W(ADHOC_SQL),
+    "guarded_select_limit": W(ADHOC_LIMIT_SQL),
 }
 # The join-first variants state the same results as their unchecked twins.
 _CHECKED_TWINS = {
@@ -543,6 +608,7 @@ _CHECKED_TWINS = {
     "top5_states_avg_checked": "top5_states_avg",
     "weekend_vs_weekday_checked": "weekend_vs_weekday",
     "quality_report_checked": "quality_report",
+    "quality_report_faults_checked": "quality_report_faults",
     "relationships_checked": "relationships",
 }
 for _name, _twin in _CHECKED_TWINS.items():

@@ -143,18 +143,36 @@ fact_transactions as ({FACT})
 {body}"""
 
 
-def quality_report_sql(suite) -> str:
-    """One SELECT per check of ``suite``, unioned (failures, passed)."""
+def contents_sql(schemas) -> str:
+    """Rows and content digest of each table (name -> StructType)."""
+    def text(name: str, kind: str) -> str:
+        if kind == "double":
+            name = f"cast(round({name} * 1000000) as bigint)"
+        elif kind.startswith("timestamp"):
+            name = f"strftime({name}, '%Y-%m-%d %H:%M:%S')"
+        return f"coalesce(cast({name} as varchar), '~')"
+
+    return "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as n_rows, cast(coalesce(sum(cast('0x' || substr(md5("
+        + " || '|' || ".join(text(f.name, f.dataType.simpleString()) for f in schema)
+        + f"), 1, 8) as bigint)), 0) as bigint) as digest from {t}" for t, schema in schemas.items())
+
+
+def quality_report_sql(suite, named=None) -> str:
+    """One SELECT per check of ``suite``, unioned (failures, passed).
+    ``named``: relations that stand in for models."""
+    named = named or {}
     parts = []
     for i, c in enumerate(suite, start=1):
+        model, to_model = named.get(c.model, c.model), named.get(c.to_model, c.to_model)
         if c.test == "not_null":
-            f = f"(select count(*) from {c.model} where {c.column} is null)"
+            f = f"(select count(*) from {model} where {c.column} is null)"
         elif c.test == "unique":
-            f = (f"(select count(*) from (select {c.column} from {c.model} where {c.column} "
+            f = (f"(select count(*) from (select {c.column} from {model} where {c.column} "
                  f"is not null group by {c.column} having count(*) > 1) u)")
         else:
-            f = (f"(select count(*) from {c.model} ch where ch.{c.column} is not null and not "
-                 f"exists (select 1 from {c.to_model} p where p.{c.to_column} = ch.{c.column}))")
+            f = (f"(select count(*) from {model} ch where ch.{c.column} is not null and not "
+                 f"exists (select 1 from {to_model} p where p.{c.to_column} = ch.{c.column}))")
         parts.append(f"select {i} as test_id, '{c.model}' as model, '{c.column}' as column_name, "
                      f"'{c.test}' as test, cast({f} as bigint) as failures")
     return ("select *, failures = 0 as passed from (\n" + "\nunion all\n".join(parts)
