@@ -79,6 +79,7 @@ def test_matches_brute_force_with_hot_shingles_and_small_blocks(spark, monkeypat
     monkeypatch.setattr(J, "BATCH_HOT", 3)
     monkeypatch.setattr(J, "BLOCK", 8)
     monkeypatch.setattr(J, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr("starmart.llm.components.FEW_LINKS", 0)
     check(spark, hard_rows())
 
 
