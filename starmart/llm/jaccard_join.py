@@ -15,17 +15,19 @@ components are formed and each document gets the smallest id of its own.
    the first ``s - l + 1`` of its s shared shingles.  A tile is one of those
    shingles and a band of sizes (ratio 4/3): its own band and visitors from
    the band below hold all pairs whose sizes allow a link.
-3. *First links.*  Each class is compared exactly with the tile leader it
-   meets most often.  That joins nearly all of a large group of copies by one
-   comparison a member.
+3. *First links.*  In a few rounds each class looks at its neighbours in a
+   few of its tiles and is compared exactly with the one whose bitmap promises
+   most, if that lies in another component.  Near copies, however many, grow
+   together by a few comparisons a member, not by all pairs.
 4. *The rest.*  Tiles whose members still lie in several components compare
-   only across them, by bitmaps: bits set in one signature and not in the
-   other bound the overlap from above.  Large tiles are cut into salted
-   blocks.  Pairs that pass are intersected exactly as sorted arrays.
+   all of them across components, by bitmaps: bits set in one signature and
+   not in the other bound the overlap from above.  Large tiles are cut into
+   salted blocks.  Pairs that pass are intersected exactly as sorted arrays,
+   so no link is missed whatever the rounds before have found.
 
 Hot groups: a shingle that is very frequent in a batch is sent once, marked as
-hot, instead of once a text; leaders and component minima are aggregated
-before their shuffle and joined back in joins that Spark splits when skewed.
+hot, instead of once a text; component minima are aggregated before
+their shuffle and joined back in joins that Spark splits when skewed.
 The texts read again for exact sets are selected by broadcast up to a bound on
 their number (8 bytes each), by a shuffle beyond it.
 
@@ -53,13 +55,20 @@ from starmart.llm.components import components
 WORDS = 5
 NUM, DEN = 75, 100  # similarity
 BAND = math.log(DEN / NUM)
-BITS = 512
-#: A shingle in more texts of one Arrow batch than this is sent as hot.
+BITS = 1024
+#: A shingle in more texts of one pack (of about so many bytes of text) than
+#: this is sent as hot.
 BATCH_HOT = 64
+PACK_BYTES = 8 << 20
 HOT = 2**31 - 1
 #: Target bytes of packed shingles in a task, members of a block of a tile.
 TASK_BYTES = 24 << 20
 BLOCK = 1024
+#: Tiles before a row's own that tell where a pair has met already.
+BEFORE = 4
+#: Rounds of first links; in each, the first tiles of a class and one of so
+#: many others, and the neighbours looked at on either side.
+ROUNDS, SKETCH, PART, REACH = 2, 4, 8, 16
 #: At most so many 8-byte text hashes are broadcast.
 BROADCAST_KEYS = 2_000_000
 
@@ -134,16 +143,18 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def packed_prefixes(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
-    """(bucket, hot, shingles, cids, marks): the prefixes of a batch's classes
-    as arrays, dealt by shingle.  Hot rows hold shingles known to be frequent;
-    ``marks`` tells their bucket."""
+    """(bucket, hot, shingles, cids, marks): the prefixes of some texts'
+    classes as arrays, dealt by shingle.  Hot rows hold shingles known to be
+    frequent; ``marks`` tells their bucket."""
+    names = ["bucket", "hot", "shingles", "cids", "marks"]
+    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
 
-    def pack(batch: pa.RecordBatch) -> dict:
+    def pack(column: pa.Array) -> pa.RecordBatch:
         seen: dict[int, np.ndarray] = {}
-        for s in shingle_sets(batch.column(0)):
+        for s in shingle_sets(column):
             if len(s):
                 seen.setdefault(class_id(s), s[:prefix_length(len(s))])
-        out: dict = {"bucket": [], "hot": [], "shingles": [], "cids": [], "marks": []}
+        rows: list[tuple] = []
         if seen:
             t = np.concatenate(list(seen.values()))
             c = np.repeat(np.fromiter(seen, dtype=np.int64, count=len(seen)), [len(x) for x in seen.values()])
@@ -155,25 +166,24 @@ def packed_prefixes(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
             marks = t[first][count > BATCH_HOT]
             place = (T.mix64(t) % np.uint64(buckets)).astype(np.int64)
             mark_place = (T.mix64(marks) % np.uint64(buckets)).astype(np.int64)
-
-            def add(bucket, is_hot, tt, cc, mm):
-                for k, v in zip(out, (int(bucket), is_hot, tt.tobytes(), cc.tobytes(), mm.tobytes()), strict=True):
-                    out[k].append(v)
-
             cold = np.flatnonzero(~hot)
             cold = cold[np.argsort(place[cold], kind="stable")]
             edges = np.searchsorted(place[cold], np.arange(buckets + 1))
-            none = np.zeros(0, dtype=np.uint64)
             for b in np.union1d(np.flatnonzero(np.diff(edges)), mark_place):
-                rows = cold[edges[b]:edges[b + 1]]
-                add(b, False, t[rows], c[rows], marks[mark_place == b])
+                own = cold[edges[b]:edges[b + 1]]
+                rows.append((int(b), False, t[own].tobytes(), c[own].tobytes(), marks[mark_place == b].tobytes()))
             if hot.any():  # to any bucket: nothing has to meet
-                add(int(c[hot][0]) % buckets, True, t[hot], c[hot], none)
-        kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-        return {k: pa.array(v, a) for (k, v), a in zip(out.items(), kinds, strict=True)}
+                rows.append((int(c[hot][0]) % buckets, True, t[hot].tobytes(), c[hot].tobytes(), b""))
+        columns = list(zip(*rows, strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in T.blocks(T.utf8(batch.column(0))[1], PACK_BYTES):
+                yield pack(batch.column(0).slice(i, j - i))
 
-    return map_batches(docs.select(text_col), pack,
-                       "bucket int, hot boolean, shingles binary, cids binary, marks binary")
+    return docs.select(text_col).mapInArrow(
+        run, "bucket int, hot boolean, shingles binary, cids binary, marks binary")
 
 
 def shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,32 +225,26 @@ def shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 # --- 2: tiles -----------------------------------------------------------------
 
 def tiles(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(shingle, band, cid, n): the shingles that a class may meet others by."""
+    """(shingle, band, cid, n, place): the shingles that a class may meet
+    others by, numbered by hash."""
     need = F.ceil(F.col("n") * NUM / DEN).cast("long")
     need = F.greatest(F.lit(1), F.floor(need / 10)).cast("long")  # level of the smallest partner
     by = Window.partitionBy("cid")
-    # Batches that share a class may both send its hot shingles: distinct, on
+    # Packs that share a class may both send its hot shingles: distinct, on
     # the same exchange by class that the join and the windows use.
     return (shared.repartition("cid").distinct().join(classes.select("cid", "n"), "cid")
             .withColumn("s", F.count("*").over(by))
             .withColumn("r", F.row_number().over(by.orderBy("df", "shingle")))
             .filter(F.col("r") <= F.col("s") - need + 1)
-            .select("shingle", F.floor(F.log("n") / BAND).cast("int").alias("band"), "cid", "n"))
-
-
-def leaders(tile: DataFrame) -> DataFrame:
-    """(cid, leader): the smallest member of its tiles that a class meets most
-    often."""
-    least = (tile.groupBy("shingle", "band").agg(F.min(F.struct("n", "cid")).alias("p"), F.count("*").alias("k"))
-             .filter("k > 1").select("shingle", "band", F.col("p.cid").alias("leader")))
-    met = tile.join(least, ["shingle", "band"]).filter("cid <> leader").groupBy("cid", "leader").count()
-    return met.groupBy("cid").agg(F.max(F.struct("count", "leader"))["leader"].alias("leader"))
+            .withColumn("place", F.row_number().over(by.orderBy("shingle")))
+            .select("shingle", F.floor(F.log("n") / BAND).cast("int").alias("band"), "cid", "n", "place"))
 
 
 # --- 3: exact comparison ------------------------------------------------------
 
 def exact_sets(docs: DataFrame, text_col: str, chosen: DataFrame, few: bool) -> DataFrame:
-    """(cid, n, shingles, bits) of the classes chosen by one text hash each."""
+    """(cid, n, shingles, bits) of the classes chosen by one text hash each,
+    one row a class."""
     keys = chosen.select("kh")
     texts = docs.select(text_col, F.xxhash64(text_col).alias("kh")).join(
         F.broadcast(keys) if few else keys, "kh", "left_semi").select(text_col)
@@ -253,12 +257,15 @@ def exact_sets(docs: DataFrame, text_col: str, chosen: DataFrame, few: bool) ->
                 "shingles": pa.array([s.tobytes() for s in got.values()], pa.binary()),
                 "bits": pa.array([signature(s) for s in got.values()], pa.binary())}
 
-    return map_batches(texts, sets, "cid long, n long, shingles binary, bits binary")
+    return map_batches(texts, sets, "cid long, n long, shingles binary, bits binary").dropDuplicates(["cid"])
 
 
 def exact_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets link, by intersection of sorted arrays."""
-    one = sets.groupBy("cid").agg(F.first("shingles").alias("shingles"))
+    """The pairs (u, v) of a written table whose sets link, by intersection
+    of sorted arrays."""
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
+    few = 2 * pairs.count() <= BROADCAST_KEYS
+    one = sets.select("cid", "shingles").join(F.broadcast(needed) if few else needed, "cid", "left_semi")
     x = one.select(F.col("cid").alias("u"), F.col("shingles").alias("x"))
     y = one.select(F.col("cid").alias("v"), F.col("shingles").alias("y"))
 
@@ -272,14 +279,79 @@ def exact_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(met, compare, "u long, v long")
 
 
+def overlap_bound(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Largest possible overlap of the sets of rows i and j."""
+    only_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
+    only_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
+    return np.minimum(n[i] - only_i, n[j] - only_j)
+
+
+def best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, score, partner): of rows sorted by tile (shingle, band, cid, n,
+    label, bits), each row's most promising neighbour of another component."""
+    for batch in batches:
+        col = {k: batch.column(k).to_numpy() for k in ("shingle", "band", "cid", "n", "label")}
+        bits = np.stack([np.frombuffer(b, dtype=np.uint64) for b in batch.column("bits").to_pylist()]
+                        or [np.zeros(BITS // 64, np.uint64)])
+        n, rows = col["n"], batch.num_rows
+        score, partner = np.zeros(rows), np.zeros(rows, dtype=np.int64)
+        for d in range(1, min(REACH, rows - 1) + 1):
+            i = np.flatnonzero((col["shingle"][d:] == col["shingle"][:-d]) & (col["band"][d:] == col["band"][:-d])
+                               & (col["label"][d:] != col["label"][:-d]))
+            j = i + d
+            most = overlap_bound(bits, n, i, j)
+            go = DEN * most >= NUM * (n[i] + n[j] - most)
+            i, j, share = i[go], j[go], most[go] / (n[i] + n[j] - most)[go]
+            for a, b in ((i, j), (j, i)):
+                more = share > score[a]
+                score[a[more]], partner[a[more]] = share[more], col["cid"][b[more]]
+        hit = score > 0
+        yield pa.RecordBatch.from_pydict({"cid": pa.array(col["cid"][hit]), "score": pa.array(score[hit]),
+                                          "partner": pa.array(partner[hit])})
+
+
+def with_labels(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("label", F.col("cid"))
+    return rows.join(labels.withColumnRenamed("u", "cid"), "cid", "left").withColumn(
+        "label", F.coalesce("m", "cid")).drop("m")
+
+
+def first_links(tile: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links that join most classes of each component, and the components
+    they make."""
+    links, labels = None, None
+    for k in range(ROUNDS):
+        # The same tiles for all their members, others in each round, and a
+        # few of every class; neighbours by an order of the round's own.
+        draw = F.pmod(F.xxhash64("shingle", F.lit(k)), F.lit(PART)) == 0
+        some = tile.filter((F.col("place") <= SKETCH) | draw).drop("place")
+        dealt = (with_labels(some, labels).join(sets.select("cid", "bits"), "cid")
+                 .select("shingle", "band", "cid", "n", "label", "bits").repartition("shingle", "band")
+                 .sortWithinPartitions("shingle", "band", F.xxhash64("cid", F.lit(k))))
+        best = dealt.mapInArrow(best_partners, "cid long, score double, partner long").groupBy("cid").agg(
+            F.max(F.struct("score", "partner"))["partner"].alias("p"))
+        pairs = written(best.select(F.least("cid", "p").alias("u"), F.greatest("cid", "p").alias("v")).distinct(),
+                        "pairs")
+        new = written(exact_links(pairs, sets), "links")
+        if links is not None and new.isEmpty():
+            break
+        links = new if links is None else links.unionByName(new)
+        labels = components(links)
+    return links, labels
+
+
 # --- 4: tiles that still lie in several components ----------------------------
 
 def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of sorted tile rows (tile, s, t, salt, visitor, cid, n,
-    label, bits): of different components, sizes and bitmaps allowing a link.
+    label, before, bits): of different components, sizes and bitmaps allowing
+    a link.
 
     Row i is compared with row i + d for all d while tiles reach that far, so
-    any number of small tiles costs a few array operations.
+    any number of small tiles costs a few array operations.  A pair that
+    shares one of its classes' tiles just before this one has met there, and
+    isn't repeated here (in the first tile of two classes it never has).
     """
     kept: pa.Table | None = None
 
@@ -287,7 +359,8 @@ def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             return
         col = {k: rows.column(k).to_numpy() for k in
-               ("shingle", "band", "s", "t", "salt", "visitor", "cid", "n", "label")}
+               ("shingle", "band", "s", "t", "salt", "visitor", "cid", "n", "label",
+                *(f"p{k}" for k in range(1, BEFORE + 1)))}
         bits = np.stack([np.frombuffer(b, dtype=np.uint64) for b in rows.column("bits").to_pylist()])
         new = np.zeros(rows.num_rows, dtype=bool)
         for k in ("shingle", "band", "s", "t"):
@@ -305,11 +378,14 @@ def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
             go = cross & (DEN * small >= NUM * large)
             i, j = i[go], j[go]
-            only_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
-            only_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[i] - only_i, n[j] - only_j)
+            most = overlap_bound(bits, n, i, j)
             go = DEN * most >= NUM * (n[i] + n[j] - most)
-            a, b = col["cid"][i[go]], col["cid"][j[go]]
+            i, j = i[go], j[go]
+            met = np.zeros(len(i), dtype=bool)
+            for k in range(1, BEFORE + 1):
+                for m in range(1, BEFORE + 1):
+                    met |= (col[f"p{k}"][i] == col[f"p{m}"][j]) & (col[f"p{k}"][i] != 0)
+            a, b = col["cid"][i[~met]], col["cid"][j[~met]]
             u.append(np.minimum(a, b))
             v.append(np.maximum(a, b))
         if u:
@@ -334,8 +410,7 @@ def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def open_pairs(tile: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidate pairs across components, distinct."""
-    marked = tile.join(labels.withColumnRenamed("u", "cid"), "cid", "left").withColumn(
-        "label", F.coalesce("m", "cid")).drop("m")
+    marked = with_labels(tile.drop("place"), labels)
     both = marked.withColumn("visitor", F.lit(False)).unionByName(
         marked.withColumn("band", F.col("band") + 1).withColumn("visitor", F.lit(True)))
     still = (both.groupBy("shingle", "band").agg(
@@ -343,12 +418,15 @@ def open_pairs(tile: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame
         F.bool_or(~F.col("visitor")).alias("own"))
         .filter("lo < hi and own").select("shingle", "band", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
     salt = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    tiles_of = Window.partitionBy("cid", "band").orderBy("shingle")
+    before = {f"p{k}": F.lag("shingle", k, 0).over(tiles_of) for k in range(1, BEFORE + 1)}
     rows = (both.join(still, ["shingle", "band"]).withColumn("salt", salt)
+            .repartition("cid").withColumns(before)
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("s", F.least("salt", "o")).withColumn("t", F.greatest("salt", "o")))
-    bits = sets.groupBy("cid").agg(F.first("bits").alias("bits"))
+    bits = sets.select("cid", "bits")
     key = ["shingle", "band", "s", "t"]
-    dealt = (rows.join(bits, "cid").select(*key, "salt", "visitor", "cid", "n", "label", "bits")
+    dealt = (rows.join(bits, "cid").select(*key, "salt", "visitor", "cid", "n", "label", *before, "bits")
              .repartition(*key).sortWithinPartitions(*key))
     return dealt.mapInArrow(tile_pairs, "u long, v long").distinct()
 
@@ -368,12 +446,11 @@ def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     shared = packed_prefixes(docs, text_col, 4 * tasks).repartition(tasks, "bucket").mapInArrow(
         shared_shingles, "cid long, shingle long, df int")
     tile = written(tiles(shared, classes), "tiles")
-    leader = written(leaders(tile), "leaders")
     chosen = written(tile.select("cid").distinct().join(classes, "cid").select("cid", "kh"), "chosen")
     sets = written(exact_sets(docs, text_col, chosen, chosen.count() <= BROADCAST_KEYS), "sets")
-    first = written(exact_links(leader.select(F.col("cid").alias("u"), F.col("leader").alias("v")), sets), "links")
-    rest = exact_links(open_pairs(tile, components(first), sets), sets)
-    label = components(written(first.unionByName(rest), "links"))
+    first, joined_now = first_links(tile, sets)
+    rest = written(exact_links(written(open_pairs(tile, joined_now, sets), "pairs"), sets), "links")
+    label = joined_now if rest.isEmpty() else components(first.unionByName(rest))
     named = classes.select("cid", "first").join(label.withColumnRenamed("u", "cid"), "cid", "left").withColumn(
         "m", F.coalesce("m", "cid"))
     least = named.groupBy("m").agg(F.min("first").alias("least"))
