@@ -48,7 +48,7 @@ def main() -> None:
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
-    fa, dm = s.fact_transactions, s.dim_merchant
+    fa, dm = s.facts(), s.dim_merchant
     # checked dimension sizes of the written warehouse pick each report's plan
     rm, ra, rc, rd = (s.dim_rows(d) for d in
                       ("dim_merchant", "dim_account", "dim_customer", "dim_date"))
@@ -77,7 +77,7 @@ def main() -> None:
             spark, "select d.year, d.month, count(*) as txns, sum(f.amount) as spend "
                    "from fact_transactions f join dim_date d on f.date_key = d.date_key "
                    "group by d.year, d.month").collect(),
-        "sample_n": lambda: noop(sample_n(spark.table("raw.raw_transactions"), 50_000)),
+        "sample_n": lambda: noop(sample_n(b.warehouse.read("raw", "raw_transactions"), 50_000)),
         "unique_fact_id": lambda: quality.unique(fa, "transaction_id").collect(),
     }
     warm: dict[str, float] = {}

@@ -39,6 +39,10 @@ RESERVED_RENAMES = {"first": "cust_first", "last": "cust_last", "long": "home_lo
 INDEX_ALIASES = ("_c0", "unnamed: 0")
 INDEX_COLUMN = "trans_index"
 
+# Partition column of the written fact: the month of the timestamp as yyyymm.
+# Only the stored table has it, no public schema.
+FACT_MONTH = "_month"
+
 # Seed for the repeatable sample of RAW rows.
 SAMPLE_SEED = 42
 

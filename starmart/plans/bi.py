@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.constants import FACT_MONTH
 from starmart.plans.rollup import SPEND, TXNS, fits_broadcast, rollup
 
 
@@ -57,8 +58,24 @@ def category_predicate(f: Filters, col: str = "merchant_category") -> Column:
     return F.col(col).isin(list(f.categories))
 
 
+def month_predicate(f: Filters) -> Column:
+    """The months the date range touches, on the stored fact's partition
+    column: other folders are never listed or opened."""
+    cond = F.lit(True)
+    for bound, compare in ((f.start, "__ge__"), (f.end, "__le__")):
+        if bound is not None:
+            d = _date(bound)
+            cond = cond & getattr(F.col(FACT_MONTH), compare)(F.lit(d.year * 100 + d.month))
+    return cond
+
+
 def _fact(fact: DataFrame, f: Filters) -> DataFrame:
-    return fact.filter(ts_predicate(f)) if (f.start or f.end) else fact
+    """The fact inside the date range, without the partition column."""
+    if f.start or f.end:
+        if FACT_MONTH in fact.columns:
+            fact = fact.filter(month_predicate(f))
+        fact = fact.filter(ts_predicate(f))
+    return fact.drop(FACT_MONTH)
 
 
 def _merchants(dim_merchant: DataFrame, f: Filters, *cols: str) -> DataFrame:

@@ -25,10 +25,16 @@ class Star:
     dim_merchant: DataFrame
     dim_date: DataFrame
     fact_transactions: DataFrame
+    #: The written fact with its partition column, for reports with dates.
+    fact_months: DataFrame | None = None
     #: Row counts of dimensions whose size was checked (written tables);
     #: reports use them to decide whether a dimension may be broadcast.
     rows: Mapping[str, int] = field(default_factory=dict)
 
+    def facts(self) -> DataFrame:
+        """The fact for reports: with the partition column if it has one."""
+        return self.fact_transactions if self.fact_months is None else self.fact_months
+
     def dim_rows(self, name: str) -> int | None:
         return self.rows.get(name)
 

@@ -80,8 +80,9 @@ class Warehouse:
                            f"LOCATION '{self.root}/{layer}'")
 
     def write(self, df: DataFrame, layer: str, table: str,
-              partition_by: Sequence[str] | None = None) -> DataFrame:
+              partition_by: Sequence[str] | None = None, entry: str | None = None) -> DataFrame:
         """Replace ``layer.table`` with ``df``; return the table read back.
+        ``entry``: another name for it in the catalog.
 
         A table whose columns stay the same keeps its catalog entry, so its
         readers never find it missing; a changed schema replaces the entry.
@@ -89,7 +90,7 @@ class Warehouse:
         path = self.path(layer, table)
         options = {"overwriteSchema": "true"} if self.fmt == "delta" else None
         write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by, options=options)
-        name, catalog = f"{self.database(layer)}.{table}", self.spark.catalog
+        name, catalog = f"{self.database(layer)}.{entry or table}", self.spark.catalog
         written = self.read(layer, table)
         if catalog.tableExists(name) and _columns(self.spark.table(name)) == _columns(written):
             catalog.refreshTable(name)
@@ -100,6 +101,15 @@ class Warehouse:
             catalog.recoverPartitions(name)
         return written
 
+    def view(self, layer: str, name: str, source: str, columns: Sequence[str]) -> None:
+        """A catalog view ``layer.name`` of columns of the entry ``source``."""
+        db = self.database(layer)
+        if self.spark.catalog.tableExists(f"{db}.{name}") and self.spark.catalog.getTable(
+                f"{db}.{name}").tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {db}.{name}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS SELECT "
+                       f"{', '.join(f'`{c}`' for c in columns)} FROM {db}.{source}")
+
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path(layer, table))
 

@@ -146,3 +146,24 @@ def test_report_scans_the_fact_at_most_three_times(built, spark):
             assert all(r.passed for r in report.collect())
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_date_filters_prune_months(built, spark):
+    """B1/B6/B7 on the written fact list and read only the range's folders;
+    no schema shows the partition column."""
+    from starmart.constants import FACT_MONTH
+    from starmart.schemas import FACT_TRANSACTIONS, same_columns
+    s = built.star
+    f = bi.Filters(start="1996-11-15", end="1997-02-10")
+    for df in (bi.filter_where(s.facts(), s.dim_merchant, f), bi.spend_by_category(s.facts(), s.dim_merchant, f),
+               bi.spend_by_month(s.facts(), s.dim_merchant, f)):
+        p = plan(df)
+        assert f"{FACT_MONTH}" in p.split("PartitionFilters: [")[1].split("]")[0]
+        assert FACT_MONTH not in df.columns
+    rows = bi.filter_where(s.facts(), s.dim_merchant, f)
+    assert sorted(rows.collect()) == sorted(bi.filter_where(s.fact_transactions, s.dim_merchant, f).collect())
+    assert same_columns(s.fact_transactions.schema, FACT_TRANSACTIONS)
+    view = spark.table(f"{built.warehouse.database('marts')}.fact_transactions")
+    assert same_columns(view.schema, FACT_TRANSACTIONS) and view.count() == 6000
+    months = s.fact_months.select(FACT_MONTH).distinct().count()
+    assert len(s.fact_months.inputFiles()) <= 2 * months  # no file for every task and month
