@@ -30,13 +30,22 @@ def content_key(text: F.Column) -> F.Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what the last one left in Arrow's pool goes back to the
+    system before the next, as workers share an executor's memory."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict],
                 schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch that returns its output
     columns (a dict of arrays) or a whole batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             out = fn(batch)
             yield (out if isinstance(out, pa.RecordBatch)
                    else pa.RecordBatch.from_pydict(out))

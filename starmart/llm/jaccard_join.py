@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starmart.llm import textnp as T
-from starmart.llm.common import map_batches, written
+from starmart.llm.common import map_batches, trimmed, written
 from starmart.llm.components import components
 
 WORDS = 5
@@ -59,10 +59,10 @@ BITS = 1024
 #: A shingle in more texts of one pack (of about so many bytes of text) than
 #: this is sent as hot.
 BATCH_HOT = 64
-PACK_BYTES = 8 << 20
+PACK_BYTES = 4 << 20
 HOT = 2**31 - 1
 #: Target bytes of packed shingles in a task, members of a block of a tile.
-TASK_BYTES = 24 << 20
+TASK_BYTES = 16 << 20
 BLOCK = 1024
 #: Tiles before a row's own that tell where a pair has met already.
 BEFORE = 4
@@ -178,7 +178,7 @@ def packed_prefixes(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for i, j in T.blocks(T.utf8(batch.column(0))[1], PACK_BYTES):
                 yield pack(batch.column(0).slice(i, j - i))
 
@@ -198,7 +198,7 @@ def shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "df": pa.array(df[part], pa.int32())})
 
     ts, cs, ms = [], [], []
-    for batch in batches:
+    for batch in trimmed(batches):
         for _, hot, t, c, m in zip(*(col.to_pylist() for col in batch.columns), strict=True):
             t, c = np.frombuffer(t, dtype=np.uint64), np.frombuffer(c, dtype=np.int64)
             if hot:
@@ -289,7 +289,7 @@ def overlap_bound(bits: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray)
 def best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, score, partner): of rows sorted by tile (shingle, band, cid, n,
     label, bits), each row's most promising neighbour of another component."""
-    for batch in batches:
+    for batch in trimmed(batches):
         col = {k: batch.column(k).to_numpy() for k in ("shingle", "band", "cid", "n", "label")}
         bits = np.stack([np.frombuffer(b, dtype=np.uint64) for b in batch.column("bits").to_pylist()]
                         or [np.zeros(BITS // 64, np.uint64)])
@@ -394,7 +394,7 @@ def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = found[k:k + (1 << 16)]
                 yield pa.RecordBatch.from_pydict({"u": pa.array(part[:, 0]), "v": pa.array(part[:, 1])})
 
-    for batch in batches:
+    for batch in trimmed(batches):
         table = pa.Table.from_batches([batch])
         kept = pa.concat_tables([kept, table]) if kept is not None else table
         last = np.ones(kept.num_rows, dtype=bool)

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from starmart.llm.common import trimmed
 from starmart.llm.textnp import LOWER, blocks, byte_spans, sums, utf8
 
 
@@ -277,7 +278,7 @@ def packed(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             waiting = [(place[a], b, c) for a, b, c in rest]
             held = sum(p[2] for p in rest)
 
-        for batch in batches:
+        for batch in trimmed(batches):
             like = batch.schema.field(0).type
             _, offsets = utf8(batch.column(1))
             for i, j in blocks(offsets):
