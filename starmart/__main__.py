@@ -58,36 +58,46 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--sample", type=int, default=None)
         c.add_argument("--multi-line", action="store_true",
                        help="line breaks inside quoted fields (one task per file)")
+        c.add_argument("--na-values", nargs="*", default=None, metavar="TEXT",
+                       help="field texts that mean NULL, besides the empty field")
+        c.add_argument("--format", default="parquet", help="table format of the warehouse")
         if name == "build":
             c.add_argument("--calendar", nargs=2, metavar=("START", "END"), default=None)
+            c.add_argument("--as-of", default=None, help="day that customer ages are counted to")
+            c.add_argument("--lenient", action="store_true", help="text that does not parse becomes NULL")
+            c.add_argument("--staging-table", action="store_true", help="write staging as a table")
     r = sub.add_parser("report")
     r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--warehouse", required=True)
+    r.add_argument("--format", default="parquet")
     r.add_argument("--start")
     r.add_argument("--end")
     r.add_argument("--category", action="append", default=[])
     q = sub.add_parser("sql")
     q.add_argument("query")
     q.add_argument("--warehouse", required=True)
+    q.add_argument("--format", default="parquet")
     q.add_argument("--max-rows", type=int, default=1000)
     args = p.parse_args(argv)
 
     spark = get_session()
     if args.cmd in ("load", "build"):
-        raw = ingest_csv(spark, args.csv, sample=args.sample, multi_line=args.multi_line)
-        wh = Warehouse(spark, args.warehouse.rstrip("/"))
+        raw = ingest_csv(spark, args.csv, sample=args.sample, na_values=args.na_values,
+                         multi_line=args.multi_line)
+        wh = Warehouse(spark, args.warehouse.rstrip("/"), args.format)
         if args.cmd == "load":
             done = load_raw_counted(wh, raw)
             print(f"{done.rows_loaded:,} rows loaded, {done.rows_held:,} in raw_transactions.")
             return 0
         b = build_all(spark, raw, warehouse=wh,
-                      calendar=tuple(args.calendar) if args.calendar else None)
+                      calendar=tuple(args.calendar) if args.calendar else None,
+                      as_of=args.as_of, strict=not args.lenient, staging_table=args.staging_table)
         rows = b.report.collect()
         for row in rows:
             print(f"{'PASS' if row.passed else 'FAIL'} {row.test} {row.model}.{row.column_name}"
                   f" ({row.failures} failing)")
         return 0 if all(row.passed for row in rows) else 1
-    star = open_star(spark, args.warehouse)
+    star = open_star(spark, args.warehouse, args.format)
     if args.cmd == "report":
         f = bi.Filters(args.start, args.end, tuple(args.category))
         REPORTS[args.name](star, f).show(truncate=False)

@@ -16,8 +16,8 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Cast and rename RAW text into ``stg_transactions``.
 
     ``strict`` (default) raises on text that does not parse, as the source
-    warehouse does; ``strict=False`` turns it into NULL (``try_cast``) so the
-    quality tests report it instead.  A single projection: Catalyst prunes
+    warehouse does, whatever the session's ANSI setting; ``strict=False``
+    turns it into NULL so the quality tests report it instead.  A single projection: Catalyst prunes
     unused RAW columns at the scan.
     """
     missing = _missing(raw)
@@ -26,7 +26,11 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
 
     def cast(name: str, to) -> Column:
         c = F.col(name)
-        return c.cast(to) if strict else c.try_cast(to)
+        value = c.try_cast(to)
+        if not strict:
+            return value
+        refuse = F.raise_error(F.concat(F.lit(f"{name} does not parse: "), c)).cast(to)
+        return F.coalesce(value, F.when(c.isNotNull(), refuse))
 
     return raw.select(
         F.col("trans_num").alias("transaction_id"),
@@ -50,6 +54,6 @@ def stage_transactions(raw: DataFrame, strict: bool = True) -> DataFrame:
         cast("unix_time", "long").alias("unix_time"),
         cast("merch_lat", "double").alias("merch_lat"),
         cast("merch_long", "double").alias("merch_long"),
-        # "0"/"1" in the data: via int, so "1" -> true, "0" -> false.
+        # A number in text; one means fraud.
         (cast("is_fraud", "int") == 1).alias("is_fraud"),
     )

@@ -23,6 +23,7 @@ from starmart.operators import marts
 from starmart.operators.quality import quality_report
 from starmart.operators.staging import stage_transactions
 from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
+from starmart.schemas import MART_SCHEMAS, STG_TRANSACTIONS, conform
 from starmart.sizing import checked_rows
 from starmart.sources.tables import Warehouse, load_raw
 
@@ -68,7 +69,7 @@ def build_all(
     """
     wh = warehouse or Warehouse.fresh(spark)
     raw_t = load_raw(wh, raw)
-    stg = stage_transactions(raw_t, strict=strict)
+    stg = conform(stage_transactions(raw_t, strict=strict), STG_TRANSACTIONS, "stg_transactions")
     # Which staging form this build made; readers follow it, so a table left
     # by an earlier build of the same root is never taken for this one's.
     wh.write(spark.range(1).select(F.lit(staging_table).alias(STAGED)), "staging", BUILD_INFO)
@@ -77,6 +78,8 @@ def build_all(
     else:
         stg.createOrReplaceTempView("stg_transactions")
     lazy = star_from_staging(spark, stg, calendar=calendar, as_of=as_of)
+    for m, schema in MART_SCHEMAS.items():
+        conform(getattr(lazy, m), schema, m)
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         jobs: dict[str, Future] = {}
         for m in SUBMIT_ORDER:

@@ -1,6 +1,7 @@
 """Schema of every layer (StructType constants)."""
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 S, D, L, I, B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.BooleanType()
@@ -75,6 +76,13 @@ MART_SCHEMAS = {
 }
 
 
+def conform(df: DataFrame, expected: T.StructType, name: str) -> DataFrame:
+    """``df`` if it has the layer's columns and types, in order; else an error."""
+    if not same_columns(df.schema, expected):
+        raise TypeError(f"{name} has {df.schema.simpleString()}, the layer declares {expected.simpleString()}")
+    return df
+
+
 def same_columns(actual: T.StructType, expected: T.StructType) -> bool:
     """Names and types equal, in order (nullability ignored)."""
     return [(f.name, f.dataType) for f in actual.fields] == [

@@ -17,4 +17,7 @@ def test_cli_build_report_sql(spark, sf_dir, capsys):
     assert "total_spend" in capsys.readouterr().out
     assert main(["sql", "select count(*) as n from fact_transactions", "--warehouse", root]) == 0
     assert "6000" in capsys.readouterr().out
+    assert main(["build", "--csv", csv, "--warehouse", root, "--staging-table", "--lenient", "--as-of", "2025-06-30",
+                 "--na-values", "NA"]) == 0
+    capsys.readouterr()
     assert main(["sql", "drop table fact_transactions", "--warehouse", root]) == 1

@@ -316,3 +316,27 @@ def test_csv_line_breaks_headers_and_blank_index(spark, tmp_path):
     assert read_csv(spark, _csv(tmp_path, "none", "a,b\n")).collect() == []
     with pytest.raises(ValueError, match="header"):
         read_csv(spark, _csv(tmp_path, "empty", ""))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_staging_raises_under_any_ansi_setting(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for field in ("amt", "dob", "trans_date_trans_time", "is_fraud"):
+            with pytest.raises(Exception, match=f"{field} does not parse: bad"):
+                stage_transactions(raw_df(spark, [raw_row(**{field: "bad"})])).collect()
+        assert stage_transactions(raw_df(spark, [raw_row(amt=None)])).first().amount is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_layer_contract():
+    from starmart.schemas import FACT_TRANSACTIONS, conform
+
+    class Frame:
+        schema = STG_TRANSACTIONS
+
+    with pytest.raises(TypeError, match="fact"):
+        conform(Frame(), FACT_TRANSACTIONS, "fact")
+    assert conform(Frame(), STG_TRANSACTIONS, "stg") is not None
