@@ -24,6 +24,7 @@ empty tables give empty or clean results; other columns are ignored
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame
@@ -36,46 +37,72 @@ SHARE = 20  # contaminated: SHARE * hit words >= words
 
 
 def words_of(text: F.Column) -> F.Column:
+    """The words in order (null text: none): what lies between runs of other
+    characters, without the empty ends."""
     ascii_only = F.octet_length(text) == F.length(text)
     lowered = F.when(ascii_only, F.lower(text)).otherwise(
         F.translate(text, ascii_uppercase, ascii_lowercase))
-    return F.regexp_extract_all(F.coalesce(lowered, F.lit("")),
-                                F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    parts = F.split(F.coalesce(lowered, F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return F.transform(F.array(parts), _without_ends)[0]
 
 
-def _starts(n: F.Column, length: int) -> F.Column:
-    """1-based starts of all runs of ``length`` in n things."""
-    return F.when(n >= length, F.sequence(F.lit(1), n - (length - 1))).otherwise(
-        F.array().cast("array<int>"))
+def _without_ends(parts: F.Column) -> F.Column:
+    first = (parts[0] == "").cast("int")
+    last = ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
+    return F.slice(parts, first + 1, F.size(parts) - first - last)
 
 
 def with_words(df: DataFrame) -> DataFrame:
-    """Adds _words and _h, the hash of each word, for column ``_text``."""
+    """Adds _words and _g1, the hash of each word, for column ``_text``."""
     return (df.withColumn("_words", words_of(F.col("_text")))
             .withColumn("_n", F.size("_words"))
-            .withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w))))
+            .withColumn("_g1", F.transform("_words", lambda w: F.xxhash64(w))))
 
 
-def grams(k: int) -> F.Column:
-    """Hashes of all k-word grams, in order."""
-    return F.transform(_starts(F.size("_h"), k), lambda i: F.xxhash64(F.slice("_h", i, k)))
+def _combined(one: str, shift: int, other: str, with_: Callable, n: F.Column) -> F.Column:
+    """The first n of ``with_(one[i], other[i + shift])``."""
+    moved = F.slice(other, shift + 1, F.greatest(F.size(other) - shift, F.lit(0)))
+    return F.slice(F.zip_with(one, moved, with_), 1, F.greatest(n, F.lit(0)))
 
 
-def with_grams(df: DataFrame, lengths: list[int]) -> DataFrame:
-    """Adds _g{k}, the hashes of k-word grams, for the windows' gram sizes."""
-    for k in sorted({min(n, GRAM) for n in lengths}):
-        df = df.withColumn(f"_g{k}", grams(k))
-    return df
+def _tagger(tag: F.Column) -> Callable:
+    """Fingerprints of short windows differ by the window's length."""
+    return lambda x: F.xxhash64(x, tag)
+
+
+#: k-gram hash from two shorter ones: k -> (first, its length, second).
+_GRAM_OF = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (4, 2)}
+
 
+def with_prints(df: DataFrame, lengths: list[int]) -> DataFrame:
+    """Adds _p{L} for each window length L: the fingerprint of every window of
+    L words, in order.  Gram hashes and sliding minima are built by doubling,
+    a few array operations whatever the length."""
 
-def window_prints(length: int) -> F.Column:
-    """The fingerprint of every window of ``length`` words, in order."""
-    k = min(length, GRAM)
-    g, span = f"_g{k}", length - k + 1
-    least = F.transform(_starts(F.size(g), span), lambda i: F.array_min(F.slice(g, i, span)))
-    if length == WINDOW:
-        return least
-    return F.transform(least, lambda x: F.xxhash64(x, F.lit(length)))
+    def add(name: str, value: F.Column) -> None:
+        nonlocal df
+        if name not in df.columns:
+            df = df.withColumn(name, value)
+
+    def gram(k: int) -> str:
+        if k > 1:
+            a, b = _GRAM_OF[k]
+            one, other = gram(a), gram(b)
+            add(f"_g{k}", _combined(one, a, other, lambda x, y: F.xxhash64(x, y), F.size("_g1") - (k - 1)))
+        return f"_g{k}"
+
+    for length in lengths:
+        k = min(length, GRAM)
+        span, least, wide = length - k + 1, gram(k), 1
+        while wide < span:
+            step = min(wide, span - wide)
+            name = f"_m{k}_{wide + step}"
+            add(name, _combined(least, step, least, lambda x, y: F.least(x, y),
+                                F.size(f"_g{k}") - (wide + step - 1)))
+            least, wide = name, wide + step
+        tag = F.lit(length)
+        add(f"_p{length}", F.col(least) if length == WINDOW else F.transform(least, _tagger(tag)))
+    return df
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -88,9 +115,9 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
         lambda i: F.slice("_words", i, WINDOW))).alias("_words"))
     grouped = (cut.groupBy(F.array_join("_words", " ").alias("window"), "length")
                .agg(F.sort_array(F.collect_set("item")).alias("items")))
-    again = grouped.withColumn("_h", F.transform(F.split("window", " "), lambda w: F.xxhash64(w)))
-    again = with_grams(again, list(range(1, WINDOW + 1)))
-    pick = F.coalesce(*(F.when(F.col("length") == n, window_prints(n)[0]) for n in range(1, WINDOW + 1)))
+    again = grouped.withColumn("_g1", F.transform(F.split("window", " "), lambda w: F.xxhash64(w)))
+    again = with_prints(again, list(range(1, WINDOW + 1)))
+    pick = F.coalesce(*(F.when(F.col("length") == n, F.get(f"_p{n}", F.lit(0))) for n in range(1, WINDOW + 1)))
     return again.select("window", "length", pick.alias("print"), "items")
 
 
@@ -103,9 +130,9 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
     base = docs.select(*id_cols, content_key(F.col(text_col)).alias("_key"),
                        F.col(text_col).alias("_text"))
     prints = written(
-        with_grams(with_words(base), lengths).select(
+        with_prints(with_words(base), lengths).select(
             *id_cols, "_key", "_n",
-            F.array_distinct(F.concat(*(window_prints(n) for n in lengths))).alias("_prints")),
+            F.array_distinct(F.concat(*(F.col(f"_p{n}") for n in lengths))).alias("_prints")),
         "prints")
     known = written(bench.select("print").distinct(), "known")
     hits = written(
@@ -116,10 +143,10 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
     texts = (docs.select(content_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
              .join(hits, "_key").groupBy("_key")
              .agg(F.first("_text").alias("_text"), F.first("_hits").alias("_hits")))
-    cut = with_grams(with_words(texts), lengths)
+    cut = with_prints(with_words(texts), lengths)
 
     def chosen(length: int) -> F.Column:
-        spots = F.transform(window_prints(length), lambda p, i: F.when(
+        spots = F.transform(f"_p{length}", lambda p, i: F.when(
             F.array_contains("_hits", p), F.struct(
                 (i + 1).alias("at"), F.lit(length).alias("length"),
                 F.array_join(F.slice("_words", i + 1, length), " ").alias("window"))))
