@@ -39,7 +39,7 @@ CONTROL = r"(<)(\|(?:turn|text|end)\|>|/?s>|/?<?/?SYS>>)|(\[)(/?INST\])"
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LOSS_ROLE = "assistant"
 CHUNK = 1000  # characters of one streamed delta
-HALF = 0.5
+DRAFT = 40  # characters typed or streamed before an edit or a regeneration
 
 
 def escaped(text: F.Column) -> F.Column:
@@ -54,11 +54,13 @@ def unescaped(text: F.Column) -> F.Column:
 def events_of_turns(turns: DataFrame) -> DataFrame:
     """The event log behind a table of turns (conv_id, turn, role, text).
 
-    Streamed in chunks; user turns were typed in half and then edited to
-    their final text, assistant turns broke off halfway and were regenerated.
+    Streamed in chunks; user turns were begun and then edited to their final
+    text, assistant turns broke off and were regenerated.  Each row is a
+    message of its own: equal rows differ by their place in the input, which
+    a retried task numbers alike.
     """
     text = F.coalesce("text", F.lit(""))
-    half = F.substring(text, F.lit(1), (F.length(text) * HALF).cast("int"))
+    draft = F.substring(text, 1, DRAFT)
     n = F.ceil(F.length(text) / CHUNK).cast("int")
     chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(
         F.array().cast("array<int>")), lambda i: F.struct(
@@ -69,14 +71,13 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
 
     role = F.coalesce("role", F.lit(""))
     opened = F.array(event("start", F.lit("")))
-    log = (F.when(role == "user", F.concat(opened, F.array(event("delta", half), event("edit", text))))
+    log = (F.when(role == "user", F.concat(opened, F.array(event("delta", draft), event("edit", text))))
            .when(role == "assistant", F.concat(
-               opened, F.array(event("delta", half), event("regenerate", F.lit(""))), chunks))
+               opened, F.array(event("delta", draft), event("regenerate", F.lit(""))), chunks))
            .otherwise(F.concat(opened, chunks)))
-    rows = (turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
-            .groupBy("conv_id", "turn", "role", "text").count()
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count")))))
-    key = F.struct("turn", "role", F.xxhash64("text").alias("tie"), "copy")
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                        F.monotonically_increasing_id().alias("place"))
+    key = F.struct("turn", "role", F.xxhash64("text").alias("tie"), "place")
     return (rows.select("conv_id", key.alias("message_id"), "role", F.posexplode(log))
             .select("conv_id", "message_id",
                     F.struct("message_id", F.col("pos").alias("part")).alias("seq"),
@@ -118,14 +119,14 @@ def read_back(formatted: DataFrame) -> DataFrame:
     inner = F.expr(f"substring(formatted, {len(TURN) + 1}, "
                    f"length(formatted) - {len(TURN) + len(END) + 1})")
     cut = F.locate(TEXT, F.col("inner"))
+    masked = unescaped(F.substring("formatted", F.col("loss_start") + 1,
+                                   F.col("loss_end") - F.col("loss_start")))
     turns = (formatted.withColumn("inner", inner).select(
         "conv_id", "position",
-        F.concat(unescaped(F.expr(f"substring(inner, 1, locate('{TEXT}', inner) - 1)")), F.lit("\n"),
-                 unescaped(F.substring("inner", cut + len(TEXT), F.length("inner"))),
-                 F.lit("\n")).alias("turn"),
-        unescaped(F.substring("formatted", F.col("loss_start") + 1,
-                              F.col("loss_end") - F.col("loss_start"))).alias("loss"),
-        F.length("formatted").alias("chars"))
+        unescaped(F.expr(f"substring(inner, 1, locate('{TEXT}', inner) - 1)")).alias("role"),
+        unescaped(F.substring("inner", cut + len(TEXT), F.length("inner"))).alias("text"),
+        # null: the whole text is under the mask, and isn't sent twice
+        F.when(masked != F.col("text"), masked).alias("loss"), F.length("formatted").alias("chars"))
         .repartition("conv_id").sortWithinPartitions("conv_id", "position").drop("position"))
     kind = formatted.schema["conv_id"].dataType.simpleString()
     return turns.mapInArrow(_digests, f"conv_id {kind}, n_turns long, turns_sha256 string, "
@@ -147,12 +148,13 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     like = None
     for batch in batches:
         done, like = [], batch.schema.field(0).type
-        for conv, turn, loss, chars in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for conv, role, text, loss, chars in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            loss = text if loss is None else loss
             if now is None or now[0] != conv:
                 done += [now] if now else []
                 now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
             now[1] += 1
-            now[2].update(turn.encode())
+            now[2].update(f"{role}\n{text}\n".encode())
             now[3] += len(loss)
             now[4].update(loss.encode())
             now[5] += chars
