@@ -69,6 +69,8 @@ BEFORE = 4
 #: Rounds of first links; in each, the first tiles of a class and one of so
 #: many others, and the neighbours looked at on either side.
 ROUNDS, SKETCH, PART, REACH = 2, 4, 8, 16
+#: Members of a salted block of a tile in these rounds.
+NEAR = 128
 #: At most so many 8-byte text hashes are broadcast.
 BROADCAST_KEYS = 2_000_000
 
@@ -290,14 +292,14 @@ def best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(cid, score, partner): of rows sorted by tile (shingle, band, cid, n,
     label, bits), each row's most promising neighbour of another component."""
     for batch in trimmed(batches):
-        col = {k: batch.column(k).to_numpy() for k in ("shingle", "band", "cid", "n", "label")}
+        col = {k: batch.column(k).to_numpy() for k in ("shingle", "band", "salt", "cid", "n", "label")}
         bits = np.stack([np.frombuffer(b, dtype=np.uint64) for b in batch.column("bits").to_pylist()]
                         or [np.zeros(BITS // 64, np.uint64)])
         n, rows = col["n"], batch.num_rows
         score, partner = np.zeros(rows), np.zeros(rows, dtype=np.int64)
         for d in range(1, min(REACH, rows - 1) + 1):
             i = np.flatnonzero((col["shingle"][d:] == col["shingle"][:-d]) & (col["band"][d:] == col["band"][:-d])
-                               & (col["label"][d:] != col["label"][:-d]))
+                               & (col["salt"][d:] == col["salt"][:-d]) & (col["label"][d:] != col["label"][:-d]))
             j = i + d
             most = overlap_bound(bits, n, i, j)
             go = DEN * most >= NUM * (n[i] + n[j] - most)
@@ -321,14 +323,20 @@ def first_links(tile: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
     """Links that join most classes of each component, and the components
     they make."""
     links, labels = None, None
+    # Large tiles are dealt in salted blocks: neighbours, not all pairs, count.
+    large = written(tile.groupBy("shingle", "band").agg(F.ceil(F.count("*") / NEAR).cast("int").alias("blocks"))
+                    .filter("blocks > 1"), "large")
     for k in range(ROUNDS):
         # The same tiles for all their members, others in each round, and a
         # few of every class; neighbours by an order of the round's own.
         draw = F.pmod(F.xxhash64("shingle", F.lit(k)), F.lit(PART)) == 0
-        some = tile.filter((F.col("place") <= SKETCH) | draw).drop("place")
+        order = F.xxhash64("cid", F.lit(k))
+        some = (tile.filter((F.col("place") <= SKETCH) | draw).drop("place")
+                .join(large, ["shingle", "band"], "left")
+                .withColumn("salt", F.pmod(order, F.coalesce("blocks", F.lit(1))).cast("int")))
         dealt = (with_labels(some, labels).join(sets.select("cid", "bits"), "cid")
-                 .select("shingle", "band", "cid", "n", "label", "bits").repartition("shingle", "band")
-                 .sortWithinPartitions("shingle", "band", F.xxhash64("cid", F.lit(k))))
+                 .select("shingle", "band", "salt", "cid", "n", "label", "bits")
+                 .repartition("shingle", "band", "salt").sortWithinPartitions("shingle", "band", "salt", order))
         best = dealt.mapInArrow(best_partners, "cid long, score double, partner long").groupBy("cid").agg(
             F.max(F.struct("score", "partner"))["partner"].alias("p"))
         pairs = written(best.select(F.least("cid", "p").alias("u"), F.greatest("cid", "p").alias("v")).distinct(),

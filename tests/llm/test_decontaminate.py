@@ -67,7 +67,9 @@ def hard_case():
     return texts, items
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("keys", [0, 1_000_000])
+def test_matches_brute_force(spark, monkeypatch, keys):
+    monkeypatch.setattr("starmart.llm.decontaminate.BROADCAST_KEYS", keys)
     texts, items = hard_case()
     got = rows(contamination(frame(spark, texts), items_frame(spark, items)))
     want = brute(texts, items)
