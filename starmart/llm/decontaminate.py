@@ -13,7 +13,8 @@ Plan: the first pass writes a row a document with its distinct fingerprints
 (about 0.2 a word).  They meet the benchmark's in a semi join: by broadcast if
 Spark sees from the written table's size that it fits, else by hash, the
 fingerprints of one text already distinct.  Only texts with hits are read
-again, once for all copies; rows after that are candidate windows.  Texts are
+again (selected by broadcast up to a bound on their number), once for all
+copies; rows after that are candidate windows.  Texts are
 keyed by 128 bits of their content, so a group of copies is one key.
 
 Defined results: null text has no words and is never contaminated; items
@@ -34,6 +35,8 @@ from starmart.llm.common import content_key, written
 
 WINDOW, GRAM = 13, 6
 SHARE = 20  # contaminated: SHARE * hit words >= words
+#: At most so many 16-byte keys of texts with hits are broadcast.
+BROADCAST_KEYS = 1_000_000
 
 
 def words_of(text: F.Column) -> F.Column:
@@ -139,10 +142,12 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
         prints.select("_key", F.explode("_prints").alias("print")).join(known, "print", "left_semi")
         .groupBy("_key").agg(F.collect_set("print").alias("_hits")), "hits")
 
-    # Only texts with hits, once for all copies, cut into words again.
-    texts = (docs.select(content_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
-             .join(hits, "_key").groupBy("_key")
-             .agg(F.first("_text").alias("_text"), F.first("_hits").alias("_hits")))
+    # Only texts with hits, once for all copies, cut into words again.  Copies
+    # collapse before the shuffle; few keys select the texts by broadcast.
+    texts = docs.select(content_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
+    if hits.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(hits.select("_key")), "_key", "left_semi")
+    texts = texts.groupBy("_key").agg(F.first("_text").alias("_text")).join(hits, "_key")
     cut = with_prints(with_words(texts), lengths)
 
     def chosen(length: int) -> F.Column:
