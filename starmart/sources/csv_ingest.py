@@ -94,21 +94,21 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
     ``tie`` ascending, NULL last; then a digest of the whole row, which only
     makes the choice among equal (hash, tie) rows repeatable).
 
-    An exact distributed cut for any ``n``, by a fixed number of jobs however
-    many copies there are: (1) rows per hash prefix (at most 65,537 histogram
-    rows; a running total finds the prefix with the n-th row); (2) the
-    distinct order keys of that prefix with their counts, range partitioned
-    and written; (3) their totals per partition and, inside the one partition
-    with the cut, the running total that finds the last key and how many of
-    its rows are taken.  The sample is then a filter on the order key, plus
-    that many copies of one row (rows equal in the whole order are identical).
+    An exact distributed cut for any ``n``, by a small number of jobs however
+    many copies there are: rows per hash prefix (at most 65,537 histogram
+    rows; a running total finds the prefix with the n-th row), then the order
+    key of the last row taken (:func:`_last_key`) among that prefix's rows.
+    Only when rows tie on that key and not all are taken, the same search runs
+    on the digests of those.  The sample is then one filter on the order key;
+    rows equal in the whole order are identical, so a cut among them adds
+    copies of one row.
     """
     if n <= 0:
         return df.limit(0)
     order = [sample_hash(seed, key)]
     if tie in df.columns:
         order.append(F.col(f"`{tie}`").cast("string"))
-    order.append(F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+    digest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
     prefix = F.substring(order[0], 1, 4)
     hist = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).withColumn("z", F.col("p").isNull())
     upto = Window.orderBy("z", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -117,44 +117,63 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
     if not hit:  # n >= rows: everything
         return df
     left = n - (hit[0]["cum"] - hit[0]["c"])
+    at, taken, ties = _last_key(df.filter(prefix.eqNullSafe(F.lit(hit[0]["p"]))), order, left)
+    below, same = _less(order, at), _equal(order, at)
+    if taken == ties:
+        return df.filter(below | same)
+    tied = df.filter(same)
+    last, taken, copies = _last_key(tied, [digest], taken)
+    below = below | (same & _less([digest], last))
+    if taken == copies:
+        return df.filter(below | (same & _equal([digest], last)))
+    one = tied.filter(_equal([digest], last)).limit(1)
+    return df.filter(below).unionByName(
+        one.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(taken)))).drop("__copy"))
+
+
+def _last_key(rows: DataFrame, order: Sequence[Column], n: int) -> tuple[list[str | None], int, int]:
+    """The order key of the n-th row (NULL last), how many of the first n rows
+    have it and how many there are.
+
+    The distinct keys with their counts are range partitioned and written;
+    totals per partition lead to the one that holds the cut, and a running
+    total inside it to the key.
+    """
     names = [f"k{i}" for i in range(len(order))]
     nulls_last = [x for k in names for x in (F.col(k).isNull(), F.col(k))]
-    keys = (df.filter(prefix.eqNullSafe(F.lit(hit[0]["p"])))
-            .groupBy(*(c.alias(k) for c, k in zip(order, names, strict=True))).agg(F.count(F.lit(1)).alias("c"))
-            .repartitionByRange(_key_partitions(df.sparkSession), *nulls_last)
-            .withColumn("part", F.spark_partition_id()))
-    path = scratch_dir(df.sparkSession, "sample-keys")
-    write_table(keys, path)
-    keys = scan_table(df.sparkSession, path)
+    path = scratch_dir(rows.sparkSession, "sample-keys")
+    write_table(rows.groupBy(*(c.alias(k) for c, k in zip(order, names, strict=True)))
+                .agg(F.count(F.lit(1)).alias("c"))
+                .repartitionByRange(_key_partitions(rows.sparkSession), *nulls_last)
+                .withColumn("part", F.spark_partition_id()), path)
+    keys = scan_table(rows.sparkSession, path)
     seen = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = (keys.groupBy("part").agg(F.sum("c").alias("c")).withColumn("cum", F.sum("c").over(seen))
-            .filter(F.col("cum") >= left).orderBy("part").limit(1).first())
-    before = part["cum"] - part["c"]
+            .filter(F.col("cum") >= n).orderBy("part").limit(1).first())
     running = Window.orderBy(*nulls_last).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (keys.filter(F.col("part") == part["part"]).withColumn("cum", F.sum("c").over(running) + before)
-            .filter(F.col("cum") >= left).orderBy("cum").limit(1).first())
-    taken = left - (last["cum"] - last["c"])
-    at = [F.lit(last[k]) for k in names]
-    below = _less(order, at, [last[k] for k in names])
-    same = F.lit(True)
-    for c, v in zip(order, at, strict=True):
-        same = same & c.eqNullSafe(v)
-    copies = df.filter(same).limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(taken))))
-    return df.filter(below).unionByName(copies.drop("__copy"))
+    last = (keys.filter(F.col("part") == part["part"])
+            .withColumn("cum", F.sum("c").over(running) + (part["cum"] - part["c"]))
+            .filter(F.col("cum") >= n).orderBy("cum").limit(1).first())
+    return [last[k] for k in names], n - (last["cum"] - last["c"]), last["c"]
+
+
+def _equal(order: Sequence[Column], at: Sequence[str | None]) -> Column:
+    out = order[0].eqNullSafe(F.lit(at[0]))
+    return out if len(order) == 1 else out & _equal(order[1:], at[1:])
 
 
 def _key_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _less(order: Sequence[Column], at: Sequence[Column], values: Sequence[str | None]) -> Column:
+def _less(order: Sequence[Column], at: Sequence[str | None]) -> Column:
     """Whether a row sorts before the key ``at`` (NULL last): later parts of
     the key are evaluated only for rows equal in the earlier ones."""
-    c, v = order[0], at[0]
-    first = c.isNotNull() if values[0] is None else F.coalesce(c < v, F.lit(False))
+    c, v = order[0], F.lit(at[0])
+    first = c.isNotNull() if at[0] is None else F.coalesce(c < v, F.lit(False))
     if len(order) == 1:
         return first
-    return first | (c.eqNullSafe(v) & _less(order[1:], at[1:], values[1:]))
+    return first | (c.eqNullSafe(v) & _less(order[1:], at[1:]))
 
 
 def ingest_csv(spark: SparkSession, path: str, sample: int | None = None,

@@ -12,6 +12,7 @@ import json
 import os
 import sys
 import tempfile
+import time
 from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -21,8 +22,6 @@ from starmart.plans.build import build_all  # noqa: E402
 from starmart.session import get_session  # noqa: E402
 from starmart.sources.fixtures import raw_transactions  # noqa: E402
 
-MARK = "spark.job.description"
-
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else bench.SF_DIR
@@ -34,16 +33,16 @@ def main() -> None:
                "spark.sql.warehouse.dir": f"{scratch}/wh", "spark.eventLog.enabled": "true",
                "spark.eventLog.dir": f"file://{scratch}/events", "spark.eventLog.compress": "false",
                "spark.eventLog.rolling.enabled": "false"})
-    sc = spark.sparkContext
+    spans: list[tuple[float, float, str]] = []
 
     def named(name, run):
-        sc.setLocalProperty(MARK, name)
+        start = time.time()
         out = run()
-        sc.setLocalProperty(MARK, None)
+        spans.append((start * 1000, time.time() * 1000, name))
         return out
 
     def build():
-        return build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30", threads=1)
+        return build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30")
 
     named("build (first)", build)
     b = named("build", build)
@@ -60,17 +59,20 @@ def main() -> None:
         for line in open(path):
             e = json.loads(line)
             if e["Event"] == "SparkListenerStageSubmitted":
-                of_stage[e["Stage Info"]["Stage ID"]] = (e.get("Properties") or {}).get(MARK, "")
+                at = e["Stage Info"].get("Submission Time", 0)
+                of_stage[e["Stage Info"]["Stage ID"]] = next((n for a, b, n in spans if a <= at <= b), "")
             elif e["Event"] == "SparkListenerTaskEnd":
                 m, step = e.get("Task Metrics") or {}, steps[of_stage.get(e["Stage ID"], "")]
                 step["run"] += m.get("Executor Run Time", 0) / 1e3
                 step["cpu"] += m.get("Executor CPU Time", 0) / 1e9
                 step["written"] += m.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0) / 1e6
                 step["tasks"] += 1
+    shown = {n for n in steps if n and not n.endswith("(first)")}
+    shown = (shown - {"quality_report"}) | {"quality_report (first)"}
     print("| step | tasks | task s | CPU s | MB shuffled |")
     print("|---|---|---|---|---|")
     for name, x in steps.items():
-        if name and not name.endswith("(first)"):
+        if name in shown:
             print(f"| {name} | {x['tasks']:.0f} | {x['run']:.2f} | {x['cpu']:.2f} | {x['written']:.2f} |")
 
 
