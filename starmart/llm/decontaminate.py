@@ -170,8 +170,9 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
     found = met.groupBy("_key").agg(
         spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     total = F.aggregate("spans", F.struct(F.lit(0).alias("end"), F.lit(0).alias("hit")), add, lambda a: a["hit"])
-    return prints.select(*id_cols, "_key", "_n"), found.select(
-        "_key", total.cast("long").alias("n_hit"), "items")
+    # Written, so that Spark can split a hot key of the join with documents.
+    return prints.select(*id_cols, "_key", "_n"), written(found.select(
+        "_key", total.cast("long").alias("n_hit"), "items"), "found")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
