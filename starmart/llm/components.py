@@ -2,13 +2,12 @@
 
 Up to ``FEW_LINKS`` links (counted first; 16 bytes each) one task joins them.
 Beyond that bound stars alternate: each round rewires every node's links to
-its smallest neighbour, first links
-to larger nodes, then those to smaller ones.  Rounds end when nothing changes;
-the number grows with the logarithm of the longest path, not with the size of
-a component.  A hub's minimum is aggregated before the shuffle and its links
-meet it in a join that Spark splits when skewed, so no component is ever in
-one task or on the driver.  Every round is written to the shared folder.
-Both ways give the same table.
+its smallest neighbour, first links to larger nodes, then those to smaller
+ones.  Rounds end when nothing changes; their number grows with the logarithm
+of the longest path, not with the size of a component.  A hub's minimum is
+aggregated before the shuffle and its links meet it in a join that Spark
+splits when skewed, so no component is ever in one task or on the driver.
+Every round is written to the shared folder.  Both ways give the same table.
 """
 from __future__ import annotations
 
