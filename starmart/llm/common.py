@@ -1,6 +1,7 @@
 """Small helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,6 +26,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffles of finished steps, which it does only
+    when the driver's collector finds their plans gone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def content_key(text: F.Column) -> F.Column:
     """128-bit content address of a text (null counts as empty), as binary."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

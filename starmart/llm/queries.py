@@ -25,7 +25,7 @@ def tokenizer_path() -> str:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_dedup(read_table(spark, sf_dir, "documents"))
+    return span_dedup(read_table(spark, sf_dir, "documents"), whole=True)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,11 @@ sentence), whatever white space stands between them.  Runs are joined
 globally by 128 bits; the first occurrence, by document id and then place,
 keeps its sentences, and sentences inside any later one are removed.
 
+Such runs miss a passage that starts or ends inside a sentence, or stands
+elsewhere in a long or unpunctuated one.  With ``whole`` every run of 50 words
+that stands earlier is removed as well, wherever sentences end
+(:mod:`starmart.llm.passages`); the registered query asks for that.
+
 Plan: runs are cut in numpy; a partial aggregation finds each run's first
 occurrence before the shuffle, so a passage that a third of the documents
 share arrives as one row a task; only runs that repeat are joined back (AQE
@@ -29,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import textnp as T
-from starmart.llm.common import map_batches, written
+from starmart.llm.common import freed, map_batches, written
+from starmart.llm.passages import byte_ranges, passages
 
 LEAST = 25  # words of a run
 LONG = 40  # words of a sentence
@@ -100,15 +106,25 @@ def runs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        f"h1 long, h2 long, id {kind}, kh long, start int, end int")
 
 
-def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, kh, cut): the merged byte ranges to remove from each document."""
+def repeats(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+    """(id, kh, cut, words): what to remove from each document, byte ranges of
+    sentences and, with ``whole``, ranges of words."""
+    found = passages(docs, id_col, text_col) if whole else None
     runs = runs_of(docs, id_col, text_col)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "kh", "start")
     firsts = written(runs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("other"))
                      .filter("first <> other").select("h1", "h2", "first"), "firsts")
+    if whole:
+        freed(docs.sparkSession)
     again = runs.join(firsts, ["h1", "h2"]).filter(place != F.col("first"))
-    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
-    return written(again.groupBy("id", "kh").agg(spans.alias("cut")), "cuts")
+    cuts = again.select("id", "kh", F.struct("start", "end").alias("span"), F.lit(None).cast("binary").alias("words"))
+    if whole:
+        cuts = cuts.unionByName(found, allowMissingColumns=True)
+    cuts = written(cuts.groupBy("id", "kh").agg(F.array_sort(F.collect_set("span")).alias("cut"),
+                                                F.collect_set("words").alias("words")), "cuts")
+    if whole:
+        freed(docs.sparkSession)
+    return cuts
 
 
 def merged(ranges: list[dict]) -> list[tuple[int, int]]:
@@ -121,62 +137,75 @@ def merged(ranges: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a last column, the ranges to remove (null: none)."""
-    cuts = repeats(docs, id_col, text_col).select(
-        F.col("id").alias("__llm_id"), F.col("kh").alias("__llm_kh"), F.col("cut").alias("__llm_cut"))
+def _joined(docs: DataFrame, id_col: str, text_col: str, whole: bool) -> DataFrame:
+    """``docs`` with two last columns, the ranges to remove (null: none)."""
+    cuts = repeats(docs, id_col, text_col, whole).select(
+        F.col("id").alias("__llm_id"), F.col("kh").alias("__llm_kh"), F.col("cut").alias("__llm_cut"),
+        F.col("words").alias("__llm_words"))
     same: Column = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_col) == F.col("__llm_kh"))
     return docs.join(cuts, same, "left").drop("__llm_id", "__llm_kh")
 
 
-def _cut_text(text: str, ranges: list[dict]) -> tuple[str, int]:
+def _ranges(text: str, cut: list[dict], words: list[bytes]) -> list[tuple[int, int]]:
+    """Merged byte ranges to remove from a text."""
+    if not words:
+        return merged(cut)
+    return merged(sorted(cut + byte_ranges(text, words), key=lambda r: (r["start"], r["end"])))
+
+
+def _cut_text(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int]:
     raw, out, at, gone = text.encode(), [], 0, 0
-    for a, b in merged(ranges):
+    for a, b in ranges:
         out.append(raw[at:a])
         at, gone = b, gone + b - a
     return b"".join([*out, raw[at:]]).decode(), gone
 
 
-def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """(id, n_sentences, n_removed, removed_bytes, text) of every row: the
-    text without the sentences that repeat earlier ones."""
+    text without what repeats earlier documents; ``n_removed`` counts the
+    sentences that lost words."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def apply(batch: pa.RecordBatch) -> dict:
         data, offsets = T.utf8(batch.column(1))
         n, removed, size, texts = [], [], [], []
         for i, j in T.blocks(offsets):
-            s, _, _, of = sentences(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            s, e, _, of = sentences(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             for r in range(i, j):
                 text, cut = batch.column(1)[r].as_py(), batch.column(2)[r].as_py()
-                own = s[of[r - i]:of[r - i + 1]] - (offsets[r] - offsets[i])
+                own, own_end = (x[of[r - i]:of[r - i + 1]] - (offsets[r] - offsets[i]) for x in (s, e))
                 n.append(len(own))
                 if cut is None:
                     removed.append(0)
                     size.append(0)
                 else:
-                    removed.append(sum(int(np.searchsorted(own, b) - np.searchsorted(own, a)) for a, b in merged(cut)))
-                    text, gone = _cut_text(text, cut)
+                    ranges, lost = _ranges(text, cut, batch.column(3)[r].as_py()), np.zeros(len(own), dtype=bool)
+                    for a, b in ranges:
+                        lost[np.searchsorted(own_end, a, "right"):np.searchsorted(own, b)] = True
+                    removed.append(int(lost.sum()))
+                    text, gone = _cut_text(text, ranges)
                     size.append(gone)
                 texts.append(text)
         return {id_col: batch.column(0), "n_sentences": pa.array(n, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()), "removed_bytes": pa.array(size, pa.int64()),
                 "text": pa.array(texts, pa.string())}
 
-    joined = _joined(docs.select(id_col, text_col), id_col, text_col)
+    joined = _joined(docs.select(id_col, text_col), id_col, text_col, whole)
     return map_batches(joined, apply, f"`{id_col}` {kind}, n_sentences long, n_removed long, "
                        "removed_bytes long, text string")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    whole: bool = False) -> DataFrame:
     """``docs`` with the cut texts, all other columns unchanged."""
     at, width = docs.columns.index(text_col), len(docs.columns)
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cuts = batch.column(width)
-        texts = [t.as_py() if c.as_py() is None else _cut_text(t.as_py(), c.as_py())[0]
-                 for t, c in zip(batch.column(at), cuts, strict=True)]
+        texts = [t.as_py() if c.as_py() is None else
+                 _cut_text(t.as_py(), _ranges(t.as_py(), c.as_py(), w.as_py()))[0]
+                 for t, c, w in zip(batch.column(at), batch.column(width), batch.column(width + 1), strict=True)]
         out = batch.select(list(range(width)))
         return out.set_column(at, out.schema.field(at), pa.array(texts, out.schema.field(at).type))
 
-    return map_batches(_joined(docs, id_col, text_col), apply, docs.schema)
+    return map_batches(_joined(docs, id_col, text_col, whole), apply, docs.schema)
