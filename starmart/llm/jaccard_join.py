@@ -2,8 +2,10 @@
 
 Texts in lower case (A-Z) are sets of hashes of 5-word shingles (fewer words:
 one shingle).  Texts with equal sets are one class.  Two classes link when
-``100 * |x & y| >= 75 * |x | y|``; every link between classes is found, then
-components are formed and each document gets the smallest id of its own.
+``100 * |x & y| >= 75 * |x | y|``.  Components of all links are formed and each
+document gets the smallest id of its own; for that, links inside a component
+that is known already aren't looked for.  ``class_links`` and ``jaccard_links``
+find every link: they take the tiles of step 2 and compare all pairs in them.
 
 1. *Shared shingles.*  With overlap of at least 3/4 of the larger set, the
    ``n/4 + l`` smallest hashes of both sets share l or more (prefix filter;
@@ -23,7 +25,7 @@ components are formed and each document gets the smallest id of its own.
    all of them across components, by bitmaps: bits set in one signature and
    not in the other bound the overlap from above.  Large tiles are cut into
    salted blocks.  Pairs that pass are intersected exactly as sorted arrays,
-   so no link is missed whatever the rounds before have found.
+   so no link between components is missed whatever the rounds before found.
 
 Hot groups: a shingle that is very frequent in a batch is sent once, marked as
 hot, instead of once a text; component minima are aggregated before
@@ -416,8 +418,9 @@ def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(kept)
 
 
-def open_pairs(tile: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs across components, distinct."""
+def open_pairs(tile: DataFrame, labels: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """Candidate pairs across components, distinct; without labels, of all
+    classes."""
     marked = with_labels(tile.drop("place"), labels)
     both = marked.withColumn("visitor", F.lit(False)).unionByName(
         marked.withColumn("band", F.col("band") + 1).withColumn("visitor", F.lit(True)))
@@ -441,14 +444,15 @@ def open_pairs(tile: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame
 
 # --- the join -----------------------------------------------------------------
 
-def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, of_class): every row's (id, kh, cid, n); and for each class the
-    smallest id of its component and its first member by id, then text hash."""
+def tiled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, tile, sets): every row's (id, kh, cid, n), its classes
+    with their first member by id, then text hash, and what can link."""
     spark = docs.sparkSession
     rows = written(text_rows(docs, id_col, text_col), "rows")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "kh")
     classes = written(rows.filter("cid is not null").groupBy("cid").agg(
-        F.first("n").alias("n"), F.min("kh").alias("kh"), F.min(order).alias("first")), "classes")
+        F.first("n").alias("n"), F.min("kh").alias("kh"), F.min(order).alias("first"),
+        F.count("*").alias("copies")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.35 * 16 / TASK_BYTES))
     shared = packed_prefixes(docs, text_col, 4 * tasks).repartition(tasks, "bucket").mapInArrow(
@@ -456,6 +460,13 @@ def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     tile = written(tiles(shared, classes), "tiles")
     chosen = written(tile.select("cid").distinct().join(classes, "cid").select("cid", "kh"), "chosen")
     sets = written(exact_sets(docs, text_col, chosen, chosen.count() <= BROADCAST_KEYS), "sets")
+    return rows, classes, tile, sets
+
+
+def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, of_class): every row's (id, kh, cid, n); and for each class the
+    first member of its component."""
+    rows, classes, tile, sets = tiled(docs, id_col, text_col)
     first, joined_now = first_links(tile, sets)
     rest = written(exact_links(written(open_pairs(tile, joined_now, sets), "pairs"), sets), "links")
     label = joined_now if rest.isEmpty() else components(first.unionByName(rest))
@@ -465,6 +476,26 @@ def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     return rows, written(named.select("cid", "m").join(least, "m").select("cid", "least"), "of_class")
 
 
+def class_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, links): links (u, v), u < v, of all classes that link;
+    their number grows with the square of a group of near copies."""
+    rows, classes, tile, sets = tiled(docs, id_col, text_col)
+    return rows, classes, written(exact_links(written(open_pairs(tile, None, sets), "pairs"), sets), "links")
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, n_links) of every row: the other rows it links to,
+    rows of its own class included; null ids and repeated rows count."""
+    rows, classes, links = class_links(docs, id_col, text_col)
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    met = both.join(classes.select(F.col("cid").alias("v"), "copies"), "v").groupBy("u").agg(
+        F.sum("copies").alias("others"))
+    of_class = classes.select("cid", "copies").join(met.withColumnRenamed("u", "cid"), "cid", "left").select(
+        "cid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return rows.join(of_class, "cid", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     rows, of_class = joined(docs, id_col, text_col)
