@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
+from starmart.llm.phrases import DEFAULT as MINING
 from starmart.llm.quality_rules import DEFAULT
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -119,5 +120,29 @@ select page_id, strlen(payload)::bigint as payload_bytes,
 from b
 """
 
-ORACLE_SQL = {"op3_decontamination": DECONTAMINATION, "op6_chat_formatting": CHAT,
+_PHRASES = f"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+  {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+g as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase from (
+  select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from w, (values (1), (2), (3)) s(k) where len(ws) >= k) x),
+f as (select lang, phrase, k, count(*) as f, string_split(phrase, ' ') as ws from g group by all),
+total as (select lang, sum(f) as n from f where k = 1 group by lang),
+c as (select lang, phrase, k, f as a, ws from f where k > 1 and f >= {MINING.least}),
+cut as (select c.lang, c.phrase, c.a, spot, l.f as l, r.f as r,
+    (1000000 * a::hugeint * a::hugeint) // (l.f::hugeint * r.f::hugeint) as score
+  from (select *, unnest(range(1, k)) as spot from c) c
+  join f l on l.lang = c.lang and l.phrase = array_to_string(c.ws[:spot], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(c.ws[spot + 1:], ' ')),
+low as (select * from cut qualify row_number() over (partition by lang, phrase order by score, spot) = 1),
+cover as (select lang, array_to_string(ws[i:i + 1], ' ') as phrase, max(a) as longer
+  from (select *, unnest([1, 2]) as i from c where k = 3) x group by all),
+kept as (select low.*, n from low left join cover using (lang, phrase) join total using (lang)
+  where longer is null or 100 * longer < {MINING.cover} * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank, phrase,
+  a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from kept qualify rank <= {MINING.top}
+"""
+
+ORACLE_SQL = {"op12_phrase_mining": _PHRASES, "op3_decontamination": DECONTAMINATION, "op6_chat_formatting": CHAT,
               "op7_quality_rules": quality_rules(), "op8_jaccard_join": JACCARD, "op9_warc": WARC}

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chat_format, lang_id, packing, secret_ledger, warc
+from starmart.llm import chat_format, lang_id, maxent_lm, packing, phrases, secret_ledger, spellings, warc
 from starmart.llm.common import read_table, written
 from starmart.llm.decontaminate import contamination
 from starmart.llm.jaccard_join import jaccard_components
@@ -76,7 +76,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    return maxent_lm.text_scores(read_table(spark, sf_dir, "documents"), held)
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (phrases.collocations(read_table(spark, sf_dir, "documents"))
+            .select(F.col("grp").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_substring_dedup, op2_language_id, op3_decontamination, op4_sharding, op5_secret_scans,
-    op6_chat_formatting, op7_quality_rules, op8_jaccard_join, op9_warc, op10_packing]}
+    op6_chat_formatting, op7_quality_rules, op8_jaccard_join, op9_warc, op10_packing, op11_lm_scoring, op12_phrase_mining, op13_spelling_variants]}
 __all__ = ["ORACLE_SQL", "QUERIES", "tokenizer_path"]
