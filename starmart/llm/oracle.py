@@ -126,14 +126,15 @@ with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
 w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
 g as (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase from (
   select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from w, (values (1), (2), (3)) s(k) where len(ws) >= k) x),
-f as (select lang, phrase, k, count(*) as f, string_split(phrase, ' ') as ws from g group by all),
+f as materialized (select lang, phrase, k, count(*) as f from g group by lang, phrase, k),
 total as (select lang, sum(f) as n from f where k = 1 group by lang),
-c as (select lang, phrase, k, f as a, ws from f where k > 1 and f >= {MINING.least}),
-cut as (select c.lang, c.phrase, c.a, spot, l.f as l, r.f as r,
-    (1000000 * a::hugeint * a::hugeint) // (l.f::hugeint * r.f::hugeint) as score
-  from (select *, unnest(range(1, k)) as spot from c) c
-  join f l on l.lang = c.lang and l.phrase = array_to_string(c.ws[:spot], ' ')
-  join f r on r.lang = c.lang and r.phrase = array_to_string(c.ws[spot + 1:], ' ')),
+c as materialized (select lang, phrase, k, f as a, string_split(phrase, ' ') as ws from f where k > 1 and f >= {MINING.least}),
+split as materialized (select lang, phrase, a, spot, array_to_string(ws[:spot], ' ') as p1,
+    array_to_string(ws[spot + 1:], ' ') as p2 from (select *, unnest(range(1, k)) as spot from c) x),
+lft as materialized (select s.*, f.f as l from split s join f on f.lang = s.lang and f.phrase = s.p1),
+cut as (select s.lang, s.phrase, a, spot, l, f.f as r,
+    (1000000 * a::hugeint * a::hugeint) // (l::hugeint * f.f::hugeint) as score
+  from lft s join f on f.lang = s.lang and f.phrase = s.p2),
 low as (select * from cut qualify row_number() over (partition by lang, phrase order by score, spot) = 1),
 cover as (select lang, array_to_string(ws[i:i + 1], ' ') as phrase, max(a) as longer
   from (select *, unnest([1, 2]) as i from c where k = 3) x group by all),
