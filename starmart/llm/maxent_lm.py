@@ -45,6 +45,8 @@ from pyspark.sql import functions as F
 from starmart.llm.common import trimmed, written
 
 LOG10 = float(np.log(10.0))
+#: Bound of a weight, so that sums of three stay far from the ends of floats.
+LIMIT = np.float32(8)
 
 
 @dataclass(frozen=True)
@@ -90,15 +92,19 @@ class Model:
         self.tail_types = max(self.types - self.known - (self.n_texts > 0), 0)
         #: The tail's counts, one more for each word of it and for all unseen.
         self.tail_total = self.tokens - self.n_texts - inside.sum() + self.tail_types + 1
-        shares = np.zeros(s.classes + 2)
-        word = np.zeros((s.classes, s.size))
-        word.flat[:self.known] = inside + 1
+        # Both softmaxes have one width; what lies beyond a layer's own is shut.
+        width = max(s.classes + 2, s.size)
+        shares = np.zeros(width)
+        word = np.zeros((s.classes, width))
+        at = np.arange(self.known)
+        word[at // s.size, at % s.size] = inside + 1
         shares[:s.classes] = word.sum(axis=1)
         shares[s.classes], shares[s.classes + 1] = self.tail_total, self.n_texts + 1
         with np.errstate(divide="ignore"):
-            self.class_bias = np.maximum(np.log(shares), -1e4).astype(np.float32)
-            self.word_bias = np.maximum(np.log(word), -1e4).astype(np.float32)
-        self.W = np.zeros((5 * s.rows, max(s.classes + 2, s.size)), dtype=np.float32)
+            self.class_bias = np.maximum(np.log(shares / shares.sum()), -1e4).astype(np.float32)
+            self.word_bias = np.maximum(np.log(word / np.maximum(word.sum(axis=1, keepdims=True), 1)), -1e4).astype(
+                np.float32)
+        self.W = np.zeros((5 * s.rows, width), dtype=np.float32)
 
 
 def _mixed(kind: int, a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
@@ -126,13 +132,12 @@ def histories(texts: list[np.ndarray], spec: Spec) -> tuple[np.ndarray, ...]:
     return token, before, skip, text
 
 
-def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of their common divisor."""
-    top = z.max(axis=1, keepdims=True)
-    p = np.exp(z - top)
-    total = p.sum(axis=1, keepdims=True)
-    p /= total
-    return p, (np.log(total) + top)[:, 0]
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's divisor; ``z`` becomes its probabilities."""
+    np.exp(z, out=z)  # logits are bounded: biases are shares, weights within LIMIT
+    total = z.sum(axis=1, keepdims=True)
+    z /= total
+    return np.log(total)[:, 0]
 
 
 class Layers:
@@ -142,31 +147,36 @@ class Layers:
         self.m, self.s, self.W = model, model.spec, W
 
     def prepared(self, token: np.ndarray, before: np.ndarray, skip: np.ndarray):
-        s = self.s
+        s, W = self.s, self.W
         kind = np.where(token < s.words, token // s.size, token - s.words + s.classes)
         rows = (_mixed(0, before, before, s.rows), _mixed(1, skip, skip, s.rows), _mixed(2, before, skip, s.rows))
-        z = self.m.class_bias + self.W[rows[0], :s.classes + 2]
-        for r in rows[1:]:
-            z += self.W[r, :s.classes + 2]
+        z = W.take(rows[0], axis=0)
+        z += W.take(rows[1], axis=0)
+        z += W.take(rows[2], axis=0)
+        z += self.m.class_bias
         inner = np.flatnonzero(token < s.words)
         k = kind[inner]
         inner_rows = (_mixed(3, before[inner], k, s.rows), _mixed(4, skip[inner], k, s.rows))
-        y = self.m.word_bias[k] + self.W[inner_rows[0], :s.size]
-        y += self.W[inner_rows[1], :s.size]
+        y = W.take(inner_rows[0], axis=0)
+        y += W.take(inner_rows[1], axis=0)
+        y += self.m.word_bias.take(k, axis=0)
         return kind, rows, z, inner, token[inner] % s.size, inner_rows, y
 
     def log_probability(self, token: np.ndarray, before: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Natural logarithm of each token's probability (of a tail word:
         its class's)."""
         kind, _, z, inner, word, _, y = self.prepared(token, before, skip)
-        out = (z[np.arange(len(z)), kind] - _softmax(z)[1]).astype(np.float64)
-        out[inner] += y[np.arange(len(y)), word] - _softmax(y)[1]
+        out = z[np.arange(len(z)), kind].astype(np.float64)
+        out -= _softmax(z)
+        own = y[np.arange(len(y)), word]
+        out[inner] += own - _softmax(y)
         return out
 
     def gradients(self, token: np.ndarray, before: np.ndarray, skip: np.ndarray):
         """(feature rows, gradient of each token's logits) of both layers."""
-        kind, rows, z, inner, word, inner_rows, y = self.prepared(token, before, skip)
-        g, h = _softmax(z)[0], _softmax(y)[0]
+        kind, rows, g, inner, word, inner_rows, h = self.prepared(token, before, skip)
+        _softmax(g)
+        _softmax(h)
         g[np.arange(len(g)), kind] -= 1
         h[np.arange(len(h)), word] -= 1
         return [(r, g) for r in rows] + [(r, h) for r in inner_rows]
@@ -178,6 +188,7 @@ def fitted(model: Model, texts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.nd
     s = model.spec
     W = model.W.copy()
     layers = Layers(model, W)
+    narrow = np.uint16 if len(W) <= 1 << 16 else np.int64  # short keys are sorted by radix
     used = np.zeros(len(W), dtype=np.int64)
     power = np.zeros(len(W), dtype=np.float32)
     for some in _some(texts, 16 * s.batch):
@@ -187,14 +198,15 @@ def fitted(model: Model, texts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.nd
             for rows, g in layers.gradients(token[cut], before[cut], skip[cut]):
                 if not len(rows):
                     continue
-                order = np.argsort(rows, kind="stable")
-                r = rows[order]
+                order = np.argsort(rows.astype(narrow), kind="stable")
+                r = rows.take(order)
                 first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-                total = np.add.reduceat(g[order], first, axis=0)
-                row = r[first]
+                total = np.add.reduceat(g.take(order, axis=0), first, axis=0)
+                row = r.take(first)
                 used[row] += np.diff(np.r_[first, len(r)])
-                power[row] += (total * total).mean(axis=1)
-                W[row, :total.shape[1]] -= (s.rate / np.sqrt(power[row] + 1e-6))[:, None] * total
+                power[row] += np.einsum("ij,ij->i", total, total) / np.float32(total.shape[1])
+                total *= (s.rate / np.sqrt(power[row] + 1e-6))[:, None]
+                W[row] = np.clip(W[row] - total, -LIMIT, LIMIT)
     return W, used
 
 
