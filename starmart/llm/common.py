@@ -33,6 +33,17 @@ def freed(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def partition_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` partitions an integer that ``repartition(n, key)``
+    sends there, so that ``n`` equal shares go to ``n`` tasks (keys 0 to n - 1
+    would leave a third of them empty)."""
+    key = F.col("id").cast("int")
+    found = (spark.range(32 * n).select(key.alias("key"), F.pmod(F.hash(key), F.lit(n)).alias("at"))
+             .groupBy("at").agg(F.min("key").alias("key")).collect())
+    keys = {r["at"]: r["key"] for r in found}
+    return [keys.get(i, i) for i in range(n)]
+
+
 def content_key(text: F.Column) -> F.Column:
     """128-bit content address of a text (null counts as empty), as binary."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

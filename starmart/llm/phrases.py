@@ -1,19 +1,20 @@
 """Phrase collocations from a prefix-free parse of the corpus.
 
-Texts are cut into pieces at sentence and line marks, pieces into words.  A
-word whose content hash is 0 modulo ``period`` triggers a new chunk, so equal
-passages are cut alike wherever they stand.  A chunk is its own words and, as
-overlap, the next two of its piece.  The distinct chunks with their parse
-frequencies are the dictionary.  Everything is counted inside the distinct
-chunks, weighted with those frequencies: an n-gram belongs to the chunk that
-owns its first word, so overlaps are counted once and the counts equal those
-of the whole corpus.
+Texts are cut into pieces at sentence and line marks, pieces into words; a
+text is the stream of its words with a stop after each piece.  A word whose
+content hash is 0 modulo ``period`` triggers a new chunk, so equal passages
+are cut alike wherever they stand.  A chunk is its own tokens and, as overlap,
+the next two.  The distinct chunks with their parse frequencies are the
+dictionary.  Everything is counted inside the distinct chunks, weighted with
+those frequencies: an n-gram belongs to the chunk that owns its first word, so
+overlaps are counted once and the counts equal those of the whole corpus.
 
 Plan: one shuffle of chunks (copies collapse in the task, then before the
 exchange) writes the dictionary.  One pass over it counts words; another
-deals three-word grams, sorted and packed, to buckets by their first two
-words, so a bucket knows the whole count of its pairs and of their
-continuations, and only phrases of at least ``least`` occurrences leave it.
+deals three-word grams, packed, to buckets by their first two words, so a
+bucket knows the whole count of its pairs and of their continuations, and only
+phrases of at least ``least`` occurrences leave it.  (A row holds all buckets
+of one shuffle partition, taken apart behind the exchange.)
 Pairs of two hot words (more than a quarter of an average task's share each;
 at most four for each shuffle partition, so the list is bounded) are dealt by
 the whole gram and their partial counts added afterwards: no bucket grows
@@ -40,11 +41,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import trimmed, written
+from starmart.llm.common import partition_keys, trimmed, written
 
 PIECES = re.compile(rb"[.,;:!?\x0A-\x0D]")
-#: Words a chunk repeats from its successor: one less than the longest phrase.
+#: Tokens a chunk repeats from its successor: one less than the longest phrase.
 OVERLAP = 2
+#: The stop behind a piece; no word, as texts are cut there.
+STOP = b"."
 
 
 @dataclass(frozen=True)
@@ -55,11 +58,11 @@ class Mining:
 
     least: int = 10
     top: int = 2000
-    period: int = 8
+    period: int = 16
     cover: int = 50
     #: Chunks, or grams, a task holds before it sends them.
     held: int = 400_000
-    #: Buckets for each shuffle partition.
+    #: Buckets of a shuffle partition.
     buckets: int = 8
 
 
@@ -67,14 +70,20 @@ DEFAULT = Mining()
 
 
 def chunks(text: bytes, period: int) -> Iterator[tuple[bytes, int]]:
-    """(chunk, own words) of a text, the overlap after a tab."""
+    """(chunk, own words) of a text: own tokens, then ``OVERLAP`` more."""
+    stream: list[bytes] = []
     for piece in PIECES.split(text.lower()):
         words = piece.split()
-        if not words:
-            continue
-        starts = [0, *(i for i, w in enumerate(words) if i and not crc32(w) % period), len(words)]
-        for s, e in zip(starts, starts[1:]):
-            yield b" ".join(words[s:e]) + b"\t" + b" ".join(words[e:e + OVERLAP]), e - s
+        if words:
+            stream += words
+            stream.append(STOP)
+    starts = [i for i, w in enumerate(stream) if not crc32(w) % period and w != STOP]
+    if stream and (not starts or starts[0]):
+        starts.insert(0, 0)
+    starts.append(len(stream))
+    stream += [STOP] * OVERLAP
+    for s, e in zip(starts, starts[1:]):
+        yield b" ".join(stream[s:e + OVERLAP]), e - s - stream[s:e].count(STOP)
 
 
 def _strings(values: list[bytes]) -> pa.Array:
@@ -93,7 +102,7 @@ def dictionary(docs: DataFrame, text_col: str, group_col: str, spec: Mining) ->
                 keys = list(found)
                 yield pa.RecordBatch.from_pydict({
                     "grp": pa.array([group] * len(keys), pa.string()), "chunk": _strings([k[0] for k in keys]),
-                    "own": pa.array([k[1] for k in keys], pa.int32()),
+                    "own": pa.array([k[1] for k in keys], pa.int64()),
                     "n": pa.array(list(found.values()), pa.int64())})
             held.clear()
 
@@ -110,7 +119,7 @@ def dictionary(docs: DataFrame, text_col: str, group_col: str, spec: Mining) ->
 
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("grp"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parsed = texts.mapInArrow(parse, "grp string, chunk string, own int, n long")
+    parsed = texts.mapInArrow(parse, "grp string, chunk string, own long, n long")
     return written(parsed.groupBy("grp", "chunk", "own").agg(F.sum("n").alias("n"))
                    .sortWithinPartitions("grp"), "dictionary")
 
@@ -123,6 +132,7 @@ def word_counts(parsed: DataFrame, spec: Mining) -> DataFrame:
 
         def sent() -> Iterator[pa.RecordBatch]:
             for group, found in held.items():
+                found.pop(STOP, None)
                 yield pa.RecordBatch.from_pydict({
                     "grp": pa.array([group] * len(found), pa.string()), "phrase": _strings(list(found)),
                     "f": pa.array(list(found.values()), pa.int64())})
@@ -130,8 +140,8 @@ def word_counts(parsed: DataFrame, spec: Mining) -> DataFrame:
 
         for batch in trimmed(batches):
             single = defaultdict(list)
-            for group, chunk, own, n in _rows(batch):
-                words = chunk.split()[:own]
+            for group, chunk, n in _rows(batch):
+                words = chunk.split()[:-OVERLAP]
                 if n == 1:
                     single[group] += words
                 else:
@@ -144,26 +154,24 @@ def word_counts(parsed: DataFrame, spec: Mining) -> DataFrame:
                 yield from sent()
         yield from sent()
 
-    return (parsed.select("grp", "chunk", "own", "n").mapInArrow(count, "grp string, phrase string, f long")
+    return (parsed.select("grp", "chunk", "n").mapInArrow(count, "grp string, phrase string, f long")
             .groupBy("grp", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= spec.least))
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes, int, int]]:
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes, int]]:
     return zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(),
-               batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+               batch.column(2).to_pylist(), strict=True)
 
 
-def _grams(chunk: bytes, own: int) -> Iterator[bytes]:
-    """``w1 w2 w3`` of each own word, ``w1 w2 `` at the end of a piece."""
-    words = chunk.split()
-    return map(b" ".join, zip(words[:own], words[1:], words[2:] + [b""]))
+def _grams(chunk: bytes) -> Iterator[bytes]:
+    """Each own token with the two behind it, stops included."""
+    tokens = chunk.split()
+    return map(b" ".join, zip(tokens, tokens[1:], tokens[2:]))
 
 
-def _packed(found: Counter) -> bytes:
-    """Sorted grams, those of several occurrences with their count."""
-    once = sorted(g for g, n in found.items() if n == 1)
-    more = sorted(b"%s\t%d" % (g, n) for g, n in found.items() if n > 1)
-    return zstandard.ZstdCompressor(level=3).compress(b"\n".join(once) + b"\r" + b"\n".join(more))
+def _packed(once: list[bytes], more: list[bytes]) -> bytes:
+    """Grams of one occurrence, and those of more with their count."""
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(once) + b"\r" + b"\n".join(more))
 
 
 def _unpacked(data: bytes, into: Counter) -> None:
@@ -178,34 +186,45 @@ def _unpacked(data: bytes, into: Counter) -> None:
 def phrase_counts(parsed: DataFrame, hot: dict[str, frozenset], tasks: int, spec: Mining) -> DataFrame:
     """(grp, phrase, words, f) of two and three words with ``least``
     occurrences or more.  ``hot``: the hot words of each group."""
-    buckets = max(1, tasks * spec.buckets)
+    per, buckets = spec.buckets, max(1, tasks * spec.buckets)
     none: frozenset = frozenset()
+    keys = partition_keys(parsed.sparkSession, tasks)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
 
         def sent() -> Iterator[pa.RecordBatch]:
             for group, found in held.items():
-                dealt: dict[int, Counter] = defaultdict(Counter)
                 often = hot.get(group, none)
+                once: list[list[bytes]] = [[] for _ in range(buckets)]
+                more: list[list[bytes]] = [[] for _ in range(buckets)]
                 for gram, n in found.items():
-                    pair = gram[:gram.rindex(b" ")]
-                    first, second = pair.split(b" ")
-                    key = gram if first in often and second in often else pair
-                    dealt[crc32(key) % buckets][gram] = n
+                    first, second, third = gram.split(b" ")
+                    if first == STOP or second == STOP:
+                        continue
+                    key = crc32(second, crc32(first))
+                    if first in often and second in often:
+                        key = crc32(third, key)
+                    if n == 1:
+                        once[key % buckets].append(gram)
+                    else:
+                        more[key % buckets].append(b"%s\t%d" % (gram, n))
+                full = [t for t in range(0, buckets, per) if any(once[t:t + per]) or any(more[t:t + per])]
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(list(dealt), pa.int32()), "grp": pa.array([group] * len(dealt), pa.string()),
-                    "data": pa.array([_packed(c) for c in dealt.values()], pa.binary())})
+                    "task": pa.array([keys[t // per] for t in full], pa.int32()),
+                    "grp": pa.array([group] * len(full), pa.string()),
+                    "data": pa.array([[_packed(once[b], more[b]) for b in range(t, t + per)] for t in full],
+                                     pa.list_(pa.binary()))})
             held.clear()
 
         for batch in trimmed(batches):
             single = defaultdict(list)
-            for group, chunk, own, n in _rows(batch):
+            for group, chunk, n in _rows(batch):
                 if n == 1:
-                    single[group] += _grams(chunk, own)
+                    single[group] += _grams(chunk)
                 else:
                     found = held[group]
-                    for gram in _grams(chunk, own):
+                    for gram in _grams(chunk):
                         found[gram] += n
             for group, grams in single.items():
                 held[group].update(grams)
@@ -217,16 +236,18 @@ def phrase_counts(parsed: DataFrame, hot: dict[str, frozenset], tasks: int, spec
         now, found = None, Counter()
 
         def done() -> Iterator[pa.RecordBatch]:
-            group, often = now[1], hot.get(now[1], none)
-            pairs: dict[bytes, int] = defaultdict(int)
+            group, often = now[-1], hot.get(now[-1], none)
+            pairs: dict[tuple[bytes, bytes], int] = defaultdict(int)
+            out = []
             for gram, n in found.items():
-                pairs[gram[:gram.rindex(b" ")]] += n
-            out = [(g, 3, n, False) for g, n in found.items() if n >= spec.least and g[-1] != 32]
-            for pair, n in pairs.items():
-                first, second = pair.split(b" ")
+                first, second, third = gram.split(b" ")
+                pairs[first, second] += n
+                if n >= spec.least and third != STOP:
+                    out.append((gram, 3, n, False))
+            for (first, second), n in pairs.items():
                 part = first in often and second in often
                 if part or n >= spec.least:
-                    out.append((pair, 2, n, part))
+                    out.append((first + b" " + second, 2, n, part))
             if out:
                 phrase, words, f, part = zip(*out)
                 yield pa.RecordBatch.from_pydict({
@@ -235,17 +256,18 @@ def phrase_counts(parsed: DataFrame, hot: dict[str, frozenset], tasks: int, spec
                     "part": pa.array(part, pa.bool_())})
 
         for batch in trimmed(batches):
-            for bucket, group, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, group) != now:
+            for *bucket, group, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (*bucket, group) != now:
                     if now is not None:
                         yield from done()
-                    now, found = (bucket, group), Counter()
+                    now, found = (*bucket, group), Counter()
                 _unpacked(data, found)
         if now is not None:
             yield from done()
 
-    packed = parsed.select("grp", "chunk", "own", "n").mapInArrow(deal, "bucket int, grp string, data binary")
-    dealt = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket", "grp")
+    packed = parsed.select("grp", "chunk", "n").mapInArrow(deal, "task int, grp string, data array<binary>")
+    dealt = (packed.repartition(tasks, "task").select("task", "grp", F.posexplode("data").alias("bucket", "data"))
+             .select("task", "bucket", "grp", "data").sortWithinPartitions("task", "bucket", "grp"))
     counted = written(dealt.mapInArrow(count, "grp string, phrase string, words int, f long, part boolean"),
                       "phrases")
     whole = counted.filter("not part").drop("part")
