@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.plans.rollup import SPEND, TXNS, rollup
+from starmart.plans.rollup import AMOUNTS, SPEND, TXNS, rollup
 
 
 def _avg(total: str, count: str):
-    """Average amount as Spark's avg over decimal(12,2) types it."""
-    return (F.col(total) / F.col(count)).cast("decimal(16,6)")
+    """Average amount as Spark's avg over decimal(12,2) types it (NULL for a
+    group without amounts)."""
+    return (F.col(total) / F.nullif(F.col(count), F.lit(0)).cast("decimal(20,0)")).cast("decimal(16,6)")
 
 
 def top5_categories_spend(fact: DataFrame, dim_merchant: DataFrame, n: int = 5,
@@ -38,18 +39,20 @@ def spend_by_brand(fact: DataFrame, dim_account: DataFrame,
 
 def _by_state(fact: DataFrame, dim_customer: DataFrame, dim_rows: int | None) -> DataFrame:
     r = rollup(fact, dim_customer, "customer_key", ["state"], dim_rows)
-    return r.select("state", F.col(SPEND).alias("total_spend"), F.col(TXNS).alias("txn_count"))
+    return r.select("state", F.col(SPEND).alias("total_spend"), F.col(TXNS).alias("txn_count"),
+                    F.col(AMOUNTS).alias("amount_count"))
 
 
 def top5_states_avg(fact: DataFrame, dim_customer: DataFrame, n: int = 5,
                     with_parts: bool = False, dim_rows: int | None = None) -> DataFrame:
     """A3: ``n`` states with the highest average transaction amount.
 
-    The average is over transactions (total / count), not over customers.
-    ``with_parts`` keeps ``total_spend`` and ``txn_count`` as well.
+    The average is over transactions with an amount, as ``avg(amount)`` is,
+    not over customers.  ``with_parts`` keeps ``total_spend``, ``txn_count``
+    and ``amount_count`` as well.
     """
     s = _by_state(fact, dim_customer, dim_rows).withColumn(
-        "avg_amount", _avg("total_spend", "txn_count"))
+        "avg_amount", _avg("total_spend", "amount_count"))
     s = s.orderBy(F.col("avg_amount").desc_nulls_first(), F.col("state").asc_nulls_last()).limit(n)
     return s if with_parts else s.select("state", "avg_amount")
 

@@ -25,13 +25,15 @@ from starmart.sizing import fits_broadcast
 
 SPEND = "_spend"  # decimal(22,2): the type of sum over decimal(12,2)
 TXNS = "_txns"
+AMOUNTS = "_amounts"  # rows whose amount isn't NULL: what an average divides by
 
 
 def rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
            dim_rows: int | None = None, extra: Mapping[str, Column] | None = None
            ) -> DataFrame:
     """Columns ``by`` + ``extra`` names + ``_spend`` (sum of amount) +
-    ``_txns`` (row count) of ``fact ⋈ dim`` on ``key``.
+    ``_txns`` (row count) + ``_amounts`` (rows with an amount) of
+    ``fact ⋈ dim`` on ``key``.
 
     ``extra`` are grouping columns computed from the fact (e.g. the month).
     """
@@ -41,10 +43,12 @@ def rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
     if fits_broadcast(dim_rows):
         j = fact.select(key, "amount", *ex_cols).join(F.broadcast(dim_side), key)
         out = j.groupBy(*by, *extra).agg(F.sum("amount").alias(SPEND),
-                                         F.count(F.lit(1)).alias(TXNS))
+                                         F.count(F.lit(1)).alias(TXNS),
+                                         F.count("amount").alias(AMOUNTS))
     else:
         per_key = fact.groupBy(key, *ex_cols).agg(F.sum("amount").alias(SPEND),
-                                                  F.count(F.lit(1)).alias(TXNS))
+                                                  F.count(F.lit(1)).alias(TXNS),
+                                                  F.count("amount").alias(AMOUNTS))
         out = per_key.join(dim_side, key).groupBy(*by, *extra).agg(
-            F.sum(SPEND).alias(SPEND), F.sum(TXNS).alias(TXNS))
+            F.sum(SPEND).alias(SPEND), F.sum(TXNS).alias(TXNS), F.sum(AMOUNTS).alias(AMOUNTS))
     return out.withColumn(SPEND, F.col(SPEND).cast("decimal(22,2)"))
