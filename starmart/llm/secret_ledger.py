@@ -7,16 +7,18 @@ sends each such blob once to one task, runs only the missing rules on it,
 appends the new rows and joins findings back to all paths of a blob.  A new
 rule version, or a new text, costs just its own pairs.
 
-Plan: copies collapse before the shuffle of the blobs (one copy a task leaves
-it), the ledger meets them on the same hash of the blob address, and the scan
-runs behind that one exchange.  The join back to paths moves addresses and
-the few findings, no texts.
+Plan: the addresses of all paths meet the ledger first, and narrow.  Only
+texts whose address may lack a scan (by a bit filter of bounded size) move:
+copies collapse in the task, and each such blob goes once to the task that
+scans it.  The join back to paths moves addresses and the few findings, no
+texts; ``redacted`` moves only the texts that may have findings, the others
+pass where they are.
 
 Defined results: a null text is the empty blob and has no findings; repeated
 rows are paths of the same blob and get the same findings, one output row
 for each input row; null ids stay; an empty table gives an empty result;
 other columns are ignored or (``redacted``) kept.  Very long texts are
-scanned whole.
+scanned whole.  A private key without an END line ends with its base64 lines.
 """
 from __future__ import annotations
 
@@ -25,12 +27,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.common import map_batches, written
+from starmart.operators.bloom import bit_filter
 
-BLOB, SPANS = "__llm_blob", "__llm_spans"
+BLOB, SPANS, MAY = "__llm_blob", "__llm_spans", "__llm_may"
 LEDGER_SCHEMA = ("__llm_blob binary, rule string, version int, "
                  "spans array<struct<start:int,end:int>>")
 
@@ -73,7 +77,12 @@ RULES = (
     # A run is never longer than its greedy match, so the bound may stand in
     # the pattern: shorter runs are passed over without a match object.
     Rule("hex", 1, r"[0-9a-f]{32,}", least=32),
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", needs=("private key",)),
+    # Version 2 takes the whole block: to its END line, else its headers and
+    # base64 lines (or long base64 words, where line breaks are escaped).
+    Rule("private_key", 2,
+         r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+         r"|(?:(?:\s|\\[nr])*+(?:[A-Za-z0-9+/=]{16,}+|(?<=\n)[A-Za-z-]+:[^\n]*+|(?<=\n)[A-Za-z0-9+/=]+(?=\r?\n|\Z)))*+)",
+         needs=("private key",)),
     Rule("forge_token", 1, r"gh[pousr]_[A-Za-z0-9]+", least=40, needs=("gh",)),
 )
 
@@ -84,21 +93,34 @@ def with_blob(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn(BLOB, F.unhex(F.sha2(text, 256)))
 
 
+def lacking(addresses: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """(address, missing) of the addresses some current rule version has not
+    scanned, each once, with the kinds that are missing."""
+    kinds = F.array(*(F.lit(r.kind) for r in rules))
+    current = " or ".join(f"(rule = '{r.kind}' and version = {r.version})" for r in rules)
+    done = ledger.filter(current).groupBy(BLOB).agg(F.collect_set("rule").alias("done"))
+    missing = F.array_except(kinds, F.coalesce("done", F.array().cast("array<string>")))
+    return (addresses.select(BLOB).distinct().join(done, BLOB, "left").withColumn("missing", missing)
+            .filter(F.size("missing") > 0).select(BLOB, "missing"))
+
+
+def may_have(docs: DataFrame, addresses: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with their addresses and whether that may be one of
+    ``addresses`` (false: surely not)."""
+    return bit_filter(addresses, BLOB).passed(with_blob(docs, text_col), F.col(BLOB), MAY)
+
+
 def unseen(docs: DataFrame, ledger: DataFrame | None, text_col: str = "text",
            rules: Sequence[Rule] = RULES) -> DataFrame:
     """(address, text, missing): the blobs some current rule version has not
     scanned, each once, with the kinds that are missing."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = (with_blob(docs.select(text_col), text_col)
-             .groupBy(BLOB).agg(F.first(text).alias("text")))
-    kinds = F.array(*(F.lit(r.kind) for r in rules))
     if ledger is None:
-        return blobs.withColumn("missing", kinds)
-    current = " or ".join(f"(rule = '{r.kind}' and version = {r.version})" for r in rules)
-    done = ledger.filter(current).groupBy(BLOB).agg(F.collect_set("rule").alias("done"))
-    missing = F.array_except(kinds, F.coalesce("done", F.array().cast("array<string>")))
-    return (blobs.join(done, BLOB, "left").withColumn("missing", missing)
-            .filter(F.size("missing") > 0).drop("done"))
+        blobs = with_blob(docs.select(text_col), text_col).groupBy(BLOB).agg(F.first(text).alias("text"))
+        return blobs.withColumn("missing", F.array(*(F.lit(r.kind) for r in rules)))
+    todo = written(lacking(with_blob(docs.select(text_col), text_col), ledger, rules), "lacking")
+    moved = may_have(docs.select(text_col), todo, text_col).filter(MAY)
+    return moved.groupBy(BLOB).agg(F.first(text).alias("text")).join(todo, BLOB)
 
 
 def scanned(blobs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -131,6 +153,21 @@ def update_ledger(docs: DataFrame, ledger: DataFrame | None = None, text_col: st
     return new if ledger is None else ledger.select(*new.columns).unionByName(new)
 
 
+def scan_into(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "text",
+              rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The durable ledger at ``path`` after scanning what it lacks of ``docs``.
+
+    New rows are appended by Spark's commit protocol when the scan is whole,
+    so a failed run leaves the ledger as it was; a first run makes it.
+    """
+    try:
+        ledger = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException:
+        ledger = None
+    scanned(unseen(docs, ledger, text_col, rules), rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
 def findings(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """(address, spans): for blobs with findings of current rule
     versions, all spans by start, then kind in the rules' order."""
@@ -169,7 +206,11 @@ def secret_report(docs: DataFrame, ledger: DataFrame, id_col: str = "doc_id",
 def redacted(docs: DataFrame, ledger: DataFrame, text_col: str = "text",
              mark: str = "[REDACTED]", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark`` (spans that
-    overlap by one mark); other rows and all other columns unchanged."""
+    overlap by one mark); other rows and all other columns unchanged.
+
+    The findings are written first; a bit filter of their addresses parts the
+    rows, and only those that may be hit are joined, the rest isn't moved.
+    """
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -183,6 +224,8 @@ def redacted(docs: DataFrame, ledger: DataFrame, text_col: str = "text",
     def close(acc):
         return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
 
-    found = with_blob(docs, text_col).join(findings(ledger, rules), BLOB, "left")
+    hits = written(findings(ledger, rules), "hits")
+    parted = may_have(docs, hits, text_col)
     clean = F.when(F.col(SPANS).isNull(), text).otherwise(F.aggregate(SPANS, start, cut, close))
-    return found.withColumn(text_col, clean).select(*docs.columns)
+    cleaned = parted.filter(MAY).join(hits, BLOB, "left").withColumn(text_col, clean).select(*docs.columns)
+    return parted.filter(~F.col(MAY)).select(*docs.columns).unionByName(cleaned)

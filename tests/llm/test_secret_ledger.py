@@ -103,3 +103,64 @@ def test_empty_table(spark, ledger):
     got = S.update_ledger(docs, known)
     assert S.secret_report(docs, got).collect() == [] and S.redacted(docs, got).collect() == []
     assert got.filter(F.lit(True)).count() == (len(S.RULES) if ledger else 0)
+
+
+KEY = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + "\n".join(
+    "MIIEowIBAAKCAQEA" + str(i) * 40 for i in range(4)) + "\nshort=="
+
+
+@pytest.mark.parametrize("text,want", [
+    (f"x {KEY}\n-----END RSA PRIVATE KEY----- y", "x [REDACTED] y"),
+    (f"x {KEY}\nplain words follow", "x [REDACTED]\nplain words follow"),
+    (f"a {KEY}", "a [REDACTED]"),
+    ("j \"-----BEGIN PRIVATE KEY-----\\nMIIEvQIBADANBgkqhkiG\\nAAAAAAAAAAAAAAAAAAAAAA==\\n-----END PRIVATE KEY-----\\n\" z",
+     "j \"[REDACTED]\\n\" z"),
+    (f"{KEY}\n{KEY}\n-----END RSA PRIVATE KEY-----.", "[REDACTED]\n[REDACTED]."),
+    ("-----BEGIN EC PRIVATE KEY----- of no key", "[REDACTED] of no key")])
+def test_no_line_of_a_private_key_survives(spark, text, want):
+    docs = frame(spark, [text])
+    assert S.redacted(docs, S.update_ledger(docs)).first()["text"] == want
+
+
+def test_many_open_keys_in_a_long_text_take_time_in_proportion():
+    import time
+    rule = next(r for r in S.RULES if r.kind == "private_key").finder()
+    took = []
+    for n in (2000, 16000):
+        text = "-----BEGIN PRIVATE KEY-----\nAAAABBBBCCCCDDDDEEEE\nno end here " * n
+        start = time.time()
+        assert len(rule(text, text.lower())) == n
+        took.append(time.time() - start)
+    assert took[1] < 30 * max(took[0], 0.01)
+
+
+def test_a_second_run_moves_only_new_texts(spark):
+    old = frame(spark, [f"text number {i} " * 20 for i in range(2000)])
+    new = frame(spark, [f"text number {i} " * 20 for i in range(2020)])
+    ledger = S.update_ledger(old)
+    todo = S.lacking(S.with_blob(new.select("text")), ledger)
+    assert todo.count() == 20
+    assert 20 <= S.may_have(new, todo, "text").filter(S.MAY).count() < 200
+    assert S.unseen(new, ledger).count() == 20
+
+
+def test_durable_ledger_grows_by_what_it_lacks(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = S.scan_into(spark, frame(spark, ["token=abcdefgh", "clean"]), path)
+    assert first.count() == 2 * len(S.RULES)
+    docs = frame(spark, ["token=abcdefgh", "secret: 12345678", None])
+    again = S.scan_into(spark, docs, path)
+    assert again.count() == 4 * len(S.RULES)
+    assert S.scan_into(spark, docs, path).count() == 4 * len(S.RULES)
+    got = S.secret_report(docs, again).orderBy("doc_id").collect()
+    assert [r["n_assign"] for r in got] == [1, 1, 0]
+
+
+def test_redaction_moves_only_rows_that_may_be_hit(spark):
+    texts = [f"clean text {i}" for i in range(3000)] + ["a token=abcdefgh b"] * 3
+    docs = frame(spark, texts)
+    ledger = S.update_ledger(docs)
+    moved = S.may_have(docs, S.findings(ledger), "text").filter(S.MAY).count()
+    assert 3 <= moved < 600
+    got = S.redacted(docs, ledger)
+    assert got.count() == 3003 and got.filter("text = 'a [REDACTED] b'").count() == 3
