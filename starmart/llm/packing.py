@@ -5,7 +5,9 @@ tokens, segments and loss-bearing tokens.  The next piece of a sequence is the
 one whose demand vector has the largest dot product with the sequence's
 remaining capacity (both in shares of the limits) among those that fit whole;
 when none fits, one piece is cut to fill what is left.  Examples longer than a
-sequence are cut into full ones first.
+sequence are cut into full ones first.  Pieces of equal demand are one class
+with one score, so a placement costs by the lengths that occur, at most the
+limit's, and not by the pieces that wait.
 
 Plan: one pass, no shuffle.  A task streams its partition in blocks of a fixed
 number of tokens, so memory doesn't grow with the partition, and carries the
@@ -67,10 +69,11 @@ class WordEncoder:
     """Ids of a word-level BPE tokenizer file.
 
     The tokenizer works word by word, so each distinct word is encoded once
-    (by the library) and kept under its hash.  Words are cut here by the
-    tokenizer's own rule for plain texts: ASCII and Latin-1 letters, without
-    contractions or special tokens.  Any other text is encoded whole by the
-    library.
+    (by the library) and kept under its hash, with its bytes: a word of equal
+    hash and other bytes sends its text to the library.  Words are cut here by
+    the tokenizer's own rule for plain texts: ASCII and Latin-1 letters,
+    without contractions or special tokens.  Any other text is encoded whole
+    by the library.
     """
 
     KEEP = 1 << 19  # words
@@ -89,8 +92,12 @@ class WordEncoder:
         self.at = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
+        self.raw = np.zeros(0, dtype=np.uint8)  # the words' bytes
+        self.raw_at = np.zeros(0, dtype=np.int64)
+        self.raw_size = np.zeros(0, dtype=np.int64)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
+        words = [x.decode() for x in raw]
         # One text of all new words: a word's last token carries the word end.
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
         end = np.flatnonzero(self.ends[ids]) + 1
@@ -104,6 +111,20 @@ class WordEncoder:
         self.size = np.insert(self.size, spot, size)
         self.hash = np.insert(self.hash, spot, hashes)
         self.ids = np.concatenate([self.ids, ids])
+        letters = np.array([len(x) for x in raw], dtype=np.int64)
+        self.raw_at = np.insert(self.raw_at, spot, len(self.raw) + np.cumsum(letters) - letters)
+        self.raw_size = np.insert(self.raw_size, spot, letters)
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(raw), dtype=np.uint8)])
+
+    def _others(self, at: np.ndarray, letters: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Mask of the words (``data``: their bytes in a row) that aren't the
+        kept word ``at``."""
+        other = self.raw_size[at] != letters
+        begin = np.cumsum(letters) - letters
+        spot = np.repeat(self.raw_at[at] - begin, letters) + np.arange(len(data))
+        wrong = np.flatnonzero(self.raw[np.minimum(spot, max(len(self.raw) - 1, 0))] != data) if len(data) else []
+        other[np.searchsorted(begin, wrong, "right") - 1] = True
+        return other
 
     @staticmethod
     def odd_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -122,33 +143,36 @@ class WordEncoder:
             self._forget()
         data, offsets = utf8(column)
         odd = self.odd_texts(data, offsets)
-        kind = KIND[data]
-        kind[np.repeat(odd, np.diff(offsets))] = SPACE
         low = LOWER[data]
         upper = np.flatnonzero(data[:-1] == 0xC3) + 1 if len(data) else np.zeros(0, int)
         upper = upper[data[upper] < 0x9F]
         low[upper] += 0x20
-
-        before, after = np.zeros_like(kind), np.zeros_like(kind)
-        before[1:], after[:-1] = kind[:-1], kind[1:]
-        first, last = offsets[:-1], offsets[1:] - 1
-        before[first[first < len(data)]] = SPACE
-        after[last[last >= 0]] = SPACE
-        starts = np.flatnonzero((kind != SPACE) & ((kind != before) | (kind == DIGIT)))
-        ends = np.flatnonzero((kind != SPACE) & ((kind != after) | (kind == DIGIT))) + 1
-
-        word, example, place = np.unique(byte_spans(low, starts, ends), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hash, word)
-        new = np.ones(len(word), dtype=bool)
-        if len(self.hash):
-            new = self.hash[np.minimum(at, len(self.hash) - 1)] != word
-        if new.any():
-            raw, some = low.tobytes(), example[new]
-            self._learn(word[new], [raw[a:b].decode() for a, b in zip(
-                starts[some].tolist(), ends[some].tolist(), strict=True)])
+        while True:
+            kind = KIND[data]
+            kind[np.repeat(odd, np.diff(offsets))] = SPACE
+            before, after = np.zeros_like(kind), np.zeros_like(kind)
+            before[1:], after[:-1] = kind[:-1], kind[1:]
+            first, last = offsets[:-1], offsets[1:] - 1
+            before[first[first < len(data)]] = SPACE
+            after[last[last >= 0]] = SPACE
+            starts = np.flatnonzero((kind != SPACE) & ((kind != before) | (kind == DIGIT)))
+            ends = np.flatnonzero((kind != SPACE) & ((kind != after) | (kind == DIGIT))) + 1
+            word, example, place = np.unique(byte_spans(low, starts, ends), return_index=True, return_inverse=True)
             at = np.searchsorted(self.hash, word)
+            new = np.ones(len(word), dtype=bool)
+            if len(self.hash):
+                new = self.hash[np.minimum(at, len(self.hash) - 1)] != word
+            if new.any():
+                raw, some = low.tobytes(), example[new]
+                self._learn(word[new], [raw[a:b] for a, b in zip(
+                    starts[some].tolist(), ends[some].tolist(), strict=True)])
+                at = np.searchsorted(self.hash, word)
+            text = np.searchsorted(offsets, starts, "right") - 1
+            other = self._others(at[place], ends - starts, low[kind != SPACE])
+            if not other.any():
+                break
+            odd[text[other]] = True
         size = self.size[at][place]
-        text = np.searchsorted(offsets, starts, "right") - 1
         total = int(size.sum())
         source = np.repeat(self.at[at][place] - (np.cumsum(size) - size), size) + np.arange(total)
         out = np.full(total + len(column), END_ID, dtype=np.uint32)
@@ -197,35 +221,82 @@ def pack(pieces: Pieces, limits: Limits = DEFAULT) -> list[list[tuple[int, int,
             n = int(min(n, tokens[i]))
             sequences.append([(int(example[i]), int(start[i]), n)])
             start[i], tokens[i], skip[i] = start[i] + n, tokens[i] - n, max(0, skip[i] - n)
-    live = np.flatnonzero(tokens > 0)
-    example, start, tokens, skip = example[live], start[live], tokens[live], skip[live]
-    loss = np.maximum(tokens - skip, 0)
-    demand = np.stack([tokens / most[0], np.full(len(tokens), 1 / most[1]), loss / most[2]], axis=1)
-    left = len(tokens)
-    while left:
-        room, now = np.array([limits.tokens, limits.segments, limits.loss]), []
-        while left and room[0] > 0 and room[1] > 0:
-            fits = (tokens > 0) & (tokens <= room[0]) & (loss <= room[2])
-            if fits.any():
-                score = np.where(fits, demand @ (room / most), -1)
-                i = int(score.argmax())
-                n = int(tokens[i])
+    waiting = _Waiting(limits)
+    for i in np.flatnonzero(tokens > 0).tolist():
+        waiting.add(int(example[i]), int(start[i]), int(tokens[i]), int(skip[i]))
+    while waiting.left:
+        room, now = most.copy(), []
+        while waiting.left and room[0] > 0 and room[1] > 0:
+            kind = waiting.best(room, most)
+            if kind is not None:
+                e, at = waiting.take(kind)
+                n, bears = int(waiting.tokens[kind]), int(waiting.loss[kind])
             else:
-                i = int(tokens.argmax())
-                n = int(min(tokens[i], room[0], room[2] + min(skip[i], room[0])))
+                kind = waiting.longest()
+                size, bare = int(waiting.tokens[kind]), int(waiting.skip[kind])
+                n = int(min(size, room[0], room[2] + min(bare, room[0])))
                 if n < limits.cut:
                     break
-            bears = max(0, n - int(skip[i]))
-            now.append((int(example[i]), int(start[i]), n))
-            room = room - np.array([n, 1, bears])
-            start[i], tokens[i], skip[i] = start[i] + n, tokens[i] - n, max(0, int(skip[i]) - n)
-            loss[i] = max(0, int(tokens[i] - skip[i]))
-            demand[i, 0], demand[i, 2] = tokens[i] / most[0], loss[i] / most[2]
-            left -= tokens[i] == 0
+                e, at = waiting.take(kind)
+                bears = max(0, n - bare)
+                if n < size:
+                    waiting.add(e, at + n, size - n, max(0, bare - n))
+            now.append((e, at, n))
+            room -= (n, 1, bears)
         sequences.append(now)
     return sequences
 
 
+class _Waiting:
+    """Pieces that wait for a place, by class: tokens and leading tokens
+    without loss."""
+
+    def __init__(self, limits: Limits):
+        self.most = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
+        self.place: dict[tuple[int, int], int] = {}
+        self.pieces: list[list[tuple[int, int]]] = []
+        self.used = self.left = 0
+        self._room(256)
+
+    def _room(self, n: int) -> None:
+        old = self.__dict__.copy()
+        self.tokens, self.skip, self.loss, self.count = (np.zeros(n, dtype=np.int64) for _ in range(4))
+        self.demand = np.zeros((n, 3))
+        if self.used:
+            for k in ("tokens", "skip", "loss", "count", "demand"):
+                getattr(self, k)[:self.used] = old[k][:self.used]
+
+    def add(self, example: int, start: int, tokens: int, skip: int) -> None:
+        kind = self.place.setdefault((tokens, skip), self.used)
+        if kind == self.used:
+            if kind == len(self.tokens):
+                self._room(2 * kind)
+            loss = max(tokens - skip, 0)
+            self.tokens[kind], self.skip[kind], self.loss[kind] = tokens, skip, loss
+            self.demand[kind] = np.array([tokens, 1, loss]) / self.most
+            self.pieces.append([])
+            self.used += 1
+        self.pieces[kind].append((example, start))
+        self.count[kind] += 1
+        self.left += 1
+
+    def take(self, kind: int) -> tuple[int, int]:
+        self.count[kind] -= 1
+        self.left -= 1
+        return self.pieces[kind].pop()
+
+    def best(self, room: np.ndarray, most: np.ndarray) -> int | None:
+        """The class of largest dot product with the room among those that fit."""
+        n = self.used
+        fits = (self.count[:n] > 0) & (self.tokens[:n] <= room[0]) & (self.loss[:n] <= room[2])
+        score = np.where(fits, self.demand[:n] @ (room / most), -1)
+        kind = int(score.argmax())
+        return kind if fits[kind] else None
+
+    def longest(self) -> int:
+        return int(np.where(self.count[:self.used] > 0, self.tokens[:self.used], -1).argmax())
+
+
 SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 

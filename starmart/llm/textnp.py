@@ -3,11 +3,13 @@
 A batch of texts is one byte array with offsets.  Words are runs of bytes of
 a 256-entry class table (every separator is ASCII, so runs of bytes are runs
 of characters).  The hash of a span ``[s, e)`` of values ``v`` is the
-polynomial ``sum v[i] * B**(i - s)`` modulo 2**64, taken from one prefix sum:
-``(C[e] - C[s]) * B**-s`` (an odd ``B`` has an inverse), so a rolling hash of
-any length costs the same.  Bytes enter through a table of 64-bit constants
-and word hashes are mixed again, which keeps accidental collisions at the
-rate of random 64-bit values.
+polynomial ``sum v[i] * B**(i - s)`` modulo the prime 2**31 - 1, taken from
+one prefix sum: ``(C[e] - C[s]) * B**-s``, so a rolling hash of any length
+costs the same.  Two of them, with other bases and other parts of the values,
+make 62 bits.  Modulo a prime, two spans of n values collide in one of them
+for at most n of its bases, whatever their content (modulo a power of two,
+some pairs collide for every base).  Bytes enter through a table of mixed
+constants, and hashes are mixed again to 64 bits.
 """
 from __future__ import annotations
 
@@ -16,8 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_PRIME = np.uint64((1 << 31) - 1)
+_SHIFT = np.uint64(31)
+_BASES = (0x2545F491, 0x5851F42D)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _powers = {}
 
 
@@ -32,7 +36,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of words ``[^\x20\x09-\x0D]+``.
@@ -40,14 +44,18 @@ NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    """``base ** i`` for i < n (the table grows by doubling, once a process)."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(1 << 16, 1 << int(n).bit_length())
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        _powers[int(base)] = have = np.cumprod(have)
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A number below 2**33 that is ``x`` modulo the prime."""
+    return (x & _PRIME) + (x >> _SHIFT)
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """``base ** i`` modulo the prime for i < n (the table grows by doubling,
+    once a process)."""
+    have = _powers.get(base, np.ones(1, dtype=np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME])
+    _powers[base] = have
     return have[:n]
 
 
@@ -85,15 +93,27 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(mask & ~before), np.flatnonzero(mask & ~after) + 1
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _polynomial(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * _power(_BASE, len(values)), out=total[1:])
-    return (total[ends] - total[starts]) * _power(_INVERSE, len(values) + 1)[starts]
+    np.cumsum(_folded(values * _power(base, len(values))), out=total[1:])
+    inverse = _power(pow(base, -1, int(_PRIME)), len(values) + 1)
+    return (total[ends] - total[starts]) % _PRIME * inverse[starts] % _PRIME
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """62-bit hashes of spans of 64-bit values (their low 62 bits count)."""
+    one = _polynomial(values & _PRIME, _BASES[0], starts, ends)
+    two = _polynomial((values >> _SHIFT) & _PRIME, _BASES[1], starts, ends)
+    return (one << _SHIFT) | two
+
+
+_BYTE_PARTS = (_BYTE & _PRIME, (_BYTE >> _SHIFT) & _PRIME)
 
 
 def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A mixed 64-bit hash of each byte span."""
-    return mix64(span_hashes(_BYTE[data], starts, ends) + (ends - starts).astype(np.uint64))
+    one, two = (_polynomial(part[data], base, starts, ends) for part, base in zip(_BYTE_PARTS, _BASES, strict=True))
+    return mix64(((one << _SHIFT) | two) + (ends - starts).astype(np.uint64))
 
 
 def windows(hashes: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -109,3 +109,19 @@ def test_ids_column(spark, reference):
 
 def test_empty_table(spark):
     assert P.packed(frame(spark, []), tokenizer_path()).collect() == []
+
+
+def test_time_grows_in_proportion_to_short_pieces():
+    import time
+
+    from starmart.llm.packing import Limits, Pieces, pack
+    rng = np.random.default_rng(7)
+    took = []
+    for n in (10_000, 80_000):
+        tokens = rng.integers(20, 80, n)
+        start = time.time()
+        got = pack(Pieces(np.arange(n), np.zeros(n, dtype=np.int64), tokens, np.ones(n, dtype=np.int64)), Limits())
+        took.append(time.time() - start)
+        filled = sum(p[2] for s in got for p in s)
+        assert filled == tokens.sum() and filled / (4096 * len(got)) > 0.98
+    assert took[1] < 16 * took[0], took
