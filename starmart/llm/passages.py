@@ -15,8 +15,8 @@ their own first occurrence only the words behind it are cut.
    settled where it is read.
 3. *Ranges.*  The cut windows of a text meet and are merged.
 
-A fingerprint that is frequent in a pack of texts is sent once a pack, and a
-text's windows go to as many tasks as their hashes.
+A fingerprint that is frequent in a pack of texts is sent once a pack, and so
+is a window, for the least of the pack's texts; the others' are cut there.
 """
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import textnp as T
-from starmart.llm.common import freed, map_batches, trimmed, written
+from starmart.llm.common import content_key, freed, map_batches, trimmed, written
 
 LEAST = 50  # words of a passage
 GRAM = 16  # words of a fingerprint
@@ -198,8 +198,16 @@ def ranges(texts: DataFrame, hits: int) -> DataFrame:
         begin = at[new][np.cumsum(new) - 1]
         start = np.maximum(at, begin + LEAST)[~new]
         size, of = (at[~new] + LEAST - start).astype(np.uint8), rank[text[~new]]
+        # Of the texts of this pack that hold a window only the least goes on:
+        # the others are cut, wherever the first of all stands.
+        h, check, owner, at = h[new], check[new], rank[text[new]], at[new]
+        order = np.lexsort((owner, check, h))
+        h, check, owner, at = h[order], check[order], owner[order], at[order]
+        lead = np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])][:len(h)]
+        start, of = np.r_[start, at[~lead]], np.r_[of, owner[~lead]]
+        size = np.r_[size, np.full(int((~lead).sum()), LEAST, dtype=np.uint8)]
         rows = [(b, *x, b"", b"", b"") for b, *x in _packs(
-            {"h": h[new], "check": check[new], "rank": rank[text[new]], "at": at[new]}, h[new], 4 * tasks)]
+            {"h": h[lead], "check": check[lead], "rank": owner[lead], "at": at[lead]}, h[lead], 4 * tasks)]
         rows += [(b, b"", b"", b"", b"", *x) for b, *x in _packs(
             {"cut": of, "cut_at": start.astype(np.int32), "size": size}, of.view(np.uint64), 4 * tasks)]
         return _batch(rows, names)
@@ -214,11 +222,11 @@ def ranges(texts: DataFrame, hits: int) -> DataFrame:
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, check, rank, at, cut, cut_at, size = _read(
             batches, [np.uint64, np.uint16, np.int64, np.int32, np.int64, np.int32, np.uint8])
-        order = np.lexsort((rank, h))
+        order = np.lexsort((rank, check, h))
         h, check, rank, at = h[order], check[order], rank[order], at[order]
-        new = np.r_[True, h[1:] != h[:-1]][:len(h)]
+        new = np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])][:len(h)]
         lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(h) else np.zeros(0, int)
-        gone = (rank != rank[lead]) & (check == check[lead])
+        gone = rank != rank[lead]
         cut, cut_at = np.r_[cut, rank[gone]], np.r_[cut_at, at[gone]]
         size = np.r_[size, np.full(int(gone.sum()), LEAST, dtype=np.uint8)]
         order = np.lexsort((cut_at, cut))
@@ -260,10 +268,12 @@ def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, kh, words): what to cut of each document, ``kh`` the hash of its
     text; ``WHOLE`` for the later documents of equal texts."""
     kh = F.xxhash64(text_col).alias("kh")
-    keys = written(docs.select(F.col(id_col).alias("id"), kh, F.octet_length(text_col).alias("size")), "keys")
+    # Copies are told by 128 bits, as all their text goes.
+    keys = written(docs.select(F.col(id_col).alias("id"), kh, content_key(F.col(text_col)).alias("key"),
+                               F.octet_length(text_col).alias("size")), "keys")
     total = keys.agg(F.sum("size")).first()[0] or 0
     place = F.struct(F.col("id").isNull().alias("last"), "id")
-    firsts = written(keys.groupBy("kh").agg(F.min(place).alias("first"), F.max(place).alias("other")), "firsts")
+    firsts = written(keys.groupBy("kh", "key").agg(F.min(place).alias("first"), F.max(place).alias("other")), "firsts")
     found = written(places(docs, text_col, total).groupBy("kh").agg(F.collect_list("at").alias("at")), "places")
     freed(docs.sparkSession)
     found = map_batches(found, _once, "kh long, at binary").join(firsts, "kh").select(
@@ -277,7 +287,7 @@ def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         texts = texts.join(F.broadcast(own.select("__llm_kh")), F.xxhash64(text_col) == F.col("__llm_kh"), "left_semi")
     texts = texts.join(F.broadcast(own) if few else own, same)
     cut = ranges(texts.select(text_col, "rank", "at"), size // 4)
-    copies = (keys.filter(F.col("size") >= LEAST).join(firsts.filter("first <> other"), "kh")
+    copies = (keys.filter(F.col("size") >= LEAST).join(firsts.filter("first <> other"), ["kh", "key"])
               .filter(place != F.col("first"))
               .select("id", "kh", F.lit(WHOLE).alias("words")))
     cut = cut.join(hits.select("rank", "id", "kh"), "rank").select("id", "kh", "words")
