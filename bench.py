@@ -77,7 +77,8 @@ def main() -> None:
 
     times: dict[str, float] = {}
     t0 = time.time()
-    b = build_all(spark, raw_transactions(spark, SF_DIR), as_of="2025-06-30")
+    # Writing and testing are timed apart, as in earlier records.
+    b = build_all(spark, raw_transactions(spark, SF_DIR), as_of="2025-06-30", gate=False)
     times["build"] = time.time() - t0
     t0 = time.time()
     report = b.report.collect()

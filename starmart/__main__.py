@@ -14,7 +14,7 @@ import argparse
 import sys
 
 from starmart.plans import adhoc, bi, questions
-from starmart.plans.build import build_all, open_star
+from starmart.plans.build import BuildFailed, build_all, open_star
 from starmart.session import get_session
 from starmart.sources.csv_ingest import ingest_csv
 from starmart.sources.tables import Warehouse, load_raw_counted
@@ -89,14 +89,20 @@ def main(argv: list[str] | None = None) -> int:
             done = load_raw_counted(wh, raw)
             print(f"{done.rows_loaded:,} rows loaded, {done.rows_held:,} in raw_transactions.")
             return 0
-        b = build_all(spark, raw, warehouse=wh,
-                      calendar=tuple(args.calendar) if args.calendar else None,
-                      as_of=args.as_of, strict=not args.lenient, staging_table=args.staging_table)
-        rows = b.report.collect()
-        for row in rows:
-            print(f"{'PASS' if row.passed else 'FAIL'} {row.test} {row.model}.{row.column_name}"
-                  f" ({row.failures} failing)")
-        return 0 if all(row.passed for row in rows) else 1
+        stopped = None
+        try:
+            report = build_all(spark, raw, warehouse=wh,
+                               calendar=tuple(args.calendar) if args.calendar else None,
+                               as_of=args.as_of, strict=not args.lenient, staging_table=args.staging_table).report
+        except BuildFailed as exc:
+            stopped, report = exc, exc.report
+        for row in report.orderBy("test_id").collect():
+            state = {True: "PASS", False: "FAIL", None: "SKIP"}[row.passed]
+            print(f"{state} {row.test} {row.model}.{row.column_name}"
+                  + ("" if row.passed is None else f" ({row.failures} failing)"))
+        if stopped:
+            print(stopped, file=sys.stderr)
+        return 1 if stopped else 0
     star = open_star(spark, args.warehouse, args.format)
     if args.cmd == "report":
         f = bi.Filters(args.start, args.end, tuple(args.category))

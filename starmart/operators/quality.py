@@ -13,7 +13,7 @@ scan and one aggregation by value.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -153,8 +153,10 @@ def _one_pass(tables: Mapping[str, DataFrame], model: str, nulls: Sequence[tuple
 
 def quality_report(tables: Mapping[str, DataFrame],
                    suite: Sequence[Check] = SUITE,
-                   rows: Mapping[str, int] | None = None) -> DataFrame:
-    """Run ``suite`` over ``tables`` (name -> DataFrame).
+                   rows: Mapping[str, int] | None = None,
+                   ids: Collection[int] | None = None) -> DataFrame:
+    """Run ``suite`` over ``tables`` (name -> DataFrame), or the tests of it
+    whose 1-based numbers are in ``ids``.
 
     Columns: test_id (1-based, suite order), model, column_name, test,
     failures, passed.  One row per test, lazily: the caller's action runs it.
@@ -164,6 +166,8 @@ def quality_report(tables: Mapping[str, DataFrame],
     parts: list[DataFrame] = []
     by_model: dict[str, dict[str, list[tuple[int, Check]]]] = {}
     for i, c in enumerate(suite, start=1):
+        if ids is not None and i not in ids:
+            continue
         kinds = by_model.setdefault(c.model, {"null": [], "small": [], "large": []})
         if c.test == "not_null":
             kinds["null"].append((i, c))

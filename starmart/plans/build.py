@@ -1,4 +1,12 @@
-"""Full build (M9): RAW -> staging -> five marts -> quality suite.
+"""Full build (M9): RAW -> staging -> five marts, gated by the quality suite.
+
+Models are built in waves, each behind the models it reads: staging, then the
+marts, then a calendar that covers the written fact.  After a wave the tests
+whose models are all there are run.  A model with a failing test stops the
+models behind it, and then nothing is published: the candidates are deleted
+and :class:`BuildFailed` names the failing tests and the skipped models.  A
+green build publishes RAW, staging and marts at once (see
+``sources/tables.py``), so readers see the old warehouse or the new one.
 
 RAW and every mart are written as tables and read back before the next step
 reads them, so the written tables cut the lineage and a lost executor never
@@ -12,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from concurrent.futures import Future, ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,20 +28,23 @@ from pyspark.sql import functions as F
 
 from starmart.constants import FACT_MONTH
 from starmart.operators import marts
-from starmart.operators.quality import quality_report
+from starmart.operators.quality import SUITE, Check, quality_report
 from starmart.operators.staging import stage_transactions
 from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
 from starmart.schemas import MART_SCHEMAS, STG_TRANSACTIONS, conform
 from starmart.sizing import checked_rows
-from starmart.sources.tables import Warehouse, load_raw
+from starmart.sources.tables import Candidate, Warehouse, stage_raw
 
 #: Table of one row that tells how the last build made staging.
 BUILD_INFO, STAGED = "build_info", "staging_table"
+STG = "stg_transactions"
 
-#: Marts in submission order: the fact (the largest write) first, so it never
-#: waits for a free thread behind the small dimensions; the calendar last (a
-#: data-covering calendar is derived from the written fact).
-SUBMIT_ORDER = ("fact_transactions", "dim_customer", "dim_account", "dim_merchant", "dim_date")
+#: What each model reads.  A fixed calendar reads nothing; a covering one
+#: takes its years from the written fact's typed timestamps, not from another
+#: parse of every RAW timestamp text.
+READS = {STG: (), "fact_transactions": (STG,), "dim_customer": (STG,), "dim_account": (STG,),
+         "dim_merchant": (STG,), "dim_date": ("fact_transactions",)}
+REPORT_SCHEMA = "test_id int, model string, column_name string, test string, failures long, passed boolean"
 
 
 @dataclass(frozen=True)
@@ -47,6 +58,30 @@ class Build:
         return contents({m: getattr(self.star, m) for m in MARTS})
 
 
+class BuildFailed(RuntimeError):
+    """Tests failed; nothing was published.  ``report`` has a row for each
+    test of the suite (those not run: NULL), ``skipped`` the models that were
+    not built."""
+
+    def __init__(self, report: DataFrame, failed: list[str], skipped: list[str]):
+        super().__init__(f"tests failed: {', '.join(failed)}; models not built: {', '.join(skipped) or 'none'}; "
+                         "the warehouse is as it was")
+        self.report, self.failed, self.skipped = report, failed, skipped
+
+
+def waves(reads: Mapping[str, tuple[str, ...]]) -> list[list[str]]:
+    """The models in order: each wave reads only models of earlier ones."""
+    out: list[list[str]] = []
+    done: set[str] = set()
+    while len(done) < len(reads):
+        wave = [m for m, needs in reads.items() if m not in done and done.issuperset(needs)]
+        if not wave:
+            raise ValueError(f"models read each other: {sorted(set(reads) - done)}")
+        out.append(wave)
+        done.update(wave)
+    return out
+
+
 def build_all(
     spark: SparkSession,
     raw: DataFrame,
@@ -57,59 +92,113 @@ def build_all(
     threads: int = 4,
     staging_table: bool = False,
     cluster_fact: bool = True,
+    gate: bool = True,
 ) -> Build:
-    """Build the warehouse from a RAW frame; the quality report stays lazy.
+    """Build the warehouse from a RAW frame and publish it if all tests pass.
 
     ``calendar`` = ``(start, end)`` fixes the date dimension (the reference's
     default is ``("2019-01-01", "2022-01-01")``); ``None`` covers the data's
     years.  Re-running replaces every table, so the content is the same.
-    The five marts only read staging, so ``threads`` of them are submitted
-    as concurrent Spark jobs (the reference builds models with 4 threads);
-    the threads only submit jobs, Spark's scheduler shares the executors.
+    Models of a wave are submitted by ``threads`` threads as concurrent Spark
+    jobs (the reference builds models with 4 threads); the threads only submit
+    jobs, Spark's scheduler shares the executors.  ``gate=False`` publishes
+    without running tests; the report is then lazy.
     """
     wh = warehouse or Warehouse.fresh(spark)
-    raw_t = load_raw(wh, raw)
-    stg = conform(stage_transactions(raw_t, strict=strict), STG_TRANSACTIONS, "stg_transactions")
-    # Which staging form this build made; readers follow it, so a table left
-    # by an earlier build of the same root is never taken for this one's.
-    wh.write(spark.range(1).select(F.lit(staging_table).alias(STAGED)), "staging", BUILD_INFO)
-    if staging_table:
-        stg = wh.write(stg, "staging", "stg_transactions")
-    else:
-        stg.createOrReplaceTempView("stg_transactions")
-    lazy = star_from_staging(spark, stg, calendar=calendar, as_of=as_of)
-    for m, schema in MART_SCHEMAS.items():
-        conform(getattr(lazy, m), schema, m)
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        jobs: dict[str, Future] = {}
-        for m in SUBMIT_ORDER:
+    made: dict[str, Candidate] = {}
+    try:
+        made["raw_transactions"], _ = stage_raw(wh, raw)
+        stg = conform(stage_transactions(made["raw_transactions"].df, strict=strict), STG_TRANSACTIONS, STG)
+        # Which staging form this build made; readers follow it, so a table left
+        # by an earlier build of the same root is never taken for this one's.
+        made[BUILD_INFO] = wh.stage(spark.range(1).select(F.lit(staging_table).alias(STAGED)), "staging", BUILD_INFO)
+        if staging_table:
+            made[STG] = wh.stage(stg, "staging", STG)
+            stg = made[STG].df
+        lazy = star_from_staging(spark, stg, calendar=calendar, as_of=as_of)
+        for m, schema in MART_SCHEMAS.items():
+            conform(getattr(lazy, m), schema, m)
+
+        def write(m: str) -> None:
+            df = getattr(lazy, m)
             if m == "dim_date" and calendar is None:
-                # the covering years from the written fact's typed timestamps,
-                # not from another parse of every RAW timestamp text
-                jobs[m] = pool.submit(_calendar_from_fact, wh, jobs["fact_transactions"])
-            elif m == "fact_transactions" and cluster_fact:
-                jobs[m] = pool.submit(_write_by_month, wh, lazy.fact_transactions)
+                df = marts.dim_date_covering(made["fact_transactions"].df)
+            if m == "fact_transactions" and cluster_fact:
+                made[m] = wh.stage(_by_month(df), "marts", m, [FACT_MONTH], hidden=[FACT_MONTH])
             else:
-                jobs[m] = pool.submit(wh.write, getattr(lazy, m), "marts", m)
-        written = {m: jobs[m].result() for m in MARTS}
-    star = _star(stg, written)
-    return Build(wh, star, quality_report(star.tables(), rows=star.rows))
+                made[m] = wh.stage(df, "marts", m)
+
+        reads = READS | ({"dim_date": ()} if calendar is not None else {})
+        gated = _Gate() if gate else None
+        tables: dict[str, DataFrame] = {}
+        rows: dict[str, int] = {}
+        for wave in waves(reads):
+            todo = [m for m in wave if gated is None or not gated.stopped(reads[m])]
+            with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+                list(pool.map(write, [m for m in todo if m != STG]))
+            new = {m: stg if m == STG else made[m].df.drop(FACT_MONTH) for m in todo}
+            tables |= new
+            rows |= dim_row_counts(new)
+            if gated is not None:
+                gated.run(tables, rows)
+        if gated is not None and gated.bad:
+            raise gated.failure(spark, reads)
+        wh.publish(list(made.values()))
+    except BaseException:
+        wh.discard(list(made.values()))
+        raise
+    if not staging_table:
+        stg.createOrReplaceTempView(STG)
+    fact = made["fact_transactions"].df
+    star = Star(**{m: tables[m] for m in (STG, *MARTS)}, rows=rows,
+                fact_months=fact if FACT_MONTH in fact.columns else None)
+    report = gated.report(spark) if gated is not None else quality_report(star.tables(), rows=rows)
+    return Build(wh, star, report)
 
 
-def _write_by_month(wh: Warehouse, fact: DataFrame) -> DataFrame:
-    """Write the fact partitioned by month and sorted by time.
+class _Gate:
+    """The suite's tests, each run once all its models are there."""
+
+    def __init__(self):
+        self.failures: dict[int, int] = {}
+        self.bad: set[str] = set()
+        self.built: set[str] = set()
+
+    def stopped(self, needs: tuple[str, ...]) -> bool:
+        return any(m in self.bad or m not in self.built for m in needs)
+
+    def run(self, tables: Mapping[str, DataFrame], rows: Mapping[str, int]) -> None:
+        self.built = set(tables)
+        ready = {i for i, c in enumerate(SUITE, start=1)
+                 if i not in self.failures and c.model in tables and (c.to_model or c.model) in tables}
+        if ready:
+            for r in quality_report(tables, rows=rows, ids=ready).collect():
+                self.failures[r["test_id"]] = r["failures"]
+                if r["failures"]:
+                    self.bad.add(r["model"])
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        def row(i: int, c: Check):
+            n = self.failures.get(i)
+            return (i, c.model, c.column, c.test, n, None if n is None else n == 0)
+
+        return spark.createDataFrame([row(i, c) for i, c in enumerate(SUITE, start=1)], REPORT_SCHEMA)
+
+    def failure(self, spark: SparkSession, reads: Mapping[str, tuple[str, ...]]) -> BuildFailed:
+        failed = [f"{c.test} {c.model}.{c.column}" for i, c in enumerate(SUITE, start=1) if self.failures.get(i)]
+        return BuildFailed(self.report(spark), failed, [m for m in reads if m not in self.built])
+
+
+def _by_month(fact: DataFrame) -> DataFrame:
+    """The fact dealt by month and sorted by time, for a write by month.
 
     ``rebalance`` deals rows by month in one shuffle that Spark cuts by size:
     a large month becomes several files, small months share a task, and no
-    task writes to many folders.  The catalog's ``fact_transactions`` is a
-    view without the partition column.
+    task writes to many folders.
     """
     ts = F.col("transaction_ts")
-    dealt = (fact.withColumn(FACT_MONTH, F.year(ts) * 100 + F.month(ts)).hint("rebalance", FACT_MONTH)
-             .sortWithinPartitions(FACT_MONTH, "transaction_ts"))
-    table = wh.write(dealt, "marts", "fact_transactions", [FACT_MONTH], "fact_transactions_by_month")
-    wh.view("marts", "fact_transactions", "fact_transactions_by_month", fact.columns)
-    return table
+    return (fact.withColumn(FACT_MONTH, F.year(ts) * 100 + F.month(ts)).hint("rebalance", FACT_MONTH)
+            .sortWithinPartitions(FACT_MONTH, "transaction_ts"))
 
 
 def _star(stg: DataFrame, written: Mapping[str, DataFrame]) -> Star:
@@ -120,12 +209,6 @@ def _star(stg: DataFrame, written: Mapping[str, DataFrame]) -> Star:
                 fact_months=fact if FACT_MONTH in fact.columns else None)
 
 
-def _calendar_from_fact(wh: Warehouse, fact_job: Future) -> DataFrame:
-    """Write the date dimension covering the written fact's years.  The fact
-    job is submitted first, so waiting for it never holds up a thread it needs."""
-    return wh.write(marts.dim_date_covering(fact_job.result()), "marts", "dim_date")
-
-
 def _text(name: str, kind: str) -> Column:
     """A value as text that any engine can print alike."""
     c = F.col(f"`{name}`")
@@ -152,10 +235,10 @@ def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def dim_row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+def dim_row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     """Row counts of the written dimensions that may be broadcast: those
     whose measured bytes are within the bound."""
-    counts = {d: checked_rows(tables[d]) for d in DIMS}
+    counts = {d: checked_rows(tables[d]) for d in DIMS if d in tables}
     return {d: n for d, n in counts.items() if n is not None}
 
 

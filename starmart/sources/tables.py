@@ -2,25 +2,41 @@
 
 A warehouse is a root folder on shared storage (by default a fresh folder
 under the session's ``spark.checkpoint.dir``) with one sub-folder per layer:
-``raw``, ``staging``, ``marts``.  Tables are written whole with
-``mode("overwrite")`` (idempotent: a re-run replaces, never appends) through
-Spark's file commit protocol, so a lost executor only re-runs its tasks.
-Each table is also registered in the session catalog, as ``layer.table``; a
-second warehouse of the session, with another root, gets databases of its own
-(``layer_`` and a hash of the root), so neither sees the other's tables.
+``raw``, ``staging``, ``marts``.
+
+Tables are replaced by version.  A write goes to a folder of its own,
+``{layer}/{table}/{version}``; nothing reads it until it is whole.  Publishing
+appends one file to the log ``{root}/versions`` through Spark's commit
+protocol, which names the new versions of one or more tables: readers see all
+of them or none.  A write that fails leaves the old version current, a reader
+that started before keeps its files (the version before the current one stays),
+and older versions are deleted.  One writer at a time: the log has no lock.
+
+Each table is also in the session catalog as the view ``layer.table`` over the
+entry of its current version; a second warehouse of the session, with another
+root, gets databases of its own (``layer_`` and a hash of the root), so
+neither sees the other's tables.
 """
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.session import scratch_dir
 
 LAYERS = ("raw", "staging", "marts")
+#: The log of published versions.
+LOG = "versions"
+LOG_SCHEMA = "seq long, layer string, table string, version string"
+#: Versions of a table that stay: the current one, and the one before it for
+#: readers that are still at work.
+KEPT_VERSIONS = 2
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -31,7 +47,8 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
     ``target`` containing ``/`` (or ``as_path=True``) is a path, else a table
     name for ``saveAsTable``.  ``fmt`` is any Spark source on the classpath;
     Delta or a warehouse connector work when installed (Spark raises
-    DATA_SOURCE_NOT_FOUND otherwise).
+    DATA_SOURCE_NOT_FOUND otherwise).  Overwriting a plain folder deletes its
+    files first; :meth:`Warehouse.write` replaces without that gap.
     """
     w = df.write.format(fmt).mode(mode)
     if options:
@@ -49,6 +66,20 @@ def scan_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(target) if "/" in target else spark.table(target)
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A written version of a table that isn't published yet."""
+
+    layer: str
+    table: str
+    version: str
+    path: str
+    df: DataFrame
+    partition_by: tuple[str, ...] = ()
+    #: Stored columns that the catalog's view doesn't show.
+    hidden: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Root folder + format; ``layer.table`` <-> ``{root}/{layer}/{table}``."""
@@ -56,13 +87,14 @@ class Warehouse:
     spark: SparkSession
     root: str
     fmt: str = "parquet"
+    _dropped: set = field(default_factory=set, compare=False, repr=False)
 
     @classmethod
     def fresh(cls, spark: SparkSession, fmt: str = "parquet") -> "Warehouse":
         return cls(spark, scratch_dir(spark, "warehouse"), fmt)
 
-    def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+    def path(self, layer: str, table: str, version: str = "") -> str:
+        return f"{self.root}/{layer}/{table}" + (f"/{version}" if version else "")
 
     def database(self, layer: str) -> str:
         """The layer's database: the plain name unless it lies elsewhere."""
@@ -79,39 +111,103 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
                            f"LOCATION '{self.root}/{layer}'")
 
-    def write(self, df: DataFrame, layer: str, table: str,
-              partition_by: Sequence[str] | None = None, entry: str | None = None) -> DataFrame:
+    # --- versions ------------------------------------------------------------
+
+    def history(self) -> dict[tuple[str, str], list[str]]:
+        """Published versions of each table, the current one first; a root
+        without a log raises (PATH_NOT_FOUND)."""
+        out: dict[tuple[str, str], list[str]] = {}
+        for r in sorted(self._log().collect(), key=lambda r: -r["seq"]):
+            out.setdefault((r["layer"], r["table"]), []).append(r["version"])
+        return out
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/{LOG}")
+
+    def stage(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None,
+              hidden: Sequence[str] = ()) -> Candidate:
+        """Write ``df`` as a version of ``layer.table`` that no reader sees
+        yet; what a failed write leaves is deleted."""
+        version = f"v-{uuid.uuid4().hex[:16]}"
+        path = self.path(layer, table, version)
+        try:
+            write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by)
+        except BaseException:
+            _delete(self.spark, path)
+            raise
+        return Candidate(layer, table, version, path, self.spark.read.format(self.fmt).load(path),
+                         tuple(partition_by or ()), tuple(hidden))
+
+    def publish(self, candidates: Sequence[Candidate]) -> None:
+        """Make the candidates current, all at once, then show them in the
+        catalog and delete versions that nobody reads any more."""
+        try:
+            seq = self._log().agg(F.max("seq")).first()[0] or 0
+        except AnalysisException:
+            seq = 0
+        entry = [(seq + 1, c.layer, c.table, c.version) for c in candidates]
+        self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/{LOG}")
+        self.ensure_layers()
+        for c in candidates:
+            self._show(c)
+        self.sweep()
+
+    def discard(self, candidates: Sequence[Candidate]) -> None:
+        """Delete candidates that won't be published."""
+        for c in candidates:
+            _delete(self.spark, c.path)
+
+    def sweep(self, keep: int = KEPT_VERSIONS) -> list[str]:
+        """Delete all but the ``keep`` newest versions of each table; the
+        paths that went."""
+        gone = []
+        for (layer, table), versions in self.history().items():
+            for version in versions[keep:]:
+                path = self.path(layer, table, version)
+                if path not in self._dropped:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(layer, table, version)}")
+                    if _delete(self.spark, path):
+                        gone.append(path)
+                    self._dropped.add(path)
+        return gone
+
+    def _entry(self, layer: str, table: str, version: str) -> str:
+        return f"{self.database(layer)}.{table}__{version.removeprefix('v-')}"
+
+    def _show(self, c: Candidate) -> None:
+        entry, name, catalog = self._entry(c.layer, c.table, c.version), f"{self.database(c.layer)}.{c.table}", \
+            self.spark.catalog
+        catalog.createTable(entry, path=c.path, source=self.fmt)
+        if c.partition_by:
+            catalog.recoverPartitions(entry)
+        if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"`{x}`" for x in c.df.columns if x not in c.hidden)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {entry}")
+
+    # --- tables ------------------------------------------------------------------
+
+    def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None,
+              hidden: Sequence[str] = ()) -> DataFrame:
         """Replace ``layer.table`` with ``df``; return the table read back.
-        ``entry``: another name for it in the catalog.
-
-        A table whose columns stay the same keeps its catalog entry, so its
-        readers never find it missing; a changed schema replaces the entry.
-        """
-        path = self.path(layer, table)
-        options = {"overwriteSchema": "true"} if self.fmt == "delta" else None
-        write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by, options=options)
-        name, catalog = f"{self.database(layer)}.{entry or table}", self.spark.catalog
-        written = self.read(layer, table)
-        if catalog.tableExists(name) and _columns(self.spark.table(name)) == _columns(written):
-            catalog.refreshTable(name)
-        else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            catalog.createTable(name, path=path, source=self.fmt)
-        if partition_by and self.fmt != "delta":
-            catalog.recoverPartitions(name)
-        return written
-
-    def view(self, layer: str, name: str, source: str, columns: Sequence[str]) -> None:
-        """A catalog view ``layer.name`` of columns of the entry ``source``."""
-        db = self.database(layer)
-        if self.spark.catalog.tableExists(f"{db}.{name}") and self.spark.catalog.getTable(
-                f"{db}.{name}").tableType != "VIEW":
-            self.spark.sql(f"DROP TABLE {db}.{name}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS SELECT "
-                       f"{', '.join(f'`{c}`' for c in columns)} FROM {db}.{source}")
+        Until the write is whole, and if it fails, readers see the old rows."""
+        new = self.stage(df, layer, table, partition_by, hidden)
+        self.publish([new])
+        return new.df
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(layer, table))
+        """The current version of ``layer.table``."""
+        versions = self.history().get((layer, table))
+        # A table never published: Spark's error names its folder.
+        return self.spark.read.format(self.fmt).load(self.path(layer, table, versions[0] if versions else "none"))
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the warehouse through the file system Spark itself
+    uses for it (DataFrames have no delete)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf).delete(place, True)
 
 
 def _plain(path: str) -> str:
@@ -119,10 +215,6 @@ def _plain(path: str) -> str:
     return ("/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path).rstrip("/")
 
 
-def _columns(df: DataFrame) -> list[tuple[str, str]]:
-    return sorted(df.dtypes)
-
-
 @dataclass(frozen=True)
 class Load:
     """A loaded RAW table with the rows sent and the rows it holds."""
@@ -132,23 +224,30 @@ class Load:
     rows_held: int
 
 
-def load_raw_counted(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> Load:
-    """Replace the RAW table with ``raw`` and count both sides: the rows
-    the write was given (observed while it ran, no second pass) and those the
-    table holds.  A difference is an error."""
-    wh.ensure_layers()
+def stage_raw(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> tuple[Candidate, Load]:
+    """``raw`` as a version of the RAW table, not yet published, counted on
+    both sides: the rows the write was given (observed while it ran, no second
+    pass) and those the version holds.  A difference is an error."""
     sent = Observation()
-    loaded = wh.write(raw.observe(sent, F.count(F.lit(1)).alias("n")), "raw", table)
-    done = Load(loaded, sent.get["n"], loaded.count())
+    new = wh.stage(raw.observe(sent, F.count(F.lit(1)).alias("n")), "raw", table)
+    done = Load(new.df, sent.get["n"], new.df.count())
     if done.rows_loaded != done.rows_held:
+        wh.discard([new])
         raise RuntimeError(f"{done.rows_loaded} rows were loaded into {table}, but it holds {done.rows_held}")
+    return new, done
+
+
+def load_raw_counted(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> Load:
+    """Replace the RAW table with ``raw`` and count both sides."""
+    new, done = stage_raw(wh, raw, table)
+    wh.publish([new])
     return done
 
 
 def load_raw(wh: Warehouse, raw: DataFrame, table: str = "raw_transactions") -> DataFrame:
     """Replace the RAW table with ``raw``; return the table read back.
 
-    Re-running with the same input leaves the same rows (overwrite).
+    Re-running with the same input leaves the same rows.
     """
     return load_raw_counted(wh, raw, table).table
 

@@ -41,7 +41,7 @@ def test_built_marts_equal_lazy_star(spark, sf_dir):
     for m in ("dim_date", "dim_customer", "dim_account", "dim_merchant", "fact_transactions"):
         assert _digest(getattr(b.star, m)) == _digest(getattr(lazy, m)), m
     fixed = build_all(spark, raw_transactions(spark, sf_dir), as_of="2025-06-30",
-                      calendar=("2019-01-01", "2022-01-01"), threads=1)
+                      calendar=("2019-01-01", "2022-01-01"), threads=1, gate=False)
     assert fixed.star.dim_date.count() == 1096
 
 
@@ -110,3 +110,113 @@ def test_scratch_needs_a_shared_folder_off_local_masters():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(Session())
+
+
+# --- versions and the gate ------------------------------------------------------
+
+def _half_bad(spark, n=100):
+    """Rows of which the last raises while it is written."""
+    from pyspark.sql import functions as F
+    last = F.col("id") == n - 1
+    return spark.range(0, n, 1, 4).select(
+        F.when(last, F.raise_error(F.lit("broken source"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    import os
+
+    import pytest
+    wh = Warehouse.fresh(spark)
+    wh.ensure_layers()
+    wh.write(spark.range(100), "raw", "t")
+    with pytest.raises(Exception, match="broken source"):
+        wh.write(_half_bad(spark), "raw", "t")
+    assert wh.read("raw", "t").count() == 100
+    assert spark.table(f"{wh.database('raw')}.t").count() == 100
+    assert len(os.listdir(wh.path("raw", "t").removeprefix("file:"))) == 1
+
+
+def test_readers_see_the_old_rows_until_all_is_published(spark):
+    import os
+    wh = Warehouse.fresh(spark)
+    wh.ensure_layers()
+    wh.write(spark.range(5), "raw", "a")
+    wh.write(spark.range(5), "raw", "b")
+    reader = wh.read("raw", "a")
+    new = [wh.stage(spark.range(7).selectExpr("id", "id as more"), "raw", t) for t in ("a", "b")]
+    assert [wh.read("raw", t).count() for t in "ab"] == [5, 5]
+    wh.publish(new)
+    assert [wh.read("raw", t).count() for t in "ab"] == [7, 7]
+    assert spark.table(f"{wh.database('raw')}.a").columns == ["id", "more"]
+    assert reader.count() == 5  # a reader that began before keeps its files
+    for n in (8, 9):
+        wh.write(spark.range(n), "raw", "a")
+    folder = wh.path("raw", "a").removeprefix("file:")
+    assert len(os.listdir(folder)) == 2 and wh.read("raw", "a").count() == 9
+    entries = [t.name for t in spark.catalog.listTables(wh.database("raw")) if t.name.startswith("a__")]
+    assert len(entries) == 2
+    again = Warehouse(spark, wh.root)  # another session's view of the root
+    assert again.read("raw", "a").count() == 9 and again.sweep() == []
+
+
+def test_a_fault_in_staging_stops_the_marts_and_leaves_the_old_ones(spark, sf_dir):
+    import pytest
+    from starmart.plans.build import BuildFailed, open_star
+    raw = raw_transactions(spark, sf_dir)
+    wh = Warehouse.fresh(spark)
+    build_all(spark, raw, warehouse=wh, as_of="2025-06-30")
+    doubled = raw.unionByName(raw.limit(3))
+    with pytest.raises(BuildFailed) as stop:
+        build_all(spark, doubled, warehouse=wh, as_of="2025-06-30")
+    assert stop.value.failed == ["unique stg_transactions.transaction_id"]
+    assert set(stop.value.skipped) == {"fact_transactions", "dim_customer", "dim_account", "dim_merchant", "dim_date"}
+    for m in stop.value.skipped:
+        assert m in str(stop.value)
+    report = {r.test_id: r for r in stop.value.report.collect()}
+    assert report[2].passed is False and report[2].failures == 3 and report[1].passed and report[5].passed is None
+    star = open_star(spark, wh.root)
+    assert star.fact_transactions.count() == 6000 == star.stg_transactions.count()
+    assert spark.table(f"{wh.database('marts')}.fact_transactions").count() == 6000
+    b = build_all(spark, doubled, warehouse=wh, as_of="2025-06-30", gate=False)
+    assert open_star(spark, wh.root).fact_transactions.count() == 6003
+    assert not all(r.passed for r in b.report.collect())
+
+
+def test_a_failing_mart_test_publishes_nothing_and_leaves_no_files(spark, sf_dir):
+    import os
+
+    import pytest
+    from starmart.plans.build import BuildFailed
+    wh = Warehouse.fresh(spark)
+    with pytest.raises(BuildFailed, match="relationships fact_transactions.date_key") as stop:
+        build_all(spark, raw_transactions(spark, sf_dir), warehouse=wh, as_of="2025-06-30",
+                  calendar=("2019-01-01", "2022-01-01"))
+    assert stop.value.skipped == []
+    left = [f for d, _, names in os.walk(wh.root.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    assert left == []
+
+
+def test_a_fault_in_the_fact_skips_the_calendar_behind_it(spark, sf_dir):
+    import pytest
+    from pyspark.sql import functions as F
+    from starmart.operators import quality
+    from starmart.plans import build as B
+    raw = raw_transactions(spark, sf_dir)
+    suite = (*quality.SUITE, quality.Check("fact_transactions", "is_fraud", "unique"))
+    before = B.SUITE, quality.quality_report.__defaults__
+    B.SUITE = suite
+    quality.quality_report.__defaults__ = (suite, *before[1][1:])
+    try:
+        with pytest.raises(B.BuildFailed) as stop:
+            B.build_all(spark, raw.withColumn("amt", F.col("amt")), as_of="2025-06-30")
+        assert stop.value.skipped == ["dim_date"]
+    finally:
+        B.SUITE, quality.quality_report.__defaults__ = before
+
+
+def test_waves_refuse_a_cycle():
+    import pytest
+    from starmart.plans.build import READS, waves
+    assert waves(READS)[0] == ["stg_transactions"] and waves(READS)[-1] == ["dim_date"]
+    with pytest.raises(ValueError, match="each other"):
+        waves({"a": ("b",), "b": ("a",)})

@@ -285,6 +285,22 @@ def test_kpis_null_amount_same_on_both_plans(spark):
     assert got[0] == got[1] == (Decimal("30.00"), 3, Decimal("15.000000"), 2)
 
 
+def test_state_average_is_over_amounts_on_both_plans(spark):
+    rows = [raw_row(trans_num="a", amt="10.00", state="NY"), raw_row(trans_num="b", amt="bad", state="NY"),
+            raw_row(trans_num="c", amt="9.00", state="CA", cust_first="Bo"),
+            raw_row(trans_num="d", amt="bad", state="TX", cust_first="Cy")]
+    from starmart.plans import questions
+    s = star_from_staging(spark, stage_transactions(raw_df(spark, rows), strict=False), as_of="2021-01-01")
+    want = [(r.state, r.a) for r in s.fact_transactions.join(s.dim_customer, "customer_key")
+            .groupBy("state").agg({"amount": "avg"}).toDF("state", "a").collect()]
+    for n in (3, None):
+        got = questions.top5_states_avg(s.fact_transactions, s.dim_customer, dim_rows=n).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+        parts = {r.state: tuple(r) for r in questions.top5_states_avg(
+            s.fact_transactions, s.dim_customer, with_parts=True, dim_rows=n).collect()}
+        assert parts["NY"][1:4] == (Decimal("10.00"), 2, 1) and parts["TX"][-1] is None
+
+
 def test_month_is_zone_free_ntz(spark):
     stg = stage_transactions(raw_df(spark, [raw_row(trans_date_trans_time="2020-03-01 00:30:00")]))
     s = star_from_staging(spark, stg, as_of="2021-01-01")
