@@ -24,7 +24,7 @@ def _m(s):
 
 
 REPORTS = {
-    "bounds": lambda s, f: bi.bounds(s.fact_transactions),
+    "bounds": lambda s, f: bi.bounds(s.facts()),
     "categories": lambda s, f: bi.category_list(s.dim_merchant),
     "kpis": lambda s, f: bi.kpis(s.facts(), s.dim_merchant, f, dim_rows=_m(s)),
     "spend_by_category": lambda s, f: bi.spend_by_category(
@@ -57,7 +57,9 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--warehouse", required=True)
         c.add_argument("--sample", type=int, default=None)
         c.add_argument("--multi-line", action="store_true",
-                       help="line breaks inside quoted fields (one task per file)")
+                       help="line breaks inside quoted fields (files are split among tasks all the same)")
+        c.add_argument("--consecutive-index", action="store_true",
+                       help="number the rows of files without an index column 0 to n - 1")
         c.add_argument("--na-values", nargs="*", default=None, metavar="TEXT",
                        help="field texts that mean NULL, besides the empty field")
         c.add_argument("--format", default="parquet", help="table format of the warehouse")
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.cmd in ("load", "build"):
         raw = ingest_csv(spark, args.csv, sample=args.sample, na_values=args.na_values,
-                         multi_line=args.multi_line)
+                         multi_line="split" if args.multi_line else False, consecutive=args.consecutive_index)
         wh = Warehouse(spark, args.warehouse.rstrip("/"), args.format)
         if args.cmd == "load":
             done = load_raw_counted(wh, raw)

@@ -10,6 +10,8 @@ plan, which is safe at any size.
 from __future__ import annotations
 
 import datetime as dt
+import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.constants import FACT_MONTH
+from starmart.operators.bloom import bit_filter
 from starmart.plans.rollup import SPEND, TXNS, fits_broadcast, rollup
 
 
@@ -96,19 +99,35 @@ def filter_where(fact: DataFrame, dim_merchant: DataFrame, f: Filters,
 def fact_merchant_join(fact: DataFrame, dim_merchant: DataFrame,
                        f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
     """B2: fact ⋈ dim_merchant on merchant_key (inner), with the merchant's
-    category and display name.  Broadcast when the checked row count fits;
-    otherwise Spark sizes it (AQE may still broadcast it from measured
-    shuffle output, or splits a skewed partition of the shuffle join)."""
+    category and display name.  Broadcast when the checked row count fits.
+    Otherwise Spark sizes it (AQE may still broadcast it from measured shuffle
+    output, or splits a skewed partition of the shuffle join); with categories
+    a bit filter of the selected merchants' keys, of bounded size, is tested
+    by the fact's scan first, so only rows that may match are shuffled."""
     f = f or Filters()
     dm = _merchants(dim_merchant, f, "merchant_category", "merchant_name_clean")
-    return _fact(fact, f).join(F.broadcast(dm) if fits_broadcast(dim_rows) else dm,
-                               "merchant_key")
+    rows = _fact(fact, f)
+    if fits_broadcast(dim_rows):
+        return rows.join(F.broadcast(dm), "merchant_key")
+    if f.categories:
+        rows = bit_filter(dm, "merchant_key").passed(rows, F.col("merchant_key")).filter("__may").drop("__may")
+    return rows.join(dm, "merchant_key")
 
 
 # --- B3, B4 ----------------------------------------------------------------
 
+def month_range(fact: DataFrame) -> tuple[int, int] | None:
+    """First and last month with rows of a fact stored by month, from the
+    names of its folders (no file is opened); ``None`` without one."""
+    months = [int(m[1]) for m in (re.search(rf"/{FACT_MONTH}=(\d+)/", f) for f in fact.inputFiles()) if m]
+    return (min(months), max(months)) if months else None
+
+
 def bounds(fact: DataFrame) -> DataFrame:
-    """First and last transaction date (unfiltered)."""
+    """First and last transaction date (unfiltered).  Of a fact stored by
+    month only the first and the last folder are read."""
+    if FACT_MONTH in fact.columns and (ends := month_range(fact)):
+        fact = fact.filter(F.col(FACT_MONTH).isin(*ends))
     return fact.agg(F.min("transaction_ts").cast("date").alias("min_d"),
                     F.max("transaction_ts").cast("date").alias("max_d"))
 
@@ -129,7 +148,9 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
     Always exactly one row (zeros on an empty selection); types as Spark's
     ``sum``/``avg`` over decimal(12,2) give them: decimal(22,2) and
     decimal(16,6).  The distinct count is exact; ``approx_customers`` opts
-    in to a HyperLogLog++ estimate (relative error ``rsd``).
+    in to a HyperLogLog estimate (relative error about ``rsd``): on the
+    pre-aggregating plan one sketch for each merchant, merged after the join,
+    so no (merchant, customer) pair is shuffled.
 
     Plans, by the merchant dimension's checked size: a small one is
     broadcast and the fact rows are joined map-side.  Otherwise the fact is
@@ -148,13 +169,18 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
             F.coalesce(F.avg("amount"), F.lit(0)).alias("avg_txn"),
             customers.alias("customers"),
         )
-    pairs = _fact(fact, f).groupBy("merchant_key", "customer_key").agg(
-        F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS),
-        F.count("amount").alias("_amounts"))
+    sums = (F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS), F.count("amount").alias("_amounts"))
+    if approx_customers:
+        size = min(21, max(4, math.ceil(math.log2((1.04 / rsd) ** 2))))
+        pairs = _fact(fact, f).groupBy("merchant_key").agg(
+            *sums, F.hll_sketch_agg("customer_key", F.lit(size)).alias("_sketch"))
+        customers = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("_sketch")), F.lit(0))
+    else:
+        pairs = _fact(fact, f).groupBy("merchant_key", "customer_key").agg(*sums)
     j = pairs.join(_merchants(dim_merchant, f), "merchant_key")
     out = j.agg(F.sum(SPEND).cast("decimal(22,2)").alias("s"),
                 F.sum(TXNS).alias("n"), F.sum("_amounts").alias("m"),
-                customers.alias("customers"))
+                customers.cast("long").alias("customers"))
     # avg as Spark computes it: decimal sum / count of non-NULL amounts as
     # decimal(20,0), to (16,6)
     avg = (F.col("s") / F.col("m").cast("decimal(20,0)")).cast("decimal(16,6)")

@@ -9,13 +9,17 @@ from pyspark.sql import types as T
 
 from starmart.constants import INDEX_ALIASES, INDEX_COLUMN, RESERVED_RENAMES, SAMPLE_SEED
 from starmart.session import scratch_dir
+from starmart.sources.csv_split import read_split_csv
 from starmart.sources.tables import scan_table, write_table
 
 _BAD = "__malformed"
+#: A sample is taken in one scan while the tasks' bounded heaps hold at most
+#: so many rows together (they meet in one task).
+ONE_SCAN_ROWS = 4_000_000
 
 
 def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = None,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool | str = False) -> DataFrame:
     """CSV with a header, every column kept as text.
 
     All files must have the first file's header, in its order (letter case
@@ -28,16 +32,21 @@ def read_csv(spark: SparkSession, path: str, na_values: Sequence[str] | None = N
 
     Records are lines by default, so every file splits into many tasks.
     ``multi_line=True`` accepts line breaks inside quoted fields (as pandas
-    does) at the price of one task per file.
+    does) at the price of one task per file; ``multi_line="split"`` does too,
+    in many tasks a file and with two scans of it (see ``csv_split.py``).
     """
-    reader = spark.read.option("inferSchema", False).option("escape", '"').option("multiLine", multi_line)
+    split = multi_line == "split"
+    reader = spark.read.option("inferSchema", False).option("escape", '"').option("multiLine", bool(multi_line) and not split)
     head = reader.csv(path).first()
     if head is None:
         raise ValueError(f"{path} holds no header")
     raw = [x or "" for x in head]
-    df = (reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
-          .option("columnNameOfCorruptRecord", _BAD)
-          .schema(T.StructType([T.StructField(c, T.StringType()) for c in [*raw, _BAD]])).csv(path))
+    if split:
+        df = read_split_csv(spark, path, raw, _BAD)
+    else:
+        df = (reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
+              .option("columnNameOfCorruptRecord", _BAD)
+              .schema(T.StructType([T.StructField(c, T.StringType()) for c in [*raw, _BAD]])).csv(path))
     names = [c or f"_c{i}" for i, c in enumerate(raw)]
     df = df.toDF(*names, _BAD)
     # Reading a data column keeps the check legal in a bare count.
@@ -69,6 +78,27 @@ def normalise_index(df: DataFrame) -> DataFrame:
     return df
 
 
+def consecutive_index(df: DataFrame, column: str = INDEX_COLUMN) -> DataFrame:
+    """S2, opt-in: ``column`` counts the rows 0 to n - 1 (as text), in the
+    order in which the scan holds them, without a sort.
+
+    The rows of every partition are counted first; a running total over those
+    counts (one row a partition) is where a partition's own numbers begin.
+    Both scans have to read the same rows in the same partitions, as scans of
+    unchanged files do; the order of files is the scan's.
+    """
+    own = F.monotonically_increasing_id()  # partition number, then row number
+    rest = df.drop(column) if column in df.columns else df
+    counts = rest.groupBy(F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    # Partitions are at most some 100,000; a row of two numbers for each.
+    numbered = rest.withColumn("__own", own).withColumn("__part", F.spark_partition_id())
+    at = F.col("__start") + F.col("__own").bitwiseAND(F.lit((1 << 33) - 1))
+    return (numbered.join(F.broadcast(starts), "__part").withColumn(column, at.cast("string"))
+            .select(column, *rest.columns))
+
+
 def rename_reserved(df: DataFrame) -> DataFrame:
     """first/last/long -> cust_first/cust_last/home_lon (absent: no-op)."""
     present = {k: v for k, v in RESERVED_RENAMES.items() if k in df.columns}
@@ -94,7 +124,9 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
     ``tie`` ascending, NULL last; then a digest of the whole row, which only
     makes the choice among equal (hash, tie) rows repeatable).
 
-    An exact distributed cut for any ``n``, by a small number of jobs however
+    While ``n`` times the partitions is at most ``ONE_SCAN_ROWS`` this is one
+    scan: each task keeps its ``n`` least rows in a heap, and the heaps meet.
+    Beyond that an exact distributed cut, by a small number of jobs however
     many copies there are: rows per hash prefix (at most 65,537 histogram
     rows; a running total finds the prefix with the n-th row), then the order
     key of the last row taken (:func:`_last_key`) among that prefix's rows.
@@ -109,6 +141,11 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
     if tie in df.columns:
         order.append(F.col(f"`{tie}`").cast("string"))
     digest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    if n * df.rdd.getNumPartitions() <= ONE_SCAN_ROWS:
+        # The digest is computed only where rows tie on what precedes it.
+        keyed = df.withColumn("__hash", order[0])
+        least = [F.col("__hash").asc_nulls_last(), *(c.asc_nulls_last() for c in order[1:]), digest.asc()]
+        return keyed.orderBy(*least).limit(n).drop("__hash")
     prefix = F.substring(order[0], 1, 4)
     hist = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c")).withColumn("z", F.col("p").isNull())
     upto = Window.orderBy("z", "p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -177,7 +214,12 @@ def _less(order: Sequence[Column], at: Sequence[str | None]) -> Column:
 
 
 def ingest_csv(spark: SparkSession, path: str, sample: int | None = None,
-               na_values: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
-    """Read the CSV, normalise names, optionally sample ``sample`` rows."""
-    df = normalise_raw(read_csv(spark, path, na_values, multi_line))
+               na_values: Sequence[str] | None = None, multi_line: bool | str = False,
+               consecutive: bool = False) -> DataFrame:
+    """Read the CSV, normalise names, optionally sample ``sample`` rows.
+    ``consecutive`` numbers the rows of files without an index column 0..n-1."""
+    read = lower_columns(read_csv(spark, path, na_values, multi_line))
+    if consecutive and not {INDEX_COLUMN, *INDEX_ALIASES} & set(read.columns):
+        read = consecutive_index(read)
+    df = normalise_raw(read)
     return sample_n(df, sample) if sample is not None else df

@@ -171,14 +171,22 @@ def test_empty_filter(spark):
     assert bi.spend_by_category(s.fact_transactions, s.dim_merchant, f).count() == 0
 
 
-def test_sample_all_rows_when_n_large(spark):
+@pytest.fixture(params=["one scan", "histogram"])
+def sample_way(request, monkeypatch):
+    """Both ways to cut a sample."""
+    from starmart.sources import csv_ingest
+    if request.param == "histogram":
+        monkeypatch.setattr(csv_ingest, "ONE_SCAN_ROWS", 0)
+
+
+def test_sample_all_rows_when_n_large(spark, sample_way):
     df = raw_df(spark, [raw_row(trans_num=str(i), trans_index=str(i)) for i in range(5)])
     assert sample_n(df, 10).count() == 5
     assert sample_n(df, 3).count() == 3
     assert sample_n(df, 0).count() == 0
 
 
-def test_sample_cut_equals_plain_order(spark):
+def test_sample_cut_equals_plain_order(spark, sample_way):
     import starmart.sources.csv_ingest as ci
     df = raw_df(spark, [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(3000)])
     order = [r.trans_num for r in df.withColumn("h", ci.sample_hash()).orderBy("h").collect()]
@@ -186,7 +194,7 @@ def test_sample_cut_equals_plain_order(spark):
         assert sorted(r.trans_num for r in sample_n(df, n).collect()) == sorted(order[:n])
 
 
-def test_sample_jobs_do_not_grow_with_copies(spark):
+def test_sample_jobs_do_not_grow_with_copies(spark, sample_way):
     others = [raw_row(trans_num=f"t{i}") for i in range(50)]
     digest = lambda k: hashlib.md5(f"{k}42".encode()).hexdigest()
     before = sum(digest(f"t{i}") < digest("same") for i in range(50))
@@ -216,7 +224,7 @@ def _rows(df):
     return sorted(tuple(r) for r in df.fillna("<null>").collect())
 
 
-def test_sample_null_keys_and_hot_copies_match_brute_force(spark):
+def test_sample_null_keys_and_hot_copies_match_brute_force(spark, sample_way):
     """A third of the rows copy one trans_num (distinct index); some keys and
     indexes are NULL.  Every cut equals the plain order."""
     rows = [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(400)]
@@ -234,7 +242,7 @@ def test_sample_null_keys_and_hot_copies_match_brute_force(spark):
         assert _rows(got) == _rows(_brute_sample(df, n)), n
 
 
-def test_sample_identical_copies_exact_size(spark):
+def test_sample_identical_copies_exact_size(spark, sample_way):
     """Rows equal in every column: the cut takes exactly k of them without
     ordering the group (positions within partitions)."""
     rows = [raw_row(trans_num=f"t{i}", trans_index=str(i)) for i in range(60)]

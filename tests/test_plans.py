@@ -89,10 +89,12 @@ def test_small_dimension_is_broadcast_before_any_shuffle(built):
     assert j >= 0 and "Exchange" not in p[j:].split("Scan parquet")[0].split("BroadcastExchange")[0]
 
 
-def test_sample_is_a_filter_on_the_order_key(built):
-    """The result neither sorts nor shuffles the input: one filter on the key
-    of the last row taken."""
+def test_sample_is_a_filter_on_the_order_key(built, monkeypatch):
+    """Beyond the one-scan bound the result neither sorts nor shuffles the
+    input: one filter on the key of the last row taken."""
+    from starmart.sources import csv_ingest
     from starmart.sources.csv_ingest import sample_n
+    monkeypatch.setattr(csv_ingest, "ONE_SCAN_ROWS", 0)
     p = plan(sample_n(built.warehouse.read("raw", "raw_transactions"), 500))
     assert p.count("Scan parquet") == 1 and "Sort [" not in p and "TakeOrdered" not in p and "Exchange" not in p
 
@@ -167,3 +169,51 @@ def test_date_filters_prune_months(built, spark):
     assert same_columns(view.schema, FACT_TRANSACTIONS) and view.count() == 6000
     months = s.fact_months.select(FACT_MONTH).distinct().count()
     assert len(s.fact_months.inputFiles()) <= 2 * months  # no file for every task and month
+
+
+def test_bounds_read_the_first_and_last_month_only(built):
+    s = built.star
+    df = bi.bounds(s.facts())
+    assert df.collect() == bi.bounds(s.fact_transactions).collect()
+    first, last = bi.month_range(s.facts())
+    assert f"IN ({first},{last})" in plan(df).split("PartitionFilters: [")[1].split("]")[0].replace(", ", ",")
+    files = s.facts().filter(f"_month in ({first}, {last})").select("_metadata.file_path").distinct().count()
+    assert 0 < files < len(s.facts().inputFiles()) / 10
+
+
+def test_approximate_customers_shuffle_sketches_not_pairs(built):
+    s = built.star
+    exact = bi.kpis(s.fact_transactions, s.dim_merchant).first()
+    df = bi.kpis(s.fact_transactions, s.dim_merchant, approx_customers=True)
+    p = plan(df)
+    assert "hll_sketch_agg" in p and "hashpartitioning(merchant_key" in p
+    assert "hashpartitioning(customer_key" not in p and ", customer_key" not in p.split("Exchange")[-1]
+    got = df.first()
+    assert got[:3] == exact[:3] and abs(got.customers - exact.customers) <= max(2, 0.03 * exact.customers)
+    none = bi.kpis(s.fact_transactions, s.dim_merchant, bi.Filters(start="2030-01-01"), approx_customers=True).first()
+    assert tuple(none) == (0, 0, 0, 0)
+
+
+def test_categories_of_a_large_dimension_filter_the_fact_before_its_shuffle(built, spark):
+    s = built.star
+    f = bi.Filters(categories=("Brand#12",))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    want = sorted(bi.filter_where(s.fact_transactions, s.dim_merchant, f, s.dim_rows("dim_merchant")).collect())
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = bi.filter_where(s.fact_transactions, s.dim_merchant, f)
+        assert sorted(df.collect()) == want and want
+        p = final_plan(df)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" in p and "bitmap" in p
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_small_samples_are_one_scan(built):
+    from starmart.sources.csv_ingest import sample_n
+    raw = built.warehouse.read("raw", "raw_transactions")
+    p = plan(sample_n(raw, 500))
+    assert "TakeOrderedAndProject" in p and p.count("Scan parquet") == 1
