@@ -32,6 +32,7 @@ from starmart.operators.dedupe import dedupe_first
 from starmart.plans import adhoc, bi, questions
 from starmart.plans.build import build_all
 from starmart.plans.star import DIMS, star_from_tables
+from starmart.sources import folder_sink
 from starmart.sources.csv_ingest import ingest_csv, sample_n
 from starmart.sources.fixtures import raw_transactions
 from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
@@ -55,11 +56,14 @@ AS_OF = O.AS_OF  # pinned "today" for customer ages
 # Report parameters used by the registered filtered reports.
 FILTER = bi.Filters(start="1996-03-01", end="1998-06-30",
                     categories=("Brand#12", "Brand#23", "Brand#7"))
+EDGES = bi.Filters(start="1996-03-17", end="1998-06-11")  # days at both ends of whole months
 EMPTY = bi.Filters(start="2030-01-01", end="2030-12-31")
 SAMPLE_ROWS = 500
 SQL_FILTER = ("f.transaction_ts >= timestamp '1996-03-01 00:00:00' "
               "and f.transaction_ts < timestamp '1998-07-01 00:00:00' "
               "and m.merchant_category in ('Brand#12', 'Brand#23', 'Brand#7')")
+SQL_EDGES = ("f.transaction_ts >= timestamp '1996-03-17 00:00:00' "
+             "and f.transaction_ts < timestamp '1998-06-12 00:00:00'")
 SQL_EMPTY = ("f.transaction_ts >= timestamp '2030-01-01 00:00:00' "
              "and f.transaction_ts < timestamp '2031-01-01 00:00:00'")
 FROM_JOIN = "fact_transactions f join dim_merchant m on f.merchant_key = m.merchant_key"
@@ -388,7 +392,7 @@ def q_relationships_checked(spark, sf_dir):
     anti join) -- the same rows as the orphan-keys-first plan."""
     cal = marts.dim_date(spark, *PARTIAL_CALENDAR)
     return quality.relationships(_star(spark, sf_dir).fact_transactions, "date_key",
-                                 cal, "date_key", parent_rows=cal.count())
+                                 cal, "date_key", parent_rows=checked_rows(cal))
 
 
 def q_quality_report_checked(spark, sf_dir):
@@ -425,6 +429,66 @@ def q_quality_report_faults_checked(spark, sf_dir):
     return quality.quality_report(t, rows=rows)
 
 
+def q_top5_states_avg_nulls(spark, sf_dir):
+    """A3 where amounts are missing: the average is over those that are there."""
+    t, _ = _faulty(spark, sf_dir)
+    s = _star(spark, sf_dir)
+    return questions.top5_states_avg(t["fact_transactions"], s.dim_customer).select(
+        "state", _micros("avg_amount"))
+
+
+def q_ingest_csv_quoted(spark, sf_dir):
+    """Line breaks and quotes inside quoted fields, files read in many tasks."""
+    raw = raw_transactions(spark, sf_dir)
+    raw = raw.withColumn("job", F.concat("job", F.lit('\n"'), "city", F.lit('",\n.')))
+    path = scratch_dir(spark, "quoted")
+    raw.withColumnsRenamed(SOURCE_HEADER).write.option("header", True).option("escape", '"').csv(path)
+    return ingest_csv(spark, path, multi_line="split")
+
+
+def q_consecutive_index(spark, sf_dir):
+    """Files without an index column, numbered 0 to n - 1."""
+    path = scratch_dir(spark, "unnumbered")
+    raw_transactions(spark, sf_dir).drop("trans_index").withColumnsRenamed(SOURCE_HEADER).write.option(
+        "header", True).option("escape", '"').csv(path)
+    at = F.col("trans_index").cast("long")
+    return ingest_csv(spark, path, consecutive=True).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(at).alias("first_index"), F.max(at).alias("last_index"),
+        F.count_distinct(at).alias("n_indexes"))
+
+
+def _built(spark, sf_dir):
+    return build_all(spark, raw_transactions(spark, sf_dir), as_of=AS_OF).star
+
+
+def q_bounds_written(spark, sf_dir):
+    """B3 over a written fact: its first and last month folder."""
+    return bi.bounds(_built(spark, sf_dir).facts())
+
+
+def q_spend_by_month_cube(spark, sf_dir):
+    """B7 from the month cube, with days at both edges."""
+    s = _built(spark, sf_dir)
+    return bi.spend_by_month(s.facts(), s.dim_merchant, EDGES, dim_rows=s.dim_rows("dim_merchant"),
+                             cube=s.cube).select("month", _money("spend"))
+
+
+def q_spend_by_category_cube(spark, sf_dir):
+    """B6 from the month cube."""
+    s = _built(spark, sf_dir)
+    return bi.spend_by_category(s.facts(), s.dim_merchant, FILTER, dim_rows=s.dim_rows("dim_merchant"),
+                                cube=s.cube).select("category", _money("spend"))
+
+
+def q_write_external(spark, sf_dir):
+    """Staging written through the two-phase sink and read back."""
+    folder_sink.register(spark)
+    stg = _star(spark, sf_dir).stg_transactions
+    path = scratch_dir(spark, "external")
+    write_table(stg, path, fmt=folder_sink.FORMAT, as_path=True)
+    return folder_sink.read_folder(spark, path, stg.schema)
+
+
 def q_guarded_select_limit(spark, sf_dir):
     """An outer LIMIT above the cap is the query's own."""
     adhoc.register_views(_star(spark, sf_dir).tables())
@@ -487,6 +551,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report_faults_checked": q_quality_report_faults_checked,
     "guarded_select_limit": q_guarded_select_limit,
     "relationships_checked": q_relationships_checked,
+    "top5_states_avg_nulls": q_top5_states_avg_nulls,
+    "ingest_csv_quoted": q_ingest_csv_quoted,
+    "consecutive_index": q_consecutive_index,
+    "bounds_written": q_bounds_written,
+    "spend_by_month_cube": q_spend_by_month_cube,
+    "spend_by_category_cube": q_spend_by_category_cube,
+    "write_external": q_write_external,
 }
 
 W = O.with_star
@@ -595,6 +666,20 @@ _ORACLE: dict[str, str] = {
                            "total_spend from fact_transactions f join dim_customer c on "
                            "f.customer_key = c.customer_key group by 1 "
                            "order by total_spend desc, state limit 5"),
+    "top5_states_avg_nulls": W(_FAULTS.format(keys=_PARTIAL_KEYS)
+                               + f"select c.state, {_MICROS} as avg_amount_micros from f_fact f join dim_customer c "
+                                 "on f.customer_key = c.customer_key group by 1 "
+                                 "order by avg(f.amount) desc, state limit 5"),
+    "ingest_csv_quoted": W("select * replace (job || chr(10) || '\"' || city || '\",' || chr(10) || '.' as job) from raw"),
+    "consecutive_index": W("select count(*) as n_rows, 0::bigint as first_index, count(*) - 1 as last_index, "
+                           "count(*) as n_indexes from raw"),
+    "bounds_written": W("select cast(min(transaction_ts) as date) as min_d, "
+                        "cast(max(transaction_ts) as date) as max_d from fact_transactions"),
+    "spend_by_month_cube": W(f"select date_trunc('month', f.transaction_ts) as month, cast(sum(f.amount) as "
+                             f"decimal(38,2)) as spend from {FROM_JOIN} where {SQL_EDGES} group by 1 order by 1"),
+    "spend_by_category_cube": W(f"select m.merchant_category as category, cast(sum(f.amount) as decimal(38,2)) as "
+                                f"spend from {FROM_JOIN} where {SQL_FILTER} group by 1 order by spend desc, category"),
+    "write_external": W("select * from stg"),
     "guarded_select": W(ADHOC_SQL),
     "guarded_select_limit": W(ADHOC_LIMIT_SQL),
 }

@@ -28,11 +28,11 @@ REPORTS = {
     "categories": lambda s, f: bi.category_list(s.dim_merchant),
     "kpis": lambda s, f: bi.kpis(s.facts(), s.dim_merchant, f, dim_rows=_m(s)),
     "spend_by_category": lambda s, f: bi.spend_by_category(
-        s.facts(), s.dim_merchant, f, dim_rows=_m(s)),
+        s.facts(), s.dim_merchant, f, dim_rows=_m(s), cube=s.cube),
     "spend_by_month": lambda s, f: bi.spend_by_month(
-        s.facts(), s.dim_merchant, f, dim_rows=_m(s)),
+        s.facts(), s.dim_merchant, f, dim_rows=_m(s), cube=s.cube),
     "top_merchants": lambda s, f: bi.top_merchants(
-        s.facts(), s.dim_merchant, f, dim_rows=_m(s)),
+        s.facts(), s.dim_merchant, f, dim_rows=_m(s), cube=s.cube),
     "spend_top10_stg": lambda s, f: bi.spend_top10_stg(s.stg_transactions),
     "top5_categories_spend": lambda s, f: questions.top5_categories_spend(
         s.fact_transactions, s.dim_merchant, dim_rows=_m(s)),

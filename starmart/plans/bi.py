@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from starmart.constants import FACT_MONTH
 from starmart.operators.bloom import bit_filter
+from starmart.plans.cube import month_start as cube_month_start
+from starmart.plans.cube import selected
 from starmart.plans.rollup import SPEND, TXNS, fits_broadcast, rollup
 
 
@@ -195,15 +197,25 @@ def kpis(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
 # --- B6, B7, B8 --------------------------------------------------------------
 
 def _by_merchant(fact: DataFrame, dim_merchant: DataFrame, f: Filters, by: list[str],
-                 dim_rows: int | None, extra: dict[str, Column] | None = None) -> DataFrame:
-    return rollup(_fact(fact, f), _merchants(dim_merchant, f, *by), "merchant_key", by,
-                  dim_rows, extra)
-
-
-def spend_by_category(fact: DataFrame, dim_merchant: DataFrame,
-                      f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
+                 dim_rows: int | None, month: bool = False, cube: DataFrame | None = None) -> DataFrame:
+    """Totals by merchant attributes (and month).  With ``cube`` whole months
+    come from the month cube, and only days at the edges from the fact."""
+    dim = _merchants(dim_merchant, f, *by)
+    if cube is None:
+        return rollup(_fact(fact, f), dim, "merchant_key", by, dim_rows, {"month": month_start()} if month else {})
+    rows = selected(cube, f.start and _date(f.start), f.end and _date(f.end),
+                    lambda a, b: _fact(fact, Filters(a, b)))
+    extra = ["month"] if month else []
+    per_key = (rows.withColumn("month", cube_month_start()).groupBy("merchant_key", *extra)
+               .agg(F.sum(SPEND).alias(SPEND), F.sum(TXNS).alias(TXNS)))
+    met = per_key.join(F.broadcast(dim) if fits_broadcast(dim_rows) else dim, "merchant_key")
+    return (met.groupBy(*by, *extra).agg(F.sum(SPEND).cast("decimal(22,2)").alias(SPEND), F.sum(TXNS).alias(TXNS)))
+
+
+def spend_by_category(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
+                      dim_rows: int | None = None, cube: DataFrame | None = None) -> DataFrame:
     """Spend per category, highest first (ties: category ascending)."""
-    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_category"], dim_rows)
+    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_category"], dim_rows, cube=cube)
     return (r.select(F.col("merchant_category").alias("category"), F.col(SPEND).alias("spend"))
             .orderBy(F.col("spend").desc_nulls_first(), F.col("category").asc_nulls_last()))
 
@@ -214,24 +226,23 @@ def month_start(ts: str | Column = "transaction_ts") -> Column:
     return F.trunc(F.to_date(c), "month").cast("timestamp_ntz")
 
 
-def spend_by_month(fact: DataFrame, dim_merchant: DataFrame,
-                   f: Filters | None = None, dim_rows: int | None = None) -> DataFrame:
+def spend_by_month(fact: DataFrame, dim_merchant: DataFrame, f: Filters | None = None,
+                   dim_rows: int | None = None, cube: DataFrame | None = None) -> DataFrame:
     """Spend per calendar month, ascending; months without rows absent."""
-    r = _by_merchant(fact, dim_merchant, f or Filters(), [], dim_rows,
-                     {"month": month_start()})
+    r = _by_merchant(fact, dim_merchant, f or Filters(), [], dim_rows, month=True, cube=cube)
     return (r.select("month", F.col(SPEND).alias("spend"))
             .orderBy(F.col("month").asc_nulls_last()))
 
 
 def top_merchants(fact: DataFrame, dim_merchant: DataFrame,
                   f: Filters | None = None, n: int = 10,
-                  dim_rows: int | None = None) -> DataFrame:
+                  dim_rows: int | None = None, cube: DataFrame | None = None) -> DataFrame:
     """Top ``n`` display names by spend, with transaction counts.
 
     Groups by the cleaned name, so one merchant under two categories is one
     row.  The top-n is a TakeOrderedAndProject over the per-name totals.
     """
-    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_name_clean"], dim_rows)
+    r = _by_merchant(fact, dim_merchant, f or Filters(), ["merchant_name_clean"], dim_rows, cube=cube)
     return (r.select(F.col("merchant_name_clean").alias("merchant"),
                      F.col(SPEND).alias("spend"), F.col(TXNS).alias("txns"))
             .orderBy(F.col("spend").desc_nulls_first(), F.col("merchant").asc_nulls_last())

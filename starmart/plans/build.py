@@ -30,6 +30,7 @@ from starmart.constants import FACT_MONTH
 from starmart.operators import marts
 from starmart.operators.quality import SUITE, Check, quality_report
 from starmart.operators.staging import stage_transactions
+from starmart.plans.cube import CUBE, month_merchant
 from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
 from starmart.schemas import MART_SCHEMAS, STG_TRANSACTIONS, conform
 from starmart.sizing import checked_rows
@@ -43,7 +44,7 @@ STG = "stg_transactions"
 #: takes its years from the written fact's typed timestamps, not from another
 #: parse of every RAW timestamp text.
 READS = {STG: (), "fact_transactions": (STG,), "dim_customer": (STG,), "dim_account": (STG,),
-         "dim_merchant": (STG,), "dim_date": ("fact_transactions",)}
+         "dim_merchant": (STG,), "dim_date": ("fact_transactions",), CUBE: ("fact_transactions",)}
 REPORT_SCHEMA = "test_id int, model string, column_name string, test string, failures long, passed boolean"
 
 
@@ -120,6 +121,9 @@ def build_all(
             conform(getattr(lazy, m), schema, m)
 
         def write(m: str) -> None:
+            if m == CUBE:
+                made[m] = wh.stage(month_merchant(made["fact_transactions"].df), "marts", m)
+                return
             df = getattr(lazy, m)
             if m == "dim_date" and calendar is None:
                 df = marts.dim_date_covering(made["fact_transactions"].df)
@@ -136,21 +140,21 @@ def build_all(
             todo = [m for m in wave if gated is None or not gated.stopped(reads[m])]
             with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
                 list(pool.map(write, [m for m in todo if m != STG]))
-            new = {m: stg if m == STG else made[m].df.drop(FACT_MONTH) for m in todo}
+            new = {m: stg if m == STG else made[m].df.drop(FACT_MONTH) for m in todo if m != CUBE}
             tables |= new
             rows |= dim_row_counts(new)
             if gated is not None:
                 gated.run(tables, rows)
         if gated is not None and gated.bad:
             raise gated.failure(spark, reads)
-        wh.publish(list(made.values()))
     except BaseException:
         wh.discard(list(made.values()))
         raise
+    wh.publish(list(made.values()))
     if not staging_table:
         stg.createOrReplaceTempView(STG)
     fact = made["fact_transactions"].df
-    star = Star(**{m: tables[m] for m in (STG, *MARTS)}, rows=rows,
+    star = Star(**{m: tables[m] for m in (STG, *MARTS)}, rows=rows, cube=made[CUBE].df,
                 fact_months=fact if FACT_MONTH in fact.columns else None)
     report = gated.report(spark) if gated is not None else quality_report(star.tables(), rows=rows)
     return Build(wh, star, report)
@@ -186,7 +190,7 @@ class _Gate:
 
     def failure(self, spark: SparkSession, reads: Mapping[str, tuple[str, ...]]) -> BuildFailed:
         failed = [f"{c.test} {c.model}.{c.column}" for i, c in enumerate(SUITE, start=1) if self.failures.get(i)]
-        return BuildFailed(self.report(spark), failed, [m for m in reads if m not in self.built])
+        return BuildFailed(self.report(spark), failed, [m for m in reads if m not in self.built and m != CUBE])
 
 
 def _by_month(fact: DataFrame) -> DataFrame:
@@ -201,11 +205,11 @@ def _by_month(fact: DataFrame) -> DataFrame:
             .sortWithinPartitions(FACT_MONTH, "transaction_ts"))
 
 
-def _star(stg: DataFrame, written: Mapping[str, DataFrame]) -> Star:
+def _star(stg: DataFrame, written: Mapping[str, DataFrame], cube: DataFrame | None = None) -> Star:
     """The star of written marts; the partition column stays inside."""
     fact = written["fact_transactions"]
     tables = dict(written) | {"fact_transactions": fact.drop(FACT_MONTH)}
-    return Star(stg_transactions=stg, **tables, rows=dim_row_counts(tables),
+    return Star(stg_transactions=stg, **tables, rows=dim_row_counts(tables), cube=cube,
                 fact_months=fact if FACT_MONTH in fact.columns else None)
 
 
@@ -253,4 +257,5 @@ def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
         stg = wh.read("staging", "stg_transactions")
     else:
         stg = stage_transactions(wh.read("raw", "raw_transactions"))
-    return _star(stg, {m: wh.read("marts", m) for m in MARTS})
+    cube = wh.read("marts", CUBE) if ("marts", CUBE) in wh.history() else None
+    return _star(stg, {m: wh.read("marts", m) for m in MARTS}, cube)

@@ -27,6 +27,8 @@ class Star:
     fact_transactions: DataFrame
     #: The written fact with its partition column, for reports with dates.
     fact_months: DataFrame | None = None
+    #: The month cube kept with the written fact (see ``cube.py``).
+    cube: DataFrame | None = None
     #: Row counts of dimensions whose size was checked (written tables);
     #: reports use them to decide whether a dimension may be broadcast.
     rows: Mapping[str, int] = field(default_factory=dict)

@@ -24,7 +24,6 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,10 +140,7 @@ class Warehouse:
     def publish(self, candidates: Sequence[Candidate]) -> None:
         """Make the candidates current, all at once, then show them in the
         catalog and delete versions that nobody reads any more."""
-        try:
-            seq = self._log().agg(F.max("seq")).first()[0] or 0
-        except AnalysisException:
-            seq = 0
+        seq = _exists(self.spark, f"{self.root}/{LOG}") and self._log().agg(F.max("seq")).first()[0] or 0
         entry = [(seq + 1, c.layer, c.table, c.version) for c in candidates]
         self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/{LOG}")
         self.ensure_layers()
@@ -202,12 +198,21 @@ class Warehouse:
         return self.spark.read.format(self.fmt).load(self.path(layer, table, versions[0] if versions else "none"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system Spark itself uses for a path, and the path on it:
+    DataFrames can't delete a folder or ask whether it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def _delete(spark: SparkSession, path: str) -> bool:
-    """Delete a folder of the warehouse through the file system Spark itself
-    uses for it (DataFrames have no delete)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(conf).delete(place, True)
+    files, place = _file_system(spark, path)
+    return files.delete(place, True)
 
 
 def _plain(path: str) -> str:

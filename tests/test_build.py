@@ -217,6 +217,6 @@ def test_a_fault_in_the_fact_skips_the_calendar_behind_it(spark, sf_dir):
 def test_waves_refuse_a_cycle():
     import pytest
     from starmart.plans.build import READS, waves
-    assert waves(READS)[0] == ["stg_transactions"] and waves(READS)[-1] == ["dim_date"]
+    assert waves(READS)[0] == ["stg_transactions"] and set(waves(READS)[-1]) == {"dim_date", "agg_month_merchant"}
     with pytest.raises(ValueError, match="each other"):
         waves({"a": ("b",), "b": ("a",)})

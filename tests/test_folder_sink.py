@@ -1,0 +1,55 @@
+"""The two-phase sink: all files of a write or none."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.sources import folder_sink
+from starmart.sources.tables import write_table
+
+
+def put(df, path, mode="overwrite"):
+    folder_sink.register(df.sparkSession)
+    write_table(df, path, fmt=folder_sink.FORMAT, mode=mode, as_path=True)
+
+
+def rows(spark, path):
+    return folder_sink.read_folder(spark, path, "id long, v string")
+
+
+def frame(spark, n):
+    return spark.range(0, n, 1, 4).select("id", F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+
+
+def parts(path):
+    return [f for f in os.listdir(path) if f.startswith("part-")]
+
+
+def test_overwrite_append_and_empty(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    assert rows(spark, path).count() == 0
+    put(frame(spark, 100), path)
+    assert sorted(rows(spark, path).collect()) == sorted(frame(spark, 100).collect())
+    put(frame(spark, 30), path)
+    assert rows(spark, path).count() == 30 and len(parts(path)) <= 4
+    put(frame(spark, 5), path, "append")
+    assert rows(spark, path).count() == 35
+    put(frame(spark, 0), path)
+    assert rows(spark, path).count() == 0 and parts(path) == []
+
+
+def test_a_failed_task_leaves_the_old_rows_and_no_files(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    put(frame(spark, 50), path)
+    before = sorted(parts(path))
+    bad = frame(spark, 4000).withColumn("v", F.when(F.col("id") == 3999, F.raise_error(F.lit("broken source")))
+                                        .otherwise(F.col("v")))
+    with pytest.raises(Exception, match="broken source"):
+        put(bad, path)
+    assert rows(spark, path).count() == 50 and sorted(parts(path)) == before
+
+
+def test_a_path_is_needed(spark):
+    folder_sink.register(spark)
+    with pytest.raises(Exception, match="option path"):
+        frame(spark, 3).write.format(folder_sink.FORMAT).mode("append").save()
