@@ -210,10 +210,19 @@ def with_slots(rows: DataFrame, shard: str, order: list[str]) -> DataFrame:
             .withColumn("slot", F.col("_r") + F.col("_o")).drop("_b", "_r", "_o"))
 
 
-def kd_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
-              categories: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """(id, size, text_crc32, shard, slot) of every row."""
+def kd_shards(docs: DataFrame, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text",
+              categories: tuple[str, ...] = ("source", "lang"), target_bytes: int | None = None) -> DataFrame:
+    """(id, size, text_crc32, shard, slot) of every row.
+
+    Nodes are split until leaves reach their target: ``target_bytes`` (as many
+    leaves as it goes into all bytes, one at least), or all bytes divided by
+    a fixed number of ``shards``.
+    """
+    if (shards is None) == (target_bytes is None):
+        raise ValueError("give the number of shards or their target bytes")
     pts = points(docs, id_col, text_col, list(categories))
+    if shards is None:
+        shards = max(1, math.ceil((pts.agg(F.sum("size")).first()[0] or 0) / target_bytes))
     tree = grow(pts, 1 + len(categories), shards)
     placed = pts.select("id", "size", "text_crc32", "tie", place(tree, lambda n: n.first).alias("shard"))
     return with_slots(placed, "shard", ["tie", "id", "text_crc32"]).select(

@@ -70,3 +70,46 @@ def test_one_shard_and_empty_table(spark):
 
 def test_more_shards_than_rows(spark):
     check(shards_of(frame(spark, ["a", "bb", "ccc"]), 24), [(0, "a"), (1, "bb"), (2, "ccc")], 24, 99)
+
+
+def test_leaves_reach_target_bytes(spark):
+    texts = [prose(20 + i % 40, i) for i in range(900)]
+    docs = frame(spark, texts)
+    total = sum(8 + len(x.encode()) for x in texts)
+    rows = K.kd_shards(docs, target_bytes=total // 6 + 1).collect()
+    check(rows, list(enumerate(texts)), 6, 0.03)
+    assert {r["shard"] for r in K.kd_shards(docs, target_bytes=10 * total).collect()} == {0}
+    assert K.kd_shards(frame(spark, []), target_bytes=100).collect() == []
+    for both in ({}, {"shards": 3, "target_bytes": 3}):
+        with pytest.raises(ValueError, match="target bytes"):
+            K.kd_shards(docs, **both)
+
+
+def test_cuts_are_weighted_medians_of_the_widest_dimension(spark):
+    """The tree's first cut, against plain sorting."""
+    docs = frame(spark, [prose(10 + 7 * (i % 50), i) for i in range(600)])
+    pts = K.points(docs, "doc_id", "text", ["source", "lang"]).cache()
+    tree = K.grow(pts, 3, 4)
+    local = [r.asDict() for r in pts.collect()]
+    total = sum(r["size"] for r in local)
+
+    def walk(node, rows, scale):
+        if node.left is None or not rows:
+            return
+        spread = [(max(r[f"d{d}"] for r in rows) - min(r[f"d{d}"] for r in rows)) / scale[d] for d in range(3)]
+        assert node.dim == max(range(3), key=lambda d: (spread[d], -d))
+        key = lambda r: (r[f"d{node.dim}"], r["tie"])
+        left = [r for r in rows if key(r) < (node.value, node.tie)]
+        right = [r for r in rows if key(r) >= (node.value, node.tie)]
+        weight, want = sum(r["size"] for r in left), sum(r["size"] for r in rows) * node.left.shards / node.shards
+        heaviest = Counter()
+        for r in rows:
+            heaviest[r["tie"] >> K.ROW_BITS] += r["size"]
+        assert abs(weight - want) <= max(heaviest.values()) + total / 4 * K.TOLERANCE
+        walk(node.left, left, scale)
+        walk(node.right, right, scale)
+
+    scale = [max(1, max(r[f"d{d}"] for r in local) - min(r[f"d{d}"] for r in local)) for d in range(3)]
+    assert tree.left is not None
+    walk(tree, local, scale)
+    pts.unpersist()
