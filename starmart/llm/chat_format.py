@@ -39,7 +39,7 @@ CONTROL = r"(<)(\|(?:turn|text|end)\|>|/?s>|/?<?/?SYS>>)|(\[)(/?INST\])"
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LOSS_ROLE = "assistant"
 CHUNK = 1000  # characters of one streamed delta
-DRAFT = 40  # characters typed or streamed before an edit or a regeneration
+DRAFT = 0.5  # share of a text typed or streamed before an edit or a regeneration
 
 
 def escaped(text: F.Column) -> F.Column:
@@ -60,7 +60,7 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     a retried task numbers alike.
     """
     text = F.coalesce("text", F.lit(""))
-    draft = F.substring(text, 1, DRAFT)
+    draft = F.substring(text, F.lit(1), F.ceil(F.length(text) * DRAFT).cast("int"))
     n = F.ceil(F.length(text) / CHUNK).cast("int")
     chunks = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(
         F.array().cast("array<int>")), lambda i: F.struct(
