@@ -33,13 +33,13 @@ class BitFilter:
         NULL key isn't)."""
         spot = self._spot(key)
         at = F.pmod(spot, F.lit(BITMAP_BITS))
-        met = df.withColumn("__bucket", F.floor(spot / BITMAP_BITS).cast("int")).join(
-            F.broadcast(self.bitmaps), "__bucket", "left")
-        byte = F.conv(F.hex(F.substring(F.col("__bitmap"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+        met = df.withColumn("__bf_bucket", F.floor(spot / BITMAP_BITS).cast("int")).join(
+            F.broadcast(self.bitmaps), "__bf_bucket", "left")
+        byte = F.conv(F.hex(F.substring(F.col("__bf_bitmap"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
         bit = F.pow(F.lit(2), F.pmod(at, F.lit(8))).cast("int")
         held = byte.cast("int").bitwiseAND(bit) != 0
         return (met.withColumn(name, F.coalesce(held & key.isNotNull(), F.lit(False)))
-                .drop("__bucket", "__bitmap"))
+                .drop("__bf_bucket", "__bf_bitmap"))
 
 
 def bit_filter(keys: DataFrame, column: str, rows: int | None = None) -> BitFilter:
@@ -52,7 +52,7 @@ def bit_filter(keys: DataFrame, column: str, rows: int | None = None) -> BitFilt
         bits *= 2
     spot = F.pmod(F.xxhash64(column), F.lit(bits))
     bitmaps = (keys.filter(F.col(column).isNotNull())
-               .select(F.floor(spot / BITMAP_BITS).cast("int").alias("__bucket"),
-                       F.pmod(spot, F.lit(BITMAP_BITS)).alias("__at"))
-               .groupBy("__bucket").agg(F.bitmap_construct_agg("__at").alias("__bitmap")))
+               .select(F.floor(spot / BITMAP_BITS).cast("int").alias("__bf_bucket"),
+                       F.pmod(spot, F.lit(BITMAP_BITS)).alias("__bf_at"))
+               .groupBy("__bf_bucket").agg(F.bitmap_construct_agg("__bf_at").alias("__bf_bitmap")))
     return BitFilter(bitmaps, bits)
