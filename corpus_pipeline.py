@@ -3,6 +3,13 @@
 Five stages, each one of the llm operators over all that the stage before it
 kept; between stages lies a Parquet table.  All but the last return the
 columns of ``documents``.
+
+Defined results: a null or empty text fails the quality rules; rows of null
+id are judged like others, and of near duplicates the smallest id that isn't
+null stays; repeated rows are near duplicates, one stays; very long texts are
+treated whole; an empty table gives an empty result; further columns, those
+named like an operator's own included, pass every stage but the last;
+``n_chars`` may be missing or null.
 """
 from __future__ import annotations
 
@@ -34,8 +41,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts are replaced by a mark; ``n_chars`` follows."""
+    """Secrets in texts are replaced by a mark; ``n_chars``, if it is there,
+    follows."""
     clean = secret_ledger.redacted(docs, secret_ledger.update_ledger(docs))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
