@@ -15,7 +15,8 @@ their own first occurrence only the words behind it are cut.
    settled where it is read.
 3. *Ranges.*  The cut windows of a text meet and are merged.
 
-A fingerprint that is frequent in a pack of texts is sent once a pack, and so
+Texts meet their places in one join at every size, behind a bit filter of
+bounded size that keeps the others where they are.  A fingerprint that is frequent in a pack of texts is sent once a pack, and so
 is a window, for the least of the pack's texts; the others' are cut there.
 """
 from __future__ import annotations
@@ -30,13 +31,12 @@ from pyspark.sql import functions as F
 
 from starmart.llm import textnp as T
 from starmart.llm.common import content_key, freed, map_batches, trimmed, written
+from starmart.operators.bloom import bit_filter
 
 LEAST = 50  # words of a passage
 GRAM = 16  # words of a fingerprint
 PACK_BYTES = 4 << 20
 TASK_BYTES = 16 << 20
-#: At most so many bytes of places, or of 8-byte text hashes, are broadcast.
-BROADCAST_BYTES = 16 << 20
 #: Stands for all words of a text that has a passage.
 WHOLE = np.array([0, 2**31 - 1], dtype=np.int32).tobytes()
 
@@ -282,10 +282,9 @@ def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     count, size = hits.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("at")), F.lit(0))).first()
     own = hits.select(F.col("id").alias("__llm_id"), F.col("kh").alias("__llm_kh"), "rank", "at")
     same = (F.xxhash64(text_col) == F.col("__llm_kh")) & F.col(id_col).eqNullSafe(F.col("__llm_id"))
-    texts, few = docs.select(id_col, text_col), 32 * count + size <= BROADCAST_BYTES
-    if not few and 8 * count <= BROADCAST_BYTES:  # only texts with places meet them
-        texts = texts.join(F.broadcast(own.select("__llm_kh")), F.xxhash64(text_col) == F.col("__llm_kh"), "left_semi")
-    texts = texts.join(F.broadcast(own) if few else own, same)
+    # Only texts that may have places move to meet them.
+    texts = bit_filter(own, "__llm_kh", count).passed(docs.select(id_col, text_col), F.xxhash64(text_col), "__llm_may")
+    texts = texts.filter("__llm_may").join(own, same)
     cut = ranges(texts.select(text_col, "rank", "at"), size // 4)
     copies = (keys.filter(F.col("size") >= LEAST).join(firsts.filter("first <> other"), ["kh", "key"])
               .filter(place != F.col("first"))

@@ -18,7 +18,7 @@ Plan: runs are cut in numpy; a partial aggregation finds each run's first
 occurrence before the shuffle, so a passage that a third of the documents
 share arrives as one row a task; only runs that repeat are joined back (AQE
 splits a skewed one).  Texts meet the sentences to remove on (id, hash of the
-text): Spark broadcasts the latter only if their written table is small.
+text); a bit filter of bounded size keeps texts without any where they are.
 
 Defined results: null text stays null with no sentences; documents without a
 run (short ones) stay as they are; rows that repeat id and text are the same
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from starmart.llm import textnp as T
 from starmart.llm.common import freed, map_batches, written
 from starmart.llm.passages import byte_ranges, passages
+from starmart.operators.bloom import bit_filter
 
 LEAST = 25  # words of a run
 LONG = 40  # words of a sentence
@@ -138,12 +139,18 @@ def merged(ranges: list[dict]) -> list[tuple[int, int]]:
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, whole: bool) -> DataFrame:
-    """``docs`` with two last columns, the ranges to remove (null: none)."""
+    """``docs`` with two last columns, the ranges to remove (null: none); only
+    rows that may have some (by a bit filter of bounded size) are moved."""
     cuts = repeats(docs, id_col, text_col, whole).select(
         F.col("id").alias("__llm_id"), F.col("kh").alias("__llm_kh"), F.col("cut").alias("__llm_cut"),
         F.col("words").alias("__llm_words"))
     same: Column = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_col) == F.col("__llm_kh"))
-    return docs.join(cuts, same, "left").drop("__llm_id", "__llm_kh")
+    parted = bit_filter(cuts, "__llm_kh").passed(docs, F.xxhash64(text_col), "__llm_may")
+    hit = parted.filter("__llm_may").join(cuts, same, "left").drop("__llm_id", "__llm_kh", "__llm_may")
+    kinds = dict(cuts.dtypes)
+    rest = parted.filter("not __llm_may").drop("__llm_may").select("*", *(
+        F.lit(None).cast(kinds[c]).alias(c) for c in ("__llm_cut", "__llm_words")))
+    return rest.unionByName(hit.select(*rest.columns))
 
 
 def _ranges(text: str, cut: list[dict], words: list[bytes]) -> list[tuple[int, int]]:

@@ -7,6 +7,7 @@ import numpy as np
 from starmart.llm import passages as P
 from starmart.llm import substring_dedup as S
 from starmart.llm.queries import QUERIES
+from starmart.operators import bloom
 from tests.llm.data import ODD, frame, prose
 
 #: A word, or a character of a script without spaces.
@@ -69,7 +70,8 @@ def test_ranges_match_every_window(spark):
 
 def test_ranges_match_with_small_packs_and_no_broadcast(spark, monkeypatch):
     monkeypatch.setattr(P, "PACK_BYTES", 500)
-    monkeypatch.setattr(P, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(bloom, "MAX_BITS", 1 << 15)
+    monkeypatch.setattr(bloom, "BITS_PER_KEY", 1 / 64)
     ranges_match_every_window(spark, planted()[2] + [prose(120, 9), prose(120, 9)])
 
 
