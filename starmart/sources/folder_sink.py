@@ -5,8 +5,9 @@ stands for sinks beside the catalog: tasks write Parquet files of their own
 and answer with a commit message each (file, rows); the driver's commit names
 them in a manifest that replaces the old one in one step.  Readers follow the
 manifest, so they see all files of a write or none.  A task that is run again
-writes another file; files that no manifest names are deleted by the commit,
-and an abort deletes what its tasks wrote.
+writes another file; an abort deletes what its tasks wrote, and what a task
+leaves that ends behind the abort goes with the next commit, which deletes
+the files that its manifest doesn't name.  One writer at a time.
 
 ``folder`` is a path that the driver and all executors reach: a mounted one,
 or a store that pyarrow's file systems know (``scheme://...``).
