@@ -22,6 +22,7 @@ _PRIME = np.uint64((1 << 31) - 1)
 _SHIFT = np.uint64(31)
 _BASES = (0x2545F491, 0x5851F42D)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 1 << 15
 _powers = {}
 
 
@@ -44,17 +45,13 @@ NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 
-def _folded(x: np.ndarray) -> np.ndarray:
-    """A number below 2**33 that is ``x`` modulo the prime."""
-    return (x & _PRIME) + (x >> _SHIFT)
-
-
 def _power(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo the prime for i < n (the table grows by doubling,
-    once a process)."""
-    have = _powers.get(base, np.ones(1, dtype=np.uint64))
+    once a process; 31 bits a number)."""
+    have = _powers.get(base, np.ones(1, dtype=np.uint32))
     while len(have) < n:
-        have = np.concatenate([have, have * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME])
+        more = have.astype(np.uint64) * np.uint64(pow(base, len(have), int(_PRIME))) % _PRIME
+        have = np.concatenate([have, more.astype(np.uint32)])
     _powers[base] = have
     return have[:n]
 
@@ -93,17 +90,24 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(mask & ~before), np.flatnonzero(mask & ~after) + 1
 
 
-def _polynomial(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(_folded(values * _power(base, len(values))), out=total[1:])
-    inverse = _power(pow(base, -1, int(_PRIME)), len(values) + 1)
+def _polynomial(part, n: int, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of n values; ``part(i, j)`` gives some of them, so that
+    only the prefix sums are held whole."""
+    total, power = np.zeros(n + 1, dtype=np.uint64), _power(base, n)
+    for i in range(0, n, _STEP):
+        j = min(n, i + _STEP)
+        term = part(i, j) * power[i:j]
+        total[i + 1:j + 1] = (term & _PRIME) + (term >> _SHIFT)  # the term modulo the prime, below 2**33
+    np.cumsum(total, out=total)
+    inverse = _power(pow(base, -1, int(_PRIME)), n + 1)
     return (total[ends] - total[starts]) % _PRIME * inverse[starts] % _PRIME
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """62-bit hashes of spans of 64-bit values (their low 62 bits count)."""
-    one = _polynomial(values & _PRIME, _BASES[0], starts, ends)
-    two = _polynomial((values >> _SHIFT) & _PRIME, _BASES[1], starts, ends)
+    n = len(values)
+    one = _polynomial(lambda i, j: values[i:j] & _PRIME, n, _BASES[0], starts, ends)
+    two = _polynomial(lambda i, j: (values[i:j] >> _SHIFT) & _PRIME, n, _BASES[1], starts, ends)
     return (one << _SHIFT) | two
 
 
@@ -112,7 +116,8 @@ _BYTE_PARTS = (_BYTE & _PRIME, (_BYTE >> _SHIFT) & _PRIME)
 
 def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A mixed 64-bit hash of each byte span."""
-    one, two = (_polynomial(part[data], base, starts, ends) for part, base in zip(_BYTE_PARTS, _BASES, strict=True))
+    one, two = (_polynomial(lambda i, j, t=table: t[data[i:j]], len(data), base, starts, ends)
+                for table, base in zip(_BYTE_PARTS, _BASES, strict=True))
     return mix64(((one << _SHIFT) | two) + (ends - starts).astype(np.uint64))
 
 
