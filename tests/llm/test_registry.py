@@ -6,10 +6,13 @@ import corpus_pipeline
 from starmart.llm import jaccard_join, quality_rules, secret_ledger
 from starmart.llm.common import read_table
 from starmart.llm.queries import QUERIES
+from starmart.llm.spellings import DEFAULT as SPELLING
 from tests.llm.test_decontaminate import brute as contamination
 from tests.llm.test_jaccard_join import brute as components
+from tests.llm.test_maxent_lm import plain as language_model
 from tests.llm.test_quality_rules import brute as quality
 from tests.llm.test_secret_ledger import brute as secrets
+from tests.llm.test_spellings import plain as spellings
 from tools.oracle_check import duck, rows
 
 SQL = sorted(set(entry.oracle_sql()) & set(QUERIES))
@@ -17,8 +20,8 @@ SQL = sorted(set(entry.oracle_sql()) & set(QUERIES))
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
-    assert entry.queries()["pipeline"] is corpus_pipeline.run and len(SQL) == 5
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
+    assert entry.queries()["pipeline"] is corpus_pipeline.run and len(SQL) == 6
 
 
 @pytest.mark.parametrize("name", SQL)
@@ -33,7 +36,10 @@ CONTRACT = {
     "op2": ["doc_id", "held_out", "lang_pred", "score"],
     "op4": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op5": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
-    "op10": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]}
+    "op10": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    "op11": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op12": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op13": ["word", "form", "root", "n", "n_near", "form_n"]}
 
 
 @pytest.mark.parametrize("n", CONTRACT)
@@ -42,6 +48,24 @@ def test_contract_columns(spark, sf_dir, n):
     assert QUERIES[name](spark, sf_dir).columns == CONTRACT[n]
 
 
+def test_language_model_counts_against_plain_counting(spark, sf_dir):
+    docs = [(r["doc_id"], r["text"]) for r in read_table(spark, sf_dir, "documents").collect()]
+    want = dict(zip((i for i, _ in docs), language_model(docs), strict=True))
+    got = QUERIES["op11_lm_scoring"](spark, sf_dir).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        held, tokens, known, total, base = want[r["doc_id"]]
+        assert tuple(r)[1:5] == (held, tokens, known, total) and abs(r["base_score"] - base) < 1e-6
+    unseen = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
+
+
+def test_spelling_variants_against_all_pairs(spark, sf_dir):
+    docs = [(r["doc_id"], r["text"]) for r in read_table(spark, sf_dir, "documents").collect()]
+    got = sorted(tuple(r) for r in QUERIES["op13_spelling_variants"](spark, sf_dir).collect())
+    assert got == spellings(docs, SPELLING) and len(got) > 1000
+
+
 def test_pipeline_stages_against_brute_force(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     stage = dict(corpus_pipeline.STAGES)
