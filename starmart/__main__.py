@@ -39,11 +39,11 @@ REPORTS = {
     "spend_by_brand": lambda s, f: questions.spend_by_brand(
         s.fact_transactions, s.dim_account, dim_rows=s.dim_rows("dim_account")),
     "top5_states_avg": lambda s, f: questions.top5_states_avg(
-        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer")),
+        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer"), kept=s.customers),
     "weekend_vs_weekday": lambda s, f: questions.weekend_vs_weekday(
         s.fact_transactions, s.dim_date, dim_rows=s.dim_rows("dim_date")),
     "top5_states_spend": lambda s, f: questions.top5_states_spend(
-        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer")),
+        s.fact_transactions, s.dim_customer, dim_rows=s.dim_rows("dim_customer"), kept=s.customers),
 }
 
 
@@ -67,6 +67,8 @@ def main(argv: list[str] | None = None) -> int:
             c.add_argument("--calendar", nargs=2, metavar=("START", "END"), default=None)
             c.add_argument("--as-of", default=None, help="day that customer ages are counted to")
             c.add_argument("--lenient", action="store_true", help="text that does not parse becomes NULL")
+            c.add_argument("--customer-buckets", type=int, default=None, metavar="N",
+                           help="keep customers and their totals in N like buckets")
             c.add_argument("--staging-table", action="store_true", help="write staging as a table")
     r = sub.add_parser("report")
     r.add_argument("name", choices=sorted(REPORTS))
@@ -95,7 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         try:
             report = build_all(spark, raw, warehouse=wh,
                                calendar=tuple(args.calendar) if args.calendar else None,
-                               as_of=args.as_of, strict=not args.lenient, staging_table=args.staging_table).report
+                               as_of=args.as_of, strict=not args.lenient, staging_table=args.staging_table,
+                               customer_buckets=args.customer_buckets).report
         except BuildFailed as exc:
             stopped, report = exc, exc.report
         for row in report.orderBy("test_id").collect():

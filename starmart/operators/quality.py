@@ -136,6 +136,15 @@ def _orphans(tables: Mapping[str, DataFrame], model: str,
     return _rows(got, [_row(i, c, F.col(f"f{i}")) for i, c in checks])
 
 
+def _orphans_kept(keys: DataFrame, parent: DataFrame, i: int, c: Check) -> DataFrame:
+    """One row for a relationship test whose child's rows per key were kept:
+    no pass over the child, and no exchange where both are in like buckets."""
+    known = parent.select(F.col(c.to_column).alias(c.column))
+    got = (keys.filter(F.col(c.column).isNotNull()).join(known, c.column, "left_anti")
+           .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("f")))
+    return _rows(got, [_row(i, c, F.col("f"))])
+
+
 def _one_pass(tables: Mapping[str, DataFrame], model: str, nulls: Sequence[tuple[int, Check]],
               small: Sequence[tuple[int, Check]]) -> DataFrame:
     """One row per not-null test and per relationship test with a small
@@ -154,15 +163,18 @@ def _one_pass(tables: Mapping[str, DataFrame], model: str, nulls: Sequence[tuple
 def quality_report(tables: Mapping[str, DataFrame],
                    suite: Sequence[Check] = SUITE,
                    rows: Mapping[str, int] | None = None,
-                   ids: Collection[int] | None = None) -> DataFrame:
+                   ids: Collection[int] | None = None,
+                   kept: Mapping[tuple[str, str], DataFrame] | None = None) -> DataFrame:
     """Run ``suite`` over ``tables`` (name -> DataFrame), or the tests of it
     whose 1-based numbers are in ``ids``.
 
     Columns: test_id (1-based, suite order), model, column_name, test,
     failures, passed.  One row per test, lazily: the caller's action runs it.
-    ``rows`` holds checked row counts of parent tables (see ``Star.rows``).
+    ``rows`` holds checked row counts of parent tables (see ``Star.rows``),
+    ``kept`` the rows per key of some (model, column), which stand for the
+    model in its relationship test with a parent of unknown size.
     """
-    rows = rows or {}
+    rows, kept = rows or {}, kept or {}
     parts: list[DataFrame] = []
     by_model: dict[str, dict[str, list[tuple[int, Check]]]] = {}
     for i, c in enumerate(suite, start=1):
@@ -171,6 +183,8 @@ def quality_report(tables: Mapping[str, DataFrame],
         kinds = by_model.setdefault(c.model, {"null": [], "small": [], "large": []})
         if c.test == "not_null":
             kinds["null"].append((i, c))
+        elif c.test == "relationships" and (c.model, c.column) in kept and not fits_broadcast(rows.get(c.to_model)):
+            parts.append(_orphans_kept(kept[c.model, c.column], tables[c.to_model], i, c))
         elif c.test == "relationships":
             kinds["small" if fits_broadcast(rows.get(c.to_model)) else "large"].append((i, c))
         elif c.test == "unique":

@@ -31,6 +31,7 @@ from starmart.operators import marts
 from starmart.operators.quality import SUITE, Check, quality_report
 from starmart.operators.staging import stage_transactions
 from starmart.plans.cube import CUBE, month_merchant
+from starmart.plans.customers import CUSTOMERS, KEY, dealt, kept_keys, per_customer
 from starmart.plans.star import DIMS, MARTS, Star, star_from_staging
 from starmart.schemas import MART_SCHEMAS, STG_TRANSACTIONS, conform
 from starmart.sizing import checked_rows
@@ -45,6 +46,8 @@ STG = "stg_transactions"
 #: parse of every RAW timestamp text.
 READS = {STG: (), "fact_transactions": (STG,), "dim_customer": (STG,), "dim_account": (STG,),
          "dim_merchant": (STG,), "dim_date": ("fact_transactions",), CUBE: ("fact_transactions",)}
+#: Tables kept for reports and tests; they are no models of the star.
+KEPT = (CUBE, CUSTOMERS)
 REPORT_SCHEMA = "test_id int, model string, column_name string, test string, failures long, passed boolean"
 
 
@@ -94,6 +97,7 @@ def build_all(
     staging_table: bool = False,
     cluster_fact: bool = True,
     gate: bool = True,
+    customer_buckets: int | None = None,
 ) -> Build:
     """Build the warehouse from a RAW frame and publish it if all tests pass.
 
@@ -103,7 +107,10 @@ def build_all(
     Models of a wave are submitted by ``threads`` threads as concurrent Spark
     jobs (the reference builds models with 4 threads); the threads only submit
     jobs, Spark's scheduler shares the executors.  ``gate=False`` publishes
-    without running tests; the report is then lazy.
+    without running tests; the report is then lazy.  ``customer_buckets``
+    keeps the customers' totals in as many buckets as ``dim_customer`` (see
+    ``customers.py``); choose it so that a bucket of one row a customer fits a
+    task (about 128 MB).
     """
     wh = warehouse or Warehouse.fresh(spark)
     made: dict[str, Candidate] = {}
@@ -124,7 +131,14 @@ def build_all(
             if m == CUBE:
                 made[m] = wh.stage(month_merchant(made["fact_transactions"].df), "marts", m)
                 return
+            if m == CUSTOMERS:
+                made[m] = wh.stage(dealt(per_customer(made["fact_transactions"].df), customer_buckets), "marts", m,
+                                   bucket_by=(KEY, customer_buckets))
+                return
             df = getattr(lazy, m)
+            if m == "dim_customer" and customer_buckets:
+                made[m] = wh.stage(dealt(df, customer_buckets), "marts", m, bucket_by=(KEY, customer_buckets))
+                return
             if m == "dim_date" and calendar is None:
                 df = marts.dim_date_covering(made["fact_transactions"].df)
             if m == "fact_transactions" and cluster_fact:
@@ -132,7 +146,8 @@ def build_all(
             else:
                 made[m] = wh.stage(df, "marts", m)
 
-        reads = READS | ({"dim_date": ()} if calendar is not None else {})
+        reads = READS | ({"dim_date": ()} if calendar is not None else {}) | (
+            {CUSTOMERS: ("fact_transactions",)} if customer_buckets else {})
         gated = _Gate() if gate else None
         tables: dict[str, DataFrame] = {}
         rows: dict[str, int] = {}
@@ -140,11 +155,12 @@ def build_all(
             todo = [m for m in wave if gated is None or not gated.stopped(reads[m])]
             with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
                 list(pool.map(write, [m for m in todo if m != STG]))
-            new = {m: stg if m == STG else made[m].df.drop(FACT_MONTH) for m in todo if m != CUBE}
+            new = {m: stg if m == STG else made[m].df.drop(FACT_MONTH) for m in todo if m not in KEPT}
             tables |= new
             rows |= dim_row_counts(new)
             if gated is not None:
-                gated.run(tables, rows)
+                gated.run(tables, rows, wait=CUSTOMERS in reads,
+                          kept=kept_keys(made[CUSTOMERS].df) if CUSTOMERS in made else {})
         if gated is not None and gated.bad:
             raise gated.failure(spark, reads)
     except BaseException:
@@ -155,8 +171,9 @@ def build_all(
         stg.createOrReplaceTempView(STG)
     fact = made["fact_transactions"].df
     star = Star(**{m: tables[m] for m in (STG, *MARTS)}, rows=rows, cube=made[CUBE].df,
+                customers=made[CUSTOMERS].df if CUSTOMERS in made else None,
                 fact_months=fact if FACT_MONTH in fact.columns else None)
-    report = gated.report(spark) if gated is not None else quality_report(star.tables(), rows=rows)
+    report = gated.report(spark) if gated is not None else quality_report(star.tables(), rows=rows, kept=star.kept_keys())
     return Build(wh, star, report)
 
 
@@ -171,12 +188,16 @@ class _Gate:
     def stopped(self, needs: tuple[str, ...]) -> bool:
         return any(m in self.bad or m not in self.built for m in needs)
 
-    def run(self, tables: Mapping[str, DataFrame], rows: Mapping[str, int]) -> None:
+    def run(self, tables: Mapping[str, DataFrame], rows: Mapping[str, int],
+            kept: Mapping[tuple[str, str], DataFrame], wait: bool) -> None:
+        """Run what is ready; with ``wait`` the test that reads the customers'
+        totals is so only when they are in ``kept``."""
         self.built = set(tables)
         ready = {i for i, c in enumerate(SUITE, start=1)
-                 if i not in self.failures and c.model in tables and (c.to_model or c.model) in tables}
+                 if i not in self.failures and c.model in tables and (c.to_model or c.model) in tables
+                 and (not wait or kept or (c.test, c.column) != ("relationships", KEY))}
         if ready:
-            for r in quality_report(tables, rows=rows, ids=ready).collect():
+            for r in quality_report(tables, rows=rows, ids=ready, kept=kept).collect():
                 self.failures[r["test_id"]] = r["failures"]
                 if r["failures"]:
                     self.bad.add(r["model"])
@@ -190,7 +211,7 @@ class _Gate:
 
     def failure(self, spark: SparkSession, reads: Mapping[str, tuple[str, ...]]) -> BuildFailed:
         failed = [f"{c.test} {c.model}.{c.column}" for i, c in enumerate(SUITE, start=1) if self.failures.get(i)]
-        return BuildFailed(self.report(spark), failed, [m for m in reads if m not in self.built and m != CUBE])
+        return BuildFailed(self.report(spark), failed, [m for m in reads if m not in self.built and m not in KEPT])
 
 
 def _by_month(fact: DataFrame) -> DataFrame:
@@ -205,11 +226,12 @@ def _by_month(fact: DataFrame) -> DataFrame:
             .sortWithinPartitions(FACT_MONTH, "transaction_ts"))
 
 
-def _star(stg: DataFrame, written: Mapping[str, DataFrame], cube: DataFrame | None = None) -> Star:
+def _star(stg: DataFrame, written: Mapping[str, DataFrame], cube: DataFrame | None = None,
+          customers: DataFrame | None = None) -> Star:
     """The star of written marts; the partition column stays inside."""
     fact = written["fact_transactions"]
     tables = dict(written) | {"fact_transactions": fact.drop(FACT_MONTH)}
-    return Star(stg_transactions=stg, **tables, rows=dim_row_counts(tables), cube=cube,
+    return Star(stg_transactions=stg, **tables, rows=dim_row_counts(tables), cube=cube, customers=customers,
                 fact_months=fact if FACT_MONTH in fact.columns else None)
 
 
@@ -257,5 +279,7 @@ def open_star(spark: SparkSession, root: str, fmt: str = "parquet") -> Star:
         stg = wh.read("staging", "stg_transactions")
     else:
         stg = stage_transactions(wh.read("raw", "raw_transactions"))
-    cube = wh.read("marts", CUBE) if ("marts", CUBE) in wh.history() else None
-    return _star(stg, {m: wh.read("marts", m) for m in MARTS}, cube)
+    # What an earlier build kept doesn't stand for this build's fact.
+    cube, customers = (wh.read("marts", k) if wh.published_with("marts", k, "fact_transactions") else None
+                       for k in KEPT)
+    return _star(stg, {m: wh.read("marts", m) for m in MARTS}, cube, customers)

@@ -37,21 +37,24 @@ def spend_by_brand(fact: DataFrame, dim_account: DataFrame,
                      F.col("card_brand").asc_nulls_last()))
 
 
-def _by_state(fact: DataFrame, dim_customer: DataFrame, dim_rows: int | None) -> DataFrame:
-    r = rollup(fact, dim_customer, "customer_key", ["state"], dim_rows)
+def _by_state(fact: DataFrame, dim_customer: DataFrame, dim_rows: int | None,
+              kept: DataFrame | None) -> DataFrame:
+    r = rollup(fact, dim_customer, "customer_key", ["state"], dim_rows, kept=kept)
     return r.select("state", F.col(SPEND).alias("total_spend"), F.col(TXNS).alias("txn_count"),
                     F.col(AMOUNTS).alias("amount_count"))
 
 
 def top5_states_avg(fact: DataFrame, dim_customer: DataFrame, n: int = 5,
-                    with_parts: bool = False, dim_rows: int | None = None) -> DataFrame:
+                    with_parts: bool = False, dim_rows: int | None = None,
+                    kept: DataFrame | None = None) -> DataFrame:
     """A3: ``n`` states with the highest average transaction amount.
 
     The average is over transactions with an amount, as ``avg(amount)`` is,
     not over customers.  ``with_parts`` keeps ``total_spend``, ``txn_count``
-    and ``amount_count`` as well.
+    and ``amount_count`` as well; ``kept`` are the customers' totals of the
+    build (``Star.customers``).
     """
-    s = _by_state(fact, dim_customer, dim_rows).withColumn(
+    s = _by_state(fact, dim_customer, dim_rows, kept).withColumn(
         "avg_amount", _avg("total_spend", "amount_count"))
     s = s.orderBy(F.col("avg_amount").desc_nulls_first(), F.col("state").asc_nulls_last()).limit(n)
     return s if with_parts else s.select("state", "avg_amount")
@@ -65,8 +68,9 @@ def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame,
 
 
 def top5_states_spend(fact: DataFrame, dim_customer: DataFrame, n: int = 5,
-                      dim_rows: int | None = None) -> DataFrame:
-    """A5: ``n`` states with the highest total spend (ties: state)."""
-    return (_by_state(fact, dim_customer, dim_rows).select("state", "total_spend")
+                      dim_rows: int | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """A5: ``n`` states with the highest total spend (ties: state); ``kept``
+    as in A3."""
+    return (_by_state(fact, dim_customer, dim_rows, kept).select("state", "total_spend")
             .orderBy(F.col("total_spend").desc_nulls_first(), F.col("state").asc_nulls_last())
             .limit(n))

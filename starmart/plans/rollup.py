@@ -28,27 +28,34 @@ TXNS = "_txns"
 AMOUNTS = "_amounts"  # rows whose amount isn't NULL: what an average divides by
 
 
+def per_key(fact: DataFrame, key: str, *extra: Column) -> DataFrame:
+    """The fact's totals for each key (and ``extra`` column)."""
+    return fact.groupBy(key, *extra).agg(F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS),
+                                         F.count("amount").alias(AMOUNTS))
+
+
 def rollup(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str],
-           dim_rows: int | None = None, extra: Mapping[str, Column] | None = None
-           ) -> DataFrame:
+           dim_rows: int | None = None, extra: Mapping[str, Column] | None = None,
+           kept: DataFrame | None = None) -> DataFrame:
     """Columns ``by`` + ``extra`` names + ``_spend`` (sum of amount) +
     ``_txns`` (row count) + ``_amounts`` (rows with an amount) of
     ``fact ⋈ dim`` on ``key``.
 
     ``extra`` are grouping columns computed from the fact (e.g. the month).
+    ``kept`` is :func:`per_key` of the whole fact as written at build; the
+    fact is then not read (not with ``extra``).
     """
     extra = dict(extra or {})
     ex_cols = [c.alias(n) for n, c in extra.items()]
     dim_side = dim.select(key, *by)
-    if fits_broadcast(dim_rows):
+    small = fits_broadcast(dim_rows)
+    if small and kept is None:
         j = fact.select(key, "amount", *ex_cols).join(F.broadcast(dim_side), key)
         out = j.groupBy(*by, *extra).agg(F.sum("amount").alias(SPEND),
                                          F.count(F.lit(1)).alias(TXNS),
                                          F.count("amount").alias(AMOUNTS))
     else:
-        per_key = fact.groupBy(key, *ex_cols).agg(F.sum("amount").alias(SPEND),
-                                                  F.count(F.lit(1)).alias(TXNS),
-                                                  F.count("amount").alias(AMOUNTS))
-        out = per_key.join(dim_side, key).groupBy(*by, *extra).agg(
+        totals = per_key(fact, key, *ex_cols) if kept is None else kept
+        out = totals.join(F.broadcast(dim_side) if small else dim_side, key).groupBy(*by, *extra).agg(
             F.sum(SPEND).alias(SPEND), F.sum(TXNS).alias(TXNS), F.sum(AMOUNTS).alias(AMOUNTS))
     return out.withColumn(SPEND, F.col(SPEND).cast("decimal(22,2)"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from starmart.operators import marts
 from starmart.operators.staging import stage_transactions
+from starmart.plans.customers import kept_keys
 from starmart.sources.fixtures import raw_transactions
 
 MARTS = ("dim_customer", "dim_account", "dim_merchant", "dim_date", "fact_transactions")
@@ -29,6 +30,9 @@ class Star:
     fact_months: DataFrame | None = None
     #: The month cube kept with the written fact (see ``cube.py``).
     cube: DataFrame | None = None
+    #: Totals of each customer, dealt into the same buckets as ``dim_customer``
+    #: (see ``customers.py``).
+    customers: DataFrame | None = None
     #: Row counts of dimensions whose size was checked (written tables);
     #: reports use them to decide whether a dimension may be broadcast.
     rows: Mapping[str, int] = field(default_factory=dict)
@@ -40,6 +44,10 @@ class Star:
     def dim_rows(self, name: str) -> int | None:
         return self.rows.get(name)
 
+    def kept_keys(self) -> dict[tuple[str, str], DataFrame]:
+        """(model, column) -> (column, n_rows) kept at build, for the tests."""
+        return {} if self.customers is None else kept_keys(self.customers)
+
     def tables(self) -> dict[str, DataFrame]:
         return {"stg_transactions": self.stg_transactions,
                 **{m: getattr(self, m) for m in MARTS}}

@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ from starmart.session import scratch_dir
 LAYERS = ("raw", "staging", "marts")
 #: The log of published versions.
 LOG = "versions"
-LOG_SCHEMA = "seq long, layer string, table string, version string"
+LOG_SCHEMA = "seq long, layer string, table string, version string, bucket_column string, buckets int"
 #: Versions of a table that stay: the current one, and the one before it for
 #: readers that are still at work.
 KEPT_VERSIONS = 2
@@ -40,7 +40,7 @@ KEPT_VERSIONS = 2
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",
                 options: Mapping[str, str] | None = None, as_path: bool | None = None,
-                partition_by: Sequence[str] | None = None) -> None:
+                partition_by: Sequence[str] | None = None, bucket_by: tuple[str, int] | None = None) -> None:
     """Write ``df`` whole to a path or a catalog table.
 
     ``target`` containing ``/`` (or ``as_path=True``) is a path, else a table
@@ -54,6 +54,8 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
         w = w.options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:  # (column, buckets); Spark keeps buckets of catalog tables only
+        w = w.bucketBy(bucket_by[1], bucket_by[0])
     if as_path if as_path is not None else "/" in target:
         w.save(target)
     else:
@@ -77,6 +79,8 @@ class Candidate:
     partition_by: tuple[str, ...] = ()
     #: Stored columns that the catalog's view doesn't show.
     hidden: tuple[str, ...] = ()
+    #: The column its files are dealt by, and the number of buckets.
+    bucket_by: tuple[str, int] | None = None
 
 
 @dataclass(frozen=True)
@@ -116,32 +120,49 @@ class Warehouse:
         """Published versions of each table, the current one first; a root
         without a log raises (PATH_NOT_FOUND)."""
         out: dict[tuple[str, str], list[str]] = {}
-        for r in sorted(self._log().collect(), key=lambda r: -r["seq"]):
+        for r in self._entries():
             out.setdefault((r["layer"], r["table"]), []).append(r["version"])
         return out
 
+    def published_with(self, layer: str, table: str, other: str) -> bool:
+        """True if ``table`` and ``other`` are of one publication, so that
+        one may stand for the other."""
+        last: dict[str, int] = {}
+        for r in self._entries():
+            if r["layer"] == layer:
+                last.setdefault(r["table"], r["seq"])
+        return table in last and last[table] == last.get(other)
+
+    def _entries(self) -> list:
+        return sorted(self._log().collect(), key=lambda r: -r["seq"])
+
     def _log(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/{LOG}")
 
     def stage(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None,
-              hidden: Sequence[str] = ()) -> Candidate:
+              hidden: Sequence[str] = (), bucket_by: tuple[str, int] | None = None) -> Candidate:
         """Write ``df`` as a version of ``layer.table`` that no reader sees
         yet; what a failed write leaves is deleted."""
         version = f"v-{uuid.uuid4().hex[:16]}"
         path = self.path(layer, table, version)
+        new = Candidate(layer, table, version, path, df, tuple(partition_by or ()), tuple(hidden), bucket_by)
         try:
+            if bucket_by:
+                self.ensure_layers()
+                write_table(df, self._entry(layer, table, version), fmt=self.fmt, as_path=False,
+                            options={"path": path}, partition_by=partition_by, bucket_by=bucket_by)
+                return replace(new, df=self.spark.table(self._entry(layer, table, version)))
             write_table(df, path, fmt=self.fmt, as_path=True, partition_by=partition_by)
         except BaseException:
-            _delete(self.spark, path)
+            self.discard([new])
             raise
-        return Candidate(layer, table, version, path, self.spark.read.format(self.fmt).load(path),
-                         tuple(partition_by or ()), tuple(hidden))
+        return replace(new, df=self.spark.read.format(self.fmt).load(path))
 
     def publish(self, candidates: Sequence[Candidate]) -> None:
         """Make the candidates current, all at once, then show them in the
         catalog and delete versions that nobody reads any more."""
         seq = _exists(self.spark, f"{self.root}/{LOG}") and self._log().agg(F.max("seq")).first()[0] or 0
-        entry = [(seq + 1, c.layer, c.table, c.version) for c in candidates]
+        entry = [(seq + 1, c.layer, c.table, c.version, *(c.bucket_by or (None, None))) for c in candidates]
         self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/{LOG}")
         self.ensure_layers()
         for c in candidates:
@@ -151,6 +172,8 @@ class Warehouse:
     def discard(self, candidates: Sequence[Candidate]) -> None:
         """Delete candidates that won't be published."""
         for c in candidates:
+            if c.bucket_by:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(c.layer, c.table, c.version)}")
             _delete(self.spark, c.path)
 
     def sweep(self, keep: int = KEPT_VERSIONS) -> list[str]:
@@ -173,7 +196,8 @@ class Warehouse:
     def _show(self, c: Candidate) -> None:
         entry, name, catalog = self._entry(c.layer, c.table, c.version), f"{self.database(c.layer)}.{c.table}", \
             self.spark.catalog
-        catalog.createTable(entry, path=c.path, source=self.fmt)
+        if not c.bucket_by:  # its write made the entry
+            catalog.createTable(entry, path=c.path, source=self.fmt)
         if c.partition_by:
             catalog.recoverPartitions(entry)
         if catalog.tableExists(name) and catalog.getTable(name).tableType != "VIEW":
@@ -184,18 +208,29 @@ class Warehouse:
     # --- tables ------------------------------------------------------------------
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None,
-              hidden: Sequence[str] = ()) -> DataFrame:
+              hidden: Sequence[str] = (), bucket_by: tuple[str, int] | None = None) -> DataFrame:
         """Replace ``layer.table`` with ``df``; return the table read back.
         Until the write is whole, and if it fails, readers see the old rows."""
-        new = self.stage(df, layer, table, partition_by, hidden)
+        new = self.stage(df, layer, table, partition_by, hidden, bucket_by)
         self.publish([new])
         return new.df
 
     def read(self, layer: str, table: str) -> DataFrame:
         """The current version of ``layer.table``."""
-        versions = self.history().get((layer, table))
+        now = next((r for r in self._entries() if (r["layer"], r["table"]) == (layer, table)), None)
         # A table never published: Spark's error names its folder.
-        return self.spark.read.format(self.fmt).load(self.path(layer, table, versions[0] if versions else "none"))
+        path = self.path(layer, table, now["version"] if now else "none")
+        stored = self.spark.read.format(self.fmt).load(path)
+        if now is None or not now["buckets"]:
+            return stored
+        # Only a catalog entry tells Spark of the buckets; a session that has
+        # none for this version makes it.
+        self.ensure_layers()
+        entry = self._entry(layer, table, now["version"])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {entry} ({columns}) USING {self.fmt} CLUSTERED BY "
+                       f"(`{now['bucket_column']}`) INTO {now['buckets']} BUCKETS LOCATION '{path}'")
+        return self.spark.table(entry)
 
 
 def _file_system(spark: SparkSession, path: str):
