@@ -124,6 +124,18 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return again.select("window", "length", pick.alias("print"), "items")
 
 
+def bin_of(value: F.Column, bins: F.Column) -> F.Column:
+    """The bin of a print, from 0."""
+    return F.pmod(value, bins).cast("int")
+
+
+def in_bins(prints: F.Column) -> F.Column:
+    """Prints dealt into as many bins as the root of their number, so that a
+    place of a long text with many hits is looked up among few of them."""
+    bins = F.ceil(F.sqrt(F.size(prints))).cast("int")
+    return F.transform(F.sequence(F.lit(0), bins - 1), lambda b: F.filter(prints, lambda p: bin_of(p, bins) == b))
+
+
 def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, found): each document's id columns, ``_key`` and ``_n``
@@ -140,7 +152,8 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
     known = written(bench.select("print").distinct(), "known")
     hits = written(
         prints.select("_key", F.explode("_prints").alias("print")).join(known, "print", "left_semi")
-        .groupBy("_key").agg(F.collect_set("print").alias("_hits")), "hits")
+        .groupBy("_key").agg(F.collect_set("print").alias("_hits"))
+        .withColumn("_hits", in_bins(F.col("_hits"))), "hits")
 
     # Only texts with hits, once for all copies, cut into words again.  Copies
     # collapse before the shuffle; few keys select the texts by broadcast.
@@ -152,7 +165,7 @@ def matches(docs: DataFrame, items: DataFrame, id_cols: list[str], text_col: str
 
     def chosen(length: int) -> F.Column:
         spots = F.transform(f"_p{length}", lambda p, i: F.when(
-            F.array_contains("_hits", p), F.struct(
+            F.array_contains(F.element_at("_hits", bin_of(p, F.size("_hits")) + 1), p), F.struct(
                 (i + 1).alias("at"), F.lit(length).alias("length"),
                 F.array_join(F.slice("_words", i + 1, length), " ").alias("window"))))
         return F.filter(spots, lambda s: s.isNotNull())

@@ -4,10 +4,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from starmart.llm.common import read_table
-from starmart.llm.decontaminate import contamination, decontaminated
+from starmart.llm.decontaminate import bin_of, contamination, decontaminated, in_bins
 from tests.llm.data import ODD, frame, prose
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -99,3 +100,22 @@ def test_empty_tables(spark, texts, items):
     docs, bench = frame(spark, texts), items_frame(spark, items)
     assert [r["contaminated"] for r in contamination(docs, bench).collect()] == [False] * len(texts)
     assert decontaminated(docs, bench).count() == len(texts)
+
+
+def test_bins_hold_every_print_once_where_it_is_looked_up(spark):
+    rng = random.Random(3)
+    sets = [[rng.randrange(-2**63, 2**63) for _ in range(n)] for n in (1, 2, 5, 1000, 10_000)]
+    got = spark.createDataFrame([(x,) for x in sets], "p array<long>").select("p", in_bins(F.col("p")).alias("b"))
+    found = got.select("p", "b", F.transform("p", lambda x: F.array_contains(
+        F.element_at("b", bin_of(x, F.size("b")) + 1), x)).alias("in"))
+    for row in found.collect():
+        n = len(row["p"])
+        assert all(row["in"]) and sorted(x for b in row["b"] for x in b) == sorted(row["p"])
+        assert len(row["b"]) <= n**0.5 + 1 and max(map(len, row["b"])) <= 3 * n**0.5 + 3
+
+
+def test_a_long_text_with_very_many_hits(spark):
+    items = [(i, prose(60, 200 + i)) for i in range(40)]
+    texts = [" x ".join(x for _, x in items) + " " + prose(500, 3), prose(300, 4)]
+    got = rows(contamination(frame(spark, texts), items_frame(spark, items)))
+    assert got == dict(enumerate(brute(texts, items))) and got[0][1] == 2400 and got[0][2] == 40
