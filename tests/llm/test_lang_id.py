@@ -65,3 +65,37 @@ def test_without_labels_all_is_und(spark):
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert L.train(docs) is None and L.languages(docs, None).collect() == []
+
+
+def plain_scores(model, text):
+    """The network by its definition: one window, filter and place at a time."""
+    spec, raw, total = model.spec, text.encode(), np.zeros(len(model.langs))
+    for at in range(0, len(raw), spec.window):
+        window = raw[at:at + spec.window]
+        values = model.E.astype(float)[list(window) + [0] * (spec.window - len(window) + model.span)]
+        pooled = []
+        for k, width in enumerate(w for w in spec.widths for _ in range(spec.filters)):
+            kernel = model.W[:width * spec.embed, k].astype(float).reshape(width, spec.embed)
+            best = max(float((values[i:i + width] * kernel).sum()) for i in range(spec.window))
+            pooled.append(max(best + float(model.b[k]), 0.0))
+        z = np.array(pooled) @ model.V.astype(float) + model.c
+        e = np.exp(z - z.max())
+        total += len(window) * e / e.sum()
+    return total / len(raw)
+
+
+def test_registered_result_is_the_plain_forward_pass(spark, sf_dir):
+    from starmart.llm.queries import op2_language_id
+    docs, model = model_of(spark, sf_dir)
+    got = {r["doc_id"]: r for r in op2_language_id(spark, sf_dir).collect()}
+    every = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    assert len(got) == len(every)
+    texts = [r for r in every if any(c.isalpha() for c in r["text"] or "")]
+    for r in every:
+        if r not in texts:
+            assert (got[r["doc_id"]]["lang_pred"], got[r["doc_id"]]["score"]) == ("und", 0.0)
+    # The plain version takes some 10 ms a window: it runs the shortest and the longest texts.
+    texts.sort(key=lambda r: len(r["text"]))
+    for r in [*texts[:40], *texts[-4:]]:
+        p, row = plain_scores(model, r["text"]), got[r["doc_id"]]
+        assert abs(row["score"] - p.max()) < 1e-3 and p[model.langs.index(row["lang_pred"])] > p.max() - 1e-3
