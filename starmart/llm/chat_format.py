@@ -7,11 +7,14 @@ log is folded in the order of ``seq`` into final messages, messages are
 ordered by their first event, and each is rendered as one formatted turn with
 the span under the loss mask.
 
-Plan: the fold groups by (conversation, message), so a conversation that
-holds a third of all rows is split over its messages; rendering is row by
-row.  Only a digest over a whole conversation is sequential by its nature:
+Plan: the fold groups by (conversation, message), rendering is row by row.
+Only a digest over a whole conversation is sequential by its nature:
 :func:`read_back` sorts turns within partitions and streams them through
-incremental hashes, holding one batch at a time.
+incremental hashes, holding one batch at a time.  :func:`digests` counts the
+characters of each conversation first.  Those of at most ``HOT_CHARS`` are
+dealt by conversation, one exchange for both the fold and the digest.  Larger
+ones are folded split over their messages, so that one with a third of all
+rows isn't one task's fold, and only their turns meet by conversation.
 
 Template: ``<|turn|>role<|text|>text<|end|>`` and a line break.  In roles and
 texts a backslash is doubled and control strings (those of the template and
@@ -34,12 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.common import written
+
 #: Control strings that may not survive inside texts.
 CONTROL = r"(<)(\|(?:turn|text|end)\|>|/?s>|/?<?/?SYS>>)|(\[)(/?INST\])"
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LOSS_ROLE = "assistant"
 CHUNK = 1000  # characters of one streamed delta
 DRAFT = 0.5  # share of a text typed or streamed before an edit or a regeneration
+HOT_CHARS = 32 << 20  # larger conversations are folded over many tasks
 
 
 def escaped(text: F.Column) -> F.Column:
@@ -84,8 +90,17 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
                     F.col("col.kind").alias("kind"), "role", F.col("col.text").alias("text")))
 
 
+def hot_conversations(events: DataFrame) -> DataFrame:
+    """(conv_id) of the conversations with over ``HOT_CHARS`` characters of
+    events: a written table, of at most one row for so many characters."""
+    size = F.sum(F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    return written(events.groupBy("conv_id").agg(size.alias("chars"))
+                   .filter(F.col("chars") > HOT_CHARS).select("conv_id"), "hot")
+
+
 def folded(events: DataFrame) -> DataFrame:
-    """Final messages (conv_id, position, role, text) of an event log."""
+    """Final messages (conv_id, position, role, text) of an event log.  A log
+    that is dealt by conversation is folded where it lies."""
     entry = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"), "role")
     logs = (events.groupBy("conv_id", "message_id")
             .agg(F.array_sort(F.collect_list(entry)).alias("log")))
@@ -133,6 +148,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
                             "loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def digests(events: DataFrame) -> DataFrame:
+    """:func:`read_back` of the formatted turns of an event log."""
+    hot = hot_conversations(events)
+    if hot.isEmpty():
+        return read_back(rendered(folded(events.repartition("conv_id"))))
+    same = events["conv_id"].eqNullSafe(hot["conv_id"])
+    cold = events.join(hot, same, "left_anti").repartition("conv_id")
+    return read_back(rendered(folded(cold))).unionByName(
+        read_back(rendered(folded(events.join(hot, same, "left_semi")))))
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams sorted turns; holds the hash states of one conversation."""
     now: list | None = None  # id, turns, hash of turns, loss chars, hash of loss, chars

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import chat_format, lang_id, maxent_lm, packing, phrases, secret_ledger, spellings, warc
-from starmart.llm.common import read_table, written
+from starmart.llm.common import read_table
 from starmart.llm.decontaminate import contamination
 from starmart.llm.jaccard_join import jaccard_components
 from starmart.llm.kd_sharding import kd_shards
@@ -55,7 +55,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], turns.schema)
     events = chat_format.events_of_turns(turns.unionByName(extra))
-    return chat_format.read_back(written(chat_format.rendered(chat_format.folded(events)), "chat"))
+    return chat_format.digests(events)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,6 +86,25 @@ def test_hot_conversation_over_many_batches(spark):
     assert got == brute(turns)
 
 
+def columns(rows):
+    return {r["conv_id"]: tuple(r)[1:5] for r in rows.collect()}
+
+
+@pytest.mark.parametrize("most", [0, 40, 32 << 20])
+def test_hot_conversations_apart_or_not(spark, monkeypatch, most):
+    monkeypatch.setattr(C, "HOT_CHARS", most)
+    turns = [(c, k, "assistant" if k % 2 else "user", x, "m") for c in (1, 2, None) for k, x in enumerate(TRICKY[(c or 0):])]
+    turns += [(3, 0, "user", "short", "m"), (4, 0, "user", None, "m")]
+    events = C.events_of_turns(spark.createDataFrame(turns, TURNS))
+    assert columns(C.digests(events)) == brute(turns)
+
+
+def test_small_conversations_move_once(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a", "m"), (2, 0, "user", "b", "m")], TURNS)
+    plan = C.digests(C.events_of_turns(turns))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_table(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations")
     local = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in turns.collect()]
@@ -95,4 +114,5 @@ def test_table(spark, sf_dir):
 
 @pytest.mark.parametrize("schema,fn", [(TURNS, C.events_of_turns), (EVENTS, lambda e: e)])
 def test_empty(spark, schema, fn):
-    assert run(fn(spark.createDataFrame([], schema)))[0] == {}
+    events = fn(spark.createDataFrame([], schema))
+    assert run(events)[0] == {} and columns(C.digests(events)) == {}
