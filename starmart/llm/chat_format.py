@@ -83,10 +83,10 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
            .otherwise(F.concat(opened, chunks)))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"),
                         F.monotonically_increasing_id().alias("place"))
-    key = F.struct("turn", "role", F.xxhash64("text").alias("tie"), "place")
-    return (rows.select("conv_id", key.alias("message_id"), "role", F.posexplode(log))
-            .select("conv_id", "message_id",
-                    F.struct("message_id", F.col("pos").alias("part")).alias("seq"),
+    # The place names the message; the order among turns is in seq alone.
+    return (rows.select("conv_id", "turn", "role", F.xxhash64("text").alias("tie"), "place", F.posexplode(log))
+            .select("conv_id", F.col("place").alias("message_id"),
+                    F.struct("turn", "role", "tie", "place", F.col("pos").alias("part")).alias("seq"),
                     F.col("col.kind").alias("kind"), "role", F.col("col.text").alias("text")))
 
 
