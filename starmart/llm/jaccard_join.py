@@ -27,8 +27,10 @@ find every link: they take the tiles of step 2 and compare all pairs in them.
    salted blocks.  Pairs that pass are intersected exactly as sorted arrays,
    so no link between components is missed whatever the rounds before found.
 
-Hot groups: a shingle that is very frequent in a batch is sent once, marked as
-hot, instead of once a text; component minima are aggregated before
+Hot groups: a shingle that is very frequent in a batch is sent marked as hot,
+to any task, and need not meet; one that only proves frequent where it meets
+is passed on from there as it comes in, so no task holds all its classes.
+Component minima are aggregated before
 their shuffle and joined back in joins that Spark splits when skewed.
 The texts read again for exact sets are selected by broadcast up to a bound on
 their number (8 bytes each), by a shuffle beyond it.
@@ -36,7 +38,9 @@ their number (8 bytes each), by a shuffle beyond it.
 Defined results: null text and text without words have 0 shingles and link
 with nothing; equal rows are one class; a null id never names a component
 unless all its ids are null; empty tables give empty results; other columns
-are ignored or (``first_of_each``) kept.  Hashes are 64 bits wide.
+are ignored or (``first_of_each``) kept.  Shingles are hashes of 64 bits.
+Classes are told apart by 128 bits: their ids have 64, and sets whose ids
+clash (some 70 pairs among 5 * 10^10 texts) take ids from the other 64.
 """
 from __future__ import annotations
 
@@ -63,6 +67,9 @@ BITS = 1024
 BATCH_HOT = 64
 PACK_BYTES = 4 << 20
 HOT = 2**31 - 1
+#: A shingle of more classes than this, seen among so many entries that a task
+#: holds, is hot as well.
+MET_HOT, HELD = 4096, 4 << 20
 #: Target bytes of packed shingles in a task, members of a block of a tile.
 TASK_BYTES = 16 << 20
 BLOCK = 1024
@@ -100,8 +107,23 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, dtype=np.uint64)
 
 
-def class_id(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "big", signed=True)
+class ClassIds:
+    """Ids of sets: the first ``bits`` of a hash of 128, or its other half for
+    those whose first half is known to clash.  Fewer bits than 64 only make
+    clashes frequent (for tests)."""
+
+    def __init__(self, clash: frozenset[int] = frozenset(), bits: int = 64):
+        self.clash, self.bits = clash, bits
+
+    def __call__(self, shingles: np.ndarray) -> int:
+        return self.pair(shingles)[0]
+
+    def pair(self, shingles: np.ndarray) -> tuple[int, int]:
+        """The id of a set, and what tells it from others with that id."""
+        digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+        one = int.from_bytes(digest[:8], "big", signed=True) >> (64 - self.bits)
+        other = int.from_bytes(digest[8:], "big", signed=True)
+        return (other, one) if one in self.clash else (one, other)
 
 
 def least_overlap(n: int) -> int:
@@ -132,21 +154,25 @@ def signature(shingles: np.ndarray) -> bytes:
 
 # --- 1: shared shingles -------------------------------------------------------
 
-def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, kh, cid, n) of every row: hash of the text, class, set size."""
+def text_rows(docs: DataFrame, id_col: str, text_col: str, class_id: ClassIds) -> DataFrame:
+    """(id, kh, cid, n, tell) of every row: hash of the text, class, set size,
+    what tells classes with one id apart."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(batch: pa.RecordBatch) -> dict:
-        sets = list(shingle_sets(batch.column(1)))
+        sizes, ids = [], []
+        for s in shingle_sets(batch.column(1)):
+            sizes.append(len(s))
+            ids.append(class_id.pair(s) if len(s) else (None, None))
         return {"id": batch.column(0), "kh": batch.column(2),
-                "cid": pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
-                "n": pa.array([len(s) for s in sets], pa.int64())}
+                "cid": pa.array([i for i, _ in ids], pa.int64()), "n": pa.array(sizes, pa.int64()),
+                "tell": pa.array([i for _, i in ids], pa.int64())}
 
     return map_batches(docs.select(id_col, text_col, F.xxhash64(text_col).alias("kh")), rows,
-                       f"id {kind}, kh long, cid long, n long")
+                       f"id {kind}, kh long, cid long, n long, tell long")
 
 
-def packed_prefixes(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
+def packed_prefixes(docs: DataFrame, text_col: str, buckets: int, class_id: ClassIds) -> DataFrame:
     """(bucket, hot, shingles, cids, marks): the prefixes of some texts'
     classes as arrays, dealt by shingle.  Hot rows hold shingles known to be
     frequent; ``marks`` tells their bucket."""
@@ -192,7 +218,11 @@ def packed_prefixes(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
 def shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, shingle, df) of shingles that two or more classes have; the df of
-    hot ones is ``HOT`` everywhere, so all classes sort them alike."""
+    hot ones is ``HOT`` everywhere, so all classes sort them alike.
+
+    Entries are held until their shingle proves hot; then those and all later
+    ones are passed on, so that what is held doesn't grow with one shingle.
+    """
 
     def rows(c, t, df) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(c), 1 << 16):
@@ -201,28 +231,45 @@ def shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "cid": pa.array(c[part], pa.int64()), "shingle": pa.array(t[part].view(np.int64), pa.int64()),
                 "df": pa.array(df[part], pa.int32())})
 
-    ts, cs, ms = [], [], []
+    def gathered() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct held entries in order, with the shingle's count."""
+        t, c = np.concatenate(ts), np.concatenate(cs)
+        ts.clear()
+        cs.clear()
+        order = np.lexsort((c, t))
+        t, c = t[order], c[order]
+        del order
+        once = np.ones(len(t), dtype=bool)
+        once[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
+        t, c = t[once], c[once]
+        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])[:len(t)]
+        count = np.diff(np.r_[first, len(t)])
+        return t, c, np.repeat(count, count)
+
+    ts, cs, marks = [], [], np.zeros(0, dtype=np.uint64)
+    held, most = 0, HELD
     for batch in trimmed(batches):
         for _, hot, t, c, m in zip(*(col.to_pylist() for col in batch.columns), strict=True):
             t, c = np.frombuffer(t, dtype=np.uint64), np.frombuffer(c, dtype=np.int64)
             if hot:
                 yield from rows(c, t, np.full(len(c), HOT, dtype=np.int32))
-            else:
-                ts.append(t)
-                cs.append(c)
-                ms.append(np.frombuffer(m, dtype=np.uint64))
-    if not ts:
+                continue
+            if m:
+                marks = np.union1d(marks, np.frombuffer(m, dtype=np.uint64))
+            ts.append(t)
+            cs.append(c)
+            held += len(t)
+        if held > most:
+            t, c, count = gathered()
+            marks = np.union1d(marks, t[count > MET_HOT])
+            go = np.isin(t, marks)
+            yield from rows(c[go], t[go], np.full(int(go.sum()), HOT, dtype=np.int32))
+            ts, cs, held = [t[~go]], [c[~go]], int((~go).sum())
+            most = max(HELD, 2 * held)
+    if not held:
         return
-    t, c, marks = np.concatenate(ts), np.concatenate(cs), np.unique(np.concatenate(ms))
-    del ts, cs, ms
-    order = np.lexsort((c, t))
-    t, c = t[order], c[order]
-    once = np.r_[True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])] if len(t) else np.zeros(0, bool)
-    t, c = t[once], c[once]
-    first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, int)
-    count = np.diff(np.r_[first, len(t)])
-    count = np.where(np.isin(t[first], marks), HOT, count)
-    df = np.repeat(count, np.diff(np.r_[first, len(t)])).astype(np.int32)
+    t, c, count = gathered()
+    df = np.where(np.isin(t, marks), HOT, count).astype(np.int32)
     yield from rows(c[df > 1], t[df > 1], df[df > 1])
 
 
@@ -246,7 +293,7 @@ def tiles(shared: DataFrame, classes: DataFrame) -> DataFrame:
 
 # --- 3: exact comparison ------------------------------------------------------
 
-def exact_sets(docs: DataFrame, text_col: str, chosen: DataFrame, few: bool) -> DataFrame:
+def exact_sets(docs: DataFrame, text_col: str, chosen: DataFrame, few: bool, class_id: ClassIds) -> DataFrame:
     """(cid, n, shingles, bits) of the classes chosen by one text hash each,
     one row a class."""
     keys = chosen.select("kh")
@@ -444,29 +491,42 @@ def open_pairs(tile: DataFrame, labels: DataFrame | None, sets: DataFrame) -> Da
 
 # --- the join -----------------------------------------------------------------
 
-def tiled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, tile, sets): every row's (id, kh, cid, n), its classes
-    with their first member by id, then text hash, and what can link."""
-    spark = docs.sparkSession
-    rows = written(text_rows(docs, id_col, text_col), "rows")
+def classed(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> tuple[DataFrame, DataFrame, ClassIds]:
+    """(rows, classes, class_id): every row's (id, kh, cid, n), its classes
+    with their first member by id, then text hash.  Ids that clash are few
+    (n^2 / 2^65 of n classes) and come to the driver."""
     order = F.struct(F.col("id").isNull().alias("last"), "id", "kh")
-    classes = written(rows.filter("cid is not null").groupBy("cid").agg(
-        F.first("n").alias("n"), F.min("kh").alias("kh"), F.min(order).alias("first"),
-        F.count("*").alias("copies")), "classes")
+    class_id = ClassIds(bits=bits)
+    while True:
+        rows = written(text_rows(docs, id_col, text_col, class_id), "rows")
+        classes = written(rows.filter("cid is not null").groupBy("cid").agg(
+            F.first("n").alias("n"), F.min("kh").alias("kh"), F.min(order).alias("first"),
+            F.count("*").alias("copies"), (F.min("tell") != F.max("tell")).alias("clash")), "classes")
+        clash = {r["cid"] for r in classes.filter("clash").select("cid").collect()}
+        if not clash:
+            return rows.drop("tell"), classes.drop("clash"), class_id
+        class_id = ClassIds(class_id.clash | clash, bits)
+
+
+def tiled(docs: DataFrame, id_col: str, text_col: str,
+          bits: int = 64) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, tile, sets): :func:`classed`, and what can link."""
+    spark = docs.sparkSession
+    rows, classes, class_id = classed(docs, id_col, text_col, bits)
     total = classes.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.35 * 16 / TASK_BYTES))
-    shared = packed_prefixes(docs, text_col, 4 * tasks).repartition(tasks, "bucket").mapInArrow(
+    shared = packed_prefixes(docs, text_col, 4 * tasks, class_id).repartition(tasks, "bucket").mapInArrow(
         shared_shingles, "cid long, shingle long, df int")
     tile = written(tiles(shared, classes), "tiles")
     chosen = written(tile.select("cid").distinct().join(classes, "cid").select("cid", "kh"), "chosen")
-    sets = written(exact_sets(docs, text_col, chosen, chosen.count() <= BROADCAST_KEYS), "sets")
+    sets = written(exact_sets(docs, text_col, chosen, chosen.count() <= BROADCAST_KEYS, class_id), "sets")
     return rows, classes, tile, sets
 
 
-def joined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def joined(docs: DataFrame, id_col: str, text_col: str, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """(rows, of_class): every row's (id, kh, cid, n); and for each class the
     first member of its component."""
-    rows, classes, tile, sets = tiled(docs, id_col, text_col)
+    rows, classes, tile, sets = tiled(docs, id_col, text_col, bits)
     first, joined_now = first_links(tile, sets)
     rest = written(exact_links(written(open_pairs(tile, joined_now, sets), "pairs"), sets), "links")
     label = joined_now if rest.isEmpty() else components(first.unionByName(rest))
@@ -496,9 +556,10 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
-    rows, of_class = joined(docs, id_col, text_col)
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       bits: int = 64) -> DataFrame:
+    """(id, n_shingles, component_id) of every row; ``bits`` of a class id."""
+    rows, of_class = joined(docs, id_col, text_col, bits)
     return rows.join(of_class, "cid", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("cid").isNull(), F.col("id")).otherwise(F.col("least.id")).alias("component_id"))

@@ -4,6 +4,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starmart.llm import jaccard_join as J
@@ -99,6 +100,57 @@ def test_table_matches_brute_force(spark, sf_dir):
     assert got == want
 
 
+@pytest.mark.parametrize("bits", [1, 5])
+def test_classes_with_clashing_ids_stay_apart(spark, bits):
+    rows = hard_rows()
+    docs = frame(spark, rows)
+    _, classes, ids = J.classed(docs, "doc_id", "text", bits)
+    sets = {frozenset(shingles(x)) for x in rows if shingles(x)}
+    assert classes.count() == len(sets) and ids.clash
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in J.jaccard_components(docs, bits=bits).collect()}
+    assert got == brute(list(enumerate(rows)))
+
+
+def test_ids_that_clash_come_from_the_other_half():
+    sets = [np.array([k], dtype=np.uint64) for k in range(40)]
+    wide, narrow = J.ClassIds(), J.ClassIds(bits=2)
+    assert len({wide(s) for s in sets}) == 40 and len({narrow(s) for s in sets}) == 4
+    apart = J.ClassIds(frozenset(narrow(s) for s in sets), 2)
+    assert [apart.pair(s) for s in sets] == [narrow.pair(s)[::-1] for s in sets]
+
+
+def test_a_shingle_of_many_classes_is_passed_on(monkeypatch):
+    """Whatever is held at a time: the same entries, one mark for all classes
+    of a shingle, and held entries that don't grow with the hot one."""
+    rng = np.random.default_rng(2)
+    packs = []
+    for _ in range(60):
+        t = np.sort(np.r_[np.full(30, 7), rng.integers(100, 160, 20), rng.integers(1000, 10**9, 20)]).astype(np.uint64)
+        packs.append((t, rng.integers(0, 10**6, len(t))))
+    packs.append(packs[0])  # copies in another pack
+    names = ["bucket", "hot", "shingles", "cids", "marks"]
+    mark = np.array([101], dtype=np.uint64).tobytes()
+
+    def run():
+        batches = [pa.RecordBatch.from_pydict({n: [v] for n, v in zip(
+            names, (0, False, t.tobytes(), c.tobytes(), mark if k == 30 else b""), strict=True)})
+            for k, (t, c) in enumerate(packs)]
+        got = pa.Table.from_batches(list(J.shared_shingles(iter(batches)))).to_pylist()
+        dfs = {}
+        for r in got:
+            dfs.setdefault(r["shingle"], set()).add(r["df"])
+        assert all(len(v) == 1 for v in dfs.values()) and dfs[101] == {J.HOT}
+        return {(r["cid"], r["shingle"]) for r in got}, dfs
+
+    whole, counts = run()
+    assert counts[7] != {J.HOT}
+    monkeypatch.setattr(J, "HELD", 300)
+    monkeypatch.setattr(J, "MET_HOT", 100)
+    parts, marked = run()
+    assert parts == whole and marked[7] == {J.HOT} and marked[1 + 101] != {J.HOT}
+
+
 def test_bitmap_bound_never_cuts_a_link():
     rng = np.random.default_rng(1)
     for n in (1, 4, 40, 400, 4000):
