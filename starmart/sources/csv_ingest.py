@@ -141,7 +141,7 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
     if tie in df.columns:
         order.append(F.col(f"`{tie}`").cast("string"))
     digest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
-    if n * df.rdd.getNumPartitions() <= ONE_SCAN_ROWS:
+    if n * _partitions(df) <= ONE_SCAN_ROWS:
         # The digest is computed only where rows tie on what precedes it.
         keyed = df.withColumn("__hash", order[0])
         least = [F.col("__hash").asc_nulls_last(), *(c.asc_nulls_last() for c in order[1:]), digest.asc()]
@@ -168,6 +168,19 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = "trans_n
         one.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(taken)))).drop("__copy"))
 
 
+def _partitions(df: DataFrame) -> int:
+    """The partitions ``df`` is planned with.  An adaptive plan tells them only
+    by running every shuffle below; a plain one of the same rows tells them at
+    once."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.select("*").rdd.getNumPartitions()
+    finally:
+        conf.set(key, before)
+
+
 def _last_key(rows: DataFrame, order: Sequence[Column], n: int) -> tuple[list[str | None], int, int]:
     """The order key of the n-th row (NULL last), how many of the first n rows
     have it and how many there are.
