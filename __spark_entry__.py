@@ -80,14 +80,14 @@ SOURCE_HEADER = {"trans_index": "Unnamed: 0", "cust_first": "first",
                  "cust_last": "last", "home_lon": "long"}
 
 
-def _star(spark: SparkSession, sf_dir: str):
-    return star_from_tables(spark, sf_dir, as_of=AS_OF)
+def _star(spark: SparkSession, sf_dir: str, keep: bool = False):
+    return star_from_tables(spark, sf_dir, as_of=AS_OF, keep=keep)
 
 
 def _checked_star(spark: SparkSession, sf_dir: str, *dims: str):
     """The lazy star with the sizes of ``dims`` measured (one job each), so
     reports take the broadcast join-first plan where it fits."""
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     sizes = {d: checked_rows(getattr(s, d)) for d in dims}
     return replace(s, rows={d: n for d, n in sizes.items() if n is not None})
 
@@ -104,10 +104,11 @@ def _micros(name: str) -> F.Column:
 # --- sources -----------------------------------------------------------------
 
 def q_ingest_csv(spark, sf_dir):
-    """RAW written as a source-layout CSV, read back and normalised."""
+    """RAW written as a source-layout CSV (gzip, a file a task), read
+    back and normalised."""
     raw = raw_transactions(spark, sf_dir).withColumnsRenamed(SOURCE_HEADER)
     path = scratch_dir(spark, "csv")
-    raw.write.option("header", True).option("escape", '"').csv(path)
+    raw.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
     return ingest_csv(spark, path)
 
 
@@ -223,24 +224,24 @@ def q_unique(spark, sf_dir):
 
 
 def q_relationships(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return quality.relationships(s.fact_transactions, "date_key",
                                  marts.dim_date(spark, *PARTIAL_CALENDAR), "date_key")
 
 
 def q_quality_report(spark, sf_dir):
-    return quality.quality_report(_star(spark, sf_dir).tables())
+    return quality.quality_report(_star(spark, sf_dir, keep=True).tables())
 
 
 # --- BI reports ------------------------------------------------------------------------
 
 def q_filter_where(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.filter_where(s.fact_transactions, s.dim_merchant, FILTER)
 
 
 def q_fact_merchant_join(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.fact_merchant_join(s.fact_transactions, s.dim_merchant)
 
 
@@ -253,7 +254,7 @@ def q_category_list(spark, sf_dir):
 
 
 def _kpis(spark, sf_dir, f):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     k = bi.kpis(s.fact_transactions, s.dim_merchant, f)
     return k.select(_money("total_spend"), "txns",
                     _micros("avg_txn"), "customers")
@@ -272,25 +273,25 @@ def q_kpis_empty(spark, sf_dir):
 
 
 def q_spend_by_category(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant).select(
         "category", _money("spend"))
 
 
 def q_spend_by_category_filtered(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER).select(
         "category", _money("spend"))
 
 
 def q_spend_by_month(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER).select(
         "month", _money("spend"))
 
 
 def q_top_merchants(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return bi.top_merchants(s.fact_transactions, s.dim_merchant).select(
         "merchant", _money("spend"), "txns")
 
@@ -303,36 +304,36 @@ def q_spend_top10_stg(spark, sf_dir):
 # --- questions ----------------------------------------------------------------------
 
 def q_top5_categories_spend(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return questions.top5_categories_spend(s.fact_transactions, s.dim_merchant).select(
         "merchant_category", _money("total_spend"))
 
 
 def q_spend_by_brand(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return questions.spend_by_brand(s.fact_transactions, s.dim_account).select(
         "card_brand", _money("total_spend"))
 
 
 def q_top5_states_avg(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     r = questions.top5_states_avg(s.fact_transactions, s.dim_customer)
     return r.select("state", _micros("avg_amount"))
 
 
 def q_weekend_vs_weekday(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date)
 
 
 def q_top5_states_spend(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return questions.top5_states_spend(s.fact_transactions, s.dim_customer).select(
         "state", _money("total_spend"))
 
 
 def q_guarded_select(spark, sf_dir):
-    adhoc.register_views(_star(spark, sf_dir).tables())
+    adhoc.register_views(_star(spark, sf_dir, keep=True).tables())
     return adhoc.run_select(spark, ADHOC_SQL)
 
 
@@ -391,7 +392,7 @@ def q_relationships_checked(spark, sf_dir):
     """Q3 rows against the calendar with its row count checked (broadcast
     anti join) -- the same rows as the orphan-keys-first plan."""
     cal = marts.dim_date(spark, *PARTIAL_CALENDAR)
-    return quality.relationships(_star(spark, sf_dir).fact_transactions, "date_key",
+    return quality.relationships(_star(spark, sf_dir, keep=True).fact_transactions, "date_key",
                                  cal, "date_key", parent_rows=checked_rows(cal))
 
 
@@ -432,7 +433,7 @@ def q_quality_report_faults_checked(spark, sf_dir):
 def q_top5_states_avg_nulls(spark, sf_dir):
     """A3 where amounts are missing: the average is over those that are there."""
     t, _ = _faulty(spark, sf_dir)
-    s = _star(spark, sf_dir)
+    s = _star(spark, sf_dir, keep=True)
     return questions.top5_states_avg(t["fact_transactions"], s.dim_customer).select(
         "state", _micros("avg_amount"))
 
@@ -498,7 +499,7 @@ def q_write_external(spark, sf_dir):
 
 def q_guarded_select_limit(spark, sf_dir):
     """An outer LIMIT above the cap is the query's own."""
-    adhoc.register_views(_star(spark, sf_dir).tables())
+    adhoc.register_views(_star(spark, sf_dir, keep=True).tables())
     return adhoc.run_select(spark, ADHOC_LIMIT_SQL)
 
 

@@ -76,7 +76,8 @@ def star_from_staging(
     )
 
 
-def star_from_tables(spark: SparkSession, sf_dir: str, as_of=None, calendar=None) -> Star:
-    """Lazy star over the RAW mapping of the driver tables in ``sf_dir``."""
-    stg = stage_transactions(raw_transactions(spark, sf_dir))
+def star_from_tables(spark: SparkSession, sf_dir: str, as_of=None, calendar=None, keep: bool = False) -> Star:
+    """Lazy star over the RAW mapping of the driver tables in ``sf_dir``;
+    ``keep`` for readers of more than one of its tables (see ``fixtures.py``)."""
+    stg = stage_transactions(raw_transactions(spark, sf_dir, keep=keep))
     return star_from_staging(spark, stg, calendar=calendar, as_of=as_of)

@@ -3,7 +3,7 @@
 One RAW row per lineitem (see FIXTURES.md §3): every column is text, as it
 would arrive from the transactions CSV.  Timestamps are formatted without
 the session time zone (same text as the mapping under UTC, whatever zone
-the caller's session uses).  The derivation is a plain chain of
+the caller's session uses).  The derivation is a tree of
 inner equi-joins; Spark picks the strategies (nation is tiny and broadcast;
 the large sides shuffle on their keys, AQE re-plans from measured sizes).
 """
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.schemas import RAW_COLUMNS
+from starmart.session import scratch_dir
+from starmart.sources.tables import scan_table, write_table
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation")
 
@@ -34,8 +36,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if parts < slots else df
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW transactions (23 text columns, normalised names) for ``sf_dir``."""
+def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem with what RAW is made of.
+
+    The joins are ordered by what they move: a lineitem meets part and
+    supplier while it is six numbers, and the customer's text comes with the
+    orders (a quarter of the rows), so that no exchange carries it by lineitem.
+    """
     t = {n: read_table(spark, sf_dir, n) for n in TABLES}
     li = spread(t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                      "l_extendedprice", "l_shipdate"))
@@ -45,11 +52,26 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = t["supplier"].select("s_suppkey", "s_name")
     nation = t["nation"].select("n_nationkey", "n_name")
 
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(cust, F.col("o_custkey") == cust.c_custkey)
-           .join(part, F.col("l_partkey") == part.p_partkey)
-           .join(supp, F.col("l_suppkey") == supp.s_suppkey)
-           .join(nation, F.col("c_nationkey") == nation.n_nationkey))
+    ordered = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
+               .join(nation, F.col("c_nationkey") == nation.n_nationkey)
+               .drop("o_custkey", "c_nationkey"))
+    items = (li.join(part, li.l_partkey == part.p_partkey).drop("p_partkey")
+             .join(supp, F.col("l_suppkey") == supp.s_suppkey).drop("s_suppkey"))
+    return items.join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+    """RAW transactions (23 text columns, normalised names) for ``sf_dir``.
+
+    ``keep`` writes the joined rows to the shared scratch folder first (this
+    runs a job): several readers then share one run of the joins, and each
+    reads only the columns it needs.
+    """
+    j = joined_tables(spark, sf_dir)
+    if keep:
+        path = scratch_dir(spark, "joined")
+        write_table(j, path)
+        j = scan_table(spark, path)
 
     e = F.expr
     x = j.select(
