@@ -19,7 +19,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,45 +51,63 @@ def open_splits(text: DataFrame) -> DataFrame:
             .select("file", "split", "open", "crlf"))
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut where the file or the split changes."""
+    file, split = batch.column(0), batch.column(1)
+    changed = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(split[1:], split[:-1]))
+    cuts = [0, *(np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file, split, kind, place, value): whole records, and the fragments of
     those that cross a border; ``place`` is the record's number in its split."""
-    now, held, inside, number = None, [], False, 0
-    out: list[tuple] = []
+    # Held: the lines of a record that isn't closed yet.
+    now, held, inside, number, begun = None, [], False, 0, False
 
-    def closed(last: bool) -> None:
-        # The lines held are one record, or the part of it this split has.
+    def sent(value: pa.Array, last: bool = False) -> pa.RecordBatch:
+        # The split's next records, or the part it has of one that goes on.
         nonlocal number
-        head = number == 0 and begun
-        kind = (INNER if last else HEAD) if head else (TAIL if last else RECORD)
-        out.append((*now, kind, number, "\n".join(held)))
-        held.clear()
-        number += 1
-
-    def sent() -> Iterator[pa.RecordBatch]:
-        if out:
-            file, split, kind, place, value = zip(*out)
-            yield pa.RecordBatch.from_pydict({
-                "file": pa.array(file, pa.string()), "split": pa.array(split, pa.int64()),
-                "kind": pa.array(kind, pa.int32()), "place": pa.array(place, pa.int64()),
-                "value": pa.array(value, pa.string())})
-            out.clear()
-
-    begun = False
+        kind = np.full(len(value), TAIL if last else RECORD, dtype=np.int32)
+        if number == 0 and begun:
+            kind[0] = INNER if last else HEAD
+        place = np.arange(number, number + len(value), dtype=np.int64)
+        number += len(value)
+        return pa.RecordBatch.from_pydict({
+            "file": pa.repeat(pa.scalar(now[0], pa.string()), len(value)),
+            "split": pa.repeat(pa.scalar(now[1], pa.int64()), len(value)),
+            "kind": pa.array(kind), "place": pa.array(place), "value": value})
+
+    def rest() -> Iterator[pa.RecordBatch]:
+        if held:
+            yield sent(pa.array(["\n".join(held)], pa.string()), last=True)
+            held.clear()
+
     for batch in batches:
-        for file, split, start_open, crlf, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for run in _runs(batch) if batch.num_rows else ():
+            file, split, start_open, crlf = (run.column(i)[0].as_py() for i in range(4))
             if (file, split) != now:
-                if held:
-                    closed(last=True)
+                yield from rest()
                 now, number, inside, begun = (file, split), 0, start_open, start_open
-            held.append(value.removesuffix("\r") if crlf else value)
-            inside ^= value.count('"') % 2 == 1
-            if not inside:
-                closed(last=False)
-        yield from sent()
-    if held:
-        closed(last=True)
-    yield from sent()
+            value = run.column(4)
+            if crlf:
+                value = pc.replace_substring_regex(value, r"\r$", "", max_replacements=1)
+            odd = pc.count_substring(value, '"').to_numpy(zero_copy_only=False) & 1
+            after = (np.cumsum(odd) + inside) & 1  # inside quotes at the line's end
+            inside = bool(after[-1])
+            ends = np.flatnonzero(after == 0) + 1
+            if len(ends):
+                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+                whole = pc.binary_join(pa.ListArray.from_arrays(offsets, value[:int(ends[-1])]), "\n")
+                if held:
+                    first = pa.array(["\n".join([*held, whole[0].as_py()])], pa.string())
+                    held.clear()
+                    whole = pa.concat_arrays([first, whole[1:]])
+                yield sent(whole)
+                value = value[int(ends[-1]):]
+            held.extend(value.to_pylist())
+    yield from rest()
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
