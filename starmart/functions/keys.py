@@ -29,6 +29,21 @@ def surrogate_key(*cols: str | Column) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def packed(c: str | Column) -> Column:
+    """A text as bytes, for exchanges: the 16 bytes that 32 lower-case hex
+    digits stand for; any other text with 17 zero bytes behind it, so that no
+    two texts become one (NULL stays NULL)."""
+    c = _col(c)
+    return F.when(c.rlike(r"^[0-9a-f]{32}\z"), F.unhex(c)).otherwise(F.concat(c.cast("binary"), F.lit(bytes(17))))
+
+
+def unpacked(c: str | Column) -> Column:
+    """The text of :func:`packed` bytes."""
+    c = _col(c)
+    other = F.substring(c, F.lit(1), F.octet_length(c) - 17).cast("string")
+    return F.when(F.octet_length(c) == 16, F.lower(F.hex(c))).otherwise(other)
+
+
 def date_key(c: str | Column) -> Column:
     """Integer ``YYYYMMDD`` of a date or timestamp (NULL stays NULL).
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.keys import packed
 from starmart.session import scratch_dir
 from starmart.sizing import checked_rows, fits_broadcast
 from starmart.sources.tables import scan_table, write_table
@@ -121,7 +122,7 @@ def _orphans(tables: Mapping[str, DataFrame], model: str,
     """One row per relationship test of a model with parents of unknown size:
     one pass over the model for all of them."""
     def pair(i: int, key: Column) -> Column:
-        return F.struct(F.lit(i).alias("t"), key.cast("string").alias("k"))
+        return F.struct(F.lit(i).alias("t"), packed(key.cast("string")).alias("k"))
 
     per_key = (tables[model].select(F.explode(F.array(*(pair(i, F.col(c.column)) for i, c in checks))).alias("p"))
                .select("p.t", "p.k").filter("k is not null").groupBy("t", "k")
@@ -188,7 +189,9 @@ def quality_report(tables: Mapping[str, DataFrame],
         elif c.test == "relationships":
             kinds["small" if fits_broadcast(rows.get(c.to_model)) else "large"].append((i, c))
         elif c.test == "unique":
-            dup = unique(tables[c.model], c.column).agg(F.count(F.lit(1)).alias("f"))
+            # Only their number is asked for, so values are counted as bytes.
+            values = tables[c.model].select(packed(F.col(c.column).cast("string")).alias(c.column))
+            dup = unique(values, c.column).agg(F.count(F.lit(1)).alias("f"))
             parts.append(_rows(dup, [_row(i, c, F.col("f"))]))
         else:
             raise ValueError(f"unknown test {c.test!r}")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.constants import FACT_MONTH
+from starmart.functions.keys import packed, unpacked
 from starmart.operators import marts
 from starmart.operators.quality import SUITE, Check, quality_report
 from starmart.operators.staging import stage_transactions
@@ -48,6 +49,8 @@ READS = {STG: (), "fact_transactions": (STG,), "dim_customer": (STG,), "dim_acco
          "dim_merchant": (STG,), "dim_date": ("fact_transactions",), CUBE: ("fact_transactions",)}
 #: Tables kept for reports and tests; they are no models of the star.
 KEPT = (CUBE, CUSTOMERS)
+#: The fact's keys that are digests as a rule.
+DIGESTS = ("transaction_id", "customer_key", "account_key", "merchant_key")
 REPORT_SCHEMA = "test_id int, model string, column_name string, test string, failures long, passed boolean"
 
 
@@ -219,11 +222,12 @@ def _by_month(fact: DataFrame) -> DataFrame:
 
     ``rebalance`` deals rows by month in one shuffle that Spark cuts by size:
     a large month becomes several files, small months share a task, and no
-    task writes to many folders.
+    task writes to many folders.  Keys travel as the bytes they stand for.
     """
     ts = F.col("transaction_ts")
-    return (fact.withColumn(FACT_MONTH, F.year(ts) * 100 + F.month(ts)).hint("rebalance", FACT_MONTH)
-            .sortWithinPartitions(FACT_MONTH, "transaction_ts"))
+    narrow = fact.withColumns({FACT_MONTH: F.year(ts) * 100 + F.month(ts), **{k: packed(k) for k in DIGESTS}})
+    dealt_rows = narrow.hint("rebalance", FACT_MONTH).sortWithinPartitions(FACT_MONTH, "transaction_ts")
+    return dealt_rows.withColumns({k: unpacked(k) for k in DIGESTS})
 
 
 def _star(stg: DataFrame, written: Mapping[str, DataFrame], cube: DataFrame | None = None,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.constants import FACT_MONTH
+from starmart.functions.keys import packed, unpacked
 from starmart.plans.rollup import AMOUNTS, SPEND, TXNS
 
 #: Name of the table in the marts layer.
@@ -25,8 +26,9 @@ def month_merchant(fact: DataFrame) -> DataFrame:
     timestamp has a NULL month."""
     ts = F.col("transaction_ts")
     month = F.col(FACT_MONTH) if FACT_MONTH in fact.columns else F.year(ts) * 100 + F.month(ts)
-    return fact.groupBy(month.cast("int").alias(FACT_MONTH), "merchant_key").agg(
+    totals = fact.groupBy(month.cast("int").alias(FACT_MONTH), packed("merchant_key").alias("merchant_key")).agg(
         F.sum("amount").alias(SPEND), F.count(F.lit(1)).alias(TXNS), F.count("amount").alias(AMOUNTS))
+    return totals.withColumn("merchant_key", unpacked("merchant_key"))
 
 
 @dataclass(frozen=True)
