@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.constants import FACT_MONTH
+from starmart.constants import DIGESTS, FACT_MONTH
+from starmart.functions.keys import packed, unpacked
 from starmart.operators.bloom import bit_filter
 from starmart.plans.cube import month_start as cube_month_start
 from starmart.plans.cube import selected
@@ -105,7 +106,8 @@ def fact_merchant_join(fact: DataFrame, dim_merchant: DataFrame,
     Otherwise Spark sizes it (AQE may still broadcast it from measured shuffle
     output, or splits a skewed partition of the shuffle join); with categories
     a bit filter of the selected merchants' keys, of bounded size, is tested
-    by the fact's scan first, so only rows that may match are shuffled."""
+    by the fact's scan first, so only rows that may match are shuffled.  Their
+    digests are exchanged as the bytes they stand for."""
     f = f or Filters()
     dm = _merchants(dim_merchant, f, "merchant_category", "merchant_name_clean")
     rows = _fact(fact, f)
@@ -113,7 +115,10 @@ def fact_merchant_join(fact: DataFrame, dim_merchant: DataFrame,
         return rows.join(F.broadcast(dm), "merchant_key")
     if f.categories:
         rows = bit_filter(dm, "merchant_key").passed(rows, F.col("merchant_key")).filter("__may").drop("__may")
-    return rows.join(dm, "merchant_key")
+    digests = [c for c, t in rows.dtypes if c in DIGESTS and t == "string"]
+    met = rows.withColumns({c: packed(c) for c in digests}).join(
+        dm.withColumn("merchant_key", packed("merchant_key")), "merchant_key")
+    return met.withColumns({c: unpacked(c) for c in digests})
 
 
 # --- B3, B4 ----------------------------------------------------------------

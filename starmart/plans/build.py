@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.constants import FACT_MONTH
+from starmart.constants import DIGESTS, FACT_MONTH
 from starmart.functions.keys import packed, unpacked
 from starmart.operators import marts
 from starmart.operators.quality import SUITE, Check, quality_report
@@ -49,8 +49,6 @@ READS = {STG: (), "fact_transactions": (STG,), "dim_customer": (STG,), "dim_acco
          "dim_merchant": (STG,), "dim_date": ("fact_transactions",), CUBE: ("fact_transactions",)}
 #: Tables kept for reports and tests; they are no models of the star.
 KEPT = (CUBE, CUSTOMERS)
-#: The fact's keys that are digests as a rule.
-DIGESTS = ("transaction_id", "customer_key", "account_key", "merchant_key")
 REPORT_SCHEMA = "test_id int, model string, column_name string, test string, failures long, passed boolean"
 
 

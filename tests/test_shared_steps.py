@@ -2,6 +2,7 @@
 from pyspark.sql import functions as F
 
 from starmart.functions.keys import packed, unpacked
+from starmart.plans import bi
 from starmart.sources import csv_ingest
 from starmart.sources.csv_split import HEAD, RECORD, TAIL, _joined
 from starmart.sources.fixtures import joined_tables, raw_transactions
@@ -63,3 +64,24 @@ def test_records_are_joined_a_batch_at_a_time():
     ])) for r in b.to_pylist()]
     assert got == [("a", 0, RECORD, 0, "h"), ("a", 0, RECORD, 1, '1,"x\ny"'), ("a", 0, TAIL, 2, '2,"z'),
                    ("a", 9, HEAD, 0, 'w"'), ("a", 9, RECORD, 1, "3,"), ("b", 0, RECORD, 0, "4,")]
+
+
+def test_merchant_join_exchanges_digests_as_bytes(spark):
+    key = "0123456789abcdef" * 2
+    schema = "transaction_id string, customer_key string, account_key string, merchant_key string, amount int"
+    fact = spark.createDataFrame([(key, "c", None, key, 1), ("t", key, key, "m", 2), ("u", "", "", None, 3),
+                                  ("v", key, key, "gone", 4)], schema).repartition(2)
+    dim = spark.createDataFrame([(key, "x", "X"), ("m", None, "M"), ("m", "y", "M2"), (None, "z", "Z")],
+                                "merchant_key string, merchant_category string, merchant_name_clean string").repartition(2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = bi.fact_merchant_join(fact, dim)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(got.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = sorted(fact.join(dim, "merchant_key").collect(), key=str)
+    assert rows == want and len(rows) == 3 and got.schema == fact.join(dim, "merchant_key").schema
+    below = plan[plan.index("Exchange hashpartitioning(merchant_key"):]
+    assert below.index("unhex(transaction_id") < below.index("RoundRobin")
