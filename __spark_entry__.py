@@ -34,7 +34,7 @@ from starmart.plans.build import build_all
 from starmart.plans.star import DIMS, star_from_tables
 from starmart.sources import folder_sink
 from starmart.sources.csv_ingest import ingest_csv, sample_n
-from starmart.sources.fixtures import raw_transactions
+from starmart.sources.fixtures import AMOUNT_OF, CARD_OF, ID_OF, MERCHANT_OF, PERSON_OF, TIME_OF, raw_transactions
 from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
 from starmart.schemas import MART_SCHEMAS
 from starmart.session import scratch_dir
@@ -78,16 +78,20 @@ PARTIAL_CALENDAR = ("1995-01-01", "1998-01-01")
 # Source-file header names of the RAW columns (index unnamed, SQL words).
 SOURCE_HEADER = {"trans_index": "Unnamed: 0", "cust_first": "first",
                  "cust_last": "last", "home_lon": "long"}
+# What reports read of the joined rows (see ``fixtures.py``).
+MERCHANTS = (*MERCHANT_OF, *AMOUNT_OF)
+MERCHANT_DAYS = (*MERCHANTS, *TIME_OF)
+PERSONS = (*PERSON_OF, *ID_OF, *TIME_OF)  # the earliest row of each: by time, then id
+CARDS = (*CARD_OF, *AMOUNT_OF)
 
-
-def _star(spark: SparkSession, sf_dir: str, keep: bool = False):
+def _star(spark: SparkSession, sf_dir: str, keep=False):
     return star_from_tables(spark, sf_dir, as_of=AS_OF, keep=keep)
 
 
-def _checked_star(spark: SparkSession, sf_dir: str, *dims: str):
+def _checked_star(spark: SparkSession, sf_dir: str, *dims: str, keep=True):
     """The lazy star with the sizes of ``dims`` measured (one job each), so
     reports take the broadcast join-first plan where it fits."""
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=keep)
     sizes = {d: checked_rows(getattr(s, d)) for d in dims}
     return replace(s, rows={d: n for d, n in sizes.items() if n is not None})
 
@@ -273,25 +277,25 @@ def q_kpis_empty(spark, sf_dir):
 
 
 def q_spend_by_category(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=MERCHANTS)
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant).select(
         "category", _money("spend"))
 
 
 def q_spend_by_category_filtered(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=MERCHANT_DAYS)
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER).select(
         "category", _money("spend"))
 
 
 def q_spend_by_month(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=MERCHANT_DAYS)
     return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER).select(
         "month", _money("spend"))
 
 
 def q_top_merchants(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=MERCHANTS)
     return bi.top_merchants(s.fact_transactions, s.dim_merchant).select(
         "merchant", _money("spend"), "txns")
 
@@ -304,30 +308,30 @@ def q_spend_top10_stg(spark, sf_dir):
 # --- questions ----------------------------------------------------------------------
 
 def q_top5_categories_spend(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=MERCHANTS)
     return questions.top5_categories_spend(s.fact_transactions, s.dim_merchant).select(
         "merchant_category", _money("total_spend"))
 
 
 def q_spend_by_brand(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=CARDS)
     return questions.spend_by_brand(s.fact_transactions, s.dim_account).select(
         "card_brand", _money("total_spend"))
 
 
 def q_top5_states_avg(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=PERSONS)
     r = questions.top5_states_avg(s.fact_transactions, s.dim_customer)
     return r.select("state", _micros("avg_amount"))
 
 
 def q_weekend_vs_weekday(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=TIME_OF)
     return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date)
 
 
 def q_top5_states_spend(spark, sf_dir):
-    s = _star(spark, sf_dir, keep=True)
+    s = _star(spark, sf_dir, keep=PERSONS)
     return questions.top5_states_spend(s.fact_transactions, s.dim_customer).select(
         "state", _money("total_spend"))
 
@@ -340,21 +344,21 @@ def q_guarded_select(spark, sf_dir):
 # --- the same reports on the broadcast join-first plan -------------------------
 
 def q_spend_by_category_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_merchant")
+    s = _checked_star(spark, sf_dir, "dim_merchant", keep=MERCHANT_DAYS)
     return bi.spend_by_category(s.fact_transactions, s.dim_merchant, FILTER,
                                 dim_rows=s.dim_rows("dim_merchant")).select(
         "category", _money("spend"))
 
 
 def q_spend_by_month_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_merchant")
+    s = _checked_star(spark, sf_dir, "dim_merchant", keep=MERCHANT_DAYS)
     return bi.spend_by_month(s.fact_transactions, s.dim_merchant, FILTER,
                              dim_rows=s.dim_rows("dim_merchant")).select(
         "month", _money("spend"))
 
 
 def q_top_merchants_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_merchant")
+    s = _checked_star(spark, sf_dir, "dim_merchant", keep=MERCHANTS)
     return bi.top_merchants(s.fact_transactions, s.dim_merchant,
                             dim_rows=s.dim_rows("dim_merchant")).select(
         "merchant", _money("spend"), "txns")
@@ -369,21 +373,21 @@ def q_kpis_filtered_checked(spark, sf_dir):
 
 
 def q_spend_by_brand_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_account")
+    s = _checked_star(spark, sf_dir, "dim_account", keep=CARDS)
     return questions.spend_by_brand(s.fact_transactions, s.dim_account,
                                     dim_rows=s.dim_rows("dim_account")).select(
         "card_brand", _money("total_spend"))
 
 
 def q_top5_states_avg_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_customer")
+    s = _checked_star(spark, sf_dir, "dim_customer", keep=PERSONS)
     r = questions.top5_states_avg(s.fact_transactions, s.dim_customer,
                                   dim_rows=s.dim_rows("dim_customer"))
     return r.select("state", _micros("avg_amount"))
 
 
 def q_weekend_vs_weekday_checked(spark, sf_dir):
-    s = _checked_star(spark, sf_dir, "dim_date")
+    s = _checked_star(spark, sf_dir, "dim_date", keep=TIME_OF)
     return questions.weekend_vs_weekday(s.fact_transactions, s.dim_date,
                                         dim_rows=s.dim_rows("dim_date"))
 

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,7 +76,8 @@ def star_from_staging(
     )
 
 
-def star_from_tables(spark: SparkSession, sf_dir: str, as_of=None, calendar=None, keep: bool = False) -> Star:
+def star_from_tables(spark: SparkSession, sf_dir: str, as_of=None, calendar=None,
+                     keep: bool | Sequence[str] = False) -> Star:
     """Lazy star over the RAW mapping of the driver tables in ``sf_dir``;
     ``keep`` for readers of more than one of its tables (see ``fixtures.py``)."""
     stg = stage_transactions(raw_transactions(spark, sf_dir, keep=keep))

@@ -12,11 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from collections.abc import Sequence
+
 from starmart.schemas import RAW_COLUMNS
 from starmart.session import scratch_dir
+from starmart.sizing import checked_rows, fits_broadcast
 from starmart.sources.tables import scan_table, write_table
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation")
+#: Columns of the joined rows that parts of RAW are made of: an amount, a
+#: merchant, a timestamp, a card, a transaction's id, a person.
+AMOUNT_OF = ("l_extendedprice",)
+MERCHANT_OF = ("s_name", "p_brand")
+TIME_OF = ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+CARD_OF = ("c_custkey",)
+ID_OF = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+PERSON_OF = ("c_custkey", "c_name", "c_mktsegment", "n_nationkey", "n_name")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +53,8 @@ def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     The joins are ordered by what they move: a lineitem meets part and
     supplier while it is six numbers, and the customer's text comes with the
     orders (a quarter of the rows), so that no exchange carries it by lineitem.
+    Suppliers that were measured (a job) and are within the broadcast bound are
+    joined last, where no exchange carries their names.
     """
     t = {n: read_table(spark, sf_dir, n) for n in TABLES}
     li = spread(t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -55,23 +68,35 @@ def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = (orders.join(cust, F.col("o_custkey") == cust.c_custkey)
                .join(nation, F.col("c_nationkey") == nation.n_nationkey)
                .drop("o_custkey", "c_nationkey"))
-    items = (li.join(part, li.l_partkey == part.p_partkey).drop("p_partkey")
-             .join(supp, F.col("l_suppkey") == supp.s_suppkey).drop("s_suppkey"))
-    return items.join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    items = li.join(part, li.l_partkey == part.p_partkey).drop("p_partkey")
+
+    def supplied(df: DataFrame, supp: DataFrame) -> DataFrame:
+        return df.join(supp, F.col("l_suppkey") == supp.s_suppkey).drop("s_suppkey")
+
+    small = fits_broadcast(checked_rows(supp))
+    if not small:
+        items = supplied(items, supp)
+    met = items.join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    return supplied(met, F.broadcast(supp)) if small else met
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, keep: bool | Sequence[str] = False) -> DataFrame:
     """RAW transactions (23 text columns, normalised names) for ``sf_dir``.
 
     ``keep`` writes the joined rows to the shared scratch folder first (this
     runs a job): several readers then share one run of the joins, and each
-    reads only the columns it needs.
+    reads only the columns it needs.  Readers that need few name the joined
+    columns (``AMOUNT_OF``, ...), and only these are shuffled and written;
+    reading a RAW column made of others is then an error.
     """
     j = joined_tables(spark, sf_dir)
     if keep:
         path = scratch_dir(spark, "joined")
-        write_table(j, path)
-        j = scan_table(spark, path)
+        kept = j.columns if keep is True else list(dict.fromkeys(keep))
+        write_table(j.select(*kept), path)
+        scan = scan_table(spark, path)
+        j = scan.select(*(c if c in kept else F.raise_error(F.lit(f"{c} was not kept")).cast(t).alias(c)
+                          for c, t in j.dtypes))
 
     e = F.expr
     x = j.select(

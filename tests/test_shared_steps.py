@@ -1,11 +1,12 @@
 """Steps that many queries share: what they move, run and write."""
+import pytest
 from pyspark.sql import functions as F
 
 from starmart.functions.keys import packed, unpacked
 from starmart.plans import bi
 from starmart.sources import csv_ingest
 from starmart.sources.csv_split import HEAD, RECORD, TAIL, _joined
-from starmart.sources.fixtures import joined_tables, raw_transactions
+from starmart.sources.fixtures import AMOUNT_OF, MERCHANT_OF, joined_tables, raw_transactions
 
 
 def test_no_exchange_carries_customers_by_lineitem(spark, sf_dir):
@@ -66,6 +67,23 @@ def test_records_are_joined_a_batch_at_a_time():
                    ("a", 9, HEAD, 0, 'w"'), ("a", 9, RECORD, 1, "3,"), ("b", 0, RECORD, 0, "4,")]
 
 
+def test_measured_suppliers_are_joined_last(spark, sf_dir):
+    p = joined_tables(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    last = next(line for line in p.splitlines() if "Join Inner" in line)  # the outermost
+    assert "l_suppkey" in last and "strategy=broadcast" in last
+
+
+def test_kept_rows_hold_only_what_is_named(spark, sf_dir):
+    kept = raw_transactions(spark, sf_dir, keep=[*MERCHANT_OF, *AMOUNT_OF])
+    files = [f for f in kept.select("amt").inputFiles()]
+    assert spark.read.parquet(*files).columns == ["s_name", "p_brand", "l_extendedprice"]
+    some = ("merchant", "category", "amt")
+    plain = raw_transactions(spark, sf_dir).select(*some)
+    assert kept.select(*some).exceptAll(plain).isEmpty() and plain.exceptAll(kept.select(*some)).isEmpty()
+    with pytest.raises(Exception, match="was not kept"):
+        kept.select("job").collect()
+
+
 def test_merchant_join_exchanges_digests_as_bytes(spark):
     key = "0123456789abcdef" * 2
     schema = "transaction_id string, customer_key string, account_key string, merchant_key string, amount int"
