@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import secret_ledger
-from starmart.llm.common import read_table, written
+from starmart.llm.common import freed, read_table, written
 from starmart.llm.decontaminate import decontaminated
 from starmart.llm.jaccard_join import first_of_each
 from starmart.llm.packing import packed
@@ -65,4 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        freed(spark)  # its shuffles don't stand beside the next stage's
     return STAGES[-1][1](spark, docs, sf_dir)

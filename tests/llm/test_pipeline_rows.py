@@ -40,3 +40,16 @@ def test_empty_table_and_missing_columns(spark, tables):
     bare = frame(spark, [prose(50, 1) + " secret=abcdefgh"]).select("doc_id", "text", "lang", "source")
     kept, packed = through(spark, bare, tables)
     assert kept[-1].first().text.endswith("[REDACTED]") and packed.count() == 1
+
+
+def test_shuffles_of_a_stage_are_freed_before_the_next(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(pipeline, "freed", lambda s: seen.append("freed"))
+
+    def stage(name):
+        return name, lambda s, docs, sf_dir: (seen.append(name), docs)[1]
+
+    monkeypatch.setattr(pipeline, "STAGES", [stage(x) for x in "abc"])
+    assert pipeline.run(spark, str(tmp_path)).count() == 2
+    assert seen == ["a", "freed", "b", "freed", "c"]
