@@ -1,6 +1,7 @@
 """Secret ledger: spans against a plain scan, and what a second run scans."""
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,20 @@ def test_redaction_moves_only_rows_that_may_be_hit(spark):
     assert 3 <= moved < 600
     got = S.redacted(docs, ledger)
     assert got.count() == 3003 and got.filter("text = 'a [REDACTED] b'").count() == 3
+
+
+def test_a_first_run_moves_only_texts_that_may_have_copies(spark):
+    many = spark.range(0, 3000, 1, 6).select(F.concat(F.lit("token=abcdefgh"), F.col("id").cast("string")).alias("text"))
+    copies = ["a copy secret: 12345678"] * 40 + [None, ""]
+    docs = many.unionByName(frame(spark, copies).select("text"))
+    left = S.unseen(docs, None).select("text", "missing", F.spark_partition_id().alias("at")).collect()
+    assert sorted(r["text"] for r in left) == sorted({f"token=abcdefgh{i}" for i in range(3000)} | {copies[0], ""})
+    assert all(len(r["missing"]) == len(S.RULES) for r in left)
+    # the texts of a partition are still together
+    at = [Counter() for _ in range(6)]
+    for r in left:
+        if r["text"].startswith("token"):
+            at[int(r["text"][14:]) // 500][r["at"]] += 1
+    most = [c.most_common(1)[0] for c in at]
+    assert len({p for p, _ in most}) == 6 and min(n for _, n in most) > 400
+    assert S.update_ledger(docs).count() == 3002 * len(S.RULES)
