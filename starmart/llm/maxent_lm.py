@@ -132,12 +132,33 @@ def histories(texts: list[np.ndarray], spec: Spec) -> tuple[np.ndarray, ...]:
     return token, before, skip, text
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """The logarithm of each row's divisor; ``z`` becomes its probabilities."""
+def _divisors(z: np.ndarray) -> np.ndarray:
+    """The softmax's divisor of each row; ``z`` becomes its numerators."""
     np.exp(z, out=z)  # logits are bounded: biases are shares, weights within LIMIT
-    total = z.sum(axis=1, keepdims=True)
-    z /= total
-    return np.log(total)[:, 0]
+    return np.einsum("ij->i", z)
+
+
+def _row_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of rows of ``g`` by group: group i has the ``count[i]`` rows
+    ``order[first[i]:]``.
+
+    Most groups are small: their rows are added for all groups at once.
+    ``reduceat``, which takes its time by groups and columns, gets what lies
+    behind, two floats a number."""
+    out = g.take(order.take(first), axis=0)
+    for k in range(1, 3):
+        more = np.flatnonzero(count > k)
+        if not len(more):
+            return out
+        out[more] += g.take(order.take(first[more] + k), axis=0)
+    more = np.flatnonzero(count > 3)
+    if len(more):
+        size = count[more] - 3
+        begin = np.cumsum(size) - size
+        rest = g.take(order.take(np.repeat(first[more] + 3 - begin, size) + np.arange(int(size.sum()))), axis=0)
+        pairs = rest.view(np.complex64) if rest.shape[1] % 2 == 0 else rest
+        out[more] += np.add.reduceat(pairs, begin, axis=0).view(np.float32)
+    return out
 
 
 class Layers:
@@ -167,16 +188,16 @@ class Layers:
         its class's)."""
         kind, _, z, inner, word, _, y = self.prepared(token, before, skip)
         out = z[np.arange(len(z)), kind].astype(np.float64)
-        out -= _softmax(z)
+        out -= np.log(_divisors(z))
         own = y[np.arange(len(y)), word]
-        out[inner] += own - _softmax(y)
+        out[inner] += own - np.log(_divisors(y))
         return out
 
     def gradients(self, token: np.ndarray, before: np.ndarray, skip: np.ndarray):
         """(feature rows, gradient of each token's logits) of both layers."""
         kind, rows, g, inner, word, inner_rows, h = self.prepared(token, before, skip)
-        _softmax(g)
-        _softmax(h)
+        g /= _divisors(g)[:, None]
+        h /= _divisors(h)[:, None]
         g[np.arange(len(g)), kind] -= 1
         h[np.arange(len(h)), word] -= 1
         return [(r, g) for r in rows] + [(r, h) for r in inner_rows]
@@ -201,9 +222,10 @@ def fitted(model: Model, texts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.nd
                 order = np.argsort(rows.astype(narrow), kind="stable")
                 r = rows.take(order)
                 first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-                total = np.add.reduceat(g.take(order, axis=0), first, axis=0)
+                count = np.diff(np.r_[first, len(r)])
+                total = _row_sums(g, order, first, count)
                 row = r.take(first)
-                used[row] += np.diff(np.r_[first, len(r)])
+                used[row] += count
                 power[row] += np.einsum("ij,ij->i", total, total) / np.float32(total.shape[1])
                 total *= (s.rate / np.sqrt(power[row] + 1e-6))[:, None]
                 W[row] = np.clip(W[row] - total, -LIMIT, LIMIT)

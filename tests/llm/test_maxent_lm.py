@@ -112,3 +112,28 @@ def test_empty_tables_repeated_rows_and_nothing_to_learn_from(spark):
     assert all(r.base_score == 0 and math.isfinite(r.score) for r in rows)
     twice = scored(frame(spark, ["a b c"] * 4 + ["d"] * 3, [1, 1, 1, 1, 3, 3, 3])).collect()
     assert len(twice) == 7 and len({(r.doc_id, r.n_known, r.train_tokens) for r in twice}) == 2
+
+
+@pytest.mark.parametrize("width", [7, 64])
+def test_rows_are_added_by_group_in_less_time_than_reduceat(width):
+    import time
+    rng = np.random.default_rng(3)
+    keys = np.concatenate([rng.integers(0, 3000, 3000), np.full(900, 5), rng.integers(7, 60, 196)])
+    g = rng.normal(size=(4096, width)).astype(np.float32)
+    order = np.argsort(keys, kind="stable")
+    row, first, count = np.unique(keys[order], return_index=True, return_counts=True)
+    want = np.zeros((3000, width))
+    np.add.at(want, keys, g)
+    assert np.allclose(lm._row_sums(g, order, first, count), want[row], atol=1e-3)
+
+    def took(f):
+        runs = []
+        for _ in range(7):
+            begin = time.process_time()
+            f()
+            runs.append(time.process_time() - begin)
+        return min(runs)
+
+    if width == 64:
+        assert (took(lambda: lm._row_sums(g, order, first, count))
+                < 0.8 * took(lambda: np.add.reduceat(g.take(order, axis=0), first, axis=0)))
