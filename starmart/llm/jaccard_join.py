@@ -57,6 +57,7 @@ from pyspark.sql.window import Window
 from starmart.llm import textnp as T
 from starmart.llm.common import map_batches, trimmed, written
 from starmart.llm.components import components
+from starmart.operators.bloom import bit_filter
 
 WORDS = 5
 NUM, DEN = 75, 100  # similarity
@@ -568,7 +569,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` for each component, all columns unchanged: the
     smallest id, then text hash; one of rows that repeat both.  Rows without
-    words stay."""
+    words stay.  Only rows that may go (by a bit filter of bounded size) are
+    moved; the others stay in their partitions."""
     rows, of_class = joined(docs, id_col, text_col)
     own = F.struct(F.col("id").isNull().alias("last"), "id", "kh")
     gone = written(rows.join(of_class, "cid").filter(own != F.col("least")).select(
@@ -576,8 +578,11 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     twice = written(rows.filter("cid is not null").groupBy(F.col("id").alias("__llm_id"), F.col("kh").alias("__llm_kh"))
                     .count().filter("count > 1").drop("count"), "twice")
     same = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_col) == F.col("__llm_kh"))
-    kept = docs.join(gone, same, "left_anti")
+    marks = gone.unionByName(twice).select(F.xxhash64("__llm_id", "__llm_kh").alias("__llm_at"))
+    parted = bit_filter(marks, "__llm_at").passed(docs, F.xxhash64(id_col, F.xxhash64(text_col)), "__llm_may")
+    sure = parted.filter("not __llm_may").drop("__llm_may")
+    kept = parted.filter("__llm_may").drop("__llm_may").join(gone, same, "left_anti")
     if twice.isEmpty():
-        return kept
+        return sure.unionByName(kept)
     again = kept.join(twice, same, "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(twice, same, "left_anti").unionByName(again)
+    return sure.unionByName(kept.join(twice, same, "left_anti")).unionByName(again)

@@ -172,6 +172,36 @@ def test_one_row_of_each_group_stays(spark):
     assert got == sorted([(2, near), (9, None), (9, None), (None, prose(50, 4))], key=str)
 
 
+def test_rows_that_stay_are_not_shuffled(spark):
+    """Beyond any broadcast only rows that may go move with their texts."""
+    rng = random.Random(8)
+    texts = [prose(40, 1000 + i) for i in range(300)]
+    texts += [edited(x, 1, rng) for x in texts[:20]]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = J.first_of_each(frame(spark, texts))
+        got = {r["doc_id"] for r in kept.collect()}
+        nodes = [kept._jdf.queryExecution().executedPlan()]
+        moved = 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                nodes.append(node.executedPlan())
+            elif node.nodeName().endswith("QueryStage"):
+                nodes.append(node.plan())
+            if node.nodeName() == "Exchange" and "text#" in node.output().mkString(","):
+                moved += node.metrics().apply("shuffleRecordsWritten").value()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i for i, (_, c) in brute(list(enumerate(texts))).items() if i == c}
+    assert len(got) <= 300 and 20 <= moved <= 40
+
+
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert J.jaccard_components(docs).collect() == [] and J.first_of_each(docs).collect() == []
