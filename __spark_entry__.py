@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,17 @@ from starmart.plans.build import build_all
 from starmart.plans.star import DIMS, star_from_tables
 from starmart.sources import folder_sink
 from starmart.sources.csv_ingest import ingest_csv, sample_n
-from starmart.sources.fixtures import AMOUNT_OF, CARD_OF, ID_OF, MERCHANT_OF, PERSON_OF, TIME_OF, raw_transactions
-from starmart.sources.tables import Warehouse, load_raw, scan_table, write_table
+from starmart.sources.fixtures import (
+    AMOUNT_OF,
+    CARD_OF,
+    ID_OF,
+    MERCHANT_OF,
+    PERSON_OF,
+    TIME_OF,
+    raw_transactions,
+    read_table,
+)
+from starmart.sources.tables import Warehouse, delete_folder, load_raw, scan_table, write_table
 from starmart.schemas import MART_SCHEMAS
 from starmart.session import scratch_dir
 from starmart.sizing import checked_rows
@@ -83,6 +93,9 @@ MERCHANTS = (*MERCHANT_OF, *AMOUNT_OF)
 MERCHANT_DAYS = (*MERCHANTS, *TIME_OF)
 PERSONS = (*PERSON_OF, *ID_OF, *TIME_OF)  # the earliest row of each: by time, then id
 CARDS = (*CARD_OF, *AMOUNT_OF)
+# Plain CSV text is several times its rows' parquet: from so many rows on it is
+# written, ingested and deleted part by part, in so many parts at most.
+PART_ROWS, MAX_PARTS = 8_000_000, 4
 
 def _star(spark: SparkSession, sf_dir: str, keep=False):
     return star_from_tables(spark, sf_dir, as_of=AS_OF, keep=keep)
@@ -444,11 +457,31 @@ def q_top5_states_avg_nulls(spark, sf_dir):
 
 def q_ingest_csv_quoted(spark, sf_dir):
     """Line breaks and quotes inside quoted fields, files read in many tasks."""
-    raw = raw_transactions(spark, sf_dir)
-    raw = raw.withColumn("job", F.concat("job", F.lit('\n"'), "city", F.lit('",\n.')))
-    path = scratch_dir(spark, "quoted")
-    raw.withColumnsRenamed(SOURCE_HEADER).write.option("header", True).option("escape", '"').csv(path)
-    return ingest_csv(spark, path, multi_line="split")
+    rows = read_table(spark, sf_dir, "lineitem").count()
+    parts = max(1, min(MAX_PARTS, -(-rows // PART_ROWS)))
+    raw = raw_transactions(spark, sf_dir, keep=parts > 1)
+    return quoted_csv(raw.withColumn("job", F.concat("job", F.lit('\n"'), "city", F.lit('",\n.'))), parts)
+
+
+def quoted_csv(raw: DataFrame, parts: int) -> DataFrame:
+    """``raw`` written as plain CSV (a file that splits can't be gzip) and
+    ingested, a part of the rows at a time: each part but the last is kept as
+    the parquet of its ingested rows, and its CSV is deleted, before the next
+    is written.  ``raw`` is scanned once a part."""
+    spark, done = raw.sparkSession, []
+    part = F.pmod(F.xxhash64("trans_index"), F.lit(parts))
+    for k in range(parts):
+        path = scratch_dir(spark, "quoted")
+        rows = raw.filter(part == k) if parts > 1 else raw
+        rows.withColumnsRenamed(SOURCE_HEADER).write.option("header", True).option("escape", '"').csv(path)
+        found = ingest_csv(spark, path, multi_line="split")
+        if k < parts - 1:
+            kept = scratch_dir(spark, "ingested")
+            write_table(found, kept)
+            delete_folder(spark, path)
+            found = scan_table(spark, kept)
+        done.append(found)
+    return reduce(DataFrame.unionByName, done)
 
 
 def q_consecutive_index(spark, sf_dir):

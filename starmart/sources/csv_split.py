@@ -42,9 +42,10 @@ def open_splits(text: DataFrame) -> DataFrame:
     """(file, split, open, crlf): whether a split begins inside quotes, and
     whether the file's first line ends with a carriage return (as Spark's
     reader does, such files get plain line breaks inside quotes too)."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    head = F.when(F.col("split") == 0, F.endswith(F.first("value"), F.lit("\r")))
+    # A first value of fixed width: one of text would sort all lines.
+    head = F.when(F.col("split") == 0, F.first(F.endswith("value", F.lit("\r"))))
     return (text.groupBy("file", "split").agg(F.sum(quotes).alias("quotes"), head.alias("head"))
             .withColumn("open", F.coalesce(F.sum("quotes").over(before) % 2, F.lit(0)) == 1)
             .withColumn("crlf", F.coalesce(F.max("head").over(Window.partitionBy("file")), F.lit(False)))

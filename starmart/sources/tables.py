@@ -178,7 +178,7 @@ class Warehouse:
         for c in candidates:
             if c.bucket_by:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(c.layer, c.table, c.version)}")
-            _delete(self.spark, c.path)
+            delete_folder(self.spark, c.path)
 
     def sweep(self, keep: int = KEPT_VERSIONS) -> list[str]:
         """Delete all but the ``keep`` newest versions of each table; the
@@ -189,7 +189,7 @@ class Warehouse:
                 path = self.path(layer, table, version)
                 if path not in self._dropped:
                     self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(layer, table, version)}")
-                    if _delete(self.spark, path):
+                    if delete_folder(self.spark, path):
                         gone.append(path)
                     self._dropped.add(path)
         return gone
@@ -249,7 +249,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def delete_folder(spark: SparkSession, path: str) -> bool:
     files, place = _file_system(spark, path)
     return files.delete(place, True)
 

@@ -1,8 +1,10 @@
 """Quoted line breaks read in many tasks equal Spark's one-task reader."""
+import os
 import random
 
 import pytest
 
+import __spark_entry__ as entry
 from starmart.sources.csv_ingest import consecutive_index, ingest_csv, read_csv
 from starmart.sources.csv_split import lines
 
@@ -85,3 +87,35 @@ def test_consecutive_index(spark, tmp_path, small_splits):
     assert empty.columns == ["trans_index", "x"] and empty.collect() == []
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
+
+
+def _raw(spark, n):
+    return spark.createDataFrame([(f"{i % (n - 50)}" if i % 7 else None, f'two\n"lines", {i}', None if i % 5 else "x")
+                                  for i in range(n)], "trans_index string, job string, state string")
+
+
+def _folders(spark, name):
+    top = spark.conf.get("spark.checkpoint.dir")
+    return {x for x in os.listdir(top) if x.startswith(f"{name}-")} if os.path.isdir(top) else set()
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_quoted_csv_by_parts_keeps_one_part_on_disk(spark, parts):
+    raw, before = _raw(spark, 400).repartition(3).localCheckpoint(), _folders(spark, "quoted")
+    got = entry.quoted_csv(raw, parts)
+    assert got.columns == raw.columns and rows(got) == rows(raw)  # null and repeated keys too
+    assert len(_folders(spark, "quoted") - before) == 1
+
+
+def test_ingest_csv_quoted_of_a_large_table_never_holds_the_whole_csv(spark, sf_dir, monkeypatch):
+    def run():
+        before = _folders(spark, "quoted")
+        got = rows(entry.q_ingest_csv_quoted(spark, sf_dir))
+        top = spark.conf.get("spark.checkpoint.dir")
+        return got, sum(os.path.getsize(f"{top}/{d}/{x}") for d in _folders(spark, "quoted") - before
+                        for x in os.listdir(f"{top}/{d}") if x.endswith(".csv"))
+
+    want, whole = run()
+    monkeypatch.setattr(entry, "PART_ROWS", 1000, raising=False)
+    got, left = run()
+    assert got == want and 0 < left < whole / 2
